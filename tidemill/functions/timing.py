@@ -15,10 +15,18 @@ def event_time(millis: Column | str) -> Column:
 
 
 def epoch_millis(df: DataFrame, column: str) -> Column:
-    """Milliseconds since the epoch of a timestamp column; zone-less values count as UTC."""
-    if isinstance(df.schema[column].dataType, TimestampNTZType):
-        return F.expr(f"timestampdiff(MILLISECOND, {_EPOCH}, `{column}`)")
-    return F.unix_millis(F.col(column))
+    """Milliseconds since the epoch of a timestamp column; zone-less values count as UTC.
+
+    Zone-less values are taken apart into fields, because ``timestampdiff``
+    reads them in the session zone and is an hour off across a clock change.
+    """
+    value = F.col(column)
+    if not isinstance(df.schema[column].dataType, TimestampNTZType):
+        return F.unix_millis(value)
+    days = F.unix_date(value.cast("date")).cast("bigint")
+    minutes = (days * 24 + F.hour(value)) * 60 + F.minute(value)
+    in_minute = F.floor(F.extract(F.lit("SECOND"), value) * 1000).cast("bigint")
+    return minutes * 60_000 + in_minute
 
 
 def utc_wall_clock(df: DataFrame, *columns: str) -> DataFrame:

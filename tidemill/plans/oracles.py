@@ -41,7 +41,7 @@ SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS ev
        CASE WHEN kind = 'price_changed' THEN l_extendedprice + l_quantity END AS previous_price,
        CAST(trunc(l_quantity) AS INTEGER) AS stock_quantity,
        CASE WHEN kind = 'stock_updated'
-            THEN CAST(CAST(trunc(l_quantity) AS INTEGER) + l_linenumber AS INTEGER) END
+            THEN CAST(CAST(trunc(l_quantity) AS INTEGER) + l_linenumber AS DOUBLE) END
          AS previous_stock_quantity,
        (epoch_us(l_shipdate) // 1000) AS timestamp_ms,
        CAST(l_partkey % 2 AS INTEGER) AS "partition",

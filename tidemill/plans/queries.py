@@ -130,9 +130,16 @@ def gold_late_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _readable(rows: DataFrame) -> DataFrame:
-    """Arrays as text and instants as wall-clock values, for comparison across engines."""
+    """Columns in types that data frames of all engines show alike.
+
+    Arrays as text, instants as wall-clock values, integers with NULLs as doubles.
+    """
     if "product_ids" in rows.columns:
         rows = rows.withColumn("product_ids", F.concat_ws(",", "product_ids"))
+    if "previous_stock_quantity" in rows.columns:
+        rows = rows.withColumn(
+            "previous_stock_quantity", F.col("previous_stock_quantity").cast("double")
+        )
     return utc_wall_clock(rows, "kafka_timestamp")
 
 

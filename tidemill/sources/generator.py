@@ -1,0 +1,168 @@
+"""Simulated traffic of any volume, for load tests.
+
+Events are pure functions of their number and a seed: ``spark.range`` deals
+the numbers out to tasks, hashes of them replace random draws, and no task
+needs to know what another produced. Attributes of a product or an order are
+functions of its number alone, so that all its events agree on them.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemill import contracts as c
+from tidemill.topics import TOPICS
+
+_DRAWS = 1_000_000_007
+
+
+class _Draws:
+    """Hash-based draws for one subject (an event, a product, an order)."""
+
+    def __init__(self, subject: Column, seed: int) -> None:
+        self.subject = subject
+        self.seed = seed
+
+    def integer(self, purpose: str, bound: int) -> Column:
+        """Uniform in 0 .. bound - 1."""
+        return F.pmod(F.xxhash64(self.subject, F.lit(purpose), F.lit(self.seed)), F.lit(bound))
+
+    def uniform(self, purpose: str, low: float, high: float) -> Column:
+        return self.integer(purpose, _DRAWS) / _DRAWS * (high - low) + low
+
+    def choice(self, purpose: str, values: Sequence[str]) -> Column:
+        position = (self.integer(purpose, len(values)) + 1).cast("int")
+        return F.element_at(F.array(*map(F.lit, values)), position)
+
+    def weighted(self, purpose: str, weights: Mapping[str, int]) -> Column:
+        """A key of ``weights``, drawn in proportion to its value."""
+        draw = self.integer(purpose, sum(weights.values()))
+        result, reached = None, 0
+        for value, weight in weights.items():
+            reached += weight
+            hit = draw < reached
+            result = F.when(hit, value) if result is None else result.when(hit, value)
+        return result
+
+
+def _text(prefix: str, number: Column) -> Column:
+    return F.concat(F.lit(prefix), number.cast("string"))
+
+
+def _user_activity(df: DataFrame, seed: int) -> DataFrame:
+    draw = _Draws(F.col("id"), seed)
+    kind = F.col("event_type")
+    df = df.withColumn("event_type", draw.weighted("type", c.USER_ACTIVITY_TYPES))
+    return df.withColumns(
+        {
+            "user_id": _text("user_", draw.integer("user", c.USER_COUNT) + 1),
+            "session_id": _text("session_", draw.integer("session", c.SESSION_COUNT)),
+            "product_id": F.when(
+                kind != "search", _text("prod_", draw.integer("product", c.PRODUCT_COUNT) + 1)
+            ),
+            "search_query": F.when(
+                kind == "search", _text("query_", draw.integer("query", c.SEARCH_QUERY_COUNT) + 1)
+            ),
+            "amount": F.when(kind == "payment", F.round(draw.uniform("amount", 10, 5000), 2)),
+            "device_type": draw.choice("device", c.DEVICES),
+            "geo_country": draw.choice("country", c.COUNTRIES),
+        }
+    )
+
+
+def _product_events(df: DataFrame, seed: int) -> DataFrame:
+    draw = _Draws(F.col("id"), seed)
+    df = df.withColumn("_product", draw.integer("product", c.PRODUCT_COUNT) + 1)
+    product = _Draws(F.col("_product"), seed)
+    kind, price, stock = F.col("event_type"), F.col("price"), F.col("stock_quantity")
+    return df.withColumns(
+        {
+            "event_type": draw.weighted("type", c.PRODUCT_EVENT_TYPES),
+            "product_id": _text("prod_", F.col("_product")),
+            "product_name": product.choice("name", c.PRODUCT_NAMES),
+            "category": product.choice("category", c.CATEGORIES),
+            "price": F.round(draw.uniform("price", 10, 500), 2),
+            "stock_quantity": draw.integer("stock", 501).cast("int"),
+        }
+    ).withColumns(
+        {
+            "previous_price": F.when(
+                kind == "price_changed", F.round(price * draw.uniform("change", 0.85, 1.15), 2)
+            ),
+            "previous_stock_quantity": F.when(
+                kind == "stock_updated",
+                F.greatest(F.lit(0), stock + draw.integer("sold", 71) - 20).cast("int"),
+            ),
+        }
+    )
+
+
+def _order_events(df: DataFrame, seed: int) -> DataFrame:
+    draw = _Draws(F.col("id"), seed)
+    kind = draw.weighted("type", c.ORDER_EVENT_TYPES)
+    # A placed order is new; any other event belongs to an order of an earlier number.
+    earlier = F.pmod(F.xxhash64("id", F.lit("order"), F.lit(seed)), F.col("id") + 1)
+    df = df.withColumn("event_type", kind).withColumn(
+        "_order", F.when(F.col("event_type") == "order_placed", F.col("id")).otherwise(earlier)
+    )
+    order = _Draws(F.col("_order"), seed)
+    first = order.integer("products", c.PRODUCT_COUNT)
+    extra = order.integer("size", c.MAX_PRODUCTS_PER_ORDER)
+    currencies = F.create_map(*(F.lit(x) for pair in c.CURRENCIES.items() for x in pair))
+    return df.withColumns(
+        {
+            "order_id": _text("ord_", F.col("_order")),
+            "user_id": _text("user_", order.integer("user", c.USER_COUNT) + 1),
+            "product_ids": F.transform(
+                F.sequence(F.lit(0), extra.cast("int")),
+                lambda i: _text("prod_", (first + i * 31) % c.PRODUCT_COUNT + 1),
+            ),
+            "total_amount": F.round(order.uniform("amount", 20, 3000), 2),
+            "shipping_country": order.choice("country", c.COUNTRIES),
+            "cancellation_reason": F.when(
+                F.col("event_type") == "order_cancelled",
+                draw.choice("reason", c.CANCELLATION_REASONS),
+            ),
+        }
+    ).withColumn("currency", currencies[F.col("shipping_country")])
+
+
+_SIMULATIONS = {
+    "user_activity": _user_activity,
+    "product_events": _product_events,
+    "order_events": _order_events,
+}
+
+
+def simulate(
+    spark: SparkSession,
+    topic: str,
+    events: int,
+    start_ms: int = 1704067200000,
+    per_second: float = 10.0,
+    seed: int = 42,
+    partitions: int | None = None,
+) -> DataFrame:
+    """``events`` events of a topic, ``per_second`` of them in each second of event time.
+
+    The result has the payload columns and the position columns that
+    :func:`tidemill.operators.encode_messages` expects.
+    """
+    config = TOPICS[topic]
+    numbers = spark.range(0, events, 1, partitions).withColumns(
+        {
+            "event_id": F.sha1(F.concat_ws(":", F.lit(topic), F.lit(seed), F.col("id"))),
+            "timestamp_ms": (F.lit(start_ms) + F.col("id") * (1000 / per_second)).cast("bigint"),
+        }
+    )
+    simulated = _SIMULATIONS[topic](numbers, seed)
+    partition = F.pmod(F.xxhash64(config.message_key), F.lit(config.topic_partitions))
+    return simulated.select(
+        *config.payload_schema.names,
+        partition.cast("int").alias("source_partition"),
+        F.col("id").alias("source_offset"),
+        F.timestamp_millis("timestamp_ms").alias("source_timestamp"),
+    )

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,22 @@ def append_stream(
     return writer.toTable(table)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the plans made inside the block."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 class InsertOnlyMerge:
     """The body of a ``foreachBatch`` sink that inserts rows with unseen keys.
 
@@ -79,23 +96,33 @@ class InsertOnlyMerge:
         if self._committed(spark, run_id, batch_id):
             log.info("%s: batch %d is in already", self.table, batch_id)
             return
-        others = self._others(spark, run_id, batch_id)
-        # The first batch, often the largest, has nothing to be compared with.
-        rows = (
-            deduplicated
-            if others.isEmpty()
-            else rows_to_insert(deduplicated, arrivals, others, self.keys)
-        )
-        # Counted while writing; no job of its own.
-        written = Observation()
-        rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-        if is_location(self.table):
-            rows.write.mode("overwrite").parquet(self._folder(run_id, batch_id))
-        else:
-            self._insert_partition(spark, rows, run_id, batch_id)
+        with settings(spark, self._settings()):
+            others = self._others(spark, run_id, batch_id)
+            # The first batch, often the largest, has nothing to be compared with.
+            rows = (
+                deduplicated
+                if others.isEmpty()
+                else rows_to_insert(deduplicated, arrivals, others, self.keys)
+            )
+            # Counted while writing; no job of its own.
+            written = Observation()
+            rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
+            self._write(rows, run_id, batch_id)
         self.inserted[batch_id] = written.get["rows"]
         log.info("%s: batch %d inserted %d rows", self.table, batch_id, self.inserted[batch_id])
 
+    def _settings(self) -> dict[str, str]:
+        if is_location(self.table):
+            return {}
+        # Only the batch's own partition may be replaced.
+        chosen = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
+        if self.buckets:
+            # With as many shuffle partitions as buckets, the batch is shuffled
+            # once, onto the buckets; the target stays where it is, and the
+            # result is written without moving again.
+            chosen["spark.sql.shuffle.partitions"] = str(self.buckets)
+        return chosen
+
     def _folder(self, run_id: str, batch_id: int) -> str:
         return f"{self.table}/run_id={run_id}/batch_id={batch_id}"
 
@@ -113,14 +140,10 @@ class InsertOnlyMerge:
         )
         return target.filter((F.col("run_id") != run_id) | (F.col("batch_id") != batch_id))
 
-    def _insert_partition(
-        self, spark: SparkSession, rows: DataFrame, run_id: str, batch_id: int
-    ) -> None:
-        # This session belongs to the streaming query alone; only its one
-        # partition may be replaced.
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        if self.buckets:
-            rows = rows.repartition(self.buckets, *self.keys)
+    def _write(self, rows: DataFrame, run_id: str, batch_id: int) -> None:
+        if is_location(self.table):
+            rows.write.mode("overwrite").parquet(self._folder(run_id, batch_id))
+            return
         rows.select(
             *self.schema.names,
             F.lit(run_id).alias("run_id"),
