@@ -20,7 +20,7 @@ from tidemill.config import GoldJob, TopicConfig
 from tidemill.functions import utc_wall_clock
 from tidemill.operators import RULES, frame_header, rule_violations, windowed_aggregate
 from tidemill.plans.pipeline import run_pipeline
-from tidemill.sources import append_messages, scan_table, stream_topic_files
+from tidemill.sources import append_messages, scan_table, stream_table, stream_topic_files
 from tidemill.sources.sample_topics import (
     as_messages,
     batch_events,
@@ -29,7 +29,12 @@ from tidemill.sources.sample_topics import (
     stream_events,
 )
 from tidemill.sources.tables import with_batch_fields
-from tidemill.streaming import clean_silver, ingest_bronze, run_gold_aggregation
+from tidemill.streaming import (
+    clean_silver,
+    gold_session,
+    ingest_bronze,
+    run_gold_aggregation,
+)
 from tidemill.topics import TOPICS
 from tidemill.workspace import new_run_folder
 
@@ -86,9 +91,11 @@ def gold_stream(spark: SparkSession, sf_dir: str, prefix: str, **options) -> Dat
     """One job as a drained stream: final windows only."""
     topic, name = JOBS[prefix]
     job = _config(spark, topic, prefix).job(name)
-    events = stream_events(spark, sf_dir, topic)
-    run_gold_aggregation(spark, events, job, report_counts=False, **options)
-    return _gold_table(spark, job, events)
+    at_rest = batch_events(spark, sf_dir, topic)
+    session = gold_session(spark, at_rest)
+    events = stream_events(session, sf_dir, topic)
+    run_gold_aggregation(session, events, job, report_counts=False, **options)
+    return _gold_table(spark, job, at_rest)
 
 
 def gold_batch(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
@@ -105,10 +112,11 @@ def _gold_in_two_runs(
     config = _config(spark, "user_activity", label)
     job = config.job("funnel_metrics_hourly")
     events = batch_events(spark, sf_dir, "user_activity").select("event_type", "timestamp_ms")
+    session = gold_session(spark, events)
     for arrivals in (first, second):
         events.filter(arrivals).write.mode("append").parquet(config.silver_table)
-        stream = spark.readStream.schema(events.schema).parquet(config.silver_table)
-        run_gold_aggregation(spark, stream, job, report_counts=False)
+        stream = stream_table(session, config.silver_table, schema=events.schema)
+        run_gold_aggregation(session, stream, job, report_counts=False)
     return _gold_table(spark, job, events)
 
 

@@ -22,3 +22,18 @@ def local_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def isolated(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session on the same context and catalog, with the same settings plus these.
+
+    Changing settings on the caller's session would reach every query that is
+    being planned at the same time, from this thread or another.
+    """
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            session.conf.set(key, value)
+    for key, value in settings.items():
+        session.conf.set(key, value)
+    return session

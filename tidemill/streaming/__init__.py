@@ -2,6 +2,7 @@
 
 from tidemill.streaming.bronze import ingest_bronze, ingest_bronze_from_kafka
 from tidemill.streaming.gold import (
+    gold_session,
     run_all_gold_jobs,
     run_gold_aggregation,
     start_gold_aggregation,
@@ -14,6 +15,7 @@ __all__ = [
     "append_stream",
     "clean_silver",
     "ensure_silver_table",
+    "gold_session",
     "ingest_bronze",
     "ingest_bronze_from_kafka",
     "run_all_gold_jobs",

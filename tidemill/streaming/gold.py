@@ -10,9 +10,14 @@ from pyspark.sql.types import StructType
 
 from tidemill.config import GoldJob, TopicConfig
 from tidemill.operators import DEFAULT_WATERMARK, DEFAULT_WINDOW, windowed_aggregate
-from tidemill.sources import count_rows, stream_table
+from tidemill.session import isolated
+from tidemill.sources import count_rows, scan_table, stream_table
+from tidemill.sources.tables import with_batch_fields
 from tidemill.streaming.sinks import announce, append_stream
 
+MIN_STATE_PARTITIONS = 8
+BACKLOG_BYTES_PER_PARTITION = 64 << 20
+
 
 @dataclass(frozen=True)
 class StartedJob:
@@ -41,16 +46,28 @@ def start_gold_aggregation(
     return StartedJob(job, query, result.schema)
 
 
-def _silver_events(
-    spark: SparkSession, config: TopicConfig, max_files_per_trigger: int | None = None
-) -> DataFrame:
-    return stream_table(
-        spark,
-        config.silver_table,
-        config.table_format,
-        config.silver_schema,
-        max_files_per_trigger,
-    )
+def state_partitions(backlog: DataFrame) -> int:
+    """Partitions for the state of a job that starts on this backlog.
+
+    A new checkpoint fixes the number for good. Windows and groups are few
+    next to the events, so a small backlog gets a small number, whatever the
+    session's setting for ordinary shuffles; a large one gets up to that
+    setting.
+    """
+    size = int(str(backlog._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    limit = int(backlog.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(limit, max(MIN_STATE_PARTITIONS, size // BACKLOG_BYTES_PER_PARTITION + 1))
+
+
+def gold_session(spark: SparkSession, backlog: DataFrame) -> SparkSession:
+    """A session for jobs that start on this backlog; see :func:`state_partitions`."""
+    return isolated(spark, {"spark.sql.shuffle.partitions": str(state_partitions(backlog))})
+
+
+def _silver_session(
+    spark: SparkSession, table: str, table_format: str, schema: StructType | None = None
+) -> SparkSession:
+    return gold_session(spark, scan_table(spark, table, table_format, schema))
 
 
 def run_gold_aggregation(
@@ -65,9 +82,13 @@ def run_gold_aggregation(
 ) -> int | None:
     """Drain new silver rows through one job and return the row count of its table.
 
-    ``silver`` is a table or a streaming DataFrame.
+    ``silver`` is a table, or a streaming DataFrame (then the state is
+    partitioned by the settings of its session; see :func:`gold_session`).
     """
-    events = stream_table(spark, silver, table_format) if isinstance(silver, str) else silver
+    if isinstance(silver, str):
+        events = stream_table(_silver_session(spark, silver, table_format), silver, table_format)
+    else:
+        events = silver
     started = start_gold_aggregation(
         events, job, watermark, window, watermark_scope, table_format
     )
@@ -89,9 +110,13 @@ def run_all_gold_jobs(
     watermark. ``concurrent`` starts them together; the first failure is
     raised after all have ended.
     """
+    schema = with_batch_fields(config.silver_schema)
+    session = _silver_session(spark, config.silver_table, config.table_format, schema)
     started: list[StartedJob] = []
     for job in config.gold_jobs:
-        events = _silver_events(spark, config)
+        events = stream_table(
+            session, config.silver_table, config.table_format, config.silver_schema
+        )
         running = start_gold_aggregation(
             events, job, watermark, window, table_format=config.table_format
         )
