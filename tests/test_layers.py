@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
 
 import pytest
@@ -142,11 +143,16 @@ def test_bucketed_target_is_not_shuffled(spark, root, database, buckets):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     no_broadcast = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
     with settings(spark, {**merge._settings(), **no_broadcast}):
-        batch = bronze_rows(spark, BATCH_1)
+        bronze_rows(spark, BATCH_1).write.parquet(f"{root}/batch")
+        batch = spark.read.parquet(f"{root}/batch")
         new = rows_to_insert(batch, batch, spark.table(config.silver_table), ["event_id"])
+        assert new.count() == 2
+        new.collect()
         text = new._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"ShuffledHashJoin.*LeftSemi, BuildRight", text)
     semi = text[text.index("LeftSemi") :].splitlines()
     scan = next(i for i, line in enumerate(semi) if "FileScan" in line)
+    assert not any("Sort" in line for line in semi[:scan])
     assert f"SelectedBucketsCount: {buckets} out of {buckets}" in semi[scan]
     assert not any("Exchange" in line for line in semi[:scan])
     assert spark.conf.get("spark.sql.shuffle.partitions") == before

@@ -103,6 +103,7 @@ def test_split_decodable(spark):
         4: ("missing_key", 7),
         5: ("missing_key", 7),
     }
+    assert plan(accepted).count("from_json(") == plan(rejected).count("from_json(") == 1
     kept = rejected.filter("offset = 1").first()
     assert bytes(kept.value) == values[1]
 
@@ -201,6 +202,9 @@ def test_merge_reads_only_key_columns_of_the_target(spark, tmp_path, broadcast):
             assert "BroadcastExchange" in semi
             scan = next(i for i, l in enumerate(semi.splitlines()) if "FileScan" in l)
             assert not any("Exchange hash" in l for l in semi.splitlines()[:scan])
+        else:
+            # The batch is hashed; the target is not sorted.
+            assert re.search("ShuffledHashJoin .*LeftSemi, BuildRight", text)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 

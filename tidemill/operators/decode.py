@@ -24,6 +24,8 @@ from tidemill.functions import (
 )
 
 _CORRUPT = "_corrupt_record"
+#: Name under which a query's progress reports messages and rejected messages.
+DECODE_METRICS = "decoded_messages"
 
 
 def _source_columns() -> list[Column]:
@@ -172,7 +174,15 @@ def _judge(
         .when(broken, "malformed_payload")
         .when(decoded[required].isNull(), "missing_key"),
     )
-    return messages.withColumn("decoded", attempt).withColumn("reason", reason)
+    judged = messages.withColumn("decoded", attempt).withColumn("reason", reason)
+    # Counting here shows up in the query's progress; it also keeps filters on
+    # the verdict above the decoding, which would otherwise be done once for
+    # the filter and once more for the result.
+    return judged.observe(
+        DECODE_METRICS,
+        F.count(F.lit(1)).alias("messages"),
+        F.count("reason").alias("rejected"),
+    )
 
 
 def frame_header(messages: DataFrame) -> DataFrame:

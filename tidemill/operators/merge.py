@@ -6,6 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from tidemill.config import is_location
+from tidemill.session import estimated_bytes
+
+#: Bound on the batch keys hashed per shuffle partition.
+HASHED_BYTES_PER_PARTITION = 64 << 20
+
 
 def rows_to_insert(
     deduplicated: DataFrame, arrivals: DataFrame, target: DataFrame, keys: Sequence[str]
@@ -22,16 +28,29 @@ def rows_to_insert(
     """
     keys = list(keys)
     batch_keys = arrivals.select(*keys).distinct()
+    if _worth_hashing(batch_keys):
+        batch_keys = batch_keys.hint("shuffle_hash")
     seen = target.select(*keys).join(batch_keys, keys, "left_semi")
     return deduplicated.join(seen, keys, "left_anti")
 
 
+def _worth_hashing(batch_keys: DataFrame) -> bool:
+    """Too large to broadcast, small enough to keep one hash table per partition.
+
+    Hashing the batch spares the target, which can be any size, its sort. The
+    keys are distinct, so the partitions are even; beyond the bound the usual
+    sort-merge join spills instead.
+    """
+    conf = batch_keys.sparkSession._jsparkSession.sessionState().conf()
+    size = estimated_bytes(batch_keys)
+    bound = conf.numShufflePartitions() * HASHED_BYTES_PER_PARTITION
+    return conf.autoBroadcastJoinThreshold() < size <= bound
+
+
 def merge_with_delta(spark, target_table: str, source: DataFrame, keys: Sequence[str]) -> None:
     """The same merge on a Delta table, where the delta package is installed."""
     from delta.tables import DeltaTable
 
-    from tidemill.config import is_location
-
     target = (
         DeltaTable.forPath(spark, target_table)
         if is_location(target_table)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(
@@ -37,3 +37,8 @@ def isolated(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
     for key, value in settings.items():
         session.conf.set(key, value)
     return session
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate of a result, the one it plans joins with."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -30,6 +30,10 @@ def scan_table(
 ) -> DataFrame:
     """Batch scan. ``merge_schema`` unites the columns of all files (reads every footer)."""
     if not is_location(table):
+        if table_format != "delta":
+            # Streams write from sessions of their own; this one may remember
+            # an older list of files.
+            spark.catalog.refreshTable(table)
         return spark.table(table)
     reader = spark.read.format(table_format)
     if schema is not None and table_format != "delta":

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from tidemill.config import GoldJob, TopicConfig
 from tidemill.operators import DEFAULT_WATERMARK, DEFAULT_WINDOW, windowed_aggregate
-from tidemill.session import isolated
+from tidemill.session import estimated_bytes, isolated
 from tidemill.sources import count_rows, scan_table, stream_table
 from tidemill.sources.tables import with_batch_fields
 from tidemill.streaming.sinks import announce, append_stream
@@ -54,9 +54,9 @@ def state_partitions(backlog: DataFrame) -> int:
     session's setting for ordinary shuffles; a large one gets up to that
     setting.
     """
-    size = int(str(backlog._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = estimated_bytes(backlog) // BACKLOG_BYTES_PER_PARTITION + 1
     limit = int(backlog.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(limit, max(MIN_STATE_PARTITIONS, size // BACKLOG_BYTES_PER_PARTITION + 1))
+    return min(limit, max(MIN_STATE_PARTITIONS, wanted))
 
 
 def gold_session(spark: SparkSession, backlog: DataFrame) -> SparkSession:
