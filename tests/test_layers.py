@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from dataclasses import replace
 
@@ -19,12 +20,19 @@ from tidemill import (
     with_fresh_checkpoints,
 )
 from tidemill.functions import decode_payload
-from tidemill.operators import encode_messages, merge_with_delta, rows_to_insert
+from tidemill.operators import (
+    encode_messages,
+    merge_with_delta,
+    rows_to_insert,
+    split_decodable,
+)
+from tidemill.operators.decode import DECODE_METRICS
 from tidemill.sources import append_messages, scan_table, stream_topic_files
 from tidemill.sources.generator import simulate
 from tidemill.sources.tables import with_batch_fields
-from tidemill.streaming import InsertOnlyMerge, ensure_silver_table
-from tidemill.streaming.sinks import settings
+from tidemill.streaming import InsertOnlyMerge, append_stream, ensure_silver_table
+from tidemill.streaming.gold import MIN_STATE_PARTITIONS, state_partitions
+from tidemill.streaming.sinks import UnfinishedBatch, settings
 from tidemill.streaming.silver import silver_merge, upsert_batch
 from tidemill.topics import TOPICS, USER_ACTIVITY
 
@@ -118,8 +126,11 @@ def test_unfinished_batch_is_redone(spark, root):
     stray.withColumn("event_id", F.lit("c")).write.option(
         "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
     ).parquet(folder)
+    with pytest.raises(UnfinishedBatch, match="batch_id=1"):
+        run_all_gold_jobs(spark, config)
     upsert_batch(merge, config, bronze_rows(spark, BATCH_1), "run", 1)
     assert merged(spark, config) == EXPECTED
+    run_all_gold_jobs(spark, config)
 
 
 def test_failing_batch_is_retried_by_the_next_run(spark, root, monkeypatch):
@@ -248,3 +259,30 @@ def test_missing_packages_are_reported(spark, root):
     df = spark.createDataFrame([(b"",)], "value BINARY")
     with pytest.raises(Exception, match="AVRO"):
         df.select(decode_payload(F.col("value"), '"string"', "avro")).collect()
+
+
+def test_state_is_partitioned_for_the_backlog(spark, root):
+    """Few state partitions for little data, whatever the session shuffles with."""
+    config = USER_ACTIVITY.at(root)
+    deliver(spark, root, config, messages(spark, activity(spark, [("a", "login", "00:05", None)])))
+    clean_silver(spark, config)
+    with settings(spark, {"spark.sql.shuffle.partitions": "40"}):
+        assert run_all_gold_jobs(spark, config, concurrent=True)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+        big = spark.range(0, 1 << 30).selectExpr("id", "id AS other")
+        assert state_partitions(big) == 40
+    for job in config.gold_jobs:
+        stores = os.listdir(f"{job.checkpoint}/state/0")
+        assert len([s for s in stores if s.isdigit()]) == MIN_STATE_PARTITIONS
+    assert state_partitions(spark.range(10)) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_rejects_are_counted_in_the_progress(spark, root):
+    good = bytes(messages(spark, activity(spark, [("a", "login", "00:05", None)])).first()["value"])
+    append_messages(raw_messages(spark, [good, good[:-2], good]), f"{root}/topic")
+    stream = stream_topic_files(spark, f"{root}/topic")
+    _, rejected = split_decodable(stream, USER_ACTIVITY.payload_schema)
+    query = append_stream(rejected, f"{root}/rejected", f"{root}/mark")
+    query.awaitTermination()
+    metrics = [p.observedMetrics[DECODE_METRICS] for p in query.recentProgress if p.numInputRows]
+    assert [(m.messages, m.rejected) for m in metrics] == [(3, 1)]

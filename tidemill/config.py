@@ -106,12 +106,13 @@ class TopicConfig:
                 return job
         raise KeyError(name)
 
-    def at(self, root: str) -> TopicConfig:
+    def at(self, root: str, table_format: str = "parquet") -> TopicConfig:
         """The same topic with every table and checkpoint placed under ``root``."""
         root = root.rstrip("/")
         marks = f"{root}/checkpoints"
         return replace(
             self,
+            table_format=table_format,
             bronze_table=f"{root}/bronze/{self.name}",
             silver_table=f"{root}/silver/{self.name}",
             quarantine_table=f"{root}/quarantine/{self.name}",

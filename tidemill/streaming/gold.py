@@ -13,7 +13,7 @@ from tidemill.operators import DEFAULT_WATERMARK, DEFAULT_WINDOW, windowed_aggre
 from tidemill.session import estimated_bytes, isolated
 from tidemill.sources import count_rows, scan_table, stream_table
 from tidemill.sources.tables import with_batch_fields
-from tidemill.streaming.sinks import announce, append_stream
+from tidemill.streaming.sinks import announce, append_stream, require_finished_batches
 
 MIN_STATE_PARTITIONS = 8
 BACKLOG_BYTES_PER_PARTITION = 64 << 20
@@ -110,6 +110,7 @@ def run_all_gold_jobs(
     watermark. ``concurrent`` starts them together; the first failure is
     raised after all have ended.
     """
+    require_finished_batches(spark, config.silver_table)
     schema = with_batch_fields(config.silver_schema)
     session = _silver_session(spark, config.silver_table, config.table_format, schema)
     started: list[StartedJob] = []

@@ -14,10 +14,17 @@ from pyspark.sql.types import StructType
 from tidemill.config import is_location
 from tidemill.operators import merge_with_delta, rows_to_insert
 from tidemill.sources.tables import scan_table, with_batch_fields
-from tidemill.workspace import ensure_folder, exists
+from tidemill.workspace import ensure_folder, exists, matching
 
 log = logging.getLogger("tidemill")
 
+_SUCCESS = "_SUCCESS"
+_MARK_SUCCESS = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+
+
+class UnfinishedBatch(RuntimeError):
+    """A merge broke off while writing; its files must not be read yet."""
+
 
 def announce(table: str, rows: int) -> int:
     log.info("%s: %d rows in total", table, rows)
@@ -61,6 +68,21 @@ def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
+def require_finished_batches(spark: SparkSession, table: str) -> None:
+    """Refuse to read a merged table whose last writer broke off.
+
+    The batch will be written again under other file names, so a stream that
+    reads the leftovers now would count their rows twice.
+    """
+    if not is_location(table):
+        return
+    batches = f"{table}/run_id=*/batch_id=*"
+    finished = {f.removesuffix(f"/{_SUCCESS}") for f in matching(spark, f"{batches}/{_SUCCESS}")}
+    unfinished = sorted(set(matching(spark, batches)) - finished)
+    if unfinished:
+        raise UnfinishedBatch(f"finish the merge first; incomplete: {', '.join(unfinished)}")
+
+
 class InsertOnlyMerge:
     """The body of a ``foreachBatch`` sink that inserts rows with unseen keys.
 
@@ -128,7 +150,7 @@ class InsertOnlyMerge:
 
     def _committed(self, spark: SparkSession, run_id: str, batch_id: int) -> bool:
         if is_location(self.table):
-            return exists(spark, f"{self._folder(run_id, batch_id)}/_SUCCESS")
+            return exists(spark, f"{self._folder(run_id, batch_id)}/{_SUCCESS}")
         spec = f"run_id='{run_id}', batch_id={batch_id}"
         found = spark.sql(f"SHOW PARTITIONS {self.table} PARTITION ({spec})")
         return bool(found.take(1))
@@ -142,7 +164,9 @@ class InsertOnlyMerge:
 
     def _write(self, rows: DataFrame, run_id: str, batch_id: int) -> None:
         if is_location(self.table):
-            rows.write.mode("overwrite").parquet(self._folder(run_id, batch_id))
+            rows.write.mode("overwrite").option(_MARK_SUCCESS, "true").parquet(
+                self._folder(run_id, batch_id)
+            )
             return
         rows.select(
             *self.schema.names,

@@ -78,9 +78,9 @@ ORDER_EVENTS = TopicConfig(
 TOPICS: dict[str, TopicConfig] = {t.name: t for t in (USER_ACTIVITY, PRODUCT_EVENTS, ORDER_EVENTS)}
 
 
-def topics_at(root: str) -> dict[str, TopicConfig]:
+def topics_at(root: str, table_format: str = "parquet") -> dict[str, TopicConfig]:
     """The registry with every table and checkpoint under one folder."""
-    return {name: topic.at(root) for name, topic in TOPICS.items()}
+    return {name: topic.at(root, table_format) for name, topic in TOPICS.items()}
 
 
 def topics_in_catalog(

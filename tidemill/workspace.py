@@ -45,3 +45,9 @@ def exists(spark: SparkSession, location: str) -> bool:
 def ensure_folder(spark: SparkSession, location: str) -> None:
     path, fs = _hadoop_path(spark, location)
     fs.mkdirs(path)
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Existing locations that match a glob pattern."""
+    path, fs = _hadoop_path(spark, pattern)
+    return [str(status.getPath()) for status in fs.globStatus(path) or []]
