@@ -26,6 +26,7 @@ from tidemill.sources.sample_topics import (
     batch_events,
     delivered_twice,
     redelivery,
+    source_table,
     stream_events,
 )
 from tidemill.sources.tables import with_batch_fields
@@ -91,11 +92,11 @@ def gold_stream(spark: SparkSession, sf_dir: str, prefix: str, **options) -> Dat
     """One job as a drained stream: final windows only."""
     topic, name = JOBS[prefix]
     job = _config(spark, topic, prefix).job(name)
-    at_rest = batch_events(spark, sf_dir, topic)
-    session = gold_session(spark, at_rest)
-    events = stream_events(session, sf_dir, topic)
+    table = source_table(spark, sf_dir, topic)
+    session = gold_session(spark, table)
+    events = stream_events(session, sf_dir, topic, table.schema)
     run_gold_aggregation(session, events, job, report_counts=False, **options)
-    return _gold_table(spark, job, at_rest)
+    return _gold_table(spark, job, events)
 
 
 def gold_batch(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:

@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemill import contracts as c
 from tidemill.config import TopicConfig
@@ -190,19 +191,24 @@ _MAPPINGS = {
 }
 
 
+def source_table(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+    """The table a topic is derived from."""
+    return spark.read.parquet(f"{sf_dir}/{SOURCE_TABLES[topic]}.parquet")
+
+
 def batch_events(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     """Events of a topic as a batch DataFrame."""
-    table = spark.read.parquet(f"{sf_dir}/{SOURCE_TABLES[topic]}.parquet")
-    return _MAPPINGS[topic](table)
+    return _MAPPINGS[topic](source_table(spark, sf_dir, topic))
 
 
-def stream_events(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+def stream_events(
+    spark: SparkSession, sf_dir: str, topic: str, table_schema: StructType | None = None
+) -> DataFrame:
     """Events of a topic as a stream over the same table."""
-    name = SOURCE_TABLES[topic]
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    schema = table_schema or source_table(spark, sf_dir, topic).schema
     # A streaming source wants a folder or a pattern; the pattern matches the
     # table whether it is one file or a folder of files.
-    pattern = f"{sf_dir}/{name}.parque[t]"
+    pattern = f"{sf_dir}/{SOURCE_TABLES[topic]}.parque[t]"
     return _MAPPINGS[topic](spark.readStream.schema(schema).parquet(pattern))
 
 

@@ -86,10 +86,12 @@ def ensure_merge_table(
     the catalog they can be bucketed on the merge keys as well, which spares
     the target its shuffle in every later merge.
     """
-    if is_location(table):
-        ensure_folder(spark, table)
-        return
     partitioned = table_format != "delta"
+    if is_location(table):
+        if partitioned:
+            ensure_folder(spark, table)
+            return
+        table = f"delta.`{table}`"
     columns = with_batch_fields(schema) if partitioned else schema
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns.fields)
     statement = f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING {table_format}"
