@@ -57,3 +57,33 @@ def test_entry(spark):
     result = entry_point.entry(spark)
     assert result.columns == ["window_start", "window_end", "event_type", "event_count"]
     assert result.count() > 0
+
+
+@pytest.fixture(scope="module")
+def table_folders(spark, tmp_path_factory):
+    """The same tables, each as a folder of several files."""
+    folder = str(tmp_path_factory.mktemp("tables"))
+    for name in ("events", "orders", "lineitem"):
+        table = spark.read.parquet(f"{TABLES}/{name}.parquet")
+        table.repartition(5).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+@pytest.mark.parametrize(
+    "name", ["j1_funnel_hourly", "j6_order_revenue_batch", "silver_dedup_product_events"]
+)
+def test_tables_may_be_folders(spark, sql, table_folders, name):
+    result = QUERIES[name](spark, table_folders)
+    answer = sql.execute(STATEMENTS[name])
+    columns = [d[0] for d in answer.description]
+    expected = comparable(answer.fetchall(), columns)
+    assert comparable([tuple(r) for r in result.collect()], result.columns) == expected
+
+
+def test_small_inputs_are_spread_and_large_ones_left_alone(spark):
+    from tidemill.session import spread_small_input
+
+    small = spark.read.parquet(f"{TABLES}/events.parquet")
+    assert spread_small_input(small, small).rdd.getNumPartitions() == 4
+    large = spark.range(1 << 40)
+    assert spread_small_input(small, large) is small

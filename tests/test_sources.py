@@ -4,7 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.operators import RULES, rule_violations
-from tidemill.sources import SchemaNotFound, jaas_config, kafka_options, latest_schema, schemas_by_id
+from tidemill.sources import (
+    SchemaNotFound,
+    jaas_config,
+    kafka_options,
+    kafka_sink_options,
+    latest_schema,
+    schemas_by_id,
+)
 from tidemill.sources.generator import simulate
 from tidemill.sources.sample_topics import batch_events, delivered_twice
 from tidemill.topics import TOPICS
@@ -33,6 +40,15 @@ def test_kafka_options():
         "minPartitions": "64",
     }
     assert "kafka.security.protocol" not in kafka_options("host:9092", "orders")
+    assert kafka_sink_options("host:9092", jaas) == {
+        "kafka.bootstrap.servers": "host:9092",
+        "kafka.acks": "all",
+        "kafka.compression.type": "lz4",
+        "kafka.linger.ms": "5",
+        "kafka.security.protocol": "SASL_SSL",
+        "kafka.sasl.mechanism": "SCRAM-SHA-256",
+        "kafka.sasl.jaas.config": jaas,
+    }
 
 
 def test_schema_table(spark):

@@ -20,6 +20,7 @@ from tidemill.config import GoldJob, TopicConfig
 from tidemill.functions import utc_wall_clock
 from tidemill.operators import RULES, frame_header, rule_violations, windowed_aggregate
 from tidemill.plans.pipeline import run_pipeline
+from tidemill.session import spread_small_input
 from tidemill.sources import append_messages, scan_table, stream_table, stream_topic_files
 from tidemill.sources.sample_topics import (
     as_messages,
@@ -85,6 +86,19 @@ def _gold_table(spark: SparkSession, job: GoldJob, events: DataFrame) -> DataFra
     return _present(scan_table(spark, job.table, schema=schema), job)
 
 
+def _delivered(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+    """Events of a topic as a stream, about to be framed and decoded."""
+    table = source_table(spark, sf_dir, topic)
+    events = stream_events(spark, sf_dir, topic, table.schema)
+    return spread_small_input(events, table)
+
+
+def _published(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+    """Events of a topic at rest, about to be framed and written to a message folder."""
+    table = source_table(spark, sf_dir, topic)
+    return spread_small_input(batch_events(spark, sf_dir, topic), table)
+
+
 # --- windowed aggregates ---------------------------------------------------------------
 
 
@@ -155,7 +169,7 @@ def _readable(rows: DataFrame) -> DataFrame:
 def bronze_decode(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     """Encode a topic, ingest it, read the bronze table back."""
     config = _config(spark, topic, f"bronze-{topic}")
-    messages = as_messages(stream_events(spark, sf_dir, topic), topic)
+    messages = as_messages(_delivered(spark, sf_dir, topic), topic)
     ingest_bronze(spark, config, messages, report_counts=False)
     bronze = scan_table(spark, config.bronze_table, schema=config.bronze_schema)
     return _readable(bronze.drop("ingested_at"))
@@ -181,7 +195,7 @@ def decode_by_schema_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _config(spark, "user_activity", "schema-ids")
     newer, older = config.payload_schema, _older(config.payload_schema)
     is_old = F.col("timestamp_ms") < CUT_MS
-    events = stream_events(spark, sf_dir, "user_activity").withColumns(
+    events = _delivered(spark, sf_dir, "user_activity").withColumns(
         {name: F.when(~is_old, F.col(name)) for name in LATER_FIELDS}
     )
     messages = as_messages(
@@ -198,7 +212,7 @@ def bronze_additive_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs into one bronze table, the second with more fields than the first."""
     config = _config(spark, "user_activity", "additive")
     topic_folder = f"{config.bronze_table}_topic"
-    events = batch_events(spark, sf_dir, "user_activity")
+    events = _published(spark, sf_dir, "user_activity")
     runs = (
         (f"timestamp_ms < {CUT_MS}", _older(config.payload_schema)),
         (f"timestamp_ms >= {CUT_MS}", config.payload_schema),
@@ -220,7 +234,7 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     config = _config(spark, "user_activity", "quarantine")
     kind, value = F.col("event_type"), F.col("value")
-    events = stream_events(spark, sf_dir, "user_activity").withColumn(
+    events = _delivered(spark, sf_dir, "user_activity").withColumn(
         "event_id", F.when(kind != "review", F.col("event_id"))
     )
     messages = as_messages(events, "user_activity", keep=["event_type"]).withColumn(
@@ -257,7 +271,7 @@ def _silver(spark: SparkSession, config: TopicConfig) -> DataFrame:
 def silver_dedup(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     """The whole topic delivered twice: the first arrival of each key stays."""
     config = _config(spark, topic, f"silver-{topic}")
-    messages = as_messages(delivered_twice(stream_events(spark, sf_dir, topic)), topic)
+    messages = as_messages(delivered_twice(_delivered(spark, sf_dir, topic)), topic)
     ingest_bronze(spark, config, messages, report_counts=False)
     clean_silver(spark, config, report_counts=False)
     columns = [c for c in config.silver_columns if c != "ingested_at"]
@@ -279,7 +293,7 @@ def _two_deliveries(
 def silver_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events up to the cut, then all events with changed payloads: first write wins."""
     config = _config(spark, "user_activity", "two-batches")
-    events = batch_events(spark, sf_dir, "user_activity")
+    events = _published(spark, sf_dir, "user_activity")
     changed = redelivery(events).withColumns(
         {"amount": F.col("amount") + 1, "device_type": F.lit("changed")}
     )
@@ -297,7 +311,7 @@ def silver_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows inserted by each of two micro-batches; product events, whose keys repeat."""
     config = _config(spark, "product_events", "batch-counts")
-    events = batch_events(spark, sf_dir, "product_events")
+    events = _published(spark, sf_dir, "product_events")
     silver = _two_deliveries(
         spark,
         config,
@@ -310,7 +324,7 @@ def silver_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments become NULL values: each micro-batch inserts one row without a key."""
     config = _config(spark, "user_activity", "tombstones")
-    events = batch_events(spark, sf_dir, "user_activity")
+    events = _published(spark, sf_dir, "user_activity")
 
     def messages(delivered: DataFrame) -> DataFrame:
         framed = as_messages(delivered, "user_activity", keep=["event_type"])
@@ -331,7 +345,7 @@ def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     topics = {name: topic.at(folder) for name, topic in TOPICS.items()}
 
     def source(config: TopicConfig) -> DataFrame:
-        events = stream_events(spark, sf_dir, config.name)
+        events = _delivered(spark, sf_dir, config.name)
         return as_messages(delivered_twice(events), config.name)
 
     counts = run_pipeline(spark, topics, source, concurrent=True)

@@ -42,3 +42,16 @@ def isolated(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
 def estimated_bytes(df: DataFrame) -> int:
     """Spark's own size estimate of a result, the one it plans joins with."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread_small_input(df: DataFrame, table: DataFrame) -> DataFrame:
+    """Deal rows out to all cores when their table has fewer splits than there are cores.
+
+    Worth it before work that is heavy per row, such as decoding. It shuffles
+    less than one split per core; a larger table has splits enough and is left alone.
+    ``df`` may be a stream over ``table``.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(cores) if estimated_bytes(table) < cores * split else df

@@ -20,6 +20,16 @@ def jaas_config(username: str, password: str, shaded_prefix: str = "") -> str:
     )
 
 
+def _login_options(jaas: str | None) -> dict[str, str]:
+    if not jaas:
+        return {}
+    return {
+        "kafka.security.protocol": "SASL_SSL",
+        "kafka.sasl.mechanism": "SCRAM-SHA-256",
+        "kafka.sasl.jaas.config": jaas,
+    }
+
+
 def kafka_options(
     bootstrap_servers: str,
     topic: str,
@@ -39,12 +49,7 @@ def kafka_options(
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
     }
-    if jaas:
-        options |= {
-            "kafka.security.protocol": "SASL_SSL",
-            "kafka.sasl.mechanism": "SCRAM-SHA-256",
-            "kafka.sasl.jaas.config": jaas,
-        }
+    options |= _login_options(jaas)
     if max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     if min_partitions:
@@ -58,3 +63,20 @@ def read_topic_stream(
     """Stream one topic with the columns key, value, topic, partition, offset, timestamp, …"""
     options = kafka_options(bootstrap_servers, topic, jaas, **limits)
     return spark.readStream.format("kafka").options(**options).load()
+
+
+def kafka_sink_options(bootstrap_servers: str, jaas: str | None = None) -> dict[str, str]:
+    """Sink options: wait for all replicas, compress and batch a little."""
+    return {
+        "kafka.bootstrap.servers": bootstrap_servers,
+        "kafka.acks": "all",
+        "kafka.compression.type": "lz4",
+        "kafka.linger.ms": "5",
+        **_login_options(jaas),
+    }
+
+
+def publish_messages(messages: DataFrame, bootstrap_servers: str, jaas: str | None = None) -> None:
+    """Write framed messages to the topics they name."""
+    options = kafka_sink_options(bootstrap_servers, jaas)
+    messages.select("key", "value", "topic").write.format("kafka").options(**options).save()
