@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from helpers import activity, write_batch
 
 from tidemill import GoldJob, run_gold_aggregation
 from tidemill.functions import utc_wall_clock
 from tidemill.sources import scan_table, stream_table
+from tidemill.streaming.sinks import settings
 from tidemill.topics import USER_ACTIVITY
 
 COUNT = GoldJob("counts", {"n": "count(*)"})
@@ -113,3 +116,17 @@ def test_rerun_without_new_data_adds_nothing(spark, root, runs):
     for _ in range(runs):
         scenario.run()
     assert scenario.windows() == [("00:00", 1)]
+
+
+def test_rocksdb_state(spark, root):
+    """Session settings reach the job's query; the state may live in RocksDB."""
+    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    with settings(spark, {"spark.sql.streaming.stateStore.providerClass": provider}):
+        silver = f"{root}/silver"
+        write_batch(activity(spark, [("a", "login", "00:05", None)]), silver)
+        job = GoldJob("counts", {"n": "count(*)"}, (), None, f"{root}/gold", f"{root}/mark")
+        assert run_gold_aggregation(spark, silver, job) == 0
+        write_batch(activity(spark, [("b", "login", "03:00", None)]), silver)
+        assert run_gold_aggregation(spark, silver, job) == 1
+    zips = [f for _, _, files in os.walk(f"{root}/mark/state") for f in files]
+    assert any(f.endswith((".zip", ".changelog")) for f in zips)

@@ -33,6 +33,7 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--kafka", help="bootstrap servers")
     options.add_argument("--avro-schemas", help="folder of <subject>.avsc files")
     options.add_argument("--concurrent", action="store_true", help="run independent steps together")
+    options.add_argument("--max-files", type=int, help="bronze files per silver micro-batch")
     return options
 
 
@@ -69,11 +70,14 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
             _schema_text(spark, options.avro_schemas, config.schema_subject),
         )
     elif options.layer == "all":
-        result = run_pipeline(spark, topics, source, options.concurrent)
+        result = run_pipeline(spark, topics, source, options.concurrent, options.max_files)
     elif options.layer == "gold":
         result = run_layer(spark, "gold", options.topic, topics, concurrent=options.concurrent)
+    elif options.layer == "silver":
+        limit = options.max_files
+        result = run_layer(spark, "silver", options.topic, topics, max_files_per_trigger=limit)
     else:
-        result = run_layer(spark, options.layer, options.topic, topics, source)
+        result = run_layer(spark, "bronze", options.topic, topics, source)
     print(json.dumps(result))
     return result
 

@@ -45,18 +45,22 @@ def run_pipeline(
     topics: Mapping[str, TopicConfig],
     source: MessageSource,
     concurrent: bool = False,
+    max_files_per_trigger: int | None = None,
 ) -> dict[str, int]:
     """Run all layers of all topics; row counts by ``layer.table``.
 
     By default the steps form one chain and the first failure ends it. With
     ``concurrent`` the topics, which share no table, run side by side, and so
-    do the jobs of a topic.
+    do the jobs of a topic. ``max_files_per_trigger`` cuts a large bronze
+    backlog into several silver micro-batches, each of which is committed.
     """
 
     def chain(name: str) -> dict[str, int]:
         counts = {
             f"bronze.{name}": run_layer(spark, "bronze", name, topics, source),
-            f"silver.{name}": run_layer(spark, "silver", name, topics),
+            f"silver.{name}": run_layer(
+                spark, "silver", name, topics, max_files_per_trigger=max_files_per_trigger
+            ),
         }
         gold = run_layer(spark, "gold", name, topics, concurrent=concurrent)
         return counts | {f"gold.{job}": rows for job, rows in gold.items()}

@@ -22,13 +22,14 @@ def ingest_bronze(
     codec: str = "json",
     on_error: str = "fail",
     schemas_by_id: dict[int, StructType] | None = None,
+    avro_schemas_by_id: dict[int, str] | None = None,
     report_counts: bool = True,
 ) -> int | None:
     """Drain ``messages`` into the topic's bronze table and return its row count.
 
     ``schema`` defaults to the configured payload (for Avro, pass the schema
     text). With ``schemas_by_id`` each message is decoded with the schema its
-    header names. With ``on_error="quarantine"`` messages that do not decode go
+    header names (for Avro, the texts go in ``avro_schemas_by_id``). With ``on_error="quarantine"`` messages that do not decode go
     to the quarantine table instead of failing the run; that is a second query
     over the topic with its own checkpoint.
     """
@@ -53,7 +54,7 @@ def ingest_bronze(
             )
         )
     elif schemas_by_id:
-        rows = decode_by_schema_id(messages, schemas_by_id, codec)
+        rows = decode_by_schema_id(messages, schemas_by_id, codec, avro_schemas_by_id)
     else:
         rows = decode_messages(messages, schema or config.payload_schema, codec)
     queries.append(

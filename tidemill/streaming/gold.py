@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from tidemill.session import estimated_bytes, isolated
 from tidemill.sources import count_rows, scan_table, stream_table
 from tidemill.sources.tables import with_batch_fields
 from tidemill.streaming.sinks import announce, append_stream, require_finished_batches
+from tidemill.workspace import exists
 
 MIN_STATE_PARTITIONS = 8
 BACKLOG_BYTES_PER_PARTITION = 64 << 20
@@ -64,9 +66,15 @@ def gold_session(spark: SparkSession, backlog: DataFrame) -> SparkSession:
     return isolated(spark, {"spark.sql.shuffle.partitions": str(state_partitions(backlog))})
 
 
-def _silver_session(
-    spark: SparkSession, table: str, table_format: str, schema: StructType | None = None
+def _session_for(
+    spark: SparkSession,
+    jobs: Sequence[GoldJob],
+    table: str,
+    table_format: str,
+    schema: StructType | None = None,
 ) -> SparkSession:
+    if all(exists(spark, job.checkpoint) for job in jobs):
+        return spark  # the checkpoints say how the state is partitioned
     return gold_session(spark, scan_table(spark, table, table_format, schema))
 
 
@@ -86,7 +94,8 @@ def run_gold_aggregation(
     partitioned by the settings of its session; see :func:`gold_session`).
     """
     if isinstance(silver, str):
-        events = stream_table(_silver_session(spark, silver, table_format), silver, table_format)
+        session = _session_for(spark, [job], silver, table_format)
+        events = stream_table(session, silver, table_format)
     else:
         events = silver
     started = start_gold_aggregation(
@@ -112,7 +121,9 @@ def run_all_gold_jobs(
     """
     require_finished_batches(spark, config.silver_table)
     schema = with_batch_fields(config.silver_schema)
-    session = _silver_session(spark, config.silver_table, config.table_format, schema)
+    session = _session_for(
+        spark, config.gold_jobs, config.silver_table, config.table_format, schema
+    )
     started: list[StartedJob] = []
     for job in config.gold_jobs:
         events = stream_table(
