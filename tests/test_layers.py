@@ -27,11 +27,11 @@ from tidemill.operators import (
     split_decodable,
 )
 from tidemill.operators.decode import DECODE_METRICS
+from tidemill.session import MIN_PARTITIONS, partitions_for
 from tidemill.sources import append_messages, scan_table, stream_topic_files
 from tidemill.sources.generator import simulate
 from tidemill.sources.tables import with_batch_fields
 from tidemill.streaming import InsertOnlyMerge, append_stream, ensure_silver_table
-from tidemill.streaming.gold import MIN_STATE_PARTITIONS, state_partitions
 from tidemill.streaming.sinks import UnfinishedBatch, settings
 from tidemill.streaming.silver import silver_merge, upsert_batch
 from tidemill.topics import TOPICS, USER_ACTIVITY
@@ -270,11 +270,11 @@ def test_state_is_partitioned_for_the_backlog(spark, root):
         assert run_all_gold_jobs(spark, config, concurrent=True)
         assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
         big = spark.range(0, 1 << 30).selectExpr("id", "id AS other")
-        assert state_partitions(big) == 40
+        assert partitions_for(big) == 40
     for job in config.gold_jobs:
         stores = os.listdir(f"{job.checkpoint}/state/0")
-        assert len([s for s in stores if s.isdigit()]) == MIN_STATE_PARTITIONS
-    assert state_partitions(spark.range(10)) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert len([s for s in stores if s.isdigit()]) == MIN_PARTITIONS
+    assert partitions_for(spark.range(10)) == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def test_rejects_are_counted_in_the_progress(spark, root):

@@ -319,6 +319,7 @@ def oracle_statements() -> dict[str, str]:
     for topic in TOPIC_SQL:
         found[f"silver_dedup_{topic}"] = _deduplicated(topic)
     found["silver_two_batches"] = _TWO_BATCHES
+    found["silver_two_batches_bucketed"] = _TWO_BATCHES
     found["silver_batch_counts"] = _BATCH_COUNTS
     found["silver_tombstones"] = _TOMBSTONES
     found["pipeline_end_to_end"] = _pipeline_counts()

@@ -10,6 +10,7 @@ added differs from run to run.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from tidemill.config import GoldJob, TopicConfig
 from tidemill.functions import utc_wall_clock
 from tidemill.operators import RULES, frame_header, rule_violations, windowed_aggregate
 from tidemill.plans.pipeline import run_pipeline
-from tidemill.session import spread_small_input
+from tidemill.session import partitions_for, spread_small_input
 from tidemill.sources import append_messages, scan_table, stream_table, stream_topic_files
 from tidemill.sources.sample_topics import (
     as_messages,
@@ -211,7 +212,7 @@ def decode_by_schema_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_additive_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs into one bronze table, the second with more fields than the first."""
     config = _config(spark, "user_activity", "additive")
-    topic_folder = f"{config.bronze_table}_topic"
+    topic_folder = f"{config.bronze_checkpoint}_topic"
     events = _published(spark, sf_dir, "user_activity")
     runs = (
         (f"timestamp_ms < {CUT_MS}", _older(config.payload_schema)),
@@ -282,7 +283,7 @@ def _two_deliveries(
     spark: SparkSession, config: TopicConfig, first: DataFrame, second: DataFrame
 ) -> DataFrame:
     """Bronze and silver run after each delivery."""
-    topic_folder = f"{config.bronze_table}_topic"
+    topic_folder = f"{config.bronze_checkpoint}_topic"
     for messages in (first, second):
         append_messages(messages, topic_folder)
         ingest_bronze(spark, config, stream_topic_files(spark, topic_folder), report_counts=False)
@@ -290,9 +291,28 @@ def _two_deliveries(
     return _silver(spark, config)
 
 
-def silver_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _catalog_config(
+    spark: SparkSession, sf_dir: str, topic: str, label: str
+) -> TopicConfig:
+    """A topic whose tables are named, in a database kept in the run folder.
+
+    Silver is bucketed on its keys, with buckets to suit the size of the input.
+    """
+    folder = new_run_folder(spark, f"tidemill-{label}")
+    database = "tidemill_" + folder.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/warehouse'")
+    buckets = partitions_for(source_table(spark, sf_dir, topic))
+    config = TOPICS[topic].in_catalog(database, f"{folder}/checkpoints")
+    return replace(config, silver_buckets=buckets)
+
+
+def silver_two_batches(spark: SparkSession, sf_dir: str, in_catalog: bool = False) -> DataFrame:
     """Events up to the cut, then all events with changed payloads: first write wins."""
-    config = _config(spark, "user_activity", "two-batches")
+    config = (
+        _catalog_config(spark, sf_dir, "user_activity", "two-batches")
+        if in_catalog
+        else _config(spark, "user_activity", "two-batches")
+    )
     events = _published(spark, sf_dir, "user_activity")
     changed = redelivery(events).withColumns(
         {"amount": F.col("amount") + 1, "device_type": F.lit("changed")}
@@ -390,6 +410,7 @@ def registered_queries() -> dict[str, Query]:
     for topic in TOPICS:
         found[f"silver_dedup_{topic}"] = partial(silver_dedup, topic=topic)
     found["silver_two_batches"] = silver_two_batches
+    found["silver_two_batches_bucketed"] = partial(silver_two_batches, in_catalog=True)
     found["silver_batch_counts"] = silver_batch_counts
     found["silver_tombstones"] = silver_tombstones
     found["pipeline_end_to_end"] = pipeline_end_to_end

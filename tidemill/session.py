@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+MIN_PARTITIONS = 8
+BYTES_PER_PARTITION = 64 << 20
+
 
 def local_session(
     cpus: int | str = 8, memory: str = "8g", app: str = "tidemill", **settings: str
@@ -44,6 +47,15 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def partitions_for(data: DataFrame) -> int:
+    """Partitions for something that keeps their number: one per 64 MB of data, eight at least.
+
+    At most the session's setting for shuffles.
+    """
+    limit = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(limit, max(MIN_PARTITIONS, estimated_bytes(data) // BYTES_PER_PARTITION + 1))
+
+
 def spread_small_input(df: DataFrame, table: DataFrame) -> DataFrame:
     """Deal rows out to all cores when their table has fewer splits than there are cores.
 

@@ -11,15 +11,12 @@ from pyspark.sql.types import StructType
 
 from tidemill.config import GoldJob, TopicConfig
 from tidemill.operators import DEFAULT_WATERMARK, DEFAULT_WINDOW, windowed_aggregate
-from tidemill.session import estimated_bytes, isolated
+from tidemill.session import isolated, partitions_for
 from tidemill.sources import count_rows, scan_table, stream_table
 from tidemill.sources.tables import with_batch_fields
 from tidemill.streaming.sinks import announce, append_stream, require_finished_batches
 from tidemill.workspace import exists
 
-MIN_STATE_PARTITIONS = 8
-BACKLOG_BYTES_PER_PARTITION = 64 << 20
-
 
 @dataclass(frozen=True)
 class StartedJob:
@@ -48,22 +45,15 @@ def start_gold_aggregation(
     return StartedJob(job, query, result.schema)
 
 
-def state_partitions(backlog: DataFrame) -> int:
-    """Partitions for the state of a job that starts on this backlog.
+def gold_session(spark: SparkSession, backlog: DataFrame) -> SparkSession:
+    """A session for jobs that start on this backlog.
 
-    A new checkpoint fixes the number for good. Windows and groups are few
-    next to the events, so a small backlog gets a small number, whatever the
-    session's setting for ordinary shuffles; a large one gets up to that
-    setting.
+    A new checkpoint fixes the number of state partitions for good. Windows
+    and groups are few next to the events, so a small backlog gets a small
+    number, whatever the session uses for ordinary shuffles; a large one gets
+    up to that.
     """
-    wanted = estimated_bytes(backlog) // BACKLOG_BYTES_PER_PARTITION + 1
-    limit = int(backlog.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(limit, max(MIN_STATE_PARTITIONS, wanted))
-
-
-def gold_session(spark: SparkSession, backlog: DataFrame) -> SparkSession:
-    """A session for jobs that start on this backlog; see :func:`state_partitions`."""
-    return isolated(spark, {"spark.sql.shuffle.partitions": str(state_partitions(backlog))})
+    return isolated(spark, {"spark.sql.shuffle.partitions": str(partitions_for(backlog))})
 
 
 def _session_for(
