@@ -27,7 +27,7 @@ from tidemill.operators import (
     split_decodable,
 )
 from tidemill.operators.decode import DECODE_METRICS
-from tidemill.session import MIN_PARTITIONS, partitions_for
+from tidemill.session import MAX_SHUFFLE_PARTITIONS, MIN_PARTITIONS, partitions_for
 from tidemill.sources import append_messages, scan_table, stream_topic_files
 from tidemill.sources.generator import simulate
 from tidemill.sources.tables import with_batch_fields
@@ -153,9 +153,9 @@ def test_bucketed_target_is_not_shuffled(spark, root, database, buckets):
     upsert_batch(merge, config, bronze_rows(spark, BATCH_0), "run", 0)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     no_broadcast = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
-    with settings(spark, {**merge._settings(), **no_broadcast}):
-        bronze_rows(spark, BATCH_1).write.parquet(f"{root}/batch")
-        batch = spark.read.parquet(f"{root}/batch")
+    bronze_rows(spark, BATCH_1).write.parquet(f"{root}/batch")
+    batch = spark.read.parquet(f"{root}/batch")
+    with settings(spark, {**merge._settings(batch), **no_broadcast}):
         new = rows_to_insert(batch, batch, spark.table(config.silver_table), ["event_id"])
         assert new.count() == 2
         new.collect()
@@ -286,3 +286,18 @@ def test_rejects_are_counted_in_the_progress(spark, root):
     query.awaitTermination()
     metrics = [p.observedMetrics[DECODE_METRICS] for p in query.recentProgress if p.numInputRows]
     assert [(m.messages, m.rejected) for m in metrics] == [(3, 1)]
+
+
+def test_merge_shuffles_large_batches_into_more_partitions(spark):
+    config = USER_ACTIVITY.at("/nowhere")
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def partitions(arrivals, **changes):
+        merge = silver_merge(replace(config, **changes))
+        return int(merge._settings(arrivals)["spark.sql.shuffle.partitions"])
+
+    assert partitions(spark.range(10)) == current
+    assert partitions(bronze_rows(spark, BATCH_0)) == current  # size unknown
+    assert partitions(spark.range(1 << 32)) == 129  # 32 GB
+    assert partitions(spark.range(1 << 45)) == MAX_SHUFFLE_PARTITIONS
+    assert partitions(spark.range(1 << 45), silver_buckets=7) == 7

@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 MIN_PARTITIONS = 8
 BYTES_PER_PARTITION = 64 << 20
+SHUFFLED_BYTES_PER_PARTITION = 256 << 20
+MAX_SHUFFLE_PARTITIONS = 20_000
+#: Estimates from here on mean that Spark does not know.
+UNKNOWN_BYTES = 1 << 60
 
 
 def local_session(
@@ -56,6 +60,20 @@ def partitions_for(data: DataFrame) -> int:
     return min(limit, max(MIN_PARTITIONS, estimated_bytes(data) // BYTES_PER_PARTITION + 1))
 
 
+def shuffle_partitions_for(data: DataFrame) -> int:
+    """The session's shuffle partitions, or more if whole rows of this much are shuffled.
+
+    Adaptive execution merges partitions that are too small but cannot split
+    those of an aggregation that are too large.
+    """
+    current = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = estimated_bytes(data)
+    if size >= UNKNOWN_BYTES:
+        return current
+    wanted = size // SHUFFLED_BYTES_PER_PARTITION + 1
+    return max(current, min(wanted, MAX_SHUFFLE_PARTITIONS))
+
+
 def spread_small_input(df: DataFrame, table: DataFrame) -> DataFrame:
     """Deal rows out to all cores when their table has fewer splits than there are cores.
 

@@ -84,6 +84,7 @@ def run_gold_aggregation(
     partitioned by the settings of its session; see :func:`gold_session`).
     """
     if isinstance(silver, str):
+        require_finished_batches(spark, silver)
         session = _session_for(spark, [job], silver, table_format)
         events = stream_table(session, silver, table_format)
     else:

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from tidemill.config import is_location
 from tidemill.operators import merge_with_delta, rows_to_insert
+from tidemill.session import shuffle_partitions_for
 from tidemill.sources.tables import scan_table, with_batch_fields
 from tidemill.workspace import ensure_folder, exists, matching
 
@@ -119,7 +120,7 @@ class InsertOnlyMerge:
         if self._committed(spark, run_id, batch_id):
             log.info("%s: batch %d is in already", self.table, batch_id)
             return
-        with settings(spark, self._settings()):
+        with settings(spark, self._settings(arrivals)):
             others = self._others(spark, run_id, batch_id)
             # The first batch, often the largest, has nothing to be compared with.
             rows = (
@@ -134,16 +135,15 @@ class InsertOnlyMerge:
         self.inserted[batch_id] = written.get["rows"]
         log.info("%s: batch %d inserted %d rows", self.table, batch_id, self.inserted[batch_id])
 
-    def _settings(self) -> dict[str, str]:
-        if is_location(self.table):
-            return {}
-        # Only the batch's own partition may be replaced.
-        chosen = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
-        if self.buckets:
-            # With as many shuffle partitions as buckets, the batch is shuffled
-            # once, onto the buckets; the target stays where it is, and the
-            # result is written without moving again.
-            chosen["spark.sql.shuffle.partitions"] = str(self.buckets)
+    def _settings(self, arrivals: DataFrame) -> dict[str, str]:
+        # With as many shuffle partitions as buckets, the batch is shuffled
+        # once, onto the buckets; the target stays where it is, and the result
+        # is written without moving again.
+        partitions = self.buckets or shuffle_partitions_for(arrivals)
+        chosen = {"spark.sql.shuffle.partitions": str(partitions)}
+        if not is_location(self.table):
+            # Only the batch's own partition may be replaced.
+            chosen["spark.sql.sources.partitionOverwriteMode"] = "dynamic"
         return chosen
 
     def _folder(self, run_id: str, batch_id: int) -> str:
