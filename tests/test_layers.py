@@ -32,7 +32,7 @@ from tidemill.sources import append_messages, scan_table, stream_topic_files
 from tidemill.sources.generator import simulate
 from tidemill.sources.tables import with_batch_fields
 from tidemill.streaming import InsertOnlyMerge, append_stream, ensure_silver_table
-from tidemill.streaming.sinks import UnfinishedBatch, settings
+from tidemill.streaming.sinks import UnfinishedBatch, require_finished_batches, settings
 from tidemill.streaming.silver import silver_merge, upsert_batch
 from tidemill.topics import TOPICS, USER_ACTIVITY
 
@@ -133,6 +133,22 @@ def test_unfinished_batch_is_redone(spark, root):
     run_all_gold_jobs(spark, config)
 
 
+def test_unregistered_partition_counts_as_unfinished(spark, root, database):
+    config = USER_ACTIVITY.in_catalog(database, f"{root}/marks")
+    ensure_silver_table(spark, config)
+    merge = silver_merge(config)
+    upsert_batch(merge, config, bronze_rows(spark, BATCH_0), "run", 0)
+    require_finished_batches(spark, config.silver_table)
+    stray = spark.table(config.silver_table).drop("run_id", "batch_id")
+    folder = spark.table(config.silver_table).inputFiles()[0].split("/run_id=")[0]
+    stray.write.parquet(f"{folder}/run_id=run/batch_id=1")
+    with pytest.raises(UnfinishedBatch, match="run_id=run/batch_id=1"):
+        run_all_gold_jobs(spark, config)
+    upsert_batch(merge, config, bronze_rows(spark, BATCH_1), "run", 1)
+    assert merged(spark, config) == EXPECTED
+    require_finished_batches(spark, config.silver_table)
+
+
 def test_failing_batch_is_retried_by_the_next_run(spark, root, monkeypatch):
     config = USER_ACTIVITY.at(root)
     events = activity(spark, [("a", "payment", "00:05", 1.0)])

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidemill.config import GoldJob, TopicConfig
+from tidemill.config import GoldJob, TopicConfig, is_location
 from tidemill.operators import DEFAULT_WATERMARK, DEFAULT_WINDOW, windowed_aggregate
 from tidemill.session import isolated, partitions_for
 from tidemill.sources import count_rows, scan_table, stream_table
@@ -84,7 +84,8 @@ def run_gold_aggregation(
     partitioned by the settings of its session; see :func:`gold_session`).
     """
     if isinstance(silver, str):
-        require_finished_batches(spark, silver)
+        if is_location(silver):
+            require_finished_batches(spark, silver)
         session = _session_for(spark, [job], silver, table_format)
         events = stream_table(session, silver, table_format)
     else:
@@ -110,7 +111,8 @@ def run_all_gold_jobs(
     watermark. ``concurrent`` starts them together; the first failure is
     raised after all have ended.
     """
-    require_finished_batches(spark, config.silver_table)
+    if config.table_format != "delta":
+        require_finished_batches(spark, config.silver_table)
     schema = with_batch_fields(config.silver_schema)
     session = _session_for(
         spark, config.gold_jobs, config.silver_table, config.table_format, schema

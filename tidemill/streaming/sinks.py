@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -71,20 +71,34 @@ def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
 
 
 def require_finished_batches(spark: SparkSession, table: str) -> None:
-    """Refuse to read a merged table whose last writer broke off.
+    """Refuse to read a merged Parquet table whose last writer broke off.
 
     The batch will be written again under other file names, so a stream that
     reads the leftovers now would count their rows twice.
     """
-    if not is_location(table):
-        return
-    batches = f"{table}/run_id=*/batch_id=*"
-    finished = {f.removesuffix(f"/{_SUCCESS}") for f in matching(spark, f"{batches}/{_SUCCESS}")}
-    unfinished = sorted(set(matching(spark, batches)) - finished)
+    location = table if is_location(table) else _location_of(spark, table)
+    written = _batch_names(matching(spark, f"{location}/run_id=*/batch_id=*"))
+    if is_location(table):
+        marks = matching(spark, f"{location}/run_id=*/batch_id=*/{_SUCCESS}")
+        finished = _batch_names(m.removesuffix(f"/{_SUCCESS}") for m in marks)
+    else:
+        listed = spark.sql(f"SHOW PARTITIONS {table}").collect()
+        finished = {row["partition"] for row in listed}
+    unfinished = sorted(written - finished)
     if unfinished:
         raise UnfinishedBatch(f"finish the merge first; incomplete: {', '.join(unfinished)}")
 
 
+def _location_of(spark: SparkSession, table: str) -> str:
+    details = spark.sql(f"DESCRIBE FORMATTED {table}")
+    return details.filter("col_name = 'Location'").first()["data_type"]
+
+
+def _batch_names(folders: Iterable[str]) -> set[str]:
+    """The last two parts of each path: run_id=…/batch_id=…"""
+    return {"/".join(f.split("/")[-2:]) for f in folders}
+
+
 class InsertOnlyMerge:
     """The body of a ``foreachBatch`` sink that inserts rows with unseen keys.
 
