@@ -218,9 +218,12 @@ def test_malformed_message_fails_the_run(spark, root):
         ingest_bronze(spark, config, stream_topic_files(spark, f"{root}/topic"))
 
 
-def test_empty_topic(spark, root):
+@pytest.mark.parametrize("files", [0, 1])
+def test_empty_topic(spark, root, files):
     config = USER_ACTIVITY.at(root)
-    append_messages(raw_messages(spark, []), f"{root}/topic")
+    os.makedirs(f"{root}/topic")
+    if files:
+        append_messages(raw_messages(spark, []), f"{root}/topic")
     assert ingest_bronze(spark, config, stream_topic_files(spark, f"{root}/topic")) == 0
     assert clean_silver(spark, config) == 0
     assert run_all_gold_jobs(spark, config) == {"funnel_metrics_hourly": 0, "revenue_hourly": 0}

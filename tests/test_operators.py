@@ -122,7 +122,13 @@ def test_frame_header(spark):
 
 def test_first_per_key_takes_the_earliest_and_groups_nulls(spark):
     rows = spark.createDataFrame(
-        [("a", 1, 5, "late"), ("a", 0, 9, "first"), ("b", 0, 1, None), (None, 0, 2, "n1"), (None, 0, 3, "n2")],
+        [
+            ("a", 1, 5, "late"),
+            ("a", 0, 9, "first"),
+            ("b", 0, 1, None),
+            (None, 0, 2, "n1"),
+            (None, 0, 3, "n2"),
+        ],
         "k STRING, partition INT, offset BIGINT, v STRING",
     )
     got = {(r.k, r.partition, r.offset, r.v) for r in first_per_key(rows, ["k"]).collect()}

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 from tidemill.config import TopicConfig
 from tidemill.operators import decode_by_schema_id, decode_messages, split_decodable
 from tidemill.sources import count_rows, jaas_config, read_topic_stream
-from tidemill.streaming.sinks import append_stream, announce
+from tidemill.streaming.sinks import announce, append_stream, await_all
 
 ON_ERROR = ("fail", "quarantine")
 
@@ -29,9 +29,10 @@ def ingest_bronze(
 
     ``schema`` defaults to the configured payload (for Avro, pass the schema
     text). With ``schemas_by_id`` each message is decoded with the schema its
-    header names (for Avro, the texts go in ``avro_schemas_by_id``). With ``on_error="quarantine"`` messages that do not decode go
-    to the quarantine table instead of failing the run; that is a second query
-    over the topic with its own checkpoint.
+    header names (for Avro, the texts go in ``avro_schemas_by_id``). With
+    ``on_error="quarantine"`` messages that do not decode go to the quarantine
+    table instead of failing the run; that is a second query over the topic
+    with its own checkpoint.
     """
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
@@ -60,11 +61,10 @@ def ingest_bronze(
     queries.append(
         append_stream(rows, config.bronze_table, config.bronze_checkpoint, config.table_format)
     )
-    for query in queries:
-        query.awaitTermination()
+    await_all(queries)
     if not report_counts:
         return None
-    total = count_rows(spark, config.bronze_table, config.table_format)
+    total = count_rows(spark, config.bronze_table, config.table_format, rows.schema)
     return announce(config.bronze_table, total)
 
 

@@ -14,7 +14,12 @@ from tidemill.operators import DEFAULT_WATERMARK, DEFAULT_WINDOW, windowed_aggre
 from tidemill.session import isolated, partitions_for
 from tidemill.sources import count_rows, scan_table, stream_table
 from tidemill.sources.tables import with_batch_fields
-from tidemill.streaming.sinks import announce, append_stream, require_finished_batches
+from tidemill.streaming.sinks import (
+    announce,
+    append_stream,
+    await_all,
+    require_finished_batches,
+)
 from tidemill.workspace import exists
 
 
@@ -132,16 +137,3 @@ def run_all_gold_jobs(
     return {
         s.job.name: s.rows(spark, config.table_format) if report_counts else None for s in started
     }
-
-
-def await_all(queries: list[StreamingQuery]) -> None:
-    """Wait for every query, then raise the first failure, if any."""
-    failure: Exception | None = None
-    for query in queries:
-        try:
-            query.awaitTermination()
-        except Exception as error:  # noqa: BLE001 - raised below
-            failure = failure or error
-    if failure is not None:
-        raise failure
-
