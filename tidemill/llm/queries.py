@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.llm.chat_format import format_turns, read_back
+from tidemill.llm.decontaminate import contained_items
 from tidemill.llm.exact_dedup import exact_duplicates
+from tidemill.llm.sentencepiece_dropout import encode_documents
+from tidemill.llm.token_counts import edited_counts, with_sample_edits
+from tidemill.llm.toxicity import held_out, score_documents, train
+
+#: Folder of the public vocabularies.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,11 +36,59 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: token count and digests of the ids and of the text decoded from them."""
+    encoded = encode_documents(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+    return encoded.select(
+        "doc_id",
+        "n_tokens",
+        "n_chars",
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+        "lossless",
+    )
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents")).drop("row")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four edits per document, drawn from hashes of doc_id."""
+    edited = edited_counts(with_sample_edits(_table(spark, sf_dir, "documents")), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+    return edited.withColumn("n_leaves", F.size("leaf_tokens").cast("long")).drop("leaf_chars", "leaf_tokens")
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = train(docs, _table(spark, sf_dir, "labels"))
+    return score_documents(docs, model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+        F.to_json("offending").alias("offending"),
+    )
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts look like the template."""
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    says = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)], "conv_id long, turn long, role string, text string")
+    return read_back(format_turns(turns.unionByName(extra)))
+
+
 def registered_queries() -> dict[str, Query]:
     return {
+        "op1_sentencepiece": op1_sentencepiece,
         "op2_exact_dedup": op2_exact_dedup,
+        "op3_decontaminate": op3_decontaminate,
+        "op4_token_counts": op4_token_counts,
+        "op6_toxicity": op6_toxicity,
+        "op9_chat_format": op9_chat_format,
     }
