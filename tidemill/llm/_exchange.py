@@ -114,9 +114,16 @@ def letters(chunk: int, hashes: np.ndarray, owners: int) -> Iterator[tuple[int,
 
 def owner_edges(hashes: np.ndarray, owners: int) -> np.ndarray:
     """Where each owner's part of ascending hashes starts, and the end."""
+    return np.concatenate(([0], np.searchsorted(hashes, _bounds(owners)), [len(hashes)]))
+
+
+def owner_of(hashes: np.ndarray, owners: int) -> np.ndarray:
+    return np.searchsorted(_bounds(owners), hashes, side="right")
+
+
+def _bounds(owners: int) -> np.ndarray:
     step = (1 << 64) // owners + 1
-    bounds = np.array([min(o * step, (1 << 64) - 1) for o in range(1, owners)], np.uint64)
-    return np.concatenate(([0], np.searchsorted(hashes, bounds), [len(hashes)]))
+    return np.array([o * step for o in range(1, owners)], np.uint64)
 
 
 def shared_hashes(letters_df: DataFrame) -> DataFrame:

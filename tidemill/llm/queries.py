@@ -13,6 +13,7 @@ from tidemill.llm.chat_format import format_turns, read_back
 from tidemill.llm.decontaminate import contained_items
 from tidemill.llm.exact_dedup import exact_duplicates
 from tidemill.llm.sentencepiece_dropout import encode_documents
+from tidemill.llm.suffix_dedup import remove_repeats
 from tidemill.llm.token_counts import edited_counts, with_sample_edits
 from tidemill.llm.toxicity import held_out, score_documents, train
 
@@ -75,6 +76,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts look like the template."""
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -90,5 +96,6 @@ def registered_queries() -> dict[str, Query]:
         "op3_decontaminate": op3_decontaminate,
         "op4_token_counts": op4_token_counts,
         "op6_toxicity": op6_toxicity,
+        "op8_suffix_dedup": op8_suffix_dedup,
         "op9_chat_format": op9_chat_format,
     }

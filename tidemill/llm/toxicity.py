@@ -1,7 +1,7 @@
 """Toxicity by multiple-instance learning: documents carry labels, sentences carry scores.
 
-A sentence's score is a logistic function of its distinct words. A document is toxic if
-any of its sentences is, or by a small leak that stands for labels no
+A sentence's score is a logistic function of its distinct words and word beginnings. A
+document is toxic if any of its sentences is, or by a small leak that stands for labels no
 sentence explains: P = 1 - (1 - leak) * product(1 - score) (noisy-or). Training sees document
 labels only; the likelihood of the noisy-or hands the blame to sentences, so the same
 model then points at the offending ones.
@@ -17,13 +17,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm._text import RangeHash, joined, portions, runs, utf8
+from tidemill.llm._text import RangeHash, joined, mix, portions, runs, utf8
 
 #: Labelled documents used for fitting, at most: those with the smallest hashes of doc_id.
-TRAINING_ROWS = 16_000
-#: A word needs to be in so many of them to get a weight.
+TRAINING_ROWS = 6_000
+#: A word needs to be in so many of them to get a weight, and to differ between toxic and
+#: other documents by so many standard deviations.
 LEAST_DOCUMENTS = 6
-STEPS = 200
+LEAST_DEVIATIONS = 3.0
+STEPS = 150
+#: Bytes of the word beginnings that are features beside the word.
+STEMS = (4, 5, 6)
 
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -54,8 +58,14 @@ def sentences(texts: list[bytes]) -> Sentences:
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(starts)) - 1 if len(first) else first
     index = np.cumsum(new) - 1
-    hashes = RangeHash(buffer, fold=True)(starts, ends) >> np.uint64(32)
-    pairs = np.unique((index.astype(np.uint64) << np.uint64(32)) | hashes)
+    hashed = RangeHash(buffer, fold=True)
+    keys, place = [hashed(starts, ends)], [index]
+    for size in STEMS:  # a stem is told from a word of the same letters
+        longer = np.flatnonzero(ends - starts > size)
+        keys.append(mix(hashed(starts[longer], starts[longer] + size) + np.uint64(size)))
+        place.append(index[longer])
+    parts = [(i.astype(np.uint64) << np.uint64(32)) | (k >> np.uint64(32)) for i, k in zip(place, keys, strict=True)]
+    pairs = np.unique(np.concatenate(parts))
     points = np.concatenate(([0], np.cumsum((buffer & 0xC0) != 0x80)))
     origin = points[bounds[owner[first]]]
     return Sentences(
@@ -95,22 +105,25 @@ def _adam(gradient, value, state, rate, step):
     return value - rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
 
 
-def fit(found: Sentences, labels: np.ndarray, steps: int = STEPS, ridge: float = 2e-4, lasso: float = 1e-4) -> ToxicityModel:
+def fit(found: Sentences, labels: np.ndarray, steps: int = STEPS, ridge: float = 1e-4, lasso: float = 1e-3) -> ToxicityModel:
     """Maximise the likelihood of document labels under the noisy-or; without rows, a model of leak 0.5."""
     n = found.documents
     if not n:
         return ToxicityModel(np.zeros(0, np.uint32), np.zeros(0), -8.0, 0.5)
+    labels = labels.astype(float)
     document = found.owner[found.sentence] if len(found.words) else found.words.astype(np.int64)
     seen = np.unique((found.words.astype(np.uint64) << np.uint64(32)) | document.astype(np.uint64))
-    words, counts = np.unique((seen >> np.uint64(32)).astype(np.uint32), return_counts=True)
-    words = words[counts >= LEAST_DOCUMENTS]
+    words, index, counts = np.unique((seen >> np.uint64(32)).astype(np.uint32), return_inverse=True, return_counts=True)
+    toxic = np.bincount(index, labels[(seen & np.uint64(0xFFFFFFFF)).astype(np.int64)], len(words))
+    share = labels.mean()
+    deviation = np.abs(toxic - counts * share) / np.sqrt(np.maximum(counts * share * (1 - share), 1e-9))
+    words = words[(counts >= LEAST_DOCUMENTS) & (deviation >= LEAST_DEVIATIONS)]
     if len(words):
         at = np.minimum(np.searchsorted(words, found.words), len(words) - 1)
         known = words[at] == found.words
         feature, sentence = at[known], found.sentence[known]
     else:
         feature = sentence = np.zeros(0, np.int64)
-    labels = labels.astype(float)
     weights, extra = np.zeros(len(words)), np.array([-6.0, -4.0])  # bias; log of the leak's rate
     states = [(np.zeros(len(words)), np.zeros(len(words))), (np.zeros(2), np.zeros(2))]
     for step in range(1, steps + 1):
