@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tidemill.llm.chat_format import format_turns, read_back
 from tidemill.llm.decontaminate import contained_items
 from tidemill.llm.exact_dedup import exact_duplicates
+from tidemill.llm.secret_scan import digest_columns as secret_columns
+from tidemill.llm.secret_scan import find_secrets
 from tidemill.llm.sentencepiece_dropout import encode_documents
 from tidemill.llm.suffix_dedup import remove_repeats
 from tidemill.llm.token_counts import edited_counts, with_sample_edits
@@ -76,6 +78,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_columns(find_secrets(_table(spark, sf_dir, "documents")))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -96,6 +102,7 @@ def registered_queries() -> dict[str, Query]:
         "op3_decontaminate": op3_decontaminate,
         "op4_token_counts": op4_token_counts,
         "op6_toxicity": op6_toxicity,
+        "op7_secret_scan": op7_secret_scan,
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_chat_format": op9_chat_format,
     }

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidemill.llm._text import RangeHash, joined, mix, portions, runs, utf8
 
 #: Labelled documents used for fitting, at most: those with the smallest hashes of doc_id.
-TRAINING_ROWS = 6_000
+TRAINING_ROWS = 5_000
 #: A word needs to be in so many of them to get a weight, and to differ between toxic and
 #: other documents by so many standard deviations.
 LEAST_DOCUMENTS = 6
@@ -111,12 +111,16 @@ def fit(found: Sentences, labels: np.ndarray, steps: int = STEPS, ridge: float =
     if not n:
         return ToxicityModel(np.zeros(0, np.uint32), np.zeros(0), -8.0, 0.5)
     labels = labels.astype(float)
-    document = found.owner[found.sentence] if len(found.words) else found.words.astype(np.int64)
-    seen = np.unique((found.words.astype(np.uint64) << np.uint64(32)) | document.astype(np.uint64))
+    seen = found.words.astype(np.uint64)
+    seen <<= np.uint64(32)
+    if len(seen):
+        seen |= found.owner[found.sentence].astype(np.uint64)
+    seen = np.unique(seen)
     words, index, counts = np.unique((seen >> np.uint64(32)).astype(np.uint32), return_inverse=True, return_counts=True)
     toxic = np.bincount(index, labels[(seen & np.uint64(0xFFFFFFFF)).astype(np.int64)], len(words))
     share = labels.mean()
     deviation = np.abs(toxic - counts * share) / np.sqrt(np.maximum(counts * share * (1 - share), 1e-9))
+    del seen, index
     words = words[(counts >= LEAST_DOCUMENTS) & (deviation >= LEAST_DEVIATIONS)]
     if len(words):
         at = np.minimum(np.searchsorted(words, found.words), len(words) - 1)
@@ -173,20 +177,19 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Toxi
                 packed = [p.astype(t).tobytes() for p, t in zip(parts, ("<u4", "<u4", "<u4"), strict=True)]
                 yield pa.record_batch([pa.array([x], pa.binary()) for x in (*packed, bytes(toxic[a:b]))], ["owner", "words", "sentence", "toxic"])
 
-    parts = chosen.mapInArrow(described, "owner binary, words binary, sentence binary, toxic binary").collect()
-    owner, words, sentence, toxic = [], [], [], []
+    parts = chosen.mapInArrow(described, "owner binary, words binary, sentence binary, toxic binary")
+    owner, words, sentence, toxic = ([np.zeros(0, t)] for t in (np.uint32, np.uint32, np.uint32, np.uint8))
     documents = count = 0
-    for part in parts:
-        read = [np.frombuffer(part[i], "<u4").astype(np.int64) for i in range(3)]
-        owner.append(read[0] + documents)
-        words.append(read[1].astype(np.uint32))
-        sentence.append(read[2] + count)
-        toxic.append(np.frombuffer(part[3], np.uint8))
+    for part in parts.toLocalIterator(prefetchPartitions=False):
+        read = [np.frombuffer(part[i], "<u4") for i in range(3)]
+        owner.append(read[0] + np.uint32(documents))
+        words.append(read[1].copy())
+        sentence.append(read[2] + np.uint32(count))
+        toxic.append(np.frombuffer(part[3], np.uint8).copy())
         documents, count = documents + len(part[3]), count + len(read[0])
     none = np.zeros(0, np.int64)
-    all_of = [np.concatenate(x) if x else none for x in (owner, words, sentence, toxic)]
-    found = Sentences(documents, all_of[0], none, none, all_of[1].astype(np.uint32), all_of[2])
-    return fit(found, all_of[3])
+    found = Sentences(documents, np.concatenate(owner), none, none, np.concatenate(words), np.concatenate(sentence))
+    return fit(found, np.concatenate(toxic))
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel, sentence_threshold: float = 0.3) -> DataFrame:
