@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tidemill.llm.chat_format import format_turns, read_back
 from tidemill.llm.decontaminate import contained_items
 from tidemill.llm.exact_dedup import exact_duplicates
+from tidemill.llm.pii import digest_columns as pii_columns
+from tidemill.llm.pii import find_personal_data
 from tidemill.llm.secret_scan import digest_columns as secret_columns
 from tidemill.llm.secret_scan import find_secrets
 from tidemill.llm.sentencepiece_dropout import encode_documents
@@ -95,6 +97,10 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_turns(turns.unionByName(extra)))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_columns(find_personal_data(_table(spark, sf_dir, "documents")))
+
+
 def registered_queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -105,4 +111,5 @@ def registered_queries() -> dict[str, Query]:
         "op7_secret_scan": op7_secret_scan,
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_chat_format": op9_chat_format,
+        "op10_pii": op10_pii,
     }

@@ -177,7 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Toxi
                 packed = [p.astype(t).tobytes() for p, t in zip(parts, ("<u4", "<u4", "<u4"), strict=True)]
                 yield pa.record_batch([pa.array([x], pa.binary()) for x in (*packed, bytes(toxic[a:b]))], ["owner", "words", "sentence", "toxic"])
 
-    parts = chosen.mapInArrow(described, "owner binary, words binary, sentence binary, toxic binary")
+    parts = chosen.mapInArrow(described, "owner binary, words binary, sentence binary, toxic binary").repartition(16)
     owner, words, sentence, toxic = ([np.zeros(0, t)] for t in (np.uint32, np.uint32, np.uint32, np.uint8))
     documents = count = 0
     for part in parts.toLocalIterator(prefetchPartitions=False):
