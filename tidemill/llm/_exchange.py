@@ -26,7 +26,7 @@ from pyspark.serializers import BatchedSerializer, CPickleSerializer
 from pyspark.sql import DataFrame
 
 #: Text bytes of a chunk; a longer text is a chunk of its own.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 CHUNK_ROWS = 1 << 16
 #: Hashes that one owner gets on average.
 HASHES_PER_OWNER = 1 << 20

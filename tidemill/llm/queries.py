@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemill.llm.chat_format import format_turns, read_back
 from tidemill.llm.decontaminate import contained_items
 from tidemill.llm.exact_dedup import exact_duplicates
+from tidemill.llm.jaccard_join import jaccard_components
 from tidemill.llm.pii import digest_columns as pii_columns
 from tidemill.llm.pii import find_personal_data
 from tidemill.llm.secret_scan import digest_columns as secret_columns
@@ -68,6 +69,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited.withColumn("n_leaves", F.size("leaf_tokens").cast("long")).drop("leaf_chars", "leaf_tokens")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = train(docs, _table(spark, sf_dir, "labels"))
@@ -107,6 +112,7 @@ def registered_queries() -> dict[str, Query]:
         "op2_exact_dedup": op2_exact_dedup,
         "op3_decontaminate": op3_decontaminate,
         "op4_token_counts": op4_token_counts,
+        "op5_jaccard_join": op5_jaccard_join,
         "op6_toxicity": op6_toxicity,
         "op7_secret_scan": op7_secret_scan,
         "op8_suffix_dedup": op8_suffix_dedup,

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm._exchange import chunks, letters, opened, owner_of, read_bits, shared_hashes, with_answers
 from tidemill.llm._scratch import spool
-from tidemill.llm._text import RangeHash, joined, portions, utf8
+from tidemill.llm._text import RangeHash, joined, mix, portions, utf8
 
 WIDTH = 50
 GRAM = 16
@@ -43,6 +43,8 @@ ENTRY = WIDTH + _LEFT + 2
 #: Text bytes for which there is one owner.
 BYTES_PER_OWNER = 16 << 20
 _BLOCK = 1 << 20
+#: Text bytes of a part of a chunk.
+BATCH_BYTES = 1 << 19
 _NO_ID = np.int64((1 << 63) - 1)
 #: Part numbers of the answers of step 3 start here; those of step 1 are below.
 _MASKS = 1 << 24
@@ -85,7 +87,8 @@ class _Part:
         self.anchors = anchors[first]
         self.low = (self.anchors - windows[last]).astype(np.uint8)
         self.high = (self.anchors - windows[first]).astype(np.uint8)
-        self.hashes = RangeHash(self.buffer)(self.anchors, self.anchors + GRAM)
+        # Mixed again: anchors have small hashes, and owners have equal ranges.
+        self.hashes = mix(RangeHash(self.buffer)(self.anchors, self.anchors + GRAM))
         self.owner = np.searchsorted(self.bounds, self.anchors, side="right") - 1
         self.ids = ids[self.owner]
 
@@ -111,7 +114,7 @@ class _Part:
 def _parts(table: pa.Table) -> list[_Part]:
     texts = utf8(table["text"])
     ids = table["doc_id"].cast(pa.int64()).fill_null(int(_NO_ID)).to_numpy()
-    return [_Part(texts[a:b], ids[a:b]) for a, b in portions(texts)]
+    return [_Part(texts[a:b], ids[a:b]) for a, b in portions(texts, BATCH_BYTES)]
 
 
 class _Run:
