@@ -32,6 +32,18 @@ CHUNK_ROWS = 1 << 16
 HASHES_PER_OWNER = 1 << 20
 
 
+def pin_splits(docs: DataFrame) -> None:
+    """Keep the number of splits of file scans in this session independent of the executors alive.
+
+    Spark cuts small tables by the number of cores it sees when it plans a scan, which
+    changes if an executor is lost between two scans.
+    """
+    spark = docs.sparkSession
+    key = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+
+
 def encode_sorted(values: np.ndarray) -> bytes:
     """Golomb-Rice code of ascending 64-bit values: quotients in unary, then remainders."""
     n = len(values)

@@ -24,6 +24,7 @@ from tidemill.llm._exchange import (
     letters,
     opened,
     owners_for,
+    pin_splits,
     read_bits,
     row_address,
     shared_hashes,
@@ -95,6 +96,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     row of each class is kept. An empty table gives an empty result. Other columns of
     ``docs`` are not looked at.
     """
+    pin_splits(docs)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     owners = owners_for(docs.count())
     answers = shared_hashes(docs.mapInArrow(_sent(owners), _LETTER))

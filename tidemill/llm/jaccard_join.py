@@ -31,7 +31,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm._exchange import chunks, letters, opened, owners_for, read_bits, row_address, shared_hashes, with_answers
+from tidemill.llm._exchange import chunks, letters, opened, owners_for, pin_splits, read_bits, row_address, shared_hashes, with_answers
 from tidemill.llm._scratch import spool
 from tidemill.llm._text import mix, portions, shingle_hashes, utf8
 
@@ -381,6 +381,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WOR
     An empty table gives an empty result; other columns are not looked at.
     """
     spark = docs.sparkSession
+    pin_splits(docs)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     common = spark.sparkContext.broadcast(_commonness(docs, words))
     sets = _described(docs, common, words, percent)

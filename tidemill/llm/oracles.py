@@ -16,6 +16,57 @@ SELECT doc_id,
 FROM texts
 """
 
+#: Shingles of documents are made for each width that items have, 5 words or a shorter item's own length.
+OP3 = f"""
+WITH folded AS (
+    SELECT 'd' AS side, doc_id AS id, row_number() OVER () AS n, coalesce(text, '') AS body FROM documents
+    UNION ALL
+    SELECT 'i', item_id, row_number() OVER (), coalesce(text, '') FROM benchmark
+), worded AS (
+    SELECT side, id, n, list_filter(
+        string_split_regex(translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{BLANK}'),
+        lambda w: w <> '') AS words
+    FROM folded
+), items AS (
+    SELECT id, n, least(5, len(words)) AS width, words FROM worded WHERE side = 'i' AND len(words) > 0
+), item_shingles AS (
+    SELECT DISTINCT id, n, width, unnest(list_transform(range(1, len(words) - width + 2), lambda k: array_to_string(words[k:k + width - 1], ' '))) AS shingle
+    FROM items
+), sizes AS (
+    SELECT n, count(*) AS size FROM item_shingles GROUP BY n
+), doc_shingles AS (
+    SELECT DISTINCT id, n, width, unnest(list_transform(range(1, len(words) - width + 2), lambda k: array_to_string(words[k:k + width - 1], ' '))) AS shingle
+    FROM worded, (SELECT DISTINCT width FROM items) WHERE side = 'd'
+)
+SELECT d.id AS doc_id, i.id AS item_id, any_value(s.size) AS item_shingles, count(*) AS shared_shingles
+FROM doc_shingles d JOIN item_shingles i USING (width, shingle) JOIN sizes s ON s.n = i.n
+GROUP BY d.id, d.n, i.id, i.n
+HAVING 100 * count(*) >= 75 * any_value(s.size)
+"""
+
+_CONTROL = "### [A-Za-z0-9_%]*:|</turn>"
+
+OP9 = rf"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), formatted AS (
+    SELECT *, '### ' || CASE WHEN regexp_full_match(role, '[a-z]+') THEN upper(role[1]) || role[2:]
+                             ELSE '_' || regexp_replace(role, '[^A-Za-z0-9_]', '%20', 'g') END
+           || ': ' || regexp_replace(text, '(\\*)({_CONTROL})', '\1\1\\\2', 'g') || ' </turn>' || chr(10) AS formatted
+    FROM said
+)
+SELECT conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, formatted)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, formatted) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(formatted)) AS BIGINT) AS formatted_chars
+FROM formatted
+GROUP BY conv_id
+"""
+
 
 def oracle_statements() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2}
+    return {"op2_exact_dedup": OP2, "op3_decontaminate": OP3, "op9_chat_format": OP9}

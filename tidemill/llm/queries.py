@@ -25,6 +25,9 @@ from tidemill.llm.toxicity import held_out, score_documents, train
 #: Folder of the public vocabularies.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
+#: Documents that score this much count as toxic.
+TOXIC_FROM = 0.3
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -42,10 +45,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+def encoded_digests(docs: DataFrame) -> DataFrame:
     """Per document: token count and digests of the ids and of the text decoded from them."""
-    encoded = encode_documents(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
-    return encoded.select(
+    return encode_documents(docs, f"{TOKENIZERS}/piece_bpe_32k.model").select(
         "doc_id",
         "n_tokens",
         "n_chars",
@@ -55,6 +57,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_digests(_table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents")).drop("row")
 
@@ -80,7 +86,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         "score",
-        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+        F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).alias("predicted"),
         F.to_json("offending").alias("offending"),
     )
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm._exchange import chunks, letters, opened, owner_of, read_bits, shared_hashes, with_answers
+from tidemill.llm._exchange import chunks, letters, opened, owner_of, pin_splits, read_bits, shared_hashes, with_answers
 from tidemill.llm._scratch import spool
 from tidemill.llm._text import RangeHash, joined, mix, portions, utf8
 
@@ -383,6 +383,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     are one document in this respect: they do not remove each other's strings. A null doc_id comes after
     all others and all null ones are alike. Other columns are not looked at.
     """
+    pin_splits(docs)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     owners = int(size) // BYTES_PER_OWNER + 1
