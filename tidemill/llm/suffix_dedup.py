@@ -23,6 +23,7 @@ Documents are scanned three times and never shuffled.
 from __future__ import annotations
 
 import struct
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -41,7 +42,7 @@ _LEFT = WIDTH - GRAM
 #: Of an entry: suffix, bytes before it backwards, and how many of both lie in the document.
 ENTRY = WIDTH + _LEFT + 2
 #: Text bytes for which there is one owner.
-BYTES_PER_OWNER = 16 << 20
+BYTES_PER_OWNER = 4 << 20
 _BLOCK = 1 << 20
 #: Text bytes of a part of a chunk.
 BATCH_BYTES = 1 << 19
@@ -175,7 +176,7 @@ class _Stream:
         n = self.n
         self.shared = code[4 : 4 + n]
         self.low, self.high = code[4 + n : 4 + 2 * n], code[4 + 2 * n : 4 + 3 * n]
-        self.ids = np.frombuffer(code, "<i8", n, 4 + 3 * n).tolist()
+        self.ids = array("q", code[4 + 3 * n : 4 + 11 * n])
         self.code, self._at = code, 4 + 11 * n
         self.next, self.entry = 0, b""
         self.masks = np.zeros(n, np.int64)
