@@ -1,21 +1,23 @@
 """N-gram Jaccard join with groups of similar documents and their token unions.
 
 A token is a hashed word shingle, a document a set of them. Two documents link if the size of
-their sets' intersection is at least ``threshold`` of their union; components are what links connect.
-
-1. Tokens are ordered by how common they are (a table of counts of fixed size) and then by
-   hash. Linked sets share a token among the first n - ceil(threshold * n) + 1 of each
-   (prefix). Chunks ask owners which of their prefix tokens occur elsewhere (``_exchange``);
-   documents without one link with nothing and leave here.
-2. Documents are partitioned into groups by two min-hashes. The first of a group is compared with all
+their sets' intersection is at least ``percent`` of their union; components are what links connect.
+
+1. Chunks ask owners which of their tokens occur elsewhere (``_exchange``). A document of
+   which fewer than ceil(percent * n) tokens do links with nothing and leaves here, in general
+   most of a corpus. Of the others only shared tokens are kept; the rest count by number.
+2. Tokens are ordered by how common they are (a table of counts of fixed size) and then by
+   hash, those that occur once before all others. Linked sets share a token among the first
+   n - ceil(percent * n) + 1 of each (prefix).
+3. Documents are partitioned into groups by two min-hashes. The first of a group is compared with all
    others; those that link with it are one cluster.
-3. Clusters that share a prefix token are compared by their first members, each with the cluster
+4. Clusters that share a prefix token are compared by their first members, each with the cluster
    that has most of the token's documents. That joins what belongs together in time linear in the documents.
-4. What is still apart but shares a prefix token is searched exactly. A cluster is stored
+5. What is still apart but shares a prefix token is searched exactly. A cluster is stored
    in groups of bounded size, each with the union of its members' tokens (the row of the token-group
    matrix). A query opens a group only if its overlap with the union reaches what a link
    needs, and only then compares with the members.
-5. Components come from rounds of stars over the links.
+6. Components come from rounds of stars over the links.
 
 No pair of documents of one cluster is listed, and no group is held by a task as a whole.
 """
@@ -46,16 +48,24 @@ HOT_GROUP = 50_000
 GROUP_SIZE = 64
 
 
-def _links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    if percent * max(len(a), len(b)) > 100 * min(len(a), len(b)):
+def _needed(n: int, percent: int) -> int:
+    """Of a set of this size, how many tokens any set it links with has to share."""
+    return -(-percent * n // 100)
+
+
+def _links(a: np.ndarray, size_a: int, b: np.ndarray, size_b: int, percent: int) -> bool:
+    """Whether sets of these sizes link; the arrays have the tokens that other sets have too."""
+    if percent * max(size_a, size_b) > 100 * min(size_a, size_b):
         return False
     shared = _shared(a, b)
-    return 100 * shared >= percent * (len(a) + len(b) - shared)
+    return 100 * shared >= percent * (size_a + size_b - shared)
 
 
 def _shared(a: np.ndarray, b: np.ndarray) -> int:
     if len(a) < len(b):
         a, b = b, a
+    if not len(b):
+        return 0
     at = np.searchsorted(a, b)
     at[at == len(a)] = 0
     return int(np.count_nonzero(a[at] == b))
@@ -68,17 +78,15 @@ def _sets(texts: list[bytes], words: int) -> Iterator[np.ndarray]:
             yield np.unique(hashes)
 
 
-def _commonness(docs: DataFrame, words: int) -> np.ndarray:
-    """How common the tokens of each hash bucket are, in quarters of a power of two."""
+def _commonness(sets: DataFrame) -> np.ndarray:
+    """How common the kept tokens of each hash bucket are, in quarters of a power of two."""
     size = (1 << _BUCKET_BITS) // _SLICES
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << _BUCKET_BITS, np.int64)
         for batch in batches:
-            texts = utf8(batch["text"])
-            for a, b in portions(texts):
-                tokens = np.concatenate(shingle_hashes(texts[a:b], words))
-                total += np.bincount((tokens >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64), minlength=1 << _BUCKET_BITS)
+            for raw in batch["tokens"].to_pylist():
+                np.add.at(total, _bucket(np.frombuffer(raw, np.uint64)), 1)
         parts = [p.astype("<i8").tobytes() for p in total.reshape(_SLICES, size)]
         yield pa.record_batch({"slice": pa.array(range(_SLICES), pa.int32()), "counts": pa.array(parts, pa.binary())})
 
@@ -87,18 +95,22 @@ def _commonness(docs: DataFrame, words: int) -> np.ndarray:
         return pa.table({"slice": table["slice"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
 
     schema = "slice int, counts binary"
-    rows = docs.select("text").mapInArrow(count, schema).groupBy("slice").applyInArrow(add, schema).collect()
+    kept = sets.filter("tokens IS NOT NULL").select("tokens")
+    rows = kept.mapInArrow(count, schema).groupBy("slice").applyInArrow(add, schema).collect()
     total = np.zeros((_SLICES, size), np.int64)
     for row in rows:
         total[row["slice"]] = np.frombuffer(row["counts"], "<i8")
     return np.floor(4 * np.log2(total.ravel() + 1)).astype(np.uint8)
 
 
-def _prefix(tokens: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
-    n = len(tokens)
-    length = n - (percent * n + 99) // 100 + 1
-    level = common[(tokens >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)]
-    return tokens[np.argsort(level, kind="stable")[:length]]
+def _bucket(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
+
+
+def _prefix(tokens: np.ndarray, n: int, common: np.ndarray, percent: int) -> np.ndarray:
+    """The shared tokens of the prefix of a set of ``n``; those that occur once come before them."""
+    length = len(tokens) - _needed(n, percent) + 1
+    return tokens[np.argsort(common[_bucket(tokens)], kind="stable")[:length]]
 
 
 def _group_key(tokens: np.ndarray) -> int:
@@ -109,65 +121,68 @@ def _group_key(tokens: np.ndarray) -> int:
 class _Chunk:
     """The sets of a chunk: one entry per distinct set, and which entry each row has."""
 
-    def __init__(self, table: pa.Table, common: np.ndarray, words: int, percent: int):
+    def __init__(self, table: pa.Table, words: int):
         self.sets: list[np.ndarray] = []
         self.digests: list[bytes] = []
         self.entry: list[int] = []
-        self.rows: list[int] = []  # of each entry
         known: dict[bytes, int] = {}
+        rows: list[int] = []
         for tokens in _sets(utf8(table["text"]), words):
             digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
             at = known.setdefault(digest, len(self.sets))
             if at == len(self.sets):
                 self.sets.append(tokens)
                 self.digests.append(digest)
-                self.rows.append(0)
-            self.rows[at] += 1
+                rows.append(0)
+            rows[at] += 1
             self.entry.append(at)
-        self.prefixes = [_prefix(t, common, percent) if len(t) else t for t in self.sets]
-        flat = np.concatenate(self.prefixes)
-        self.tokens, self._inverse, self._counts = np.unique(flat, return_inverse=True, return_counts=True)
-
-    def active(self, shared: np.ndarray) -> list[bool]:
-        """Entries with a prefix token that another entry, here or elsewhere, has too."""
-        flags = (shared | (self._counts > 1))[self._inverse]
-        found, at = [], 0
-        for prefix, rows in zip(self.prefixes, self.rows, strict=True):
-            found.append(bool(len(prefix)) and (rows > 1 or bool(flags[at : at + len(prefix)].any())))
-            at += len(prefix)
+        flat = np.concatenate(self.sets)
+        self.tokens, self._inverse = np.unique(flat, return_inverse=True)
+        # A set that several rows have counts for each, so that copies stay together.
+        self._counts = np.bincount(self._inverse, np.repeat(rows, [len(t) for t in self.sets]), len(self.tokens))
+
+    def kept(self, elsewhere: np.ndarray, percent: int) -> list[np.ndarray | None]:
+        """Of each entry the tokens that other rows have, here or elsewhere, if they suffice for a link."""
+        flags = (elsewhere | (self._counts > 1))[self._inverse]
+        found: list[np.ndarray | None] = []
+        at = 0
+        for tokens in self.sets:
+            shared = tokens[flags[at : at + len(tokens)]]
+            at += len(tokens)
+            found.append(shared if len(tokens) and len(shared) >= _needed(len(tokens), percent) else None)
         return found
 
 
 _SETS = "doc_id long, row long, n long, digest binary, active boolean, key long, tokens binary"
 
 
-def _described(docs: DataFrame, common: Broadcast, words: int, percent: int) -> DataFrame:
+def _described(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """A row per row of ``docs``; the tokens once per chunk and set, where there may be links."""
-    owners = owners_for(docs.count(), 100)
+    owners = owners_for(docs.count(), 400)
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, table in chunks(batches):
-            own = _Chunk(table, common.value, words, percent)
-            owner, sender, code = zip(*letters(chunk, own.tokens, owners), strict=True)
+            owner, sender, code = zip(*letters(chunk, _Chunk(table, words).tokens, owners), strict=True)
             yield pa.record_batch({"owner": pa.array(owner, pa.int32()), "chunk": pa.array(sender, pa.int64()), "code": pa.array(code, pa.binary())})
 
     def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, table, answers in opened(batches):
-            own = _Chunk(table, common.value, words, percent)
-            active = own.active(read_bits(own.tokens, owners, answers))
-            keys = [_group_key(t) if len(t) else None for t in own.sets]
-            first = set()
+            own = _Chunk(table, words)
+            kept = own.kept(read_bits(own.tokens, owners, answers), percent)
+            keys = [None if t is None else _group_key(t) for t in kept]
+            written: set[int] = set()
             tokens = []
             for entry in own.entry:
-                tokens.append(own.sets[entry].tobytes() if active[entry] and entry not in first else None)
-                first.add(entry)
+                raw = None if kept[entry] is None or entry in written else kept[entry].tobytes()
+                tokens.append(raw)
+                written.add(entry)
             yield pa.record_batch(
                 {
                     "doc_id": table["doc_id"].combine_chunks().cast(pa.int64()),
                     "row": pa.array(row_address(chunk, np.arange(len(own.entry)))),
                     "n": pa.array([len(own.sets[e]) for e in own.entry], pa.int64()),
                     "digest": pa.array([own.digests[e] for e in own.entry], pa.binary()),
-                    "active": pa.array([active[e] for e in own.entry]),
+                    "active": pa.array([kept[e] is not None for e in own.entry]),
                     "key": pa.array([keys[e] for e in own.entry], pa.int64()),
                     "tokens": pa.array(tokens, pa.binary()),
                 }
@@ -182,26 +197,26 @@ _CLUSTERS = "digest binary, id long, cluster long, n long, prefix binary"
 
 def _clusters(sets: DataFrame, common: Broadcast, percent: int) -> DataFrame:
     """Distinct sets, each with the first of its group if they link: (digest, id, cluster, n, prefix)."""
-    rows = sets.filter("tokens IS NOT NULL").select("key", "digest", "row", "tokens")
+    rows = sets.filter("tokens IS NOT NULL").select("key", "digest", "row", "n", "tokens")
     # At most one row per HOT_GROUP rows of the table.
     hot = rows.groupBy("key").count().filter(F.col("count") > HOT_GROUP)
     hot = hot.select("key", F.ceil(F.col("count") / HOT_GROUP).alias("deals"))
     deal = F.pmod(F.xxhash64("digest"), F.coalesce("deals", F.lit(1)))
-    rows = rows.join(F.broadcast(hot), "key", "left").select("key", deal.alias("deal"), "digest", "row", "tokens")
+    rows = rows.join(F.broadcast(hot), "key", "left").select("key", deal.alias("deal"), "digest", "row", "n", "tokens")
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, last, first_id, first = None, None, 0, np.zeros(0, np.uint64)
+        group, last, first_id, first, first_n = None, None, 0, np.zeros(0, np.uint64), 0
         for batch in batches:
             out = []
-            columns = (batch[c].to_pylist() for c in ("key", "deal", "digest", "row", "tokens"))
-            for key, deal, digest, row, raw in zip(*columns, strict=True):
+            columns = (batch[c].to_pylist() for c in ("key", "deal", "digest", "row", "n", "tokens"))
+            for key, deal, digest, row, n, raw in zip(*columns, strict=True):
                 if digest == last:
                     continue  # the same set from another chunk
                 last, tokens = digest, np.frombuffer(raw, np.uint64)
                 if (key, deal) != group:
-                    group, first_id, first = (key, deal), row, tokens
-                cluster = first_id if _links(first, tokens, percent) else row
-                out.append((digest, row, cluster, len(tokens), _prefix(tokens, common.value, percent).tobytes()))
+                    group, first_id, first, first_n = (key, deal), row, tokens, n
+                cluster = first_id if _links(first, first_n, tokens, n, percent) else row
+                out.append((digest, row, cluster, n, _prefix(tokens, n, common.value, percent).tobytes()))
             if out:
                 kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
                 arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
@@ -310,7 +325,7 @@ def _verified(groups: DataFrame, queries: DataFrame, sets: DataFrame, percent: i
     A group's members come first and are held, with the union of their tokens; queries stream past.
     One link of a query with a group is enough, as the members of a group are connected.
     """
-    tokens = sets.filter("tokens IS NOT NULL").select(F.col("row").alias("id"), "tokens")
+    tokens = sets.filter("tokens IS NOT NULL").select(F.col("row").alias("id"), "n", "tokens")
     counted = queries.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / HOT_GROUP).alias("deals"))
     dealt = queries.join(counted, "grp").select("grp", F.pmod(F.xxhash64("id"), F.col("deals")).alias("deal"), F.lit(1).alias("side"), "id")
     stored = groups.join(counted, "grp").select("grp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)).alias("deal"), F.lit(0).alias("side"), "id")
@@ -320,26 +335,26 @@ def _verified(groups: DataFrame, queries: DataFrame, sets: DataFrame, percent: i
         group, members, union = None, [], None
         for batch in batches:
             found: set[tuple[int, int]] = set()
-            columns = (batch[c].to_pylist() for c in ("grp", "deal", "side", "id", "tokens"))
-            for grp, deal, side, own, raw in zip(*columns, strict=True):
+            columns = (batch[c].to_pylist() for c in ("grp", "deal", "side", "id", "n", "tokens"))
+            for grp, deal, side, own, n, raw in zip(*columns, strict=True):
                 mine = np.frombuffer(raw, np.uint64)
                 if (grp, deal) != group:
                     group, members, union = (grp, deal), [], None
                 if not side:
-                    members.append((own, mine))
+                    members.append((own, n, mine))
                     continue
                 if union is None:
-                    union = np.unique(np.concatenate([m for _, m in members]))
-                if 100 * _shared(union, mine) < percent * len(mine):
+                    union = np.unique(np.concatenate([m for _, _, m in members]))
+                if _shared(union, mine) < _needed(n, percent):
                     continue  # no member can share enough: the group stays closed
-                for other, theirs in members:
-                    if _links(theirs, mine, percent):
+                for other, size, theirs in members:
+                    if _links(theirs, size, mine, n, percent):
                         found.add((other, own))
                         break
             yield _pairs_batch(found)
 
     ordered = rows.repartition("grp", "deal").sortWithinPartitions("grp", "deal", "side", "id")
-    return ordered.select("grp", "deal", "side", "id", "tokens").mapInArrow(search, _PAIR)
+    return ordered.select("grp", "deal", "side", "id", "n", "tokens").mapInArrow(search, _PAIR)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -383,11 +398,11 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WOR
     spark = docs.sparkSession
     pin_splits(docs)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    common = spark.sparkContext.broadcast(_commonness(docs, words))
-    sets = _described(docs, common, words, percent)
+    sets = _described(docs, words, percent)
+    common = spark.sparkContext.broadcast(_commonness(sets))
     clusters = _clusters(sets, common, percent)
 
-    near = _nearest_clusters(clusters)
+    near = spool(_nearest_clusters(clusters), "near")
     first = _verified(near.select(F.col("center").alias("grp"), F.col("center").alias("id")).distinct(), near.select(F.col("center").alias("grp"), F.col("query").alias("id")), sets, percent)
     clusters = spool(_relabelled(clusters, first), "clusters")
 
