@@ -181,21 +181,6 @@ def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"chunk": pa.array([chunk], pa.int64()), "body": pa.array([body.getvalue()], pa.binary())})
 
 
-def _by_chunk(rows: Iterable[tuple[int, tuple[int, int, bytes]]]) -> Iterator[tuple[int, bytes]]:
-    grouped: dict[int, dict[int, bytes]] = {}
-    for _, (chunk, part, answer) in rows:
-        grouped.setdefault(chunk, {})[part] = answer
-    for chunk in sorted(grouped):
-        yield chunk, pickle.dumps(grouped[chunk])
-
-
-def _matched(pair: tuple[tuple[int, bytes], tuple[int, bytes]]) -> tuple[int, bytes, bytes]:
-    (chunk, body), (other, answers) = pair
-    if chunk != other:
-        raise RuntimeError("the input changed between two scans: write it to a table first")
-    return chunk, body, answers
-
-
 def with_answers(docs: DataFrame, answers: DataFrame) -> DataFrame:
     """Rows (chunk, body, answers): the chunks of ``docs``, each with what was answered to it.
 
@@ -203,6 +188,22 @@ def with_answers(docs: DataFrame, answers: DataFrame) -> DataFrame:
     answers are shuffled; documents are scanned again where they are.
     """
     spark = docs.sparkSession
+
+    # These run in Python workers of their own, several for each task. Being local to this
+    # function they travel by value, so those workers import nothing and stay small.
+    def by_chunk(rows):
+        grouped: dict = {}
+        for _, (chunk, part, answer) in rows:
+            grouped.setdefault(chunk, {})[part] = answer
+        for chunk in sorted(grouped):
+            yield chunk, pickle.dumps(grouped[chunk])
+
+    def matched(pair):
+        (chunk, body), (other, answers) = pair
+        if chunk != other:
+            raise RuntimeError("the input changed between two scans: write it to a table first")
+        return chunk, body, answers
+
     one = BatchedSerializer(CPickleSerializer(), 1)
     packed = docs.mapInArrow(_packed, "chunk long, body binary").rdd.map(lambda r: (r[0], bytes(r[1])))
     replies = answers.rdd.map(lambda r: (r[0] >> 20, (r[0], r[1], bytes(r[2]))))
@@ -210,9 +211,9 @@ def with_answers(docs: DataFrame, answers: DataFrame) -> DataFrame:
     lacking = replies.getNumPartitions() - packed.getNumPartitions()
     if lacking > 0:
         packed = spark.sparkContext.union([packed, spark.sparkContext.parallelize([], lacking)])
-    replies = replies.mapPartitions(_by_chunk)
+    replies = replies.mapPartitions(by_chunk)
     # One chunk at a time, so that a worker holds one and not a batch of them.
-    zipped = packed._reserialize(one).zip(replies._reserialize(one)).map(_matched)
+    zipped = packed._reserialize(one).zip(replies._reserialize(one)).map(matched)
     return spark.createDataFrame(zipped, "chunk long, body binary, answers binary", verifySchema=False)
 
 

@@ -32,12 +32,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def importable(spark: SparkSession) -> None:
-    """Let Python workers find this package when only the driver has it on its path.
+    """Environment of Python workers.
 
-    On a cluster the package is installed or shipped; then this changes nothing.
+    They find this package even if only the driver has it on its path (on a cluster it is
+    installed or shipped), and give the memory of large arrays back when these are freed.
     """
-    root = str(Path(__file__).resolve().parents[2])
-    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+    environment = spark.sparkContext.environment
+    environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    environment.setdefault("MALLOC_MMAP_THRESHOLD_", str(1 << 20))
+    environment.setdefault("MALLOC_TRIM_THRESHOLD_", str(4 << 20))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
