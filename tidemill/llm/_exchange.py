@@ -14,9 +14,12 @@ first. A chunk that changed between the scans raises an error.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import io
 import pickle
 import struct
+import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -76,6 +79,15 @@ def decode_sorted(code: bytes) -> np.ndarray:
     return np.cumsum(gaps, dtype=np.uint64)
 
 
+def give_back() -> None:
+    """Return free memory to the system. Python workers outlive their task, and a task
+    that meets answers has several, so what each keeps would add up."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def chunks(batches: Iterable[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, pa.Table]]:
     """Numbered runs of rows; where they end depends on the rows alone, not on the batches."""
     partition = TaskContext.get().partitionId()
@@ -100,6 +112,8 @@ def chunks(batches: Iterable[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Itera
             held.append(batch.slice(start))
     if held:
         yield closed()
+    held = []
+    give_back()
 
 
 def row_address(chunk: int, row: int | np.ndarray) -> int | np.ndarray:
@@ -147,6 +161,8 @@ def shared_hashes(letters_df: DataFrame) -> DataFrame:
         repeated = values[counts > 1]
         bits = [np.packbits(_in_sorted(s, repeated)).tobytes() for s in sets]
         answers = [struct.pack("<I", len(s)) + b for s, b in zip(sets, bits, strict=True)]
+        del sets, values, counts, bits
+        give_back()
         return pa.table({"chunk": table["chunk"].cast(pa.int64()), "part": table["owner"].cast(pa.int32()), "answer": pa.array(answers, pa.binary())})
 
     return letters_df.groupBy("owner").applyInArrow(answer, "chunk long, part int, answer binary")
@@ -222,3 +238,4 @@ def opened(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table, d
     for batch in batches:
         for chunk, body, answers in zip(*(batch.column(c).to_pylist() for c in ("chunk", "body", "answers")), strict=True):
             yield chunk, pa.ipc.open_stream(body).read_all(), pickle.loads(answers)
+    give_back()

@@ -33,7 +33,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm._exchange import chunks, letters, opened, owners_for, pin_splits, read_bits, row_address, shared_hashes, with_answers
+from tidemill.llm._exchange import chunks, give_back, letters, opened, owners_for, pin_splits, read_bits, row_address, shared_hashes, with_answers
 from tidemill.llm._scratch import spool
 from tidemill.llm._text import mix, portions, shingle_hashes, utf8
 
@@ -221,6 +221,7 @@ def _clusters(sets: DataFrame, common: Broadcast, percent: int) -> DataFrame:
                 kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
                 arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
                 yield pa.record_batch(arrays, ["digest", "id", "cluster", "n", "prefix"])
+        give_back()
 
     ordered = rows.repartition("key", "deal").sortWithinPartitions("key", "deal", "digest", "row")
     return spool(ordered.mapInArrow(compare, _CLUSTERS), "clusters")
@@ -269,6 +270,7 @@ def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]
         held = [c[last:] for c in columns]
     if held is not None:
         yield from several(held)
+    give_back()
 
 
 def _pairs_batch(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
@@ -352,6 +354,7 @@ def _verified(groups: DataFrame, queries: DataFrame, sets: DataFrame, percent: i
                         found.add((other, own))
                         break
             yield _pairs_batch(found)
+        give_back()
 
     ordered = rows.repartition("grp", "deal").sortWithinPartitions("grp", "deal", "side", "id")
     return ordered.select("grp", "deal", "side", "id", "n", "tokens").mapInArrow(search, _PAIR)

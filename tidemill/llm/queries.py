@@ -40,6 +40,7 @@ def importable(spark: SparkSession) -> None:
     environment = spark.sparkContext.environment
     environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     environment.setdefault("MALLOC_MMAP_THRESHOLD_", str(1 << 20))
+    environment.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
     environment.setdefault("MALLOC_TRIM_THRESHOLD_", str(4 << 20))
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm._exchange import chunks, letters, opened, owner_of, pin_splits, read_bits, shared_hashes, with_answers
+from tidemill.llm._exchange import chunks, give_back, letters, opened, owner_of, pin_splits, read_bits, shared_hashes, with_answers
 from tidemill.llm._scratch import spool
 from tidemill.llm._text import RangeHash, joined, mix, portions, utf8
 
@@ -340,6 +340,8 @@ def _merge_runs(table: pa.Table) -> pa.Table:
         _settle(group, shared)
     answers = [struct.pack("<I", s.n) + s.masks.astype("<i8").tobytes() for s in streams]
     parts = [_MASKS + o for o in table["owner"].to_pylist()]
+    del streams, group
+    give_back()
     return pa.table({"chunk": table["chunk"].cast(pa.int64()), "part": pa.array(parts, pa.int32()), "answer": pa.array(answers, pa.binary())})
 
 
