@@ -27,9 +27,8 @@ from tidemill.operators import (
     split_decodable,
 )
 from tidemill.operators.decode import DECODE_METRICS
-from tidemill.session import MAX_SHUFFLE_PARTITIONS, MIN_PARTITIONS, partitions_for
 from tidemill.sources import append_messages, scan_table, stream_topic_files
-from tidemill.sources.generator import simulate
+from tidemill.sources.sample_topics import as_messages, batch_events
 from tidemill.sources.tables import with_batch_fields
 from tidemill.streaming import InsertOnlyMerge, append_stream, ensure_silver_table
 from tidemill.streaming.sinks import UnfinishedBatch, require_finished_batches, settings
@@ -240,22 +239,22 @@ def test_checkpoint_reset_rebuilds_without_duplicates_in_silver(spark, root):
 
 
 @pytest.mark.parametrize("concurrent", [False, True])
-def test_pipeline_over_simulated_topics(spark, root, concurrent):
+def test_pipeline_over_all_topics(spark, root, concurrent):
     topics = topics_at(root)
-    for name, topic in TOPICS.items():
-        events = simulate(spark, name, 400, per_second=0.02)
-        batch = encode_messages(
-            events, topic.payload_schema.names, topic.message_key, topic.kafka_topic
-        )
+    rows = {}
+    for name in TOPICS:
+        batch = as_messages(batch_events(spark, "/root/testdata/sf0.001", name), name)
         append_messages(batch, f"{root}/topic/{name}")
+        rows[name] = batch.count()
 
     def source(config):
         return stream_topic_files(spark, f"{root}/topic/{config.name}")
 
     counts = run_pipeline(spark, topics, source, concurrent=concurrent)
     assert len(counts) == 12
-    assert all(counts[f"{layer}.{t}"] == 400 for layer in ("bronze", "silver") for t in TOPICS)
-    assert all(rows > 0 for step, rows in counts.items() if step.startswith("gold."))
+    assert all(counts[f"bronze.{t}"] == rows[t] for t in TOPICS)
+    assert all(0 < counts[f"silver.{t}"] <= rows[t] for t in TOPICS)
+    assert all(n > 0 for step, n in counts.items() if step.startswith("gold."))
 
 
 def test_run_layer_arguments(spark, root):
@@ -280,20 +279,20 @@ def test_missing_packages_are_reported(spark, root):
         df.select(decode_payload(F.col("value"), '"string"', "avro")).collect()
 
 
-def test_state_is_partitioned_for_the_backlog(spark, root):
-    """Few state partitions for little data, whatever the session shuffles with."""
+@pytest.mark.parametrize(("declared", "expected"), [(None, 7), (3, 3)])
+def test_state_partitions_are_declared(spark, root, declared, expected):
+    """The first backlog, however small, does not decide them."""
     config = USER_ACTIVITY.at(root)
+    jobs = tuple(replace(j, state_partitions=declared) for j in config.gold_jobs)
+    config = replace(config, gold_jobs=jobs)
     deliver(spark, root, config, messages(spark, activity(spark, [("a", "login", "00:05", None)])))
     clean_silver(spark, config)
-    with settings(spark, {"spark.sql.shuffle.partitions": "40"}):
+    with settings(spark, {"spark.sql.shuffle.partitions": "7"}):
         assert run_all_gold_jobs(spark, config, concurrent=True)
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
-        big = spark.range(0, 1 << 30).selectExpr("id", "id AS other")
-        assert partitions_for(big) == 40
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "7"
     for job in config.gold_jobs:
         stores = os.listdir(f"{job.checkpoint}/state/0")
-        assert len([s for s in stores if s.isdigit()]) == MIN_PARTITIONS
-    assert partitions_for(spark.range(10)) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert len([s for s in stores if s.isdigit()]) == expected
 
 
 def test_rejects_are_counted_in_the_progress(spark, root):
@@ -307,16 +306,25 @@ def test_rejects_are_counted_in_the_progress(spark, root):
     assert [(m.messages, m.rejected) for m in metrics] == [(3, 1)]
 
 
-def test_merge_shuffles_large_batches_into_more_partitions(spark):
+def test_merge_partitions_are_declared():
     config = USER_ACTIVITY.at("/nowhere")
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def partitions(arrivals, **changes):
-        merge = silver_merge(replace(config, **changes))
-        return int(merge._settings(arrivals)["spark.sql.shuffle.partitions"])
+    def partitions(**changes):
+        return silver_merge(replace(config, **changes))._settings().get("spark.sql.shuffle.partitions")
 
-    assert partitions(spark.range(10)) == current
-    assert partitions(bronze_rows(spark, BATCH_0)) == current  # size unknown
-    assert partitions(spark.range(1 << 32)) == 129  # 32 GB
-    assert partitions(spark.range(1 << 45)) == MAX_SHUFFLE_PARTITIONS
-    assert partitions(spark.range(1 << 45), silver_buckets=7) == 7
+    assert partitions() is None  # the session's
+    assert partitions(merge_partitions=900) == "900"
+    assert partitions(merge_partitions=900, silver_buckets=7) == "7"
+
+
+def test_late_files_are_not_left_out(spark, root):
+    """A file dated long before the newest one counts, in topics and in tables."""
+    config = USER_ACTIVITY.at(root)
+    first = [(f"a{i}", "login", "00:05", None) for i in range(5)]
+    late = [(f"b{i}", "login", "00:05", None) for i in range(5)]
+    deliver(spark, root, config, messages(spark, activity(spark, first)))
+    before = set(os.listdir(f"{root}/topic"))
+    append_messages(messages(spark, activity(spark, late)), f"{root}/topic")
+    for name in set(os.listdir(f"{root}/topic")) - before:
+        os.utime(f"{root}/topic/{name}", (0, 0))
+    assert ingest_bronze(spark, config, stream_topic_files(spark, f"{root}/topic")) == 10

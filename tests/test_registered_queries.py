@@ -10,10 +10,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from tidemill.plans.oracles import oracle_statements
+from tidemill.plans.queries import registered_queries
 
 TABLES = "/root/testdata/sf0.001"
-QUERIES = entry_point.queries()
-STATEMENTS = entry_point.oracle_sql()
+QUERIES = registered_queries()
+STATEMENTS = oracle_statements()
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +42,7 @@ def comparable(rows, columns):
 
 def test_every_query_has_a_statement():
     assert set(QUERIES) == set(STATEMENTS)
+    assert set(QUERIES) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
@@ -78,12 +81,3 @@ def test_tables_may_be_folders(spark, sql, table_folders, name):
     columns = [d[0] for d in answer.description]
     expected = comparable(answer.fetchall(), columns)
     assert comparable([tuple(r) for r in result.collect()], result.columns) == expected
-
-
-def test_small_inputs_are_spread_and_large_ones_left_alone(spark):
-    from tidemill.session import spread_small_input
-
-    small = spark.read.parquet(f"{TABLES}/events.parquet")
-    assert spread_small_input(small, small).rdd.getNumPartitions() == 4
-    large = spark.range(1 << 40)
-    assert spread_small_input(small, large) is small

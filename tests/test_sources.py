@@ -12,7 +12,6 @@ from tidemill.sources import (
     latest_schema,
     schemas_by_id,
 )
-from tidemill.sources.generator import simulate
 from tidemill.sources.sample_topics import batch_events, delivered_twice
 from tidemill.topics import TOPICS
 from tidemill.workspace import new_run_folder, shared_folder
@@ -27,7 +26,7 @@ def test_kafka_options():
         "org.apache.kafka.common.security.scram.ScramLoginModule required "
         'username="me" password="pa\\"ss\\\\word";'
     )
-    assert jaas_config("a", "b", "kafkashaded.").startswith("kafkashaded.org.apache.kafka")
+    assert jaas_config("a", "b", "shaded.").startswith("shaded.org.apache.kafka")
     assert kafka_options("host:9092", "orders", jaas, 1000, 64) == {
         "kafka.bootstrap.servers": "host:9092",
         "subscribe": "orders",
@@ -92,46 +91,6 @@ def test_delivered_twice(spark):
     assert twice.select("source_offset").distinct().count() == 2 * events.count()
 
 
-@pytest.mark.parametrize(
-    ("topic", "weights"),
-    [
-        ("user_activity", contracts.USER_ACTIVITY_TYPES),
-        ("product_events", contracts.PRODUCT_EVENT_TYPES),
-        ("order_events", contracts.ORDER_EVENT_TYPES),
-    ],
-)
-def test_simulation(spark, topic, weights):
-    n = 20_000
-    events = simulate(spark, topic, n).cache()
-    config = TOPICS[topic]
-    assert events.select(*config.payload_schema.names).schema.simpleString() == (
-        config.payload_schema.simpleString()
-    )
-    assert events.select("event_id").distinct().count() == n
-    shares = {r.event_type: r["count"] / n for r in events.groupBy("event_type").count().collect()}
-    for kind, weight in weights.items():
-        assert shares[kind] == pytest.approx(weight / 100, abs=0.012)
-    assert {r.violations for r in rule_violations(events, topic, RULES[topic]).collect()} == {0}
-    again = simulate(spark, topic, n, partitions=3)
-    assert events.exceptAll(again).count() == 0
-    assert simulate(spark, topic, n, seed=1).join(events, "event_id").count() == 0
-    events.unpersist()
-
-
-def test_simulated_orders_agree_on_their_attributes(spark):
-    events = simulate(spark, "order_events", 5_000)
-    per_order = events.groupBy("order_id").agg(
-        F.count_distinct("total_amount", "currency", "user_id").alias("variants"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    assert per_order.filter("variants > 1").count() == 0
-    assert per_order.filter("n > 1").count() > 0
-    sizes = {r.n for r in events.select(F.size("product_ids").alias("n")).distinct().collect()}
-    assert sizes == {1, 2, 3, 4}
-    uneven = events.filter(F.size(F.array_distinct("product_ids")) < F.size("product_ids"))
-    assert uneven.count() == 0
-
-
 def test_run_folders_are_in_the_shared_folder(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark) == configured

@@ -47,9 +47,13 @@ class GoldJob:
     filter: str | None = None
     table: str = ""
     checkpoint: str = ""
+    #: Partitions of the state, fixed by the first run; None: the session's shuffle partitions.
+    state_partitions: int | None = None
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "group_by", tuple(self.group_by))
+        if self.state_partitions is not None and self.state_partitions < 1:
+            raise ConfigError(f"job {self.name}: state partitions must be positive")
         if not self.aggs:
             raise ConfigError(f"job {self.name}: no aggregates")
         outputs = [*WINDOW_COLUMNS, *self.group_by, *self.aggs]
@@ -76,6 +80,8 @@ class TopicConfig:
     silver_columns: tuple[str, ...] = ()
     table_format: str = "parquet"
     silver_buckets: int | None = None
+    #: Shuffle partitions of a merge; None: the session's. Buckets take precedence.
+    merge_partitions: int | None = None
     bronze_table: str = ""
     silver_table: str = ""
     quarantine_table: str = ""
@@ -190,7 +196,8 @@ def topic_from_mapping(
     Expected keys: ``kafka_topic``, ``schema_subject``, ``bronze_table``,
     ``silver_table``, ``dedup_keys``, ``silver_columns``, ``bronze_checkpoint``,
     ``silver_checkpoint`` and ``gold_jobs``; each job has ``name``,
-    ``gold_table``, ``checkpoint``, ``group_by``, ``aggs`` and perhaps ``filter``.
+    ``gold_table``, ``checkpoint``, ``group_by``, ``aggs`` and perhaps ``filter`` and
+    ``state_partitions``; ``merge_partitions`` and ``table_format`` are optional.
     """
     jobs = tuple(
         GoldJob(
@@ -200,6 +207,7 @@ def topic_from_mapping(
             filter=j.get("filter"),
             table=j["gold_table"],
             checkpoint=j["checkpoint"],
+            state_partitions=j.get("state_partitions"),
         )
         for j in entry["gold_jobs"]
     )
@@ -213,6 +221,7 @@ def topic_from_mapping(
         dedup_keys=tuple(entry["dedup_keys"]),
         silver_columns=tuple(entry["silver_columns"]),
         table_format=entry.get("table_format", "parquet"),
+        merge_partitions=entry.get("merge_partitions"),
         bronze_table=entry["bronze_table"],
         silver_table=entry["silver_table"],
         bronze_checkpoint=entry["bronze_checkpoint"],

@@ -8,10 +8,12 @@ return DataFrames and work on batch and streaming input alike; none shuffles.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, StringType
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from tidemill.functions import (
     add_header,
@@ -100,13 +102,27 @@ def decode_by_schema_id(
     return _flatten(prepared, decoded.otherwise(unknown))
 
 
+#: Types that a reader may take for another: each for those after it in its row.
+_PROMOTIONS = (("int", "bigint", "double"), ("int", "float", "double"), ("bigint", "float"))
+
+
+def _wider(name: str, one: DataType, other: DataType) -> DataType:
+    """The type that holds values of both, as far as schema evolution allows."""
+    if one == other:
+        return one
+    for row in _PROMOTIONS:
+        if one.simpleString() in row and other.simpleString() in row:
+            return max(one, other, key=lambda kind: row.index(kind.simpleString()))
+    raise ValueError(f"field {name} changes type between schema ids")
+
+
 def _merge_fields(schemas: Mapping[int, StructType]) -> list[StructField]:
     merged: dict[str, StructField] = {}
     for _, schema in sorted(schemas.items()):
         for item in schema.fields:
-            known = merged.setdefault(item.name, StructField(item.name, item.dataType, True))
-            if known.dataType != item.dataType:
-                raise ValueError(f"field {item.name} changes type between schema ids")
+            known = merged.get(item.name)
+            kind = _wider(item.name, known.dataType, item.dataType) if known else item.dataType
+            merged[item.name] = StructField(item.name, kind, True)
     if not merged:
         raise ValueError("no schemas given")
     return list(merged.values())
@@ -116,7 +132,7 @@ def _widen(decoded: Column, schema: StructType, fields: list[StructField]) -> Co
     own = set(schema.names)
     return F.struct(
         *(
-            (decoded[f.name] if f.name in own else F.lit(None).cast(f.dataType)).alias(f.name)
+            (decoded[f.name] if f.name in own else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in fields
         )
     )
@@ -124,21 +140,26 @@ def _widen(decoded: Column, schema: StructType, fields: list[StructField]) -> Co
 
 def split_decodable(
     messages: DataFrame,
-    schema: StructType,
+    schema: StructType | str,
     required: str = "event_id",
     codec: str = "json",
     avro_schema: str | None = None,
+    schemas_by_id: Mapping[int, StructType] | None = None,
+    avro_schemas_by_id: Mapping[int, str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows that decode, and raw messages that do not.
 
-    A message is rejected when its header is missing, when its payload does
-    not parse, or when the required field comes out NULL. Tombstones (NULL
-    value) are not rejected: they pass as rows of NULLs, as in
-    :func:`decode_messages`.
+    A message is rejected when its header is missing, when its header names a schema
+    that is not among ``schemas_by_id`` (if given), when its payload does not parse, or
+    when the required field comes out NULL. Tombstones (NULL value) are not rejected:
+    they pass as rows of NULLs, as in :func:`decode_messages`. Every payload is parsed once.
     """
-    judged = _judge(messages, schema, required, codec, avro_schema)
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    by_id = {n: (s, (avro_schemas_by_id or {}).get(n)) for n, s in (schemas_by_id or {}).items()}
+    judged, fields = _judge(messages, by_id or {None: (schema, avro_schema)}, required, codec)
     good = judged.filter("reason IS NULL")
-    good = _flatten(good, F.struct(*(F.col("decoded")[n].alias(n) for n in schema.names)))
+    good = _flatten(good, F.struct(*(F.col("decoded")[f.name].alias(f.name) for f in fields)))
     bad = judged.filter("reason IS NOT NULL").select(
         "topic",
         "partition",
@@ -155,34 +176,49 @@ def split_decodable(
 
 def _judge(
     messages: DataFrame,
-    schema: StructType,
+    schemas: Mapping[int | None, tuple[StructType, str | None]],
     required: str,
     codec: str,
-    avro_schema: str | None,
-) -> DataFrame:
-    payload, decoded = strip_header("value"), F.col("decoded")
-    if codec == "avro":
-        attempt = decode_payload(payload, avro_schema, codec, "PERMISSIVE")
-        broken = decoded.isNull()
-    else:
-        reading = StructType([*schema.fields, StructField(_CORRUPT, StringType())])
-        attempt = decode_payload(payload, reading, codec, "PERMISSIVE", _CORRUPT)
-        broken = decoded[_CORRUPT].isNotNull()
-    reason = F.when(
+) -> tuple[DataFrame, list[StructField]]:
+    """Messages with ``decoded`` and ``reason``; a schema under None reads every message."""
+    fields = _merge_fields({n or 0: s for n, (s, _) in schemas.items()})
+    prepared = messages.withColumns(
+        {"_schema_id": schema_id("value"), "_payload": strip_header("value")}
+    )
+    attempts, decoded, broken, known = {}, [], [], F.lit(False)
+    for number, (schema, text) in schemas.items():
+        applies = F.lit(True) if number is None else F.col("_schema_id") == number
+        name = f"_record_{'any' if number is None else number}"
+        if codec == "avro":
+            attempt = decode_payload(F.col("_payload"), text, codec, "PERMISSIVE")
+            # A broken record comes out as NULL or as a struct of NULLs.
+            failed = reduce(and_, (F.col(name)[f].isNull() for f in schema.names))
+        else:
+            reading = StructType([*schema.fields, StructField(_CORRUPT, StringType())])
+            attempt = decode_payload(F.col("_payload"), reading, codec, "PERMISSIVE", _CORRUPT)
+            failed = F.col(name)[_CORRUPT].isNotNull()
+        attempts[name] = F.when(applies, attempt)
+        decoded.append(F.when(applies, _widen(F.col(name), schema, fields)))
+        broken.append(applies & failed)
+        known = known | applies
+    verdict = F.when(
         F.col("value").isNotNull(),
         F.when(~has_header("value"), "bad_header")
-        .when(broken, "malformed_payload")
-        .when(decoded[required].isNull(), "missing_key"),
+        .when(~F.coalesce(known, F.lit(False)), "unknown_schema")
+        .when(reduce(or_, broken), "malformed_payload")
+        .when(F.col("decoded")[required].isNull(), "missing_key"),
     )
-    judged = messages.withColumn("decoded", attempt).withColumn("reason", reason)
+    prepared = prepared.withColumns(attempts).withColumn("decoded", F.coalesce(*decoded))
+    judged = prepared.withColumn("reason", verdict)
     # Counting here shows up in the query's progress; it also keeps filters on
     # the verdict above the decoding, which would otherwise be done once for
     # the filter and once more for the result.
-    return judged.observe(
+    observed = judged.observe(
         DECODE_METRICS,
         F.count(F.lit(1)).alias("messages"),
         F.count("reason").alias("rejected"),
     )
+    return observed, fields
 
 
 def frame_header(messages: DataFrame) -> DataFrame:

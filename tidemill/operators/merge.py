@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemill.config import is_location
-from tidemill.session import estimated_bytes
-
-#: Bound on the batch keys hashed per shuffle partition.
-HASHED_BYTES_PER_PARTITION = 64 << 20
 
 
 def rows_to_insert(
@@ -20,33 +19,17 @@ def rows_to_insert(
 
     ``arrivals`` is the batch ``deduplicated`` was made from. Only key columns
     of the target are read. The target is first reduced to the keys that occur
-    in the batch, which makes the batch the build side: when Spark estimates
-    its keys to be small enough it broadcasts them and the target is not
-    shuffled at all; otherwise both sides shuffle on the key, or only the
-    batch does if the target is bucketed on it. A key with a NULL in it
+    in the batch. Which join that is, Spark decides from the sizes it sees: small
+    batch keys are broadcast and the target stays where it is; otherwise both
+    sides shuffle on the key, or only the batch does if the target is bucketed on it. A key with a NULL in it
     matches nothing, so such rows are always inserted.
     """
     keys = list(keys)
     batch_keys = arrivals.select(*keys).distinct()
-    if _worth_hashing(batch_keys):
-        batch_keys = batch_keys.hint("shuffle_hash")
     seen = target.select(*keys).join(batch_keys, keys, "left_semi")
     return deduplicated.join(seen, keys, "left_anti")
 
 
-def _worth_hashing(batch_keys: DataFrame) -> bool:
-    """Too large to broadcast, small enough to keep one hash table per partition.
-
-    Hashing the batch spares the target, which can be any size, its sort. The
-    keys are distinct, so the partitions are even; beyond the bound the usual
-    sort-merge join spills instead.
-    """
-    conf = batch_keys.sparkSession._jsparkSession.sessionState().conf()
-    size = estimated_bytes(batch_keys)
-    bound = conf.numShufflePartitions() * HASHED_BYTES_PER_PARTITION
-    return conf.autoBroadcastJoinThreshold() < size <= bound
-
-
 def merge_with_delta(spark, target_table: str, source: DataFrame, keys: Sequence[str]) -> None:
     """The same merge on a Delta table, where the delta package is installed."""
     from delta.tables import DeltaTable
@@ -56,7 +39,7 @@ def merge_with_delta(spark, target_table: str, source: DataFrame, keys: Sequence
         if is_location(target_table)
         else DeltaTable.forName(spark, target_table)
     )
-    condition = " AND ".join(f"target.`{k}` = source.`{k}`" for k in keys)
+    condition = reduce(and_, (F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys))
     (
         target.alias("target")
         .merge(source.alias("source"), condition)

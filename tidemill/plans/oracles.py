@@ -11,8 +11,8 @@ SELECT CAST(event_id AS VARCHAR) AS event_id,
        'user_' || CAST(user_id AS VARCHAR) AS user_id,
        'session_' || CAST(user_id AS VARCHAR) || '_' || CAST(CAST(ts AS DATE) AS VARCHAR) AS session_id,
        kind AS event_type,
-       CASE WHEN kind <> 'search' THEN 'prod_' || CAST(event_id % 199 + 1 AS VARCHAR) END AS product_id,
-       CASE WHEN kind = 'search' THEN 'query_' || CAST(event_id % 100 + 1 AS VARCHAR) END AS search_query,
+       CASE WHEN kind <> 'search' THEN 'prod_' || CAST(event_id % 211 + 1 AS VARCHAR) END AS product_id,
+       CASE WHEN kind = 'search' THEN 'query_' || CAST(event_id % 97 + 1 AS VARCHAR) END AS search_query,
        CASE WHEN kind = 'payment' THEN value END AS amount,
        ['mobile', 'desktop', 'tablet'][event_id % 3 + 1] AS device_type,
        ['IN', 'US', 'UK', 'DE', 'SG', 'AU'][user_id % 6 + 1] AS geo_country,
@@ -33,10 +33,9 @@ PRODUCT_EVENTS = """
 SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS event_id,
        'prod_' || CAST(l_partkey AS VARCHAR) AS product_id,
        kind AS event_type,
-       ['Wireless Headphones', 'Running Shoes', 'Coffee Maker', 'Yoga Mat', 'Bluetooth Speaker',
-        'Desk Lamp', 'Backpack', 'Water Bottle', 'Laptop Stand', 'Phone Case'][l_partkey % 10 + 1]
+       ['Anchor', 'Bellows', 'Compass', 'Dinghy', 'Fender', 'Halyard', 'Jib'][l_partkey % 7 + 1]
          AS product_name,
-       ['electronics', 'clothing', 'home', 'sports', 'books', 'toys'][l_partkey % 6 + 1] AS category,
+       ['rigging', 'deck', 'galley', 'charts', 'safety'][l_partkey % 5 + 1] AS category,
        l_extendedprice AS price,
        CASE WHEN kind = 'price_changed' THEN l_extendedprice + l_quantity END AS previous_price,
        CAST(trunc(l_quantity) AS INTEGER) AS stock_quantity,
@@ -59,14 +58,13 @@ SELECT CAST(o_orderkey AS VARCHAR) AS event_id,
        'ord_' || CAST(o_orderkey AS VARCHAR) AS order_id,
        'user_' || CAST(o_custkey AS VARCHAR) AS user_id,
        kind AS event_type,
-       array_to_string(['prod_' || CAST((o_orderkey * 7 + i * 31) % 199 + 1 AS VARCHAR)
+       array_to_string(['prod_' || CAST((o_orderkey * 7 + i * 31) % 211 + 1 AS VARCHAR)
                         for i in range(o_orderkey % 4 + 1)], ',') AS product_ids,
        o_totalprice AS total_amount,
        ['INR', 'USD', 'GBP', 'EUR', 'SGD', 'AUD'][o_custkey % 6 + 1] AS currency,
        ['IN', 'US', 'UK', 'DE', 'SG', 'AU'][o_custkey % 6 + 1] AS shipping_country,
        CASE WHEN kind = 'order_cancelled'
-            THEN ['customer_requested', 'payment_failed', 'out_of_stock', 'fraud_detected',
-                  'address_invalid'][o_orderkey % 5 + 1] END AS cancellation_reason,
+            THEN ['changed_mind', 'card_declined', 'lost_in_transit'][o_orderkey % 3 + 1] END AS cancellation_reason,
        (epoch_us(o_orderdate) // 1000) AS timestamp_ms,
        CAST(o_custkey % 2 AS INTEGER) AS "partition",
        o_orderkey AS "offset",
@@ -297,6 +295,15 @@ def _quality(filled: bool) -> str:
     )
 
 
+_QUARANTINE_BY_ID = f"""
+SELECT CASE WHEN event_type = 'login' THEN 'unknown_schema' ELSE 'accepted' END AS verdict,
+       CASE WHEN event_type <> 'login' THEN event_type END AS event_type,
+       count(*) AS messages,
+       count(CASE WHEN event_type NOT IN ('login', 'search') THEN device_type END) AS devices
+FROM ({USER_ACTIVITY}) t GROUP BY ALL
+"""
+
+
 def oracle_statements() -> dict[str, str]:
     found: dict[str, str] = {}
     for prefix, job in _JOBS.items():
@@ -315,7 +322,12 @@ def oracle_statements() -> dict[str, str]:
     found["header_schema_id"] = _HEADERS
     found["decode_by_schema_id"] = _later_fields()
     found["bronze_additive_schema"] = _later_fields()
+    found["bronze_late_files"] = (
+        'SELECT event_id, event_type, total_amount, "partition", "offset" '
+        f"FROM ({TOPIC_SQL['order_events']}) t"
+    )
     found["quarantine"] = _QUARANTINE
+    found["quarantine_by_schema_id"] = _QUARANTINE_BY_ID
     for topic in TOPIC_SQL:
         found[f"silver_dedup_{topic}"] = _deduplicated(topic)
     found["silver_two_batches"] = _TWO_BATCHES

@@ -21,7 +21,6 @@ from tidemill.config import GoldJob, TopicConfig
 from tidemill.functions import utc_wall_clock
 from tidemill.operators import RULES, frame_header, rule_violations, windowed_aggregate
 from tidemill.plans.pipeline import run_pipeline
-from tidemill.session import partitions_for, spread_small_input
 from tidemill.sources import append_messages, scan_table, stream_table, stream_topic_files
 from tidemill.sources.sample_topics import (
     as_messages,
@@ -34,12 +33,12 @@ from tidemill.sources.sample_topics import (
 from tidemill.sources.tables import with_batch_fields
 from tidemill.streaming import (
     clean_silver,
-    gold_session,
     ingest_bronze,
     run_gold_aggregation,
+    session_of,
 )
 from tidemill.topics import TOPICS
-from tidemill.workspace import new_run_folder
+from tidemill.workspace import date_files, new_run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +57,8 @@ ROUNDED = {"total_revenue": 2, "avg_price": 6}
 
 #: Where queries with two deliveries cut the events: 2024-01-16 00:00 UTC.
 CUT_MS = 1705363200000
+#: When late files claim to be from: 2001-09-09.
+LATE_FILE_MS = 1_000_000_000_000
 #: Values that break the nullability rules of every row they are put in.
 FILLERS = {
     "amount": 0.0,
@@ -71,8 +72,18 @@ FILLERS = {
 LATER_FIELDS = ("search_query", "device_type")
 
 
+#: Declared sizes of the registered queries: state partitions of a job, buckets of a table.
+STATE_PARTITIONS = 16
+BUCKETS = 16
+
+
 def _config(spark: SparkSession, topic: str, label: str) -> TopicConfig:
-    return TOPICS[topic].at(new_run_folder(spark, f"tidemill-{label}"))
+    return _sized(TOPICS[topic].at(new_run_folder(spark, f"tidemill-{label}")))
+
+
+def _sized(config: TopicConfig) -> TopicConfig:
+    jobs = (replace(job, state_partitions=STATE_PARTITIONS) for job in config.gold_jobs)
+    return replace(config, gold_jobs=tuple(jobs))
 
 
 def _present(result: DataFrame, job: GoldJob) -> DataFrame:
@@ -90,14 +101,12 @@ def _gold_table(spark: SparkSession, job: GoldJob, events: DataFrame) -> DataFra
 def _delivered(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     """Events of a topic as a stream, about to be framed and decoded."""
     table = source_table(spark, sf_dir, topic)
-    events = stream_events(spark, sf_dir, topic, table.schema)
-    return spread_small_input(events, table)
+    return stream_events(spark, sf_dir, topic, table.schema)
 
 
 def _published(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     """Events of a topic at rest, about to be framed and written to a message folder."""
-    table = source_table(spark, sf_dir, topic)
-    return spread_small_input(batch_events(spark, sf_dir, topic), table)
+    return batch_events(spark, sf_dir, topic)
 
 
 # --- windowed aggregates ---------------------------------------------------------------
@@ -108,7 +117,7 @@ def gold_stream(spark: SparkSession, sf_dir: str, prefix: str, **options) -> Dat
     topic, name = JOBS[prefix]
     job = _config(spark, topic, prefix).job(name)
     table = source_table(spark, sf_dir, topic)
-    session = gold_session(spark, table)
+    session = session_of(spark, job)
     events = stream_events(session, sf_dir, topic, table.schema)
     run_gold_aggregation(session, events, job, report_counts=False, **options)
     return _gold_table(spark, job, events)
@@ -128,7 +137,7 @@ def _gold_in_two_runs(
     config = _config(spark, "user_activity", label)
     job = config.job("funnel_metrics_hourly")
     events = batch_events(spark, sf_dir, "user_activity").select("event_type", "timestamp_ms")
-    session = gold_session(spark, events)
+    session = session_of(spark, job)
     for arrivals in (first, second):
         events.filter(arrivals).write.mode("append").parquet(config.silver_table)
         stream = stream_table(session, config.silver_table, schema=events.schema)
@@ -227,6 +236,21 @@ def bronze_additive_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.select("event_id", "event_type", "product_id", "amount", *LATER_FIELDS)
 
 
+def bronze_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries, the second in files dated a year earlier: every message arrives."""
+    config = _config(spark, "order_events", "late-files")
+    folder = f"{config.bronze_checkpoint}_topic"
+    for name, arrivals in (("newer", "offset % 2 = 0"), ("older", "offset % 2 <> 0")):
+        messages = as_messages(_published(spark, sf_dir, "order_events"), "order_events")
+        append_messages(messages.filter(arrivals), f"{folder}/{name}")
+        if name == "older":
+            date_files(spark, f"{folder}/{name}", LATE_FILE_MS)
+        stream = stream_topic_files(spark, f"{folder}/*")
+        ingest_bronze(spark, config, stream, report_counts=False)
+    bronze = scan_table(spark, config.bronze_table, schema=config.bronze_schema)
+    return bronze.select("event_id", "event_type", "total_amount", "partition", "offset")
+
+
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damage some event types on the wire; count what bronze and quarantine receive.
 
@@ -260,6 +284,41 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quarantine_by_schema_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writer schemas, and logins that name a third nobody knows: those are quarantined.
+
+    Searches come with the older schema, which lacks the later fields.
+    """
+    config = _config(spark, "user_activity", "quarantine-ids")
+    newer, older = config.payload_schema, _older(config.payload_schema)
+    kind = F.col("event_type")
+    events = _delivered(spark, sf_dir, "user_activity").withColumns(
+        {name: F.when(kind != "search", F.col(name)) for name in LATER_FIELDS}
+    )
+    ident = F.when(kind == "login", 99).when(kind == "search", 11).otherwise(12)
+    messages = as_messages(events, "user_activity", schema_id=ident)
+    ingest_bronze(
+        spark,
+        config,
+        messages,
+        on_error="quarantine",
+        schemas_by_id={11: older, 12: newer},
+        report_counts=False,
+    )
+    bronze = scan_table(spark, config.bronze_table, schema=config.bronze_schema)
+    accepted = bronze.select(F.lit("accepted").alias("verdict"), "event_type", "device_type")
+    rejected = scan_table(spark, config.quarantine_table).select(
+        F.col("reason").alias("verdict"),
+        F.lit(None).cast("string").alias("event_type"),
+        F.lit(None).cast("string").alias("device_type"),
+    )
+    return (
+        accepted.unionByName(rejected)
+        .groupBy("verdict", "event_type")
+        .agg(F.count(F.lit(1)).alias("messages"), F.count("device_type").alias("devices"))
+    )
+
+
 # --- deduplication and merge -----------------------------------------------------------
 
 
@@ -296,14 +355,13 @@ def _catalog_config(
 ) -> TopicConfig:
     """A topic whose tables are named, in a database kept in the run folder.
 
-    Silver is bucketed on its keys, with buckets to suit the size of the input.
+    Silver is bucketed on its keys.
     """
     folder = new_run_folder(spark, f"tidemill-{label}")
     database = "tidemill_" + folder.rsplit("-", 1)[1]
     spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/warehouse'")
-    buckets = partitions_for(source_table(spark, sf_dir, topic))
     config = TOPICS[topic].in_catalog(database, f"{folder}/checkpoints")
-    return replace(config, silver_buckets=buckets)
+    return replace(config, silver_buckets=BUCKETS)
 
 
 def silver_two_batches(spark: SparkSession, sf_dir: str, in_catalog: bool = False) -> DataFrame:
@@ -362,7 +420,7 @@ def silver_tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All layers of all topics, every message delivered twice: rows per table."""
     folder = new_run_folder(spark, "tidemill-pipeline")
-    topics = {name: topic.at(folder) for name, topic in TOPICS.items()}
+    topics = {name: _sized(topic.at(folder)) for name, topic in TOPICS.items()}
 
     def source(config: TopicConfig) -> DataFrame:
         events = _delivered(spark, sf_dir, config.name)
@@ -406,7 +464,9 @@ def registered_queries() -> dict[str, Query]:
     found["header_schema_id"] = header_schema_id
     found["decode_by_schema_id"] = decode_by_schema_id
     found["bronze_additive_schema"] = bronze_additive_schema
+    found["bronze_late_files"] = bronze_late_files
     found["quarantine"] = quarantine
+    found["quarantine_by_schema_id"] = quarantine_by_schema_id
     for topic in TOPICS:
         found[f"silver_dedup_{topic}"] = partial(silver_dedup, topic=topic)
     found["silver_two_batches"] = silver_two_batches

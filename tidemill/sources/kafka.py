@@ -13,7 +13,7 @@ def _quoted(text: str) -> str:
 
 
 def jaas_config(username: str, password: str, shaded_prefix: str = "") -> str:
-    """SCRAM login line; some runtimes shade the client and need e.g. ``kafkashaded.``."""
+    """SCRAM login line; a runtime with a shaded client needs its prefix."""
     return (
         f"{shaded_prefix}{_LOGIN_MODULE} required "
         f"username={_quoted(username)} password={_quoted(password)};"

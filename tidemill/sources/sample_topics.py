@@ -21,6 +21,7 @@ from tidemill import contracts as c
 from tidemill.config import TopicConfig
 from tidemill.functions import epoch_millis, event_time
 from tidemill.operators import encode_messages
+from tidemill.sources.tables import file_options
 from tidemill.topics import TOPICS
 
 SOURCE_TABLES = {
@@ -32,6 +33,13 @@ SOURCE_TABLES = {
 #: Writer schema id put in front of sample messages.
 SCHEMA_IDS = {"user_activity": 1, "product_events": 2, "order_events": 3}
 
+# Values of the sample data; nothing depends on them but the samples' SQL statements.
+PRODUCTS = 211
+QUERIES = 97
+PRODUCT_NAMES = ["Anchor", "Bellows", "Compass", "Dinghy", "Fender", "Halyard", "Jib"]
+CATEGORIES = ["rigging", "deck", "galley", "charts", "safety"]
+CANCELLATION_REASONS = ["changed_mind", "card_declined", "lost_in_transit"]
+
 #: The broker's timestamp trails the event by this many milliseconds.
 BROKER_DELAY_MS = 5
 #: Distance in offsets and in time between a message and its redelivery.
@@ -87,9 +95,9 @@ def user_activity(events: DataFrame) -> DataFrame:
             "event_id": number.cast("string"),
             "user_id": _text("user_", user),
             "session_id": F.concat_ws("_", F.lit("session"), user.cast("string"), F.col("_day")),
-            "product_id": F.when(kind != "search", _text("prod_", number % c.PRODUCT_COUNT + 1)),
+            "product_id": F.when(kind != "search", _text("prod_", number % PRODUCTS + 1)),
             "search_query": F.when(
-                kind == "search", _text("query_", number % c.SEARCH_QUERY_COUNT + 1)
+                kind == "search", _text("query_", number % QUERIES + 1)
             ),
             "amount": F.when(kind == "payment", F.col("value")),
             "device_type": _pick(c.DEVICES, number),
@@ -126,8 +134,8 @@ def product_events(lineitem: DataFrame) -> DataFrame:
     ).withColumns(
         {
             "product_id": _text("prod_", part),
-            "product_name": _pick(c.PRODUCT_NAMES, part),
-            "category": _pick(c.CATEGORIES, part),
+            "product_name": _pick(PRODUCT_NAMES, part),
+            "category": _pick(CATEGORIES, part),
             "previous_price": F.when(
                 kind == "price_changed", F.col("price") + F.col("_quantity")
             ),
@@ -172,11 +180,11 @@ def order_events(orders: DataFrame) -> DataFrame:
             "user_id": _text("user_", customer),
             "product_ids": F.transform(
                 F.sequence(F.lit(0), (number % c.MAX_PRODUCTS_PER_ORDER).cast("int")),
-                lambda i: _text("prod_", (number * 7 + i * 31) % c.PRODUCT_COUNT + 1),
+                lambda i: _text("prod_", (number * 7 + i * 31) % PRODUCTS + 1),
             ),
             "currency": _lookup(c.CURRENCIES, F.col("shipping_country")),
             "cancellation_reason": F.when(
-                F.col("event_type") == "order_cancelled", _pick(c.CANCELLATION_REASONS, number)
+                F.col("event_type") == "order_cancelled", _pick(CANCELLATION_REASONS, number)
             ),
         }
     )
@@ -209,7 +217,7 @@ def stream_events(
     # A streaming source wants a folder or a pattern; the pattern matches the
     # table whether it is one file or a folder of files.
     pattern = f"{sf_dir}/{SOURCE_TABLES[topic]}.parque[t]"
-    return _MAPPINGS[topic](spark.readStream.schema(schema).parquet(pattern))
+    return _MAPPINGS[topic](spark.readStream.schema(schema).options(**file_options()).parquet(pattern))
 
 
 def as_messages(

@@ -13,6 +13,24 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from tidemill.config import is_location
 from tidemill.workspace import ensure_folder
 
+#: A file stream leaves out files much older than the newest one it has seen, after a week by
+#: default. Late deliveries and restored folders have to count, so no file is too old here.
+MAX_FILE_AGE = "365000d"
+
+
+def file_options(
+    max_files_per_trigger: int | None = None, archive: str | None = None
+) -> dict[str, str]:
+    """Options of every file stream. ``archive`` moves files there once they are processed,
+    which keeps the list of files that the stream remembers short."""
+    options = {"maxFileAge": MAX_FILE_AGE}
+    if max_files_per_trigger:
+        options["maxFilesPerTrigger"] = str(max_files_per_trigger)
+    if archive:
+        options |= {"cleanSource": "archive", "sourceArchiveDir": archive}
+    return options
+
+
 #: Sub-folders of a merged table, one per micro-batch that inserted rows.
 BATCH_FIELDS = [StructField("run_id", StringType()), StructField("batch_id", LongType())]
 
@@ -51,9 +69,7 @@ def stream_table(
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Incremental scan. File tables need a schema; without one, it is read from the data."""
-    reader = spark.readStream
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = spark.readStream.options(**file_options(max_files_per_trigger))
     if not is_location(table):
         return reader.table(table)
     reader = reader.format(table_format)

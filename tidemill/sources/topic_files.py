@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tidemill.sources.tables import file_options
+
 #: The columns of Spark's Kafka source.
 MESSAGE_SCHEMA = (
     StructType()
@@ -24,10 +26,11 @@ def append_messages(messages: DataFrame, folder: str) -> None:
 
 
 def stream_topic_files(
-    spark: SparkSession, folder: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    folder: str,
+    max_files_per_trigger: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
-    """Stream the messages of a folder, oldest files first."""
-    reader = spark.readStream.schema(MESSAGE_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(folder)
+    """Stream the messages of a folder, oldest files first, however old they are."""
+    options = file_options(max_files_per_trigger, archive)
+    return spark.readStream.schema(MESSAGE_SCHEMA).options(**options).parquet(folder)

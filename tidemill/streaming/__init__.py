@@ -2,9 +2,9 @@
 
 from tidemill.streaming.bronze import ingest_bronze, ingest_bronze_from_kafka
 from tidemill.streaming.gold import (
-    gold_session,
     run_all_gold_jobs,
     run_gold_aggregation,
+    session_of,
     start_gold_aggregation,
 )
 from tidemill.streaming.sinks import InsertOnlyMerge, append_stream
@@ -15,11 +15,11 @@ __all__ = [
     "append_stream",
     "clean_silver",
     "ensure_silver_table",
-    "gold_session",
     "ingest_bronze",
     "ingest_bronze_from_kafka",
     "run_all_gold_jobs",
     "run_gold_aggregation",
+    "session_of",
     "start_gold_aggregation",
     "upsert_batch",
 ]

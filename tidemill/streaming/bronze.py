@@ -31,8 +31,8 @@ def ingest_bronze(
     text). With ``schemas_by_id`` each message is decoded with the schema its
     header names (for Avro, the texts go in ``avro_schemas_by_id``). With
     ``on_error="quarantine"`` messages that do not decode go to the quarantine
-    table instead of failing the run; that is a second query over the topic
-    with its own checkpoint.
+    table instead of failing the run, also those with a schema id that is not listed; that
+    is a second query over the topic with its own checkpoint.
     """
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
@@ -45,6 +45,8 @@ def ingest_bronze(
             config.dedup_keys[0],
             codec,
             avro_schema,
+            schemas_by_id,
+            avro_schemas_by_id,
         )
         queries.append(
             append_stream(

@@ -2,25 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidemill.config import GoldJob, TopicConfig, is_location
+from tidemill.config import GoldJob, TopicConfig
 from tidemill.operators import DEFAULT_WATERMARK, DEFAULT_WINDOW, windowed_aggregate
-from tidemill.session import isolated, partitions_for
-from tidemill.sources import count_rows, scan_table, stream_table
-from tidemill.sources.tables import with_batch_fields
+from tidemill.session import isolated
+from tidemill.sources import count_rows, stream_table
 from tidemill.streaming.sinks import (
     announce,
     append_stream,
     await_all,
     require_finished_batches,
 )
-from tidemill.workspace import exists
 
 
 @dataclass(frozen=True)
@@ -50,27 +47,15 @@ def start_gold_aggregation(
     return StartedJob(job, query, result.schema)
 
 
-def gold_session(spark: SparkSession, backlog: DataFrame) -> SparkSession:
-    """A session for jobs that start on this backlog.
+def session_of(spark: SparkSession, job: GoldJob) -> SparkSession:
+    """The session a job's first run has to start in.
 
-    A new checkpoint fixes the number of state partitions for good. Windows
-    and groups are few next to the events, so a small backlog gets a small
-    number, whatever the session uses for ordinary shuffles; a large one gets
-    up to that.
+    A new checkpoint fixes the number of state partitions for good, so it is a declared
+    number of the job and not a guess from what the first run happens to find.
     """
-    return isolated(spark, {"spark.sql.shuffle.partitions": str(partitions_for(backlog))})
-
-
-def _session_for(
-    spark: SparkSession,
-    jobs: Sequence[GoldJob],
-    table: str,
-    table_format: str,
-    schema: StructType | None = None,
-) -> SparkSession:
-    if all(exists(spark, job.checkpoint) for job in jobs):
-        return spark  # the checkpoints say how the state is partitioned
-    return gold_session(spark, scan_table(spark, table, table_format, schema))
+    if job.state_partitions is None:
+        return spark
+    return isolated(spark, {"spark.sql.shuffle.partitions": str(job.state_partitions)})
 
 
 def run_gold_aggregation(
@@ -82,17 +67,21 @@ def run_gold_aggregation(
     watermark_scope: str = "matching",
     table_format: str = "parquet",
     report_counts: bool = True,
+    max_files_per_trigger: int | None = None,
 ) -> int | None:
     """Drain new silver rows through one job and return the row count of its table.
 
-    ``silver`` is a table, or a streaming DataFrame (then the state is
-    partitioned by the settings of its session; see :func:`gold_session`).
+    ``silver`` is a table, or a streaming DataFrame (then the state is partitioned by
+    the settings of its session; see :func:`session_of`). ``max_files_per_trigger`` cuts a
+    large backlog of a table into micro-batches that are committed one by one.
     """
     if isinstance(silver, str):
-        if is_location(silver):
+        if table_format != "delta":
             require_finished_batches(spark, silver)
-        session = _session_for(spark, [job], silver, table_format)
-        events = stream_table(session, silver, table_format)
+        session = session_of(spark, job)
+        events = stream_table(
+            session, silver, table_format, max_files_per_trigger=max_files_per_trigger
+        )
     else:
         events = silver
     started = start_gold_aggregation(
@@ -109,6 +98,8 @@ def run_all_gold_jobs(
     window: str = DEFAULT_WINDOW,
     concurrent: bool = False,
     report_counts: bool = True,
+    watermark_scope: str = "matching",
+    max_files_per_trigger: int | None = None,
 ) -> dict[str, int | None]:
     """Run every job of a topic and return row counts by job name.
 
@@ -118,17 +109,17 @@ def run_all_gold_jobs(
     """
     if config.table_format != "delta":
         require_finished_batches(spark, config.silver_table)
-    schema = with_batch_fields(config.silver_schema)
-    session = _session_for(
-        spark, config.gold_jobs, config.silver_table, config.table_format, schema
-    )
     started: list[StartedJob] = []
     for job in config.gold_jobs:
         events = stream_table(
-            session, config.silver_table, config.table_format, config.silver_schema
+            session_of(spark, job),
+            config.silver_table,
+            config.table_format,
+            config.silver_schema,
+            max_files_per_trigger,
         )
         running = start_gold_aggregation(
-            events, job, watermark, window, table_format=config.table_format
+            events, job, watermark, window, watermark_scope, config.table_format
         )
         started.append(running)
         if not concurrent:

@@ -40,6 +40,7 @@ def silver_merge(config: TopicConfig) -> InsertOnlyMerge:
         config.dedup_keys,
         config.table_format,
         config.silver_buckets,
+        config.merge_partitions,
     )
 
 
@@ -74,6 +75,9 @@ def clean_silver(
     def on_batch(arrivals: DataFrame, batch_id: int) -> None:
         context = arrivals.sparkSession.sparkContext
         run_id = context.getLocalProperty("sql.streaming.queryId")
+        if not run_id:
+            # All checkpoints would write to the same folder and overwrite each other.
+            raise RuntimeError("the streaming query's id is not known in this thread")
         upsert_batch(merge, config, arrivals, run_id, batch_id)
 
     query = (

@@ -13,7 +13,6 @@ from pyspark.sql.types import StructType
 
 from tidemill.config import is_location
 from tidemill.operators import merge_with_delta, rows_to_insert
-from tidemill.session import shuffle_partitions_for
 from tidemill.sources.tables import scan_table, with_batch_fields
 from tidemill.workspace import ensure_folder, exists, matching
 
@@ -128,12 +127,14 @@ class InsertOnlyMerge:
         keys: Sequence[str],
         table_format: str = "parquet",
         buckets: int | None = None,
+        partitions: int | None = None,
     ) -> None:
         self.table = table
         self.schema = schema
         self.keys = list(keys)
         self.table_format = table_format
         self.buckets = buckets
+        self.partitions = partitions
         self.inserted: dict[int, int] = {}
 
     def __call__(
@@ -146,7 +147,7 @@ class InsertOnlyMerge:
         if self._committed(spark, run_id, batch_id):
             log.info("%s: batch %d is in already", self.table, batch_id)
             return
-        with settings(spark, self._settings(arrivals)):
+        with settings(spark, self._settings()):
             others = self._others(spark, run_id, batch_id)
             # The first batch, often the largest, has nothing to be compared with.
             rows = (
@@ -161,12 +162,12 @@ class InsertOnlyMerge:
         self.inserted[batch_id] = written.get["rows"]
         log.info("%s: batch %d inserted %d rows", self.table, batch_id, self.inserted[batch_id])
 
-    def _settings(self, arrivals: DataFrame) -> dict[str, str]:
+    def _settings(self) -> dict[str, str]:
         # With as many shuffle partitions as buckets, the batch is shuffled
         # once, onto the buckets; the target stays where it is, and the result
         # is written without moving again.
-        partitions = self.buckets or shuffle_partitions_for(arrivals)
-        chosen = {"spark.sql.shuffle.partitions": str(partitions)}
+        partitions = self.buckets or self.partitions
+        chosen = {"spark.sql.shuffle.partitions": str(partitions)} if partitions else {}
         if not is_location(self.table):
             # Only the batch's own partition may be replaced.
             chosen["spark.sql.sources.partitionOverwriteMode"] = "dynamic"

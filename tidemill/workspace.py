@@ -2,33 +2,36 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 _SHARED_FOLDER = "spark.checkpoint.dir"
+#: Run folders handed out, by application.
+_RUNS: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir`` of the session.
-
-    Only a local-mode session without that setting falls back to a temporary
-    folder of this machine.
-    """
+    """The folder all executors see: ``spark.checkpoint.dir``, else a folder of the warehouse."""
     configured = spark.conf.get(_SHARED_FOLDER, None) or spark.sparkContext.getConf().get(
         _SHARED_FOLDER
     )
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="tidemill-")
-    raise RuntimeError(f"set {_SHARED_FOLDER} to a folder that every executor can reach")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+    if not warehouse:
+        raise RuntimeError(f"set {_SHARED_FOLDER} to a folder that every executor can reach")
+    return f"{warehouse.rstrip('/')}/_runs"
 
 
 def new_run_folder(spark: SparkSession, label: str) -> str:
-    """A fresh location for one run; the name never repeats."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh location for one run; the name never repeats.
+
+    It stays until :func:`remove_run_folders`, as results are read from it.
+    """
+    folder = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _RUNS.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
 
 
 def _hadoop_path(spark: SparkSession, location: str):
@@ -47,6 +50,22 @@ def ensure_folder(spark: SparkSession, location: str) -> None:
     fs.mkdirs(path)
 
 
+def remove_run_folders(spark: SparkSession) -> int:
+    """Delete the run folders and databases of this session's queries, once their results are read."""
+    taken = _RUNS.pop(spark.sparkContext.applicationId, [])
+    for location in taken:
+        path, fs = _hadoop_path(spark, location)
+        fs.delete(path, True)
+    return len(taken)
+
+
+def date_files(spark: SparkSession, location: str, millis: int) -> None:
+    """Set the modification time of the files of a folder, for tests of late files."""
+    path, fs = _hadoop_path(spark, location)
+    for status in fs.listStatus(path):
+        fs.setTimes(status.getPath(), millis, -1)
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Existing locations that match a glob pattern."""
     path, fs = _hadoop_path(spark, pattern)
