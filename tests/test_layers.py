@@ -29,7 +29,12 @@ from tidemill.operators.decode import DECODE_METRICS
 from tidemill.sources import append_messages, scan_table, stream_topic_files
 from tidemill.sources.sample_topics import as_messages, batch_events
 from tidemill.sources.tables import with_batch_fields
-from tidemill.streaming import InsertOnlyMerge, append_stream, ensure_silver_table
+from tidemill.streaming import (
+    InsertOnlyMerge,
+    append_stream,
+    discard_unfinished_batches,
+    ensure_silver_table,
+)
 from tidemill.streaming.sinks import UnfinishedBatch, require_finished_batches, settings
 from tidemill.streaming.silver import silver_merge, upsert_batch
 from tidemill.topics import TOPICS, USER_ACTIVITY
@@ -325,3 +330,21 @@ def test_late_files_are_not_left_out(spark, root):
     for name in set(os.listdir(f"{root}/topic")) - before:
         os.utime(f"{root}/topic/{name}", (0, 0))
     assert ingest_bronze(spark, config, stream_topic_files(spark, f"{root}/topic")) == 10
+
+
+def test_reset_after_a_broken_merge(spark, root):
+    """The query that could finish the batch is gone; what it left is discarded."""
+    config = USER_ACTIVITY.at(root)
+    events = activity(spark, [("a", "payment", "00:05", 1.0), ("b", "payment", "09:00", 1.0)])
+    deliver(spark, root, config, messages(spark, events))
+    clean_silver(spark, config)
+    dead = f"{config.silver_table}/run_id=dead/batch_id=0"
+    events.withColumn("kafka_timestamp", F.current_timestamp()).write.parquet(f"{dead}/_temporary/0")
+    fresh = with_fresh_checkpoints(config)
+    deliver(spark, root, fresh, messages(spark, activity(spark, [])))
+    with pytest.raises(UnfinishedBatch):
+        run_all_gold_jobs(spark, fresh)
+    assert discard_unfinished_batches(spark, fresh.silver_table) == ["run_id=dead/batch_id=0"]
+    assert clean_silver(spark, fresh) == 2
+    assert run_all_gold_jobs(spark, fresh) == {"funnel_metrics_hourly": 1, "revenue_hourly": 1}
+    assert discard_unfinished_batches(spark, fresh.silver_table) == []

@@ -3,7 +3,8 @@
 Messages come from a folder (``--topics``, one sub-folder per topic) or from
 Kafka (``--kafka``). The Kafka user and password are read from the environment
 variables TIDEMILL_KAFKA_USERNAME and TIDEMILL_KAFKA_PASSWORD, the Avro schema
-texts from ``--avro-schemas``, a folder with one ``<subject>.avsc`` per topic.
+texts from ``--avro-schemas``, a folder with one ``<subject>.avsc`` per topic; without
+it, payloads are JSON.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark.sql import SparkSession
 
 from tidemill.config import TopicConfig
 from tidemill.plans.pipeline import LAYERS, run_layer, run_pipeline
-from tidemill.sources import stream_topic_files
-from tidemill.streaming import ingest_bronze_from_kafka
+from tidemill.sources import jaas_config, read_topic_stream, stream_topic_files
+from tidemill.streaming.bronze import ON_ERROR
 from tidemill.topics import TOPICS, topics_at, topics_in_catalog
 
 
@@ -33,7 +34,10 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--kafka", help="bootstrap servers")
     options.add_argument("--avro-schemas", help="folder of <subject>.avsc files")
     options.add_argument("--concurrent", action="store_true", help="run independent steps together")
-    options.add_argument("--max-files", type=int, help="bronze files per silver micro-batch")
+    options.add_argument("--max-files", type=int, help="files per micro-batch")
+    options.add_argument("--max-offsets", type=int, help="Kafka offsets per micro-batch")
+    options.add_argument("--min-partitions", type=int, help="tasks a Kafka range is split over")
+    options.add_argument("--on-error", default="fail", choices=ON_ERROR)
     return options
 
 
@@ -53,31 +57,37 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     )
 
     def source(config: TopicConfig):
+        if options.kafka:
+            user, password = (os.environ[f"TIDEMILL_KAFKA_{x}"] for x in ("USERNAME", "PASSWORD"))
+            limits = {
+                "max_offsets_per_trigger": options.max_offsets,
+                "min_partitions": options.min_partitions,
+            }
+            jaas = jaas_config(user, password)
+            return read_topic_stream(spark, options.kafka, jaas, config.kafka_topic, **limits)
         if not options.topics:
             parser().error("the bronze layer needs --topics or --kafka")
-        return stream_topic_files(spark, f"{options.topics}/{config.name}")
-
-    if options.layer == "bronze" and options.kafka:
-        config = topics[options.topic]
-        result = ingest_bronze_from_kafka(
-            spark,
-            config,
-            {
-                "bootstrap_servers": options.kafka,
-                "username": os.environ["TIDEMILL_KAFKA_USERNAME"],
-                "password": os.environ["TIDEMILL_KAFKA_PASSWORD"],
-            },
-            _schema_text(spark, options.avro_schemas, config.schema_subject),
+        return stream_topic_files(spark, f"{options.topics}/{config.name}", options.max_files)
+
+    def decoding(config: TopicConfig) -> dict:
+        chosen: dict = {"on_error": options.on_error}
+        if options.avro_schemas:
+            schema = _schema_text(spark, options.avro_schemas, config.schema_subject)
+            chosen |= {"schema": schema, "codec": "avro"}
+        return chosen
+
+    if options.layer == "all":
+        result = run_pipeline(
+            spark, topics, source, options.concurrent, options.max_files, decoding
         )
-    elif options.layer == "all":
-        result = run_pipeline(spark, topics, source, options.concurrent, options.max_files)
-    elif options.layer == "gold":
-        result = run_layer(spark, "gold", options.topic, topics, concurrent=options.concurrent)
-    elif options.layer == "silver":
-        limit = options.max_files
-        result = run_layer(spark, "silver", options.topic, topics, max_files_per_trigger=limit)
+    elif options.layer == "bronze":
+        chosen = decoding(topics[options.topic])
+        result = run_layer(spark, "bronze", options.topic, topics, source, **chosen)
     else:
-        result = run_layer(spark, "bronze", options.topic, topics, source)
+        chosen = {"max_files_per_trigger": options.max_files}
+        if options.layer == "gold":
+            chosen["concurrent"] = options.concurrent
+        result = run_layer(spark, options.layer, options.topic, topics, **chosen)
     print(json.dumps(result))
     return result
 

@@ -46,23 +46,31 @@ def run_pipeline(
     source: MessageSource,
     concurrent: bool = False,
     max_files_per_trigger: int | None = None,
-) -> dict[str, int]:
+    bronze_options: Callable[[TopicConfig], Mapping] | None = None,
+    gold_options: Mapping | None = None,
+    report_counts: bool = True,
+) -> dict[str, int | None]:
     """Run all layers of all topics; row counts by ``layer.table``.
 
     By default the steps form one chain and the first failure ends it. With
     ``concurrent`` the topics, which share no table, run side by side, and so
-    do the jobs of a topic. ``max_files_per_trigger`` cuts a large bronze
-    backlog into several silver micro-batches, each of which is committed.
+    do the jobs of a topic. ``max_files_per_trigger`` cuts a large backlog of bronze or
+    silver into several micro-batches, each of which is committed. ``bronze_options``
+    gives the arguments of :func:`ingest_bronze` for a topic: schema, codec, schemas by id,
+    what to do with messages that do not decode; ``gold_options`` those of
+    :func:`run_all_gold_jobs`. Without ``report_counts`` no table is counted.
     """
+    limit = {"max_files_per_trigger": max_files_per_trigger, "report_counts": report_counts}
 
-    def chain(name: str) -> dict[str, int]:
+    def chain(name: str) -> dict[str, int | None]:
+        decoding = dict(bronze_options(topics[name])) if bronze_options else {}
+        decoding["report_counts"] = report_counts
+        jobs = {**limit, "concurrent": concurrent, **(gold_options or {})}
         counts = {
-            f"bronze.{name}": run_layer(spark, "bronze", name, topics, source),
-            f"silver.{name}": run_layer(
-                spark, "silver", name, topics, max_files_per_trigger=max_files_per_trigger
-            ),
+            f"bronze.{name}": run_layer(spark, "bronze", name, topics, source, **decoding),
+            f"silver.{name}": run_layer(spark, "silver", name, topics, **limit),
         }
-        gold = run_layer(spark, "gold", name, topics, concurrent=concurrent)
+        gold = run_layer(spark, "gold", name, topics, **jobs)
         return counts | {f"gold.{job}": rows for job, rows in gold.items()}
 
     if not concurrent:
@@ -79,7 +87,8 @@ def with_fresh_checkpoints(config: TopicConfig) -> TopicConfig:
     Silver keeps its table: everything is read again and the merge leaves out
     what is there. An append-only Parquet table remembers the batches of its
     old checkpoint and would skip the new ones, so bronze and gold tables get
-    new names along with their checkpoints.
+    new names along with their checkpoints. If a merge broke off before, discard
+    what it left with :func:`tidemill.streaming.discard_unfinished_batches` first.
     """
     mark = uuid.uuid4().hex[:8]
 

@@ -7,13 +7,14 @@ from tidemill.streaming.gold import (
     session_of,
     start_gold_aggregation,
 )
-from tidemill.streaming.sinks import InsertOnlyMerge, append_stream
+from tidemill.streaming.sinks import InsertOnlyMerge, append_stream, discard_unfinished_batches
 from tidemill.streaming.silver import clean_silver, ensure_silver_table, upsert_batch
 
 __all__ = [
     "InsertOnlyMerge",
     "append_stream",
     "clean_silver",
+    "discard_unfinished_batches",
     "ensure_silver_table",
     "ingest_bronze",
     "ingest_bronze_from_kafka",

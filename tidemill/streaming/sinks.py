@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from tidemill.config import is_location
 from tidemill.operators import merge_with_delta, rows_to_insert
 from tidemill.sources.tables import scan_table, with_batch_fields
-from tidemill.workspace import ensure_folder, exists, matching
+from tidemill.workspace import ensure_folder, exists, matching, remove
 
 log = logging.getLogger("tidemill")
 
@@ -87,6 +87,26 @@ def require_finished_batches(spark: SparkSession, table: str) -> None:
     The batch will be written again under other file names, so a stream that
     reads the leftovers now would count their rows twice.
     """
+    unfinished = _unfinished_batches(spark, table)
+    if unfinished:
+        raise UnfinishedBatch(f"finish the merge first; incomplete: {', '.join(unfinished)}")
+
+
+def discard_unfinished_batches(spark: SparkSession, table: str) -> list[str]:
+    """Delete what broken merges have left in a merged Parquet table; the batches' names.
+
+    For use after a checkpoint reset, when the query that could finish them is gone.
+    No merge may be running on the table.
+    """
+    unfinished = _unfinished_batches(spark, table)
+    location = table if is_location(table) else _location_of(spark, table)
+    for name in unfinished:
+        remove(spark, f"{location}/{name}")
+        log.warning("%s: discarded unfinished %s", table, name)
+    return unfinished
+
+
+def _unfinished_batches(spark: SparkSession, table: str) -> list[str]:
     location = table if is_location(table) else _location_of(spark, table)
     written = _batch_names(matching(spark, f"{location}/run_id=*/batch_id=*"))
     if is_location(table):
@@ -95,9 +115,7 @@ def require_finished_batches(spark: SparkSession, table: str) -> None:
     else:
         listed = spark.sql(f"SHOW PARTITIONS {table}").collect()
         finished = {row["partition"] for row in listed}
-    unfinished = sorted(written - finished)
-    if unfinished:
-        raise UnfinishedBatch(f"finish the merge first; incomplete: {', '.join(unfinished)}")
+    return sorted(written - finished)
 
 
 def _location_of(spark: SparkSession, table: str) -> str:

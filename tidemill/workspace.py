@@ -50,12 +50,16 @@ def ensure_folder(spark: SparkSession, location: str) -> None:
     fs.mkdirs(path)
 
 
+def remove(spark: SparkSession, location: str) -> None:
+    path, fs = _hadoop_path(spark, location)
+    fs.delete(path, True)
+
+
 def remove_run_folders(spark: SparkSession) -> int:
     """Delete the run folders and databases of this session's queries, once their results are read."""
     taken = _RUNS.pop(spark.sparkContext.applicationId, [])
     for location in taken:
-        path, fs = _hadoop_path(spark, location)
-        fs.delete(path, True)
+        remove(spark, location)
     return len(taken)
 
 
