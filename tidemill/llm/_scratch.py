@@ -10,11 +10,17 @@ _FOLDER = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; an operator that needs it fails without it."""
+    """``spark.checkpoint.dir`` of the session; where it is unset, a folder of the warehouse.
+
+    Both are shared on a cluster. A folder of one machine is never used.
+    """
     folder = spark.conf.get(_FOLDER, None) or spark.sparkContext.getConf().get(_FOLDER)
-    if not folder:
+    if folder:
+        return folder.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+    if not warehouse:
         raise RuntimeError(f"set {_FOLDER} to a folder that every executor can reach")
-    return folder.rstrip("/")
+    return f"{warehouse.rstrip('/')}/_scratch"
 
 
 def spool(df: DataFrame, label: str) -> DataFrame:
