@@ -35,13 +35,11 @@ def importable(spark: SparkSession) -> None:
     """Environment of Python workers.
 
     They find this package even if only the driver has it on its path (on a cluster it is
-    installed or shipped), and give the memory of large arrays back when these are freed.
+    installed or shipped), and Arrow takes its memory where it can be given back.
     """
     environment = spark.sparkContext.environment
     environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
-    environment.setdefault("MALLOC_MMAP_THRESHOLD_", str(1 << 20))
     environment.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
-    environment.setdefault("MALLOC_TRIM_THRESHOLD_", str(4 << 20))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
