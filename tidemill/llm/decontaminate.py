@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.llm._exchange import give_back
 from tidemill.llm._scratch import spool
 from tidemill.llm._text import portions, shingle_hashes, utf8
 
@@ -162,6 +163,7 @@ def contained_items(
                             "shared_shingles": pa.array(count, pa.int64()),
                         }
                     )
+            give_back()
 
         return docs.mapInArrow(find, schema)
 
@@ -197,6 +199,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRE
                     for hashes in _per_width(utf8(batch["text"]), index.widths)
                 ]
                 yield batch.drop_columns(["text"]).filter(pa.array(flags, pa.bool_()))
+            give_back()
 
         return rows.withColumn("text", text).mapInArrow(keep, schema)
 

@@ -26,6 +26,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.llm._exchange import give_back
 from tidemill.llm._text import mix
 
 SPACE = "\u2581"
@@ -319,6 +320,7 @@ def encode_documents(docs: DataFrame, model_file: str, dropout: float = 0.1, see
                         "lossless": pa.array([a == b for a, b in zip(decoded, texts, strict=True)]),
                     }
                 )
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     schema = "doc_id long, ids array<int>, n_tokens long, n_chars long, decoded string, lossless boolean"

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.llm._exchange import give_back
 from tidemill.llm._text import RangeHash, joined, mix, portions, runs, utf8
 
 #: Labelled documents used for fitting, at most: those with the smallest hashes of doc_id.
@@ -176,6 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Toxi
                 parts = (found.owner, found.words, found.sentence)
                 packed = [p.astype(t).tobytes() for p, t in zip(parts, ("<u4", "<u4", "<u4"), strict=True)]
                 yield pa.record_batch([pa.array([x], pa.binary()) for x in (*packed, bytes(toxic[a:b]))], ["owner", "words", "sentence", "toxic"])
+        give_back()
 
     parts = chosen.mapInArrow(described, "owner binary, words binary, sentence binary, toxic binary").repartition(16)
     owner, words, sentence, toxic = ([np.zeros(0, t)] for t in (np.uint32, np.uint32, np.uint32, np.uint8))
@@ -219,6 +221,7 @@ def score_documents(docs: DataFrame, model: ToxicityModel, sentence_threshold: f
                         "offending": pa.array(spans, kind),
                     }
                 )
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(scored, "doc_id long, score double, offending array<struct<start:long,end:long,score:double>>")
@@ -239,5 +242,6 @@ def without_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3)
                 found = sentences(texts[a:b])
                 scores = shared.value.document_scores(found, shared.value.sentence_scores(found))
                 yield batch.slice(a, b - a).drop_columns(["text"]).filter(pa.array(scores < threshold))
+        give_back()
 
     return inner.mapInArrow(kept, schema).toDF(*docs.columns)
