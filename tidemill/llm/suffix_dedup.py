@@ -45,7 +45,7 @@ ENTRY = WIDTH + _LEFT + 2
 BYTES_PER_OWNER = 4 << 20
 _BLOCK = 1 << 20
 #: Text bytes of a part of a chunk.
-BATCH_BYTES = 1 << 19
+BATCH_BYTES = 1 << 18
 _NO_ID = np.int64((1 << 63) - 1)
 #: Part numbers of the answers of step 3 start here; those of step 1 are below.
 _MASKS = 1 << 24
