@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.llm import toxicity
+from tidemill.llm import jaccard_join, toxicity
 from tidemill.llm._exchange import chunks, decode_sorted, encode_sorted  # noqa: F401
 from tidemill.llm.chat_format import format_turns, parse, read_back, render
 from tidemill.llm.decontaminate import contained_items, without_leaks
@@ -284,6 +284,47 @@ def test_jaccard_chains_around_the_threshold(documents, tmp_path):
     assert sorted((tuple(r[:3]) for r in jaccard_components(docs).collect()), key=str) == linked(rows)[0]
 
 
+def boilerplate(first, count, letter, shared, own):
+    """Documents with the same ``shared`` words and then ``own`` words that only one document has."""
+    head = " ".join(f"{letter}{i}" for i in range(shared))
+    return [(i, head + " " + " ".join(f"x{i}_{k}" for k in range(own))) for i in range(first, first + count)]
+
+
+def test_documents_with_the_same_boilerplate_are_not_paired(documents, tmp_path, monkeypatch):
+    rows = boilerplate(0, 60, "w", 84, 20)  # 80 of 100 shingles: kept, and no two link
+    rows += boilerplate(1000, 40, "v", 104, 10)  # 100 of 110: all link
+    rows += boilerplate(2000, 30, "u", 84, 20)  # 80 of 100 again, but the boilerplate alone links with each
+    rows.append((3000, " ".join(f"u{i}" for i in range(84))))
+    random.Random(3).shuffle(rows)
+    docs = documents(rows, tmp_path / "docs")
+    asked = []
+    verified = jaccard_join._verified
+
+    def counted(groups, queries, *rest):
+        asked.append(queries.count())
+        return verified(groups, queries, *rest)
+
+    monkeypatch.setattr(jaccard_join, "_verified", counted)
+    assert sorted((tuple(r[:3]) for r in jaccard_components(docs).collect()), key=str) == linked(rows)[0]
+    assert sum(asked) <= 10
+
+
+def test_groups_of_unlinked_documents_and_hot_tokens(documents, tmp_path, monkeypatch):
+    """Near copies of one boilerplate with several clusters, so that tokens and groups are dealt and opened."""
+    monkeypatch.setattr(jaccard_join, "HOT_TOKEN", 5)
+    monkeypatch.setattr(jaccard_join, "GROUP_SIZE", 4)
+    rnd = random.Random(12)
+    base = [f"w{i}" for i in range(90)]
+    rows = []
+    for i in range(90):
+        words = list(base)
+        for _ in range(rnd.randint(0, 4)):
+            words[rnd.randrange(90)] = f"c{rnd.randint(0, 30)}"
+        rows.append((i, " ".join(words + [f"own{i}_{k}" for k in range(rnd.randint(0, 12))])))
+    docs = documents(rows, tmp_path / "docs")
+    assert sorted((tuple(r[:3]) for r in jaccard_components(docs).collect()), key=str) == linked(rows)[0]
+
+
 def test_components_of_a_long_path(spark):
     links = spark.range(1, 60).select(F.col("id").alias("a"), (F.col("id") - 1).alias("b"))
     found = components(links.unionByName(spark.createDataFrame([(100, 101)], "a long, b long")))

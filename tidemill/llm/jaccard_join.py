@@ -6,6 +6,9 @@ their sets' intersection is at least ``percent`` of their union; components are
 1. Chunks ask owners which of their tokens occur elsewhere (``_exchange``). A document of
    which fewer than ceil(percent * n) tokens do links with nothing and leaves here, in general
    most of a corpus. Of the others only shared tokens are kept; the rest count by number.
+   Sets with the same shared tokens and the same n are one class: any two of them have just these
+   tokens in common, and with any other set each has the same, so they link all or not at all.
+   A class is compared once; from here on "document" means a class.
 2. Tokens are ordered by how common they are (a table of counts of fixed size) and then by
    hash, those that occur once before all others. Linked sets share a token among the first
    n - ceil(percent * n) + 1 of each (prefix).
@@ -13,13 +16,14 @@ their sets' intersection is at least ``percent`` of their union; components are
    others; those that link with it are one cluster.
 4. Clusters that share a prefix token are compared by their first members, each with the cluster
    that has most of the token's documents. That joins what belongs together in time linear in the documents.
-5. What is still apart but shares a prefix token is searched exactly. A cluster is stored
-   in groups of bounded size, each with the union of its members' tokens (the row of the token-group
-   matrix). A query opens a group only if its overlap with the union reaches what a link
-   needs, and only then compares with the members.
+5. What is still apart but shares a prefix token is searched exactly. Documents are stored
+   in groups of bounded size, those of one cluster or of one pair of min-hashes together, each with the
+   union of its members' tokens (the row of the token-group matrix). Prefix tokens are joined with
+   groups, not with documents; frequent tokens are dealt to several tasks. A query opens a group only
+   if its overlap with the union reaches what a link needs, and only then compares with the members.
 6. Components come from rounds of stars over the links.
 
-No pair of documents of one cluster is listed, and no group is held by a task as a whole.
+No pair of documents is listed before it links, and no group or token is held by a task as a whole.
 """
 
 from __future__ import annotations
@@ -46,6 +50,8 @@ _SLICES = 64
 HOT_GROUP = 50_000
 #: Documents in a stored group, on average at most.
 GROUP_SIZE = 64
+#: A prefix token that more documents have is dealt to several tasks.
+HOT_TOKEN = 2_000
 
 
 def _needed(n: int, percent: int) -> int:
@@ -123,7 +129,6 @@ class _Chunk:
 
     def __init__(self, table: pa.Table, words: int):
         self.sets: list[np.ndarray] = []
-        self.digests: list[bytes] = []
         self.entry: list[int] = []
         known: dict[bytes, int] = {}
         rows: list[int] = []
@@ -132,7 +137,6 @@ class _Chunk:
             at = known.setdefault(digest, len(self.sets))
             if at == len(self.sets):
                 self.sets.append(tokens)
-                self.digests.append(digest)
                 rows.append(0)
             rows[at] += 1
             self.entry.append(at)
@@ -153,11 +157,16 @@ class _Chunk:
         return found
 
 
-_SETS = "doc_id long, row long, n long, digest binary, active boolean, key long, tokens binary"
+def _alike(tokens: np.ndarray, n: int) -> bytes:
+    """Digest of a class: its shared tokens and the size of its sets."""
+    return hashlib.blake2b(tokens.tobytes() + n.to_bytes(8), digest_size=16).digest()
+
+
+_SETS = "doc_id long, row long, n long, alike binary, active boolean, key long, tokens binary"
 
 
 def _described(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """A row per row of ``docs``; the tokens once per chunk and set, where there may be links."""
+    """A row per row of ``docs``; the tokens once per chunk and class, where there may be links."""
     owners = owners_for(docs.count(), 400)
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,18 +179,19 @@ def _described(docs: DataFrame, words: int, percent: int) -> DataFrame:
             own = _Chunk(table, words)
             kept = own.kept(read_bits(own.tokens, owners, answers), percent)
             keys = [None if t is None else _group_key(t) for t in kept]
-            written: set[int] = set()
+            alike = [None if t is None else _alike(t, len(s)) for t, s in zip(kept, own.sets, strict=True)]
+            written: set[bytes | None] = {None}
             tokens = []
             for entry in own.entry:
-                raw = None if kept[entry] is None or entry in written else kept[entry].tobytes()
+                raw = None if alike[entry] in written else kept[entry].tobytes()
                 tokens.append(raw)
-                written.add(entry)
+                written.add(alike[entry])
             yield pa.record_batch(
                 {
                     "doc_id": table["doc_id"].combine_chunks().cast(pa.int64()),
                     "row": pa.array(row_address(chunk, np.arange(len(own.entry)))),
                     "n": pa.array([len(own.sets[e]) for e in own.entry], pa.int64()),
-                    "digest": pa.array([own.digests[e] for e in own.entry], pa.binary()),
+                    "alike": pa.array([alike[e] for e in own.entry], pa.binary()),
                     "active": pa.array([kept[e] is not None for e in own.entry]),
                     "key": pa.array([keys[e] for e in own.entry], pa.int64()),
                     "tokens": pa.array(tokens, pa.binary()),
@@ -192,43 +202,49 @@ def _described(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return spool(with_answers(docs, answers).mapInArrow(describe, _SETS), "sets")
 
 
-_CLUSTERS = "digest binary, id long, cluster long, n long, prefix binary"
+_CLUSTERS = "alike binary, id long, cluster long, n long, key long, joined boolean, prefix binary"
 
 
 def _clusters(sets: DataFrame, common: Broadcast, percent: int) -> DataFrame:
-    """Distinct sets, each with the first of its group if they link: (digest, id, cluster, n, prefix)."""
-    rows = sets.filter("tokens IS NOT NULL").select("key", "digest", "row", "n", "tokens")
+    """Classes, each with the first of its group if they link: (alike, id, cluster, n, key, joined, prefix).
+
+    ``joined``: whether the sets of the class link with each other. Copies do, as all their tokens are shared.
+    """
+    rows = sets.filter("tokens IS NOT NULL").select("key", "alike", "row", "n", "tokens")
     # At most one row per HOT_GROUP rows of the table.
     hot = rows.groupBy("key").count().filter(F.col("count") > HOT_GROUP)
     hot = hot.select("key", F.ceil(F.col("count") / HOT_GROUP).alias("deals"))
-    deal = F.pmod(F.xxhash64("digest"), F.coalesce("deals", F.lit(1)))
-    rows = rows.join(F.broadcast(hot), "key", "left").select("key", deal.alias("deal"), "digest", "row", "n", "tokens")
+    deal = F.pmod(F.xxhash64("alike"), F.coalesce("deals", F.lit(1)))
+    rows = rows.join(F.broadcast(hot), "key", "left").select("key", deal.alias("deal"), "alike", "row", "n", "tokens")
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, last, first_id, first, first_n = None, None, 0, np.zeros(0, np.uint64), 0
         for batch in batches:
             out = []
-            columns = (batch[c].to_pylist() for c in ("key", "deal", "digest", "row", "n", "tokens"))
-            for key, deal, digest, row, n, raw in zip(*columns, strict=True):
-                if digest == last:
-                    continue  # the same set from another chunk
-                last, tokens = digest, np.frombuffer(raw, np.uint64)
+            columns = (batch[c].to_pylist() for c in ("key", "deal", "alike", "row", "n", "tokens"))
+            for key, deal, alike, row, n, raw in zip(*columns, strict=True):
+                if alike == last:
+                    continue  # the same class from another chunk
+                last, tokens = alike, np.frombuffer(raw, np.uint64)
                 if (key, deal) != group:
                     group, first_id, first, first_n = (key, deal), row, tokens, n
                 cluster = first_id if _links(first, first_n, tokens, n, percent) else row
-                out.append((digest, row, cluster, n, _prefix(tokens, n, common.value, percent).tobytes()))
+                joined = 100 * len(tokens) >= percent * (2 * n - len(tokens))
+                out.append((alike, row, cluster, n, key, joined, _prefix(tokens, n, common.value, percent).tobytes()))
             if out:
-                kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
                 arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.record_batch(arrays, ["digest", "id", "cluster", "n", "prefix"])
+                yield pa.record_batch(arrays, ["alike", "id", "cluster", "n", "key", "joined", "prefix"])
         give_back()
 
-    ordered = rows.repartition("key", "deal").sortWithinPartitions("key", "deal", "digest", "row")
+    ordered = rows.repartition("key", "deal").sortWithinPartitions("key", "deal", "alike", "row")
     return spool(ordered.mapInArrow(compare, _CLUSTERS), "clusters")
 
 
 def _by_token(clusters: DataFrame) -> DataFrame:
-    """(token, cluster, n, id) for every prefix token, tokens together."""
+    """The rows of ``clusters`` with every token of their prefix instead of the prefix."""
+    names = [c for c in clusters.columns if c != "prefix"]
+    schema = ", ".join(["token long", *(f"{c} {clusters.schema[c].dataType.simpleString()}" for c in names)])
 
     def explode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,41 +252,33 @@ def _by_token(clusters: DataFrame) -> DataFrame:
                 part = batch.slice(start, 1000)
                 prefixes = [np.frombuffer(p, np.int64) for p in part["prefix"].to_pylist()]
                 index = pa.array(np.repeat(np.arange(len(part)), [len(p) for p in prefixes]))
-                arrays = [pa.array(np.concatenate(prefixes)), *(part[c].take(index) for c in ("cluster", "n", "id"))]
-                yield pa.record_batch(arrays, ["token", "cluster", "n", "id"])
-
-    rows = clusters.select("cluster", "n", "id", "prefix").mapInArrow(explode, "token long, cluster long, n long, id long")
-    return rows.repartition("token").sortWithinPartitions("token", "cluster", "id")
-
-
-def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    """(cluster, n, id) of each token with more than one cluster; rows come sorted by token and cluster."""
-    held: list[np.ndarray] | None = None
-    names = ("token", "cluster", "n", "id")
-
-    def several(columns: list[np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
-        token, cluster = columns[0], columns[1]
-        if not len(token):
-            return
-        head = np.concatenate(([True], token[1:] != token[:-1]))
-        starts = np.append(np.flatnonzero(head), len(token))
-        apart = cluster[starts[:-1]] != cluster[starts[1:] - 1]
-        for k in np.flatnonzero(apart).tolist():
-            yield tuple(c[starts[k] : starts[k + 1]] for c in columns[1:])
-
-    for batch in batches:
-        columns = [batch[c].to_numpy() for c in names]
-        if held is not None:
-            columns = [np.concatenate(p) for p in zip(held, columns, strict=True)]
-        token = columns[0]
-        if not len(token):
-            continue
-        last = int(np.searchsorted(token, token[-1]))  # the last token may go on in the next batch
-        yield from several([c[:last] for c in columns])
-        held = [c[last:] for c in columns]
-    if held is not None:
-        yield from several(held)
-    give_back()
+                arrays = [pa.array(np.concatenate(prefixes)), *(part[c].take(index) for c in names)]
+                yield pa.record_batch(arrays, ["token", *names])
+
+    return clusters.select(*names, "prefix").mapInArrow(explode, schema)
+
+
+def _at_tokens(clusters: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(token, cluster, size), and of tokens with several clusters (token, top, deals).
+
+    ``top`` is the cluster with most documents at the token, ``deals`` the number of tasks for it.
+    """
+    counts = _by_token(clusters.select("cluster", "prefix")).groupBy("token", "cluster").agg(F.count(F.lit(1)).alias("size"))
+    top = F.max_by("cluster", F.struct("size", -F.col("cluster"))).alias("top")
+    tokens = counts.groupBy("token").agg(top, F.count(F.lit(1)).alias("clusters"), F.sum("size").alias("documents"))
+    tokens = tokens.filter("clusters > 1").select("token", "top", F.ceil(F.col("documents") / HOT_TOKEN).alias("deals"))
+    return counts, spool(tokens, "tokens")
+
+
+def _met(rows: DataFrame, by: str, tokens: DataFrame) -> DataFrame:
+    """``rows`` at ``tokens``, with top, deals and deal; rows of frequent tokens are dealt by ``by``."""
+    hot = F.broadcast(tokens.filter("deals > 1").select("token", F.col("deals").alias("hot")))  # one per HOT_TOKEN rows at most
+    dealt = rows.join(hot, "token", "left").withColumn("deal", F.pmod(F.xxhash64(by), F.coalesce("hot", F.lit(1)))).drop("hot")
+    return dealt.join(_each_deal(tokens), ["token", "deal"])
+
+
+def _each_deal(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)))
 
 
 def _pairs_batch(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
@@ -283,81 +291,81 @@ _PAIR = "center long, query long"
 
 def _nearest_clusters(clusters: DataFrame) -> DataFrame:
     """(center, query): first members of clusters, with that of the cluster most common at a token of both."""
+    counts, tokens = _at_tokens(clusters)
+    met = _met(counts.select("token", "cluster"), "cluster", tokens).filter("cluster <> top")
+    return met.select(F.col("top").alias("center"), F.col("cluster").alias("query")).distinct()
+
+
+def _grouped(clusters: DataFrame) -> DataFrame:
+    """``clusters`` with a stored group (grp): parts of a cluster, and of what has no cluster by its key.
+
+    ``mixed`` groups have members of several clusters.
+    """
+    named = clusters.groupBy("cluster").agg((F.count(F.lit(1)) == 1).alias("mixed"))
+    rows = clusters.join(named, "cluster").withColumn("unit", F.when(F.col("mixed"), F.col("key")).otherwise(F.col("cluster")))
+    sizes = rows.groupBy("mixed", "unit").agg(F.ceil(F.count(F.lit(1)) / GROUP_SIZE).alias("parts"))
+    grp = F.xxhash64("mixed", "unit", F.pmod(F.xxhash64("id"), F.col("parts")))
+    return rows.join(sizes, ["mixed", "unit"]).select("id", "cluster", "n", "prefix", "mixed", grp.alias("grp"))
 
-    def propose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs: set[tuple[int, int]] = set()
-        for cluster, _, _ in _runs(batches):
-            names, counts = np.unique(cluster, return_counts=True)
-            top = int(names[np.argmax(counts)])
-            pairs.update((top, int(c)) for c in names if c != top)
-            if len(pairs) > 100_000:
-                yield _pairs_batch(pairs)
-                pairs = set()
-        yield _pairs_batch(pairs)
-
-    return _by_token(clusters).mapInArrow(propose, _PAIR).distinct()
-
-
-def _open_candidates(clusters: DataFrame, percent: int) -> DataFrame:
-    """(center, query) for documents of different clusters that share a prefix token and have
-    sizes that allow a link; the center is the document of the larger cluster at the token."""
-
-    def propose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs: set[tuple[int, int]] = set()
-        for cluster, n, ids in _runs(batches):
-            names, inverse, counts = np.unique(cluster, return_inverse=True, return_counts=True)
-            rank = np.lexsort((names, -counts))
-            place = np.empty(len(names), np.int64)
-            place[rank] = np.arange(len(names))
-            place = place[inverse]
-            for i in range(len(ids)):
-                fits = (place < place[i]) & (100 * n >= percent * n[i]) & (100 * n[i] >= percent * n)
-                pairs.update((c, int(ids[i])) for c in ids[fits].tolist())
-                if len(pairs) > 100_000:
-                    yield _pairs_batch(pairs)
-                    pairs = set()
-        yield _pairs_batch(pairs)
-
-    return _by_token(clusters).mapInArrow(propose, _PAIR).distinct()
+
+def _open_candidates(grouped: DataFrame, percent: int) -> DataFrame:
+    """(grp, id, cluster) for documents and groups with documents of other clusters that share a prefix
+    token with it and have sizes that allow a link.
+
+    Of two documents at a token, one is outside of its most common cluster; that one is the query.
+    """
+    _, tokens = _at_tokens(grouped)
+    rows = _by_token(grouped)
+    queries = _met(rows.select("token", "id", "cluster", "n"), "id", tokens).filter("cluster <> top")
+    queries = queries.select("token", "deal", "id", "cluster", "n")
+    # Two groups that got the same number are one, which is mixed.
+    stored = rows.groupBy("token", "grp").agg(
+        F.min("cluster").alias("only"), (F.max("mixed") | (F.min("cluster") != F.max("cluster"))).alias("mixed"), F.min("n").alias("least"), F.max("n").alias("most")
+    )
+    stored = _each_deal(stored.join(tokens.select("token", "deals"), "token")).drop("deals")
+    fits = (F.col("most") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("least") * percent)
+    other = F.col("mixed") | (F.col("only") != F.col("cluster"))
+    return queries.join(stored, ["token", "deal"]).filter(fits & other).select("grp", "id", "cluster").distinct()
 
 
 def _verified(groups: DataFrame, queries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (center, query) between stored groups (grp, id) and queries (grp, id).
+    """Links (center, query) between stored groups (grp, id, cluster) and queries (grp, id, cluster).
 
     A group's members come first and are held, with the union of their tokens; queries stream past.
-    One link of a query with a group is enough, as the members of a group are connected.
+    One link of a query with each other cluster in a group is enough, as the members of a cluster are connected.
     """
     tokens = sets.filter("tokens IS NOT NULL").select(F.col("row").alias("id"), "n", "tokens")
     counted = queries.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / HOT_GROUP).alias("deals"))
-    dealt = queries.join(counted, "grp").select("grp", F.pmod(F.xxhash64("id"), F.col("deals")).alias("deal"), F.lit(1).alias("side"), "id")
-    stored = groups.join(counted, "grp").select("grp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)).alias("deal"), F.lit(0).alias("side"), "id")
+    dealt = queries.join(counted, "grp").select("grp", F.pmod(F.xxhash64("id"), F.col("deals")).alias("deal"), F.lit(1).alias("side"), "id", "cluster")
+    stored = groups.join(counted, "grp").select("grp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)).alias("deal"), F.lit(0).alias("side"), "id", "cluster")
     rows = stored.unionByName(dealt).join(tokens, "id")
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, members, union = None, [], None
         for batch in batches:
             found: set[tuple[int, int]] = set()
-            columns = (batch[c].to_pylist() for c in ("grp", "deal", "side", "id", "n", "tokens"))
-            for grp, deal, side, own, n, raw in zip(*columns, strict=True):
+            columns = (batch[c].to_pylist() for c in ("grp", "deal", "side", "id", "cluster", "n", "tokens"))
+            for grp, deal, side, own, cluster, n, raw in zip(*columns, strict=True):
                 mine = np.frombuffer(raw, np.uint64)
                 if (grp, deal) != group:
                     group, members, union = (grp, deal), [], None
                 if not side:
-                    members.append((own, n, mine))
+                    members.append((own, cluster, n, mine))
                     continue
                 if union is None:
-                    union = np.unique(np.concatenate([m for _, _, m in members]))
+                    union = np.unique(np.concatenate([m for *_, m in members]))
                 if _shared(union, mine) < _needed(n, percent):
                     continue  # no member can share enough: the group stays closed
-                for other, size, theirs in members:
-                    if _links(theirs, size, mine, n, percent):
+                met = {cluster}
+                for other, theirs_in, size, theirs in members:
+                    if theirs_in not in met and _links(theirs, size, mine, n, percent):
                         found.add((other, own))
-                        break
+                        met.add(theirs_in)
             yield _pairs_batch(found)
         give_back()
 
     ordered = rows.repartition("grp", "deal").sortWithinPartitions("grp", "deal", "side", "id")
-    return ordered.select("grp", "deal", "side", "id", "n", "tokens").mapInArrow(search, _PAIR)
+    return ordered.select("grp", "deal", "side", "id", "cluster", "n", "tokens").mapInArrow(search, _PAIR)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -406,23 +414,22 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WOR
     clusters = _clusters(sets, common, percent)
 
     near = spool(_nearest_clusters(clusters), "near")
-    first = _verified(near.select(F.col("center").alias("grp"), F.col("center").alias("id")).distinct(), near.select(F.col("center").alias("grp"), F.col("query").alias("id")), sets, percent)
-    clusters = spool(_relabelled(clusters, first), "clusters")
-
-    apart = spool(_open_candidates(clusters, percent), "candidates")
-    # Stored groups: the candidates of one cluster, in parts of GROUP_SIZE on average.
-    centers = apart.select(F.col("center").alias("id")).distinct().join(clusters.select("id", "cluster"), "id")
-    sizes = centers.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / GROUP_SIZE).alias("parts"))
-    part = F.pmod(F.xxhash64("id"), F.col("parts"))
-    groups = centers.join(sizes, "cluster").select(F.xxhash64("cluster", part).alias("grp"), "id")
-    queries = apart.join(groups.withColumnRenamed("id", "center"), "center").select("grp", F.col("query").alias("id")).distinct()
-    clusters = _relabelled(clusters, _verified(groups, queries, sets, percent))
+    # The first member of a cluster has its number.
+    centers = near.select(F.col("center").alias("grp"), F.col("center").alias("id"), F.col("center").alias("cluster")).distinct()
+    others = near.select(F.col("center").alias("grp"), F.col("query").alias("id"), F.col("query").alias("cluster"))
+    clusters = spool(_relabelled(clusters, _verified(centers, others, sets, percent)), "clusters")
+
+    grouped = spool(_grouped(clusters), "groups")
+    queries = spool(_open_candidates(grouped, percent), "candidates")
+    clusters = _relabelled(clusters, _verified(grouped.select("grp", "id", "cluster"), queries, sets, percent))
 
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
-    light = sets.select("doc_id", "row", "n", "digest", "active")
-    inside = light.filter("active").join(clusters.select("digest", "cluster"), "digest")
-    best = inside.groupBy("cluster").agg(F.min(rank).alias("best"))
-    inside = inside.join(best, "cluster").select("doc_id", "row", "n", "best")
+    light = sets.select("doc_id", "row", "n", "alike", "active")
+    inside = light.filter("active").join(clusters.select("alike", "cluster", F.col("id").alias("class"), "joined"), "alike")
+    # A class that links neither with itself nor with another one leaves its documents apart.
+    apart = (F.min("class") == F.max("class")) & ~F.max("joined")
+    best = inside.groupBy("cluster").agg(F.min(rank).alias("least"), apart.alias("apart"))
+    inside = inside.join(best, "cluster").select("doc_id", "row", "n", F.when(F.col("apart"), rank).otherwise(F.col("least")).alias("best"))
     alone = light.filter("NOT active").select("doc_id", "row", "n", rank.alias("best"))
     return inside.unionByName(alone).select(
         "doc_id",
