@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import random
+import struct
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemill.llm import suffix_dedup
@@ -49,6 +52,34 @@ def test_repetitive_texts(spark, documents, tmp_path):
     assert collected(remove_repeats(docs)) == brute_force(rows)
 
 
+@pytest.mark.parametrize("limit", [0, 3])
+def test_hot_anchors_are_settled_by_window(documents, corpus, tmp_path, monkeypatch, limit):
+    """Text around a frequent string of 16 bytes: no owner gets an entry for each occurrence."""
+    monkeypatch.setattr(suffix_dedup, "HOT_ANCHOR", limit)
+    rnd = random.Random(7)
+    head = "https://example.org/"
+    rows = [*corpus, *((100_000 + i, f"{rnd.random()} {head}{rnd.random()} {head}{i % 4}{'tail' * 20}") for i in range(60))]
+    sent = []
+    letters = suffix_dedup._Run.letters
+
+    def counted(run, chunk, owners):
+        _, entries = np.unique(run.matrix[:, : suffix_dedup.GRAM], axis=0, return_counts=True)
+        sent.append(int(entries.max(initial=0)))
+        return letters(run, chunk, owners)
+
+    docs = documents(rows, tmp_path / "docs")
+    assert collected(remove_repeats(docs)) == brute_force(rows)
+    # The same again in this process: what a chunk of all rows would send.
+    texts = pa.table({"doc_id": pa.array([i for i, _ in rows], pa.int64()), "text": [t for _, t in rows]})
+    parts = suffix_dedup._parts(texts)
+    (_, _, code), = suffix_dedup._anchor_letters(0, parts, 1)
+    hashes, entries = suffix_dedup._counted(parts)
+    answer = suffix_dedup._with_list(struct.pack("<I", len(hashes)) + bytes(len(hashes) // 8 + 1), np.flatnonzero(entries > limit))
+    assert (suffix_dedup._read_list(code, 2)[1] == entries[entries > 1]).all()
+    list(counted(suffix_dedup._Run(parts, 1, {0: answer}), 0, 1))
+    assert sent[0] <= limit
+
+
 def test_empty_table(spark, documents, tmp_path):
     docs = documents([], tmp_path / "docs")
     assert remove_repeats(docs).collect() == []

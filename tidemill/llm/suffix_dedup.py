@@ -17,11 +17,15 @@ them, compares all windows.
    are read off these numbers.
 4. Chunks get a mask per entry back: which windows of the anchor start in a smaller document.
 
-Documents are scanned three times and never shuffled.
+An anchor with very many entries takes no part in 2 and 3. Its windows are keyed by digests of
+their 50 bytes, so that they are settled by many tasks; equal windows still meet.
+
+Documents are scanned three times, four times if there are such anchors, and never shuffled.
 """
 
 from __future__ import annotations
 
+import hashlib
 import struct
 from array import array
 from collections.abc import Iterable, Iterator
@@ -31,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm._exchange import chunks, give_back, letters, opened, owner_of, pin_splits, read_bits, shared_hashes, with_answers
+from tidemill.llm._exchange import chunks, decode_sorted, give_back, letters, opened, owner_edges, owner_of, pin_splits, read_bits, with_answers
 from tidemill.llm._scratch import spool
 from tidemill.llm._text import RangeHash, joined, mix, portions, utf8
 
@@ -49,6 +53,10 @@ BATCH_BYTES = 1 << 18
 _NO_ID = np.int64((1 << 63) - 1)
 #: Part numbers of the answers of step 3 start here; those of step 1 are below.
 _MASKS = 1 << 24
+#: The part number of answers about windows of hot anchors.
+_HOT = (1 << 31) - 1
+#: An anchor with more entries is hot. Entries count once in a chunk.
+HOT_ANCHOR = 20_000
 #: Groups of more classes are compared by sorting windows, smaller ones pair by pair.
 _PAIRWISE = 12
 
@@ -93,6 +101,24 @@ class _Part:
         self.owner = np.searchsorted(self.bounds, self.anchors, side="right") - 1
         self.ids = ids[self.owner]
 
+    def contexts(self) -> np.ndarray:
+        """Hashes of what the entries of the anchors are made of."""
+        starts, ends = self.bounds[self.owner], self.bounds[self.owner + 1] - 1
+        return RangeHash(self.buffer)(np.maximum(self.anchors - _LEFT, starts), np.minimum(self.anchors + WIDTH, ends))
+
+    def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and documents of all windows of the chosen anchors."""
+        counts = self.high[chosen].astype(np.int64) - self.low[chosen] + 1
+        first = np.repeat(self.anchors[chosen] - self.high[chosen], counts)
+        step = np.arange(len(first)) - np.repeat(np.cumsum(counts) - counts, counts)
+        return first + step, np.repeat(self.ids[chosen], counts)
+
+    def digests(self, starts: np.ndarray) -> np.ndarray:
+        """16-byte digests of the windows that start there."""
+        raw = self.buffer.tobytes()
+        found = b"".join(hashlib.blake2b(raw[s : s + WIDTH], digest_size=16).digest() for s in starts.tolist())
+        return np.frombuffer(found, "S16")
+
     def choose(self, chosen: np.ndarray) -> None:
         for name in ("anchors", "low", "high", "hashes", "owner", "ids"):
             setattr(self, name, getattr(self, name)[chosen])
@@ -118,8 +144,81 @@ def _parts(table: pa.Table) -> list[_Part]:
     return [_Part(texts[a:b], ids[a:b]) for a, b in portions(texts, BATCH_BYTES)]
 
 
+def _counted(parts: list[_Part]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct anchor hashes of a chunk, and how many distinct entries each has."""
+    hashes = np.concatenate([p.hashes for p in parts])
+    distinct, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
+    several = np.flatnonzero(counts[inverse] > 1)
+    contexts = np.concatenate([p.contexts() for p in parts])[several]
+    _, first = np.unique(mix(contexts ^ mix(hashes[several])), return_index=True)
+    entries = np.bincount(inverse[several[first]], minlength=len(distinct))
+    return distinct, np.maximum(entries, 1)
+
+
+def _with_list(code: bytes, *columns: np.ndarray) -> bytes:
+    """``code`` and behind it 32-bit columns of equal length."""
+    return code + b"".join(c.astype("<u4").tobytes() for c in columns) + struct.pack("<I", len(columns[0]))
+
+
+def _read_list(code: bytes, columns: int) -> list[np.ndarray]:
+    (n,) = struct.unpack_from("<I", code, len(code) - 4)
+    start = len(code) - 4 - 4 * n * columns
+    return [np.frombuffer(code, "<u4", n, start + 4 * n * i) for i in range(columns)]
+
+
+def _anchor_letters(chunk: int, parts: list[_Part], owners: int) -> Iterator[tuple[int, int, bytes]]:
+    """Anchor hashes for their owners, with the number of entries where it is not 1."""
+    hashes, entries = _counted(parts)
+    edges = owner_edges(hashes, owners)
+    for owner, sender, code in letters(chunk, hashes, owners):
+        own = entries[edges[owner] : edges[owner + 1]]
+        more = np.flatnonzero(own > 1)
+        yield owner, sender, _with_list(code, more, own[more])
+
+
+def _shared_anchors(sent: DataFrame, limit: int) -> DataFrame:
+    """Answers (chunk, part, answer, hot): a bit per hash, set if another chunk has it too; then
+    the places of those with more than ``limit`` entries in all chunks."""
+
+    def answer(table: pa.Table) -> pa.Table:
+        codes = table["code"].to_pylist()
+        sets = [decode_sorted(code) for code in codes]
+        values, inverse, chunks_with = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        entries = chunks_with.copy()
+        answers, hot, at = [], [], 0
+        for own, code in zip(sets, codes, strict=True):
+            place, count = _read_list(code, 2)
+            np.add.at(entries, inverse[at : at + len(own)][place], count.astype(np.int64) - 1)
+            at += len(own)
+        at = 0
+        for own in sets:
+            index = inverse[at : at + len(own)]
+            at += len(own)
+            places = np.flatnonzero(entries[index] > limit)
+            hot.append(len(places))
+            answers.append(_with_list(struct.pack("<I", len(own)) + np.packbits(chunks_with[index] > 1).tobytes(), places))
+        parts = table["owner"].cast(pa.int32())
+        del sets, values, inverse, chunks_with, entries, codes
+        give_back()
+        return pa.table({"chunk": table["chunk"].cast(pa.int64()), "part": parts, "answer": pa.array(answers, pa.binary()), "hot": pa.array(hot, pa.int64())})
+
+    return sent.groupBy("owner").applyInArrow(answer, "chunk long, part int, answer binary, hot long")
+
+
+def _hot_flags(hashes: np.ndarray, owners: int, answers: dict[int, bytes]) -> np.ndarray:
+    """Which of ascending distinct hashes are hot; ``read_bits`` has checked the answers."""
+    edges = owner_edges(hashes, owners)
+    flags = np.zeros(len(hashes), bool)
+    for owner in np.flatnonzero(np.diff(edges)).tolist():
+        flags[edges[owner] + _read_list(answers[owner], 1)[0].astype(np.int64)] = True
+    return flags
+
+
 class _Run:
-    """The repeated anchors of a chunk: distinct entries in owner and suffix order."""
+    """The repeated anchors of a chunk: distinct entries in owner and suffix order.
+
+    Windows of hot anchors are apart, as (starts, documents) of each part.
+    """
 
     def __init__(self, parts: list[_Part], owners: int, answers: dict[int, bytes]):
         self.parts = parts
@@ -129,10 +228,14 @@ class _Run:
         least, most = np.full(len(distinct), _NO_ID), np.full(len(distinct), np.int64(-1) << np.int64(62))
         np.minimum.at(least, inverse, documents)
         np.maximum.at(most, inverse, documents)
-        repeated = (read_bits(distinct, owners, answers) | (least < most))[inverse]
+        repeated = read_bits(distinct, owners, answers) | (least < most)
+        hot = _hot_flags(distinct, owners, answers)
+        apart, repeated = (repeated & hot)[inverse], (repeated & ~hot)[inverse]
+        self.hot: list[tuple[np.ndarray, np.ndarray]] = []
         at = 0
         for part in parts:
             n = len(part.anchors)
+            self.hot.append(part.windows(apart[at : at + n]))
             part.choose(repeated[at : at + n])
             at += n
         whose = owner_of(np.concatenate([p.hashes for p in parts]), owners).astype(np.uint32)
@@ -353,6 +456,45 @@ def _letter_batch(sent: Iterator[tuple[int, int, bytes]]) -> pa.RecordBatch:
 _LETTER = "owner int, chunk long, code binary"
 
 
+def _window_batch(chunk: int, part: _Part, starts: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    """Distinct windows of a part, with their first and last document."""
+    windows, inverse = np.unique(part.digests(starts), return_inverse=True)
+    least, most = np.full(len(windows), _NO_ID), np.full(len(windows), np.int64(-1) << np.int64(63))
+    np.minimum.at(least, inverse, ids)
+    np.maximum.at(most, inverse, ids)
+    raw = windows.tobytes()
+    keys = [raw[i : i + 16] for i in range(0, len(raw), 16)]
+    return pa.record_batch({"window": pa.array(keys, pa.binary()), "chunk": pa.array([chunk] * len(keys), pa.int64()), "least": pa.array(least), "most": pa.array(most)})
+
+
+_WINDOW = "window binary, chunk long, least long, most long"
+
+
+def _settled_windows(windows: DataFrame) -> DataFrame:
+    """Answers to chunks: windows that start in a document before one of the chunk's, and the first such document."""
+    first = windows.groupBy("window").agg(F.min("least").alias("first"))
+    late = windows.join(first, "window").filter("first < most").select("chunk", "window", "first").distinct()
+
+    def answer(table: pa.Table) -> pa.Table:
+        table = table.sort_by("window")
+        code = struct.pack("<I", len(table)) + b"".join(table["window"].to_pylist()) + table["first"].to_numpy().astype("<i8").tobytes()
+        chunk = table["chunk"].slice(0, 1).cast(pa.int64())
+        return pa.table({"chunk": chunk, "part": pa.array([_HOT], pa.int32()), "answer": pa.array([code], pa.binary())})
+
+    return late.groupBy("chunk").applyInArrow(answer, "chunk long, part int, answer binary")
+
+
+def _gone_windows(part: _Part, starts: np.ndarray, ids: np.ndarray, answer: bytes | None) -> np.ndarray:
+    """Of the windows of hot anchors the starts of those that a smaller document has."""
+    if answer is None or not len(starts):
+        return starts[:0]
+    (n,) = struct.unpack_from("<I", answer)
+    known, first = np.frombuffer(answer, "S16", n, 4), np.frombuffer(answer, "<i8", n, 4 + 16 * n)
+    own = part.digests(starts)
+    at = np.minimum(np.searchsorted(known, own), n - 1)
+    return starts[(known[at] == own) & (first[at] < ids)]
+
+
 def _covered(parts: list[_Part], run: _Run, answers: dict[int, bytes]) -> Iterator[tuple[_Part, np.ndarray]]:
     """Of each part the bytes that go."""
     masks = np.zeros(len(run.ids), np.int64)
@@ -363,7 +505,7 @@ def _covered(parts: list[_Part], run: _Run, answers: dict[int, bytes]) -> Iterat
             raise RuntimeError("the input changed between two scans: write it to a table first")
         masks[a:b] = np.frombuffer(answer, "<i8", offset=4)
     at = 0
-    for part in parts:
+    for part, hot in zip(parts, run.hot, strict=True):
         n = len(part.anchors)
         entry = run.inverse[at : at + n]
         at += n
@@ -374,6 +516,9 @@ def _covered(parts: list[_Part], run: _Run, answers: dict[int, bytes]) -> Iterat
             starts = part.anchors[((own >> offset) & 1).astype(bool)] - offset
             edge[starts] += 1  # an anchor has one window at an offset: no place comes twice
             edge[starts + WIDTH] -= 1
+        starts = _gone_windows(part, *hot, answers.get(_HOT))
+        edge[starts] += 1  # windows have one anchor each: no start comes twice
+        edge[starts + WIDTH] -= 1
         yield part, np.cumsum(edge[:-1]) > 0
 
 
@@ -393,13 +538,19 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, table in chunks(batches):
-            hashes = np.unique(np.concatenate([p.hashes for p in _parts(table)]))
-            yield _letter_batch(letters(chunk, hashes, owners))
+            yield _letter_batch(_anchor_letters(chunk, _parts(table), owners))
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, table, answers in opened(batches):
             yield _letter_batch(_Run(_parts(table), owners, answers).letters(chunk, owners))
 
+    def send_windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, table, answers in opened(batches):
+            parts = _parts(table)
+            for part, hot in zip(parts, _Run(parts, owners, answers).hot, strict=True):
+                if len(hot[0]):
+                    yield _window_batch(chunk, part, *hot)
+
     def remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, table, answers in opened(batches):
             ids, row = table["doc_id"], 0
@@ -418,10 +569,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 arrays = [part_ids, pa.array(kept, pa.binary()), *(pa.array(x, pa.int64()) for x in (sizes, removed, spans))]
                 yield pa.record_batch(arrays, ["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
 
-    repeated = spool(shared_hashes(docs.mapInArrow(ask, _LETTER)), "anchors")
+    counted = spool(_shared_anchors(docs.mapInArrow(ask, _LETTER), HOT_ANCHOR), "anchors")
+    repeated = counted.drop("hot")
     sent = with_answers(docs, repeated).mapInArrow(send, _LETTER)
     masks = sent.groupBy("owner").applyInArrow(_merge_runs, "chunk long, part int, answer binary")
-    return with_answers(docs, repeated.unionByName(masks)).mapInArrow(
+    answers = repeated.unionByName(masks)
+    if counted.agg(F.sum("hot")).head()[0]:
+        windows = spool(with_answers(docs, repeated).mapInArrow(send_windows, _WINDOW), "windows")
+        answers = answers.unionByName(_settled_windows(windows))
+    return with_answers(docs, answers).mapInArrow(
         remove, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long"
     )
 
