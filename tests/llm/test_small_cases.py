@@ -413,6 +413,20 @@ def test_secrets_against_plain_patterns(documents, corpus, tmp_path, no_docs):
     assert find_secrets(no_docs).collect() == []
 
 
+def test_secrets_of_letters_alone_are_found(documents, tmp_path):
+    rnd = random.Random(16)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    some = lambda alphabet, n: "".join(rnd.choice(alphabet) for _ in range(n))
+    texts = [f"password={some(letters + '0123456789', 24)}" for _ in range(200)]
+    texts += ["internationalization_of_words and counterrevolutionary-movements"] * 1500
+    texts += [f"order {some('0123456789', 18)}" for _ in range(300)]
+    hidden = [some(letters, 24) for _ in range(20)]
+    texts += [f"look: {h} here" for h in hidden]
+    docs = documents(list(enumerate(texts)), tmp_path / "docs")
+    added = {r.doc_id: r.spans for r in secret_columns(find_secrets(docs)).filter("n_markov > 0").collect()}
+    assert added == {2000 + i: f"markov:6:{6 + len(h)}" for i, h in enumerate(hidden)}
+
+
 PII = [
     re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
     re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),

@@ -4,8 +4,9 @@ Patterns find assigned values, access keys and long hex strings. Beside them, ev
 least 16 token characters is scored by two first-order Markov models over characters, one of random
 strings and one of ordinary identifiers: the mean log-likelihood ratio per
 transition. Both are trained from labelled samples of the corpus: values inside pattern matches are
-random, runs of letters alone are ordinary. The threshold lies above all but a
-thousandth of the ordinary runs and never below equal likelihood.
+random; runs that several documents have, and numbers, are ordinary. The threshold lies above all but a
+thousandth of the ordinary runs and never below equal likelihood. Only one character over and over is
+no random string whatever the models say.
 
 DataFrame functions only. Texts are read once; what was found in them is written to a table, from which
 the models are counted and the runs are scored.
@@ -67,16 +68,17 @@ def _log_likelihoods(counts: dict[int, int]) -> list[float]:
 
 
 def _labelled(found: DataFrame) -> DataFrame:
-    """(token, random): runs inside pattern matches, and runs of letters alone outside them."""
+    """(token, random, n): values inside pattern matches; runs outside them that several rows have, and numbers."""
     base = F.concat(as_spans(F.col("assign"), 0), as_spans(F.col("access"), 1), as_spans(F.col("hex"), 2))
     values = F.concat(
         F.transform("assign", lambda m: F.regexp_extract(m["text"], ASSIGN, 2)), F.transform("access", lambda m: m["text"]), F.transform("hex", lambda m: m["text"])
     )
-    plain = F.filter("token", lambda m: m["text"].rlike("^[A-Za-z_-]+$") & ~overlaps(base, m["start"], m["end"]))
-    random = found.select(F.explode(values).alias("token"), F.lit(True).alias("random"))
-    random = random.select(F.regexp_replace("token", r"[^A-Za-z0-9+/_=-]", "").alias("token"), "random")
-    ordinary = found.select(F.explode(F.transform(plain, lambda m: m["text"])).alias("token"), F.lit(False).alias("random"))
-    return random.unionByName(ordinary).filter(F.char_length("token") >= 2)
+    outside = F.filter("token", lambda m: ~overlaps(base, m["start"], m["end"]))
+    random = found.select(F.explode(values).alias("token"), F.lit(True).alias("random"), F.lit(1).cast("long").alias("n"))
+    random = random.withColumn("token", F.regexp_replace("token", r"[^A-Za-z0-9+/_=-]", ""))
+    runs = found.select(F.explode(F.array_distinct(F.transform(outside, lambda m: m["text"]))).alias("token"))
+    ordinary = runs.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | F.col("token").rlike("^[0-9]+$"))
+    return random.unionByName(ordinary.select("token", F.lit(False).alias("random"), "n")).filter(F.char_length("token") >= 2)
 
 
 class SecretModel:
@@ -94,9 +96,9 @@ class SecretModel:
 def _train(found: DataFrame) -> SecretModel:
     labelled = _labelled(found)
     counted = (
-        labelled.select("random", F.explode(_transitions(F.col("token"))).alias("transition"))
+        labelled.select("random", "n", F.explode(_transitions(F.col("token"))).alias("transition"))
         .groupBy("random", "transition")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     counts: dict[bool, dict[int, int]] = {True: {}, False: {}}
     for row in counted.collect():  # at most two for each pair of characters
@@ -105,7 +107,9 @@ def _train(found: DataFrame) -> SecretModel:
         return SecretModel([0.0] * (_N * _N), math.inf)  # nothing to learn from: no added spans
     ratios = [a - b for a, b in zip(_log_likelihoods(counts[True]), _log_likelihoods(counts[False]), strict=True)]
     model = SecretModel(ratios, 0.0)
-    high = labelled.filter("NOT random").agg(F.percentile_approx(model.score(F.col("token")), 1 - FALSE_ALARMS, 10_000)).head()[0]
+    # Rounded up, so that the exact percentile holds few different scores.
+    scores = labelled.filter("NOT random").select((F.ceil(model.score(F.col("token")) * 1000) / 1000).alias("score"), "n")
+    high = float(scores.agg(F.percentile("score", 1 - FALSE_ALARMS, F.col("n"))).head()[0])
     return SecretModel(ratios, max(0.0, high))
 
 
@@ -121,8 +125,8 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     model = _train(found)
     base = F.concat(as_spans(F.col("assign"), 0), as_spans(F.col("access"), 1), as_spans(F.col("hex"), 2))
     found = found.select("doc_id", "token", F.array_sort(base).alias("base"))
-    # Runs of letters alone are ordinary by definition, and digits alone are numbers.
-    open_runs = F.filter("token", lambda m: m["text"].rlike("[0-9+/=]") & m["text"].rlike("[A-Za-z]") & ~overlaps(F.col("base"), m["start"], m["end"]))
+    several = lambda text: F.replace(text, F.substring(text, 1, 1), F.lit("")) != ""
+    open_runs = F.filter("token", lambda m: several(m["text"]) & ~overlaps(F.col("base"), m["start"], m["end"]))
     likely = F.filter(open_runs, lambda m: model.score(m["text"]) > F.lit(float(model.threshold)))
     return found.select("doc_id", "base", as_spans(likely, 3).cast(SPANS).alias("added"))
 
