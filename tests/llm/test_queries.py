@@ -27,4 +27,4 @@ def test_query_matches_its_statement(spark, name):
 
 def test_one_query_for_each_operator():
     numbers = [int(name[2:].split("_")[0]) for name in registered_queries()]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))

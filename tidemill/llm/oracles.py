@@ -67,6 +67,52 @@ FROM formatted
 GROUP BY conv_id
 """
 
+#: CRC-32 of each distinct word and run by its bytes; a byte's step is looked up in a table of 256.
+OP11 = r"""
+WITH steps AS MATERIALIZED (
+    SELECT list(list_reduce(list_prepend(n, range(8)),
+                            lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY n) AS step
+    FROM (SELECT unnest(range(256)) AS n)
+), texts AS (
+    SELECT 'd' AS side, row_number() OVER () AS n, doc_id, coalesce(text, '') AS body FROM documents
+    UNION ALL SELECT 'b', row_number() OVER (), NULL, coalesce(text, '') FROM benchmark
+), worded AS MATERIALIZED (
+    SELECT side, n, doc_id, regexp_extract_all(
+        translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM texts
+), features AS MATERIALIZED (
+    SELECT side, n, unnest(flatten(list_transform([1, 2, 3], lambda k:
+        list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(words[i:i + k - 1], ' '))))) AS feature
+    FROM worded
+), hashed AS MATERIALIZED (
+    SELECT feature, xor(list_reduce(
+        list_prepend(4294967295, list_transform(range(0, len(digits), 2), lambda i: ('0x' || digits[i + 1:i + 2])::BIGINT)),
+        lambda c, b: xor(c // 256, step[xor(c % 256, b) + 1])), 4294967295) % 10000 AS bucket
+    FROM (SELECT feature, hex(encode(feature)) AS digits FROM (SELECT DISTINCT feature FROM features)), steps
+), counted AS (
+    SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t
+    FROM features JOIN hashed USING (feature) GROUP BY bucket
+), gains AS (
+    SELECT bucket, CAST(floor(1000 * ln((t + 1.0::DOUBLE) * ((sum(s) OVER ()) + 10000)
+                                        / ((s + 1.0::DOUBLE) * ((sum(t) OVER ()) + 10000)))) AS BIGINT) AS gain
+    FROM counted
+), weights AS (
+    SELECT n, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight
+    FROM features JOIN hashed USING (feature) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY n
+), scored AS (
+    SELECT doc_id, len(words) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+               (('0x' || sha256('42:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+    FROM worded LEFT JOIN weights USING (n) WHERE side = 'd'
+), ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
+           5 * count(*) FILTER (n_words >= 20) OVER () // 100 AS drawn
+    FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= drawn THEN place END AS rank
+FROM ordered
+"""
+
 
 def oracle_statements() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2, "op3_decontaminate": OP3, "op9_chat_format": OP9}
+    return {"op2_exact_dedup": OP2, "op3_decontaminate": OP3, "op9_chat_format": OP9, "op11_importance_resampling": OP11}

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemill.llm.chat_format import format_turns, read_back
 from tidemill.llm.decontaminate import contained_items
 from tidemill.llm.exact_dedup import exact_duplicates
+from tidemill.llm.importance_resampling import resample
 from tidemill.llm.jaccard_join import jaccard_components
 from tidemill.llm.pii import digest_columns as pii_columns
 from tidemill.llm.pii import find_personal_data
@@ -20,7 +21,9 @@ from tidemill.llm.secret_scan import find_secrets
 from tidemill.llm.sentencepiece_dropout import encode_documents
 from tidemill.llm.suffix_dedup import remove_repeats
 from tidemill.llm.token_counts import edited_counts, with_sample_edits
+from tidemill.llm.tokenizer_alignment import align_documents
 from tidemill.llm.toxicity import held_out, score_documents, train
+from tidemill.llm.word_table_bpe import encoded_digests as word_bpe_digests
 
 #: Folder of the public vocabularies.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -114,6 +117,19 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_columns(find_personal_data(_table(spark, sf_dir, "documents")))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return align_documents(docs, f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_bpe_digests(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+
+
 def registered_queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -126,4 +142,7 @@ def registered_queries() -> dict[str, Query]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_chat_format": op9_chat_format,
         "op10_pii": op10_pii,
+        "op11_importance_resampling": op11_importance_resampling,
+        "op12_tokenizer_alignment": op12_tokenizer_alignment,
+        "op13_word_bpe": op13_word_bpe,
     }
