@@ -4,7 +4,8 @@ Messages come from a folder (``--topics``, one sub-folder per topic) or from
 Kafka (``--kafka``). The Kafka user and password are read from the environment
 variables TIDEMILL_KAFKA_USERNAME and TIDEMILL_KAFKA_PASSWORD, the Avro schema
 texts from ``--avro-schemas``, a folder with one ``<subject>.avsc`` per topic; without
-it, payloads are JSON.
+it, payloads are JSON. ``--schema-table`` names a Parquet folder of JSON payload schemas by id
+(subject, version, schema_id, schema), looked up for each micro-batch.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--topics", help="folder with one sub-folder of messages per topic")
     options.add_argument("--kafka", help="bootstrap servers")
     options.add_argument("--avro-schemas", help="folder of <subject>.avsc files")
+    options.add_argument("--schema-table", help="folder of payload schemas by id")
     options.add_argument("--concurrent", action="store_true", help="run independent steps together")
     options.add_argument("--max-files", type=int, help="files per micro-batch")
     options.add_argument("--max-offsets", type=int, help="Kafka offsets per micro-batch")
@@ -74,6 +76,8 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         if options.avro_schemas:
             schema = _schema_text(spark, options.avro_schemas, config.schema_subject)
             chosen |= {"schema": schema, "codec": "avro"}
+        if options.schema_table:
+            chosen["schema_table"] = lambda session: session.read.parquet(options.schema_table)
         return chosen
 
     if options.layer == "all":

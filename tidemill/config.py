@@ -17,6 +17,9 @@ CARRIED_COLUMNS = ("kafka_timestamp", "ingested_at")
 PROCESSED_COLUMN = "processed_timestamp"
 WINDOW_COLUMNS = ("window_start", "window_end")
 TABLE_FORMATS = ("parquet", "delta")
+#: Buckets of a silver table unless declared otherwise. The files keep the number for good; declare
+#: more where a table is to outgrow this many tasks.
+SILVER_BUCKETS = 16
 
 _SOURCE_FIELDS = (
     StructType()
@@ -79,15 +82,15 @@ class TopicConfig:
     topic_partitions: int = 1
     silver_columns: tuple[str, ...] = ()
     table_format: str = "parquet"
-    silver_buckets: int | None = None
-    #: Shuffle partitions of a merge; None: the session's. Buckets take precedence.
+    #: Buckets of a file-based silver table by its dedup keys; 0: none.
+    silver_buckets: int = SILVER_BUCKETS
+    #: Shuffle partitions of a merge into a table without buckets; None: the session's.
     merge_partitions: int | None = None
     bronze_table: str = ""
     silver_table: str = ""
     quarantine_table: str = ""
     bronze_checkpoint: str = ""
     silver_checkpoint: str = ""
-    quarantine_checkpoint: str = ""
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "dedup_keys", tuple(self.dedup_keys))
@@ -124,7 +127,6 @@ class TopicConfig:
             quarantine_table=f"{root}/quarantine/{self.name}",
             bronze_checkpoint=f"{marks}/bronze_{self.name}",
             silver_checkpoint=f"{marks}/silver_{self.name}",
-            quarantine_checkpoint=f"{marks}/quarantine_{self.name}",
             gold_jobs=tuple(
                 replace(j, table=f"{root}/gold/{j.name}", checkpoint=f"{marks}/gold_{j.name}")
                 for j in self.gold_jobs
@@ -144,7 +146,6 @@ class TopicConfig:
             quarantine_table=f"{namespace}.quarantine_{self.name}",
             bronze_checkpoint=f"{marks}/bronze_{self.name}",
             silver_checkpoint=f"{marks}/silver_{self.name}",
-            quarantine_checkpoint=f"{marks}/quarantine_{self.name}",
             gold_jobs=tuple(
                 replace(
                     j, table=f"{namespace}.gold_{j.name}", checkpoint=f"{marks}/gold_{j.name}"
@@ -166,6 +167,8 @@ class TopicConfig:
             raise ConfigError(f"topic {self.name}: message key is not a payload column")
         if "timestamp_ms" not in self.silver_columns:
             raise ConfigError(f"topic {self.name}: silver needs timestamp_ms for event time")
+        if self.silver_buckets < 0:
+            raise ConfigError(f"topic {self.name}: silver buckets cannot be negative")
         if self.table_format not in TABLE_FORMATS:
             raise ConfigError(f"topic {self.name}: table format {self.table_format!r}")
         for job in self.gold_jobs:
@@ -197,7 +200,7 @@ def topic_from_mapping(
     ``silver_table``, ``dedup_keys``, ``silver_columns``, ``bronze_checkpoint``,
     ``silver_checkpoint`` and ``gold_jobs``; each job has ``name``,
     ``gold_table``, ``checkpoint``, ``group_by``, ``aggs`` and perhaps ``filter`` and
-    ``state_partitions``; ``merge_partitions`` and ``table_format`` are optional.
+    ``state_partitions``; ``merge_partitions``, ``silver_buckets`` and ``table_format`` are optional.
     """
     jobs = tuple(
         GoldJob(
@@ -222,6 +225,7 @@ def topic_from_mapping(
         silver_columns=tuple(entry["silver_columns"]),
         table_format=entry.get("table_format", "parquet"),
         merge_partitions=entry.get("merge_partitions"),
+        silver_buckets=entry.get("silver_buckets", SILVER_BUCKETS),
         bronze_table=entry["bronze_table"],
         silver_table=entry["silver_table"],
         bronze_checkpoint=entry["bronze_checkpoint"],

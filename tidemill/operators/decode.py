@@ -8,6 +8,7 @@ return DataFrames and work on batch and streaming input alike; none shuffles.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
@@ -138,7 +139,34 @@ def _widen(decoded: Column, schema: StructType, fields: list[StructField]) -> Co
     )
 
 
-def split_decodable(
+@dataclass(frozen=True)
+class Judged:
+    """Messages with their decoded payload and, where it is no good, the reason."""
+
+    rows: DataFrame
+    fields: list[StructField]
+
+    def accepted(self, rows: DataFrame) -> DataFrame:
+        """The decoded rows of ``rows``, which is :attr:`rows` or a micro-batch of it."""
+        good = rows.filter("reason IS NULL")
+        return _flatten(good, F.struct(*(F.col("decoded")[f.name].alias(f.name) for f in self.fields)))
+
+    def rejected(self, rows: DataFrame) -> DataFrame:
+        """The raw messages of ``rows`` that do not decode."""
+        return rows.filter("reason IS NOT NULL").select(
+            "topic",
+            "partition",
+            "offset",
+            F.col("timestamp").alias("kafka_timestamp"),
+            "key",
+            "value",
+            schema_id("value").alias("schema_id"),
+            "reason",
+            F.current_timestamp().alias("quarantined_at"),
+        )
+
+
+def judge_messages(
     messages: DataFrame,
     schema: StructType | str,
     required: str = "event_id",
@@ -146,8 +174,8 @@ def split_decodable(
     avro_schema: str | None = None,
     schemas_by_id: Mapping[int, StructType] | None = None,
     avro_schemas_by_id: Mapping[int, str] | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Rows that decode, and raw messages that do not.
+) -> Judged:
+    """Decode messages, and say of each that does not decode why.
 
     A message is rejected when its header is missing, when its header names a schema
     that is not among ``schemas_by_id`` (if given), when its payload does not parse, or
@@ -157,21 +185,15 @@ def split_decodable(
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     by_id = {n: (s, (avro_schemas_by_id or {}).get(n)) for n, s in (schemas_by_id or {}).items()}
-    judged, fields = _judge(messages, by_id or {None: (schema, avro_schema)}, required, codec)
-    good = judged.filter("reason IS NULL")
-    good = _flatten(good, F.struct(*(F.col("decoded")[f.name].alias(f.name) for f in fields)))
-    bad = judged.filter("reason IS NOT NULL").select(
-        "topic",
-        "partition",
-        "offset",
-        F.col("timestamp").alias("kafka_timestamp"),
-        "key",
-        "value",
-        schema_id("value").alias("schema_id"),
-        "reason",
-        F.current_timestamp().alias("quarantined_at"),
-    )
-    return good, bad
+    rows, fields = _judge(messages, by_id or {None: (schema, avro_schema)}, required, codec)
+    # What the parts are made of; helper columns and the key of each attempt end here.
+    return Judged(rows.select(*messages.columns, "decoded", "reason"), fields)
+
+
+def split_decodable(messages: DataFrame, *arguments, **options) -> tuple[DataFrame, DataFrame]:
+    """Rows that decode, and raw messages that do not; arguments of :func:`judge_messages`."""
+    judged = judge_messages(messages, *arguments, **options)
+    return judged.accepted(judged.rows), judged.rejected(judged.rows)
 
 
 def _judge(

@@ -85,7 +85,8 @@ TOPIC_SQL = {
     "order_events": ORDER_EVENTS,
 }
 
-_CUT = "1705363200000"
+#: Halfway between the first and the last event.
+_CUT = "(SELECT (min(epoch_us(ts) // 1000) + max(epoch_us(ts) // 1000)) // 2 FROM events)"
 
 
 def _windows(
@@ -317,11 +318,17 @@ def oracle_statements() -> dict[str, str]:
     )
     found["gold_resume"] = _windows(*_JOBS["j1_funnel"])
     found["gold_late_dropped"] = _windows(*_JOBS["j1_funnel"], f"timestamp_ms >= {_CUT}")
+    found["gold_compacted"] = _windows(*_JOBS["j1_funnel"])
     for topic, sql in TOPIC_SQL.items():
         found[f"bronze_decode_{topic}"] = sql
     found["header_schema_id"] = _HEADERS
     found["decode_by_schema_id"] = _later_fields()
     found["bronze_additive_schema"] = _later_fields()
+    found["bronze_new_schema_id"] = _later_fields()
+    found["silver_additive_columns"] = _later_fields()
+    found["silver_recovered"] = (
+        f"SELECT event_id, event_type, amount, kafka_timestamp FROM ({USER_ACTIVITY}) t"
+    )
     found["bronze_late_files"] = (
         'SELECT event_id, event_type, total_amount, "partition", "offset" '
         f"FROM ({TOPIC_SQL['order_events']}) t"

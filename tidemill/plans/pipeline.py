@@ -85,10 +85,9 @@ def with_fresh_checkpoints(config: TopicConfig) -> TopicConfig:
     """The topic with new checkpoints, for when a source table was recreated.
 
     Silver keeps its table: everything is read again and the merge leaves out
-    what is there. An append-only Parquet table remembers the batches of its
-    old checkpoint and would skip the new ones, so bronze and gold tables get
-    new names along with their checkpoints. If a merge broke off before, discard
-    what it left with :func:`tidemill.streaming.discard_unfinished_batches` first.
+    what is there. Bronze and gold tables are append-only and would have every row once for each
+    checkpoint, so they get new names along with their checkpoints. What a broken run left
+    behind needs no attention: it was never published.
     """
     mark = uuid.uuid4().hex[:8]
 
@@ -102,7 +101,6 @@ def with_fresh_checkpoints(config: TopicConfig) -> TopicConfig:
         bronze_checkpoint=renamed(config.bronze_checkpoint),
         silver_checkpoint=renamed(config.silver_checkpoint),
         quarantine_table=table(config.quarantine_table),
-        quarantine_checkpoint=renamed(config.quarantine_checkpoint),
         gold_jobs=tuple(
             replace(job, table=table(job.table), checkpoint=renamed(job.checkpoint))
             for job in config.gold_jobs

@@ -20,7 +20,7 @@ from pyspark.sql.types import StructType
 from tidemill.config import GoldJob, TopicConfig
 from tidemill.functions import utc_wall_clock
 from tidemill.operators import RULES, frame_header, rule_violations, windowed_aggregate
-from tidemill.plans.pipeline import run_pipeline
+from tidemill.plans.pipeline import run_pipeline, with_fresh_checkpoints
 from tidemill.sources import append_messages, scan_table, stream_table, stream_topic_files
 from tidemill.sources.sample_topics import (
     as_messages,
@@ -30,10 +30,13 @@ from tidemill.sources.sample_topics import (
     source_table,
     stream_events,
 )
-from tidemill.sources.tables import with_batch_fields
 from tidemill.streaming import (
+    RunLedger,
     clean_silver,
+    compact,
     ingest_bronze,
+    read_ledger,
+    remove_replaced,
     run_gold_aggregation,
     session_of,
 )
@@ -55,8 +58,6 @@ JOBS = {
 #: Output rounding of aggregates over doubles.
 ROUNDED = {"total_revenue": 2, "avg_price": 6}
 
-#: Where queries with two deliveries cut the events: 2024-01-16 00:00 UTC.
-CUT_MS = 1705363200000
 #: When late files claim to be from: 2001-09-09.
 LATE_FILE_MS = 1_000_000_000_000
 #: Values that break the nullability rules of every row they are put in.
@@ -130,33 +131,50 @@ def gold_batch(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
     return _present(windowed_aggregate(batch_events(spark, sf_dir, topic), job), job)
 
 
-def _gold_in_two_runs(
-    spark: SparkSession, sf_dir: str, label: str, first: str, second: str
-) -> DataFrame:
-    """Job J1 run twice on one checkpoint, with more events before the second run."""
-    config = _config(spark, "user_activity", label)
-    job = config.job("funnel_metrics_hourly")
-    events = batch_events(spark, sf_dir, "user_activity").select("event_type", "timestamp_ms")
+def _gold_in_runs(spark: SparkSession, job: GoldJob, silver: str, deliveries: list[DataFrame]) -> DataFrame:
+    """A job run on one checkpoint for each delivery of events."""
     session = session_of(spark, job)
-    for arrivals in (first, second):
-        events.filter(arrivals).write.mode("append").parquet(config.silver_table)
-        stream = stream_table(session, config.silver_table, schema=events.schema)
+    for events in deliveries:
+        events.write.mode("append").parquet(silver)
+        stream = stream_table(session, silver, schema=events.schema)
         run_gold_aggregation(session, stream, job, report_counts=False)
     return _gold_table(spark, job, events)
 
 
+def _halves(
+    spark: SparkSession, sf_dir: str, label: str
+) -> tuple[TopicConfig, DataFrame, DataFrame]:
+    """A topic and its events, up to the cut and after it."""
+    config = _config(spark, "user_activity", label)
+    events = batch_events(spark, sf_dir, "user_activity").select("event_type", "timestamp_ms")
+    cut = _cut(events)
+    return config, events.filter(F.col("timestamp_ms") < cut), events.filter(F.col("timestamp_ms") >= cut)
+
+
 def gold_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Open windows survive in the checkpoint and are finished by the next run."""
-    return _gold_in_two_runs(
-        spark, sf_dir, "resume", f"timestamp_ms < {CUT_MS}", f"timestamp_ms >= {CUT_MS}"
-    )
+    config, early, late = _halves(spark, sf_dir, "resume")
+    return _gold_in_runs(spark, config.job("funnel_metrics_hourly"), config.silver_table, [early, late])
 
 
 def gold_late_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows behind the watermark of an earlier run do not count any more."""
-    return _gold_in_two_runs(
-        spark, sf_dir, "late", f"timestamp_ms >= {CUT_MS}", f"timestamp_ms < {CUT_MS}"
-    )
+    config, early, late = _halves(spark, sf_dir, "late")
+    return _gold_in_runs(spark, config.job("funnel_metrics_hourly"), config.silver_table, [late, early])
+
+
+def gold_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table compacted after each of several runs; what was replaced is gone before it is read."""
+    config, early, late = _halves(spark, sf_dir, "compacted")
+    job = config.job("funnel_metrics_hourly")
+    middle = _cut(late)
+    deliveries = [early, late.filter(F.col("timestamp_ms") < middle), late.filter(F.col("timestamp_ms") >= middle)]
+    schema = windowed_aggregate(early, job).schema
+    for events in deliveries:
+        _gold_in_runs(spark, job, config.silver_table, [events])
+        compact(spark, job.table, schema)
+        remove_replaced(spark, job.table)
+    return _present(scan_table(spark, job.table, schema=schema), job)
 
 
 # --- ingestion -------------------------------------------------------------------------
@@ -196,6 +214,11 @@ def header_schema_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _cut(events: DataFrame) -> int:
+    """Where queries with two deliveries cut the events: halfway between the first and the last."""
+    return events.agg(F.expr("(min(timestamp_ms) + max(timestamp_ms)) div 2")).first()[0]
+
+
 def _older(schema: StructType) -> StructType:
     return StructType([f for f in schema.fields if f.name not in LATER_FIELDS])
 
@@ -204,7 +227,7 @@ def decode_by_schema_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One topic with two writer schemas: messages up to the cut lack the later fields."""
     config = _config(spark, "user_activity", "schema-ids")
     newer, older = config.payload_schema, _older(config.payload_schema)
-    is_old = F.col("timestamp_ms") < CUT_MS
+    is_old = F.col("timestamp_ms") < _cut(_published(spark, sf_dir, "user_activity"))
     events = _delivered(spark, sf_dir, "user_activity").withColumns(
         {name: F.when(~is_old, F.col(name)) for name in LATER_FIELDS}
     )
@@ -223,19 +246,54 @@ def bronze_additive_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _config(spark, "user_activity", "additive")
     topic_folder = f"{config.bronze_checkpoint}_topic"
     events = _published(spark, sf_dir, "user_activity")
+    cut = _cut(events)
     runs = (
-        (f"timestamp_ms < {CUT_MS}", _older(config.payload_schema)),
-        (f"timestamp_ms >= {CUT_MS}", config.payload_schema),
+        (f"timestamp_ms < {cut}", _older(config.payload_schema)),
+        (f"timestamp_ms >= {cut}", config.payload_schema),
     )
     for arrivals, schema in runs:
         messages = as_messages(events.filter(arrivals), "user_activity", schema.names)
         append_messages(messages, topic_folder)
         stream = stream_topic_files(spark, topic_folder)
         ingest_bronze(spark, config, stream, schema, report_counts=False)
-    bronze = scan_table(spark, config.bronze_table, merge_schema=True)
+    bronze = scan_table(spark, config.bronze_table, schema=config.bronze_schema)
+    return bronze.select("event_id", "event_type", "product_id", "amount", *LATER_FIELDS)
+
+
+def bronze_new_schema_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries drained by one run, the second under a schema id that the run was not told of.
+
+    Ids are looked up in a schema table when their batch comes.
+    """
+    config = _config(spark, "user_activity", "new-schema-id")
+    topic_folder, schemas = (f"{config.bronze_checkpoint}_{name}" for name in ("topic", "schemas"))
+    events = _published(spark, sf_dir, "user_activity")
+    cut = _cut(events)
+    newer, older = config.payload_schema, _older(config.payload_schema)
+    versions = [
+        (config.schema_subject, version, ident, _as_ddl(schema))
+        for version, (ident, schema) in enumerate(((11, older), (12, newer)), 1)
+    ]
+    columns = "subject STRING, version INT, schema_id BIGINT, schema STRING"
+    spark.createDataFrame(versions, columns).write.parquet(schemas)
+    for arrivals, schema, ident in (
+        (f"timestamp_ms < {cut}", older, 11),
+        (f"timestamp_ms >= {cut}", newer, 12),
+    ):
+        messages = as_messages(events.filter(arrivals), "user_activity", schema.names, ident)
+        append_messages(messages, topic_folder)
+    stream = stream_topic_files(spark, topic_folder, max_files_per_trigger=1)
+    ingest_bronze(
+        spark, config, stream, report_counts=False, schema_table=lambda s: s.read.parquet(schemas)
+    )
+    bronze = scan_table(spark, config.bronze_table, schema=config.bronze_schema)
     return bronze.select("event_id", "event_type", "product_id", "amount", *LATER_FIELDS)
 
 
+def _as_ddl(schema: StructType) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def bronze_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries, the second in files dated a year earlier: every message arrives."""
     config = _config(spark, "order_events", "late-files")
@@ -323,9 +381,7 @@ def quarantine_by_schema_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _silver(spark: SparkSession, config: TopicConfig) -> DataFrame:
-    return scan_table(
-        spark, config.silver_table, schema=with_batch_fields(config.silver_schema)
-    )
+    return scan_table(spark, config.silver_table, schema=config.silver_schema)
 
 
 def silver_dedup(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
@@ -339,14 +395,19 @@ def silver_dedup(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
 
 
 def _two_deliveries(
-    spark: SparkSession, config: TopicConfig, first: DataFrame, second: DataFrame
+    spark: SparkSession,
+    config: TopicConfig,
+    first: DataFrame,
+    second: DataFrame,
+    ledger: RunLedger | None = None,
 ) -> DataFrame:
     """Bronze and silver run after each delivery."""
     topic_folder = f"{config.bronze_checkpoint}_topic"
     for messages in (first, second):
         append_messages(messages, topic_folder)
-        ingest_bronze(spark, config, stream_topic_files(spark, topic_folder), report_counts=False)
-        clean_silver(spark, config, report_counts=False)
+        stream = stream_topic_files(spark, topic_folder)
+        ingest_bronze(spark, config, stream, report_counts=False, ledger=ledger)
+        clean_silver(spark, config, report_counts=False, ledger=ledger)
     return _silver(spark, config)
 
 
@@ -378,7 +439,7 @@ def silver_two_batches(spark: SparkSession, sf_dir: str, in_catalog: bool = Fals
     silver = _two_deliveries(
         spark,
         config,
-        as_messages(events.filter(f"timestamp_ms < {CUT_MS}"), "user_activity"),
+        as_messages(events.filter(F.col("timestamp_ms") < _cut(events)), "user_activity"),
         as_messages(changed, "user_activity"),
     )
     return _readable(
@@ -386,17 +447,65 @@ def silver_two_batches(spark: SparkSession, sf_dir: str, in_catalog: bool = Fals
     )
 
 
+def silver_additive_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A silver table that gets more columns between two runs: NULL in the rows of the first."""
+    newer = _config(spark, "user_activity", "additive-silver")
+    older = replace(
+        newer,
+        payload_schema=_older(newer.payload_schema),
+        silver_columns=tuple(c for c in newer.silver_columns if c not in LATER_FIELDS),
+    )
+    topic_folder = f"{newer.bronze_checkpoint}_topic"
+    events = _published(spark, sf_dir, "user_activity")
+    cut = _cut(events)
+    for config, arrivals in ((older, f"timestamp_ms < {cut}"), (newer, f"timestamp_ms >= {cut}")):
+        messages = as_messages(events.filter(arrivals), "user_activity", config.payload_schema.names)
+        append_messages(messages, topic_folder)
+        stream = stream_topic_files(spark, topic_folder)
+        ingest_bronze(spark, config, stream, report_counts=False)
+        clean_silver(spark, config, report_counts=False)
+    silver = _silver(spark, newer)
+    return silver.select("event_id", "event_type", "product_id", "amount", *LATER_FIELDS)
+
+
+def silver_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge killed while it wrote, then a checkpoint reset: the rerun is right without help.
+
+    The first half of the events is merged. Of the second half a merge leaves its files in the
+    folder that a killed one leaves behind. All checkpoints are new after that.
+    """
+    config = _config(spark, "user_activity", "recovered")
+    topic_folder = f"{config.bronze_checkpoint}_topic"
+    events = _published(spark, sf_dir, "user_activity")
+    cut = _cut(events)
+    append_messages(as_messages(events.filter(F.col("timestamp_ms") < cut), "user_activity"), topic_folder)
+    ingest_bronze(spark, config, stream_topic_files(spark, topic_folder), report_counts=False)
+    clean_silver(spark, config, report_counts=False)
+    late = events.filter(F.col("timestamp_ms") >= cut)
+    killed = f"{config.silver_table}/.spark-staging-killed/run_id=killed/batch_id=1"
+    late.select(*(c for c in late.columns if c in config.silver_columns)).write.parquet(killed)
+    append_messages(as_messages(late, "user_activity"), topic_folder)
+    fresh = with_fresh_checkpoints(config)
+    ingest_bronze(spark, fresh, stream_topic_files(spark, topic_folder), report_counts=False)
+    clean_silver(spark, fresh, report_counts=False)
+    return _readable(_silver(spark, fresh).select("event_id", "event_type", "amount", "kafka_timestamp"))
+
+
 def silver_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows inserted by each of two micro-batches; product events, whose keys repeat."""
+    """Rows inserted by each of two micro-batches, from the ledger; product events, whose keys repeat."""
     config = _config(spark, "product_events", "batch-counts")
+    folder = f"{config.bronze_checkpoint}_ledger"
     events = _published(spark, sf_dir, "product_events")
-    silver = _two_deliveries(
-        spark,
-        config,
-        as_messages(events.filter("event_type = 'price_changed'"), "product_events"),
-        as_messages(redelivery(events), "product_events"),
-    )
-    return silver.groupBy("batch_id").agg(F.count(F.lit(1)).alias("inserted"))
+    with RunLedger(spark, folder) as ledger:
+        _two_deliveries(
+            spark,
+            config,
+            as_messages(events.filter("event_type = 'price_changed'"), "product_events"),
+            as_messages(redelivery(events), "product_events"),
+            ledger,
+        )
+    recorded = read_ledger(spark, folder).filter(F.col("table_name") == config.silver_table)
+    return recorded.select("batch_id", F.col("written").alias("inserted"))
 
 
 def silver_tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -459,11 +568,13 @@ def registered_queries() -> dict[str, Query]:
     )
     found["gold_resume"] = gold_resume
     found["gold_late_dropped"] = gold_late_dropped
+    found["gold_compacted"] = gold_compacted
     for topic in TOPICS:
         found[f"bronze_decode_{topic}"] = partial(bronze_decode, topic=topic)
     found["header_schema_id"] = header_schema_id
     found["decode_by_schema_id"] = decode_by_schema_id
     found["bronze_additive_schema"] = bronze_additive_schema
+    found["bronze_new_schema_id"] = bronze_new_schema_id
     found["bronze_late_files"] = bronze_late_files
     found["quarantine"] = quarantine
     found["quarantine_by_schema_id"] = quarantine_by_schema_id
@@ -472,6 +583,8 @@ def registered_queries() -> dict[str, Query]:
     found["silver_two_batches"] = silver_two_batches
     found["silver_two_batches_bucketed"] = partial(silver_two_batches, in_catalog=True)
     found["silver_batch_counts"] = silver_batch_counts
+    found["silver_additive_columns"] = silver_additive_columns
+    found["silver_recovered"] = silver_recovered
     found["silver_tombstones"] = silver_tombstones
     found["pipeline_end_to_end"] = pipeline_end_to_end
     found["quality_invariants"] = quality_invariants

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidemill.config import TopicConfig
-from tidemill.operators import decode_by_schema_id, decode_messages, split_decodable
+from tidemill.config import TopicConfig, is_location
+from tidemill.operators import Judged, decode_by_schema_id, decode_messages, judge_messages
 from tidemill.sources import count_rows, jaas_config, read_topic_stream
-from tidemill.streaming.sinks import announce, append_stream, await_all
+from tidemill.sources.schema_table import schemas_by_id as known_schemas
+from tidemill.sources.tables import ensure_append_table
+from tidemill.streaming.ledger import RunLedger
+from tidemill.streaming.sinks import announce, append_stream, split_stream
 
 ON_ERROR = ("fail", "quarantine")
 
@@ -24,49 +28,71 @@ def ingest_bronze(
     schemas_by_id: dict[int, StructType] | None = None,
     avro_schemas_by_id: dict[int, str] | None = None,
     report_counts: bool = True,
+    ledger: RunLedger | None = None,
+    schema_table: Callable[[SparkSession], DataFrame] | None = None,
 ) -> int | None:
     """Drain ``messages`` into the topic's bronze table and return its row count.
 
     ``schema`` defaults to the configured payload (for Avro, pass the schema
     text). With ``schemas_by_id`` each message is decoded with the schema its
-    header names (for Avro, the texts go in ``avro_schemas_by_id``). With
+    header names (for Avro, the texts go in ``avro_schemas_by_id``). ``schema_table`` opens a table
+    of schemas by id instead (see :mod:`tidemill.sources.schema_table`); it is asked anew for each
+    micro-batch, so ids that appear while the query runs are known when their messages
+    come. With
     ``on_error="quarantine"`` messages that do not decode go to the quarantine
-    table instead of failing the run, also those with a schema id that is not listed; that
-    is a second query over the topic with its own checkpoint.
+    table instead of failing the run, also those with a schema id that is not listed; one query
+    reads the topic, parses each payload once and writes both tables of a batch.
     """
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
-    queries: list[StreamingQuery] = []
-    if on_error == "quarantine":
-        avro_schema = schema if codec == "avro" else None
-        rows, rejected = split_decodable(
-            messages,
+    if schema_table and (schemas_by_id or codec == "avro"):
+        raise ValueError("a schema table has JSON schemas and stands in for schemas_by_id")
+
+    def known(session: SparkSession) -> dict[int, StructType] | None:
+        return known_schemas(schema_table(session), config.schema_subject) if schema_table else schemas_by_id
+
+    def judge(batch: DataFrame) -> Judged:
+        return judge_messages(
+            batch,
             config.payload_schema if codec == "avro" or schema is None else schema,
             config.dedup_keys[0],
             codec,
-            avro_schema,
-            schemas_by_id,
+            schema if codec == "avro" else None,
+            known(batch.sparkSession),
             avro_schemas_by_id,
         )
-        queries.append(
-            append_stream(
-                rejected,
-                config.quarantine_table,
-                config.quarantine_checkpoint,
-                config.table_format,
-            )
-        )
-    elif schemas_by_id:
-        rows = decode_by_schema_id(messages, schemas_by_id, codec, avro_schemas_by_id)
+
+    def decode(batch: DataFrame) -> DataFrame:
+        by_id = known(batch.sparkSession)
+        if by_id:
+            return decode_by_schema_id(batch, by_id, codec, avro_schemas_by_id)
+        return decode_messages(batch, schema or config.payload_schema, codec)
+
+    def parts(judged: Judged) -> dict[str, Callable[[DataFrame], DataFrame]]:
+        return {config.bronze_table: judged.accepted, config.quarantine_table: judged.rejected}
+
+    def judge_late(batch: DataFrame) -> tuple[DataFrame, dict]:
+        judged = judge(batch)
+        return judged.rows, parts(judged)
+
+    place = (config.bronze_checkpoint, config.table_format, ledger)
+    if on_error == "quarantine" and schema_table:
+        query = split_stream(messages, judge_late, *place)
+    elif on_error == "quarantine":
+        # Decoded in the streaming plan, so that rejects are counted in the query's progress.
+        judged = judge(messages)
+        query = split_stream(judged.rows, lambda batch: (batch, parts(judged)), *place)
+    elif schema_table:
+        query = append_stream(messages, config.bronze_table, *place, prepare=decode)
     else:
-        rows = decode_messages(messages, schema or config.payload_schema, codec)
-    queries.append(
-        append_stream(rows, config.bronze_table, config.bronze_checkpoint, config.table_format)
-    )
-    await_all(queries)
+        query = append_stream(decode(messages), config.bronze_table, *place)
+    query.awaitTermination()
+    if config.table_format != "delta" and not is_location(config.bronze_table):
+        # A table of the catalog is there after the first run, even if no message came.
+        ensure_append_table(spark, config.bronze_table, config.bronze_schema)
     if not report_counts:
         return None
-    total = count_rows(spark, config.bronze_table, config.table_format, rows.schema)
+    total = count_rows(spark, config.bronze_table, config.table_format, config.bronze_schema)
     return announce(config.bronze_table, total)
 
 

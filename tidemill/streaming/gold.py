@@ -12,12 +12,8 @@ from tidemill.config import GoldJob, TopicConfig
 from tidemill.operators import DEFAULT_WATERMARK, DEFAULT_WINDOW, windowed_aggregate
 from tidemill.session import isolated
 from tidemill.sources import count_rows, stream_table
-from tidemill.streaming.sinks import (
-    announce,
-    append_stream,
-    await_all,
-    require_finished_batches,
-)
+from tidemill.streaming.ledger import RunLedger
+from tidemill.streaming.sinks import announce, append_stream, await_all
 
 
 @dataclass(frozen=True)
@@ -40,10 +36,11 @@ def start_gold_aggregation(
     window: str = DEFAULT_WINDOW,
     watermark_scope: str = "matching",
     table_format: str = "parquet",
+    ledger: RunLedger | None = None,
 ) -> StartedJob:
     """Start one job on a stream of events; it stops when everything available is done."""
     result = windowed_aggregate(events, job, watermark, window, watermark_scope)
-    query = append_stream(result, job.table, job.checkpoint, table_format)
+    query = append_stream(result, job.table, job.checkpoint, table_format, ledger)
     return StartedJob(job, query, result.schema)
 
 
@@ -68,6 +65,7 @@ def run_gold_aggregation(
     table_format: str = "parquet",
     report_counts: bool = True,
     max_files_per_trigger: int | None = None,
+    ledger: RunLedger | None = None,
 ) -> int | None:
     """Drain new silver rows through one job and return the row count of its table.
 
@@ -76,8 +74,6 @@ def run_gold_aggregation(
     large backlog of a table into micro-batches that are committed one by one.
     """
     if isinstance(silver, str):
-        if table_format != "delta":
-            require_finished_batches(spark, silver)
         session = session_of(spark, job)
         events = stream_table(
             session, silver, table_format, max_files_per_trigger=max_files_per_trigger
@@ -85,7 +81,7 @@ def run_gold_aggregation(
     else:
         events = silver
     started = start_gold_aggregation(
-        events, job, watermark, window, watermark_scope, table_format
+        events, job, watermark, window, watermark_scope, table_format, ledger
     )
     started.query.awaitTermination()
     return started.rows(spark, table_format) if report_counts else None
@@ -100,6 +96,7 @@ def run_all_gold_jobs(
     report_counts: bool = True,
     watermark_scope: str = "matching",
     max_files_per_trigger: int | None = None,
+    ledger: RunLedger | None = None,
 ) -> dict[str, int | None]:
     """Run every job of a topic and return row counts by job name.
 
@@ -107,8 +104,6 @@ def run_all_gold_jobs(
     watermark. ``concurrent`` starts them together; the first failure is
     raised after all have ended.
     """
-    if config.table_format != "delta":
-        require_finished_batches(spark, config.silver_table)
     started: list[StartedJob] = []
     for job in config.gold_jobs:
         events = stream_table(
@@ -119,7 +114,7 @@ def run_all_gold_jobs(
             max_files_per_trigger,
         )
         running = start_gold_aggregation(
-            events, job, watermark, window, watermark_scope, config.table_format
+            events, job, watermark, window, watermark_scope, config.table_format, ledger
         )
         started.append(running)
         if not concurrent:

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from tidemill.config import PROCESSED_COLUMN, TopicConfig
 from tidemill.operators import first_per_key
 from tidemill.sources import count_rows, ensure_merge_table, stream_table
-from tidemill.sources.tables import with_batch_fields
-from tidemill.streaming.sinks import InsertOnlyMerge, announce
+from tidemill.streaming.ledger import RunLedger
+from tidemill.streaming.sinks import InsertOnlyMerge, announce, query_id, start_batches
 
 
-def ensure_silver_table(spark: SparkSession, config: TopicConfig) -> None:
-    """Create the topic's silver table if it is absent."""
-    ensure_merge_table(
+def ensure_silver_table(spark: SparkSession, config: TopicConfig) -> str:
+    """Create the topic's silver table if it is absent, add columns it lacks; its catalog name."""
+    return ensure_merge_table(
         spark,
         config.silver_table,
         config.silver_schema,
@@ -33,7 +33,7 @@ def silver_rows(arrivals: DataFrame, config: TopicConfig) -> DataFrame:
     )
 
 
-def silver_merge(config: TopicConfig) -> InsertOnlyMerge:
+def silver_merge(config: TopicConfig, ledger: RunLedger | None = None) -> InsertOnlyMerge:
     return InsertOnlyMerge(
         config.silver_table,
         config.silver_schema,
@@ -41,6 +41,7 @@ def silver_merge(config: TopicConfig) -> InsertOnlyMerge:
         config.table_format,
         config.silver_buckets,
         config.merge_partitions,
+        ledger,
     )
 
 
@@ -56,6 +57,7 @@ def clean_silver(
     config: TopicConfig,
     report_counts: bool = True,
     max_files_per_trigger: int | None = None,
+    ledger: RunLedger | None = None,
 ) -> int | None:
     """Drain new bronze rows into the silver table and return its row count.
 
@@ -70,25 +72,13 @@ def clean_silver(
         config.bronze_schema,
         max_files_per_trigger,
     )
-    merge = silver_merge(config)
+    merge = silver_merge(config, ledger)
 
     def on_batch(arrivals: DataFrame, batch_id: int) -> None:
-        context = arrivals.sparkSession.sparkContext
-        run_id = context.getLocalProperty("sql.streaming.queryId")
-        if not run_id:
-            # All checkpoints would write to the same folder and overwrite each other.
-            raise RuntimeError("the streaming query's id is not known in this thread")
-        upsert_batch(merge, config, arrivals, run_id, batch_id)
-
-    query = (
-        bronze.writeStream.foreachBatch(on_batch)
-        .option("checkpointLocation", config.silver_checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+        upsert_batch(merge, config, arrivals, query_id(arrivals), batch_id)
+
+    start_batches(bronze, on_batch, config.silver_checkpoint).awaitTermination()
     if not report_counts:
         return None
-    schema = with_batch_fields(config.silver_schema)
-    total = count_rows(spark, config.silver_table, config.table_format, schema)
+    total = count_rows(spark, config.silver_table, config.table_format, config.silver_schema)
     return announce(config.silver_table, total)

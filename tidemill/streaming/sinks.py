@@ -1,11 +1,20 @@
-"""Stream sinks: append to a table, and the per-batch insert-only merge."""
+"""Stream sinks: append to a table, and the per-batch insert-only merge.
+
+File tables keep one partition per streaming query and micro-batch. Spark writes a batch into a hidden
+staging folder and moves it to its place by one rename (dynamic partition overwrite), so
+a batch is published or it is not there: a table has no log of files that the driver
+would have to keep, and what a broken run leaves behind is never read. The partition itself
+is the mark that a batch is done; a replay finds it and does nothing. A query on a new checkpoint has
+a new id and so partitions of its own.
+"""
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,17 +22,22 @@ from pyspark.sql.types import StructType
 
 from tidemill.config import is_location
 from tidemill.operators import merge_with_delta, rows_to_insert
-from tidemill.sources.tables import scan_table, with_batch_fields
-from tidemill.workspace import ensure_folder, exists, matching, remove
+from tidemill.sources.tables import (
+    BATCH_COLUMNS,
+    ensure_append_table,
+    registered_name,
+    scan_table,
+    with_batch_fields,
+)
+from tidemill.streaming.ledger import RunLedger
+from tidemill.workspace import exists
 
 log = logging.getLogger("tidemill")
 
-_SUCCESS = "_SUCCESS"
-_MARK_SUCCESS = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
-
+Transform = Callable[[DataFrame], DataFrame]
 
-class UnfinishedBatch(RuntimeError):
-    """A merge broke off while writing; its files must not be read yet."""
+#: Only the partition of the batch may be replaced.
+_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def announce(table: str, rows: int) -> int:
@@ -31,38 +45,13 @@ def announce(table: str, rows: int) -> int:
     return rows
 
 
-def append_stream(
-    rows: DataFrame, table: str, checkpoint: str, table_format: str = "parquet"
-) -> StreamingQuery:
-    """Start a query that appends everything available now to a table, then stops.
-
-    New columns are allowed (``mergeSchema``): table formats that track a
-    schema extend it, Parquet readers unite the file schemas on request.
-    """
-    writer = (
-        rows.writeStream.format(table_format)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .option("mergeSchema", "true")
-        .trigger(availableNow=True)
-    )
-    if is_location(table):
-        if table_format != "delta":
-            ensure_folder(rows.sparkSession, table)
-        return writer.start(table)
-    return writer.toTable(table)
-
-
-def await_all(queries: list[StreamingQuery]) -> None:
-    """Wait for every query, then raise the first failure, if any."""
-    failure: Exception | None = None
-    for query in queries:
-        try:
-            query.awaitTermination()
-        except Exception as error:  # noqa: BLE001 - raised below
-            failure = failure or error
-    if failure is not None:
-        raise failure
+def query_id(batch: DataFrame) -> str:
+    """The id of the streaming query that a micro-batch belongs to; checkpoints keep it."""
+    found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        # All checkpoints would write to the same partitions and overwrite each other.
+        raise RuntimeError("the streaming query's id is not known in this thread")
+    return found
 
 
 @contextmanager
@@ -81,61 +70,136 @@ def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
-def require_finished_batches(spark: SparkSession, table: str) -> None:
-    """Refuse to read a merged Parquet table whose last writer broke off.
+def is_published(spark: SparkSession, table: str, run_id: str, batch_id: int) -> bool:
+    if is_location(table):
+        return exists(spark, f"{table}/run_id={run_id}/batch_id={batch_id}")
+    spec = f"run_id='{run_id}', batch_id={batch_id}"
+    return bool(spark.sql(f"SHOW PARTITIONS {table} PARTITION ({spec})").take(1))
+
+
+def publish(rows: DataFrame, table: str, run_id: str, batch_id: int) -> int:
+    """Write the partition of a micro-batch, all or nothing; the number of rows in it.
 
-    The batch will be written again under other file names, so a stream that
-    reads the leftovers now would count their rows twice.
+    A batch that is published already is left as it is: readers may have its files.
     """
-    unfinished = _unfinished_batches(spark, table)
-    if unfinished:
-        raise UnfinishedBatch(f"finish the merge first; incomplete: {', '.join(unfinished)}")
+    spark = rows.sparkSession
+    if is_published(spark, table, run_id, batch_id):
+        log.info("%s: batch %d is in already", table, batch_id)
+        done = F.expr(f"run_id = '{run_id}' AND batch_id = {batch_id}")
+        schema = with_batch_fields(rows.schema)
+        return scan_table(spark, table, schema=schema).filter(done).count()
+    # Counted while writing; no job of its own.
+    written = Observation()
+    counted = rows.observe(written, F.count(F.lit(1)).alias("rows")).withColumns(
+        {"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")}
+    )
+    with settings(spark, {_OVERWRITE: "dynamic"}):
+        if is_location(table):
+            counted.write.mode("overwrite").partitionBy(*BATCH_COLUMNS).parquet(table)
+        else:
+            columns = spark.table(table).columns
+            lacking = {c: F.lit(None) for c in columns if c not in counted.columns}
+            counted.withColumns(lacking).select(*columns).write.insertInto(table, overwrite=True)
+    total = written.get["rows"]
+    log.info("%s: batch %d has %d rows", table, batch_id, total)
+    return total
+
+
+def start_batches(
+    rows: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str
+) -> StreamingQuery:
+    """Drain what is available now through ``on_batch``, then stop."""
+    return (
+        rows.writeStream.outputMode("append")
+        .foreachBatch(on_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
-def discard_unfinished_batches(spark: SparkSession, table: str) -> list[str]:
-    """Delete what broken merges have left in a merged Parquet table; the batches' names.
+def append_stream(
+    rows: DataFrame,
+    table: str,
+    checkpoint: str,
+    table_format: str = "parquet",
+    ledger: RunLedger | None = None,
+    prepare: Transform | None = None,
+) -> StreamingQuery:
+    """Start a query that appends everything available now to a table, then stops.
 
-    For use after a checkpoint reset, when the query that could finish them is gone.
-    No merge may be running on the table.
+    New columns are allowed: tables of the catalog and formats that track a schema extend it,
+    readers of Parquet locations unite the file schemas on request. ``prepare`` is applied to each
+    micro-batch when its turn comes, for what is not known when the query starts.
     """
-    unfinished = _unfinished_batches(spark, table)
-    location = table if is_location(table) else _location_of(spark, table)
-    for name in unfinished:
-        remove(spark, f"{location}/{name}")
-        log.warning("%s: discarded unfinished %s", table, name)
-    return unfinished
-
+    if table_format != "delta" and prepare is None:
+        ensure_append_table(rows.sparkSession, table, rows.schema)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        _append(prepare(batch) if prepare else batch, table, table_format, query_id(batch), batch_id, ledger)
+
+    return start_batches(rows, on_batch, checkpoint)
+
+
+def _append(
+    rows: DataFrame, table: str, table_format: str, run_id: str, batch_id: int, ledger: RunLedger | None
+) -> None:
+    if table_format == "delta":
+        writer = rows.write.format("delta").mode("append").option("mergeSchema", "true")
+        # The format itself leaves out a batch that it has from this query already.
+        writer = writer.option("txnAppId", f"{run_id}-{table}").option("txnVersion", batch_id)
+        writer.save(table) if is_location(table) else writer.saveAsTable(table)
+        return
+    ensure_append_table(rows.sparkSession, table, rows.schema)
+    total = publish(rows, table, run_id, batch_id)
+    if ledger:
+        ledger.wrote(table, run_id, batch_id, total)
+
+
+def split_stream(
+    rows: DataFrame,
+    split: Callable[[DataFrame], tuple[DataFrame, Mapping[str, Transform]]],
+    checkpoint: str,
+    table_format: str = "parquet",
+    ledger: RunLedger | None = None,
+) -> StreamingQuery:
+    """One query that appends parts of each micro-batch to several tables.
 
-def _unfinished_batches(spark: SparkSession, table: str) -> list[str]:
-    location = table if is_location(table) else _location_of(spark, table)
-    written = _batch_names(matching(spark, f"{location}/run_id=*/batch_id=*"))
-    if is_location(table):
-        marks = matching(spark, f"{location}/run_id=*/batch_id=*/{_SUCCESS}")
-        finished = _batch_names(m.removesuffix(f"/{_SUCCESS}") for m in marks)
-    else:
-        listed = spark.sql(f"SHOW PARTITIONS {table}").collect()
-        finished = {row["partition"] for row in listed}
-    return sorted(written - finished)
+    ``split`` turns a batch into rows, which are computed once and kept (in memory, beyond it on
+    disk) while the tables are written, and the part of them that each table gets. After a crash
+    between two tables the replay writes only those that lack the batch.
+    """
 
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        run_id = query_id(batch)
+        judged, parts = split(batch)
+        kept = judged.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for table, part in parts.items():
+                _append(part(kept), table, table_format, run_id, batch_id, ledger)
+        finally:
+            kept.unpersist()
 
-def _location_of(spark: SparkSession, table: str) -> str:
-    details = spark.sql(f"DESCRIBE FORMATTED {table}")
-    return details.filter("col_name = 'Location'").first()["data_type"]
+    return start_batches(rows, on_batch, checkpoint)
 
 
-def _batch_names(folders: Iterable[str]) -> set[str]:
-    """The last two parts of each path: run_id=…/batch_id=…"""
-    return {"/".join(f.split("/")[-2:]) for f in folders}
+def await_all(queries: list[StreamingQuery]) -> None:
+    """Wait for every query, then raise the first failure, if any."""
+    failure: Exception | None = None
+    for query in queries:
+        try:
+            query.awaitTermination()
+        except Exception as error:  # noqa: BLE001 - raised below
+            failure = failure or error
+    if failure is not None:
+        raise failure
 
 
 class InsertOnlyMerge:
     """The body of a ``foreachBatch`` sink that inserts rows with unseen keys.
 
-    Inserted rows live in one partition per micro-batch, named by the
-    streaming query's id and the batch number. Replaying a batch that was
-    committed does nothing; replaying one that was not redoes its partition
-    against the rest of the table. A query started on a new checkpoint has a
-    new id, so it cannot touch what earlier ones wrote.
+    Replaying a batch that was published does nothing; one that was not is
+    done against the rest of the table. ``inserted`` has the rows of each batch.
     """
 
     def __init__(
@@ -146,6 +210,7 @@ class InsertOnlyMerge:
         table_format: str = "parquet",
         buckets: int | None = None,
         partitions: int | None = None,
+        ledger: RunLedger | None = None,
     ) -> None:
         self.table = table
         self.schema = schema
@@ -153,8 +218,14 @@ class InsertOnlyMerge:
         self.table_format = table_format
         self.buckets = buckets
         self.partitions = partitions
+        self.ledger = ledger
         self.inserted: dict[int, int] = {}
 
+    @property
+    def name(self) -> str:
+        """The target's name in the catalog."""
+        return registered_name(self.table) if is_location(self.table) else self.table
+
     def __call__(
         self, arrivals: DataFrame, deduplicated: DataFrame, run_id: str, batch_id: int
     ) -> None:
@@ -162,60 +233,27 @@ class InsertOnlyMerge:
         if self.table_format == "delta":
             merge_with_delta(spark, self.table, deduplicated, self.keys)
             return
-        if self._committed(spark, run_id, batch_id):
-            log.info("%s: batch %d is in already", self.table, batch_id)
-            return
         with settings(spark, self._settings()):
-            others = self._others(spark, run_id, batch_id)
-            # The first batch, often the largest, has nothing to be compared with.
-            rows = (
-                deduplicated
-                if others.isEmpty()
-                else rows_to_insert(deduplicated, arrivals, others, self.keys)
-            )
-            # Counted while writing; no job of its own.
-            written = Observation()
-            rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-            self._write(rows, run_id, batch_id)
-        self.inserted[batch_id] = written.get["rows"]
-        log.info("%s: batch %d inserted %d rows", self.table, batch_id, self.inserted[batch_id])
+            self.inserted[batch_id] = self._insert(spark, deduplicated, run_id, batch_id)
+        if self.ledger:
+            self.ledger.wrote(self.table, run_id, batch_id, self.inserted[batch_id])
+
+    def _insert(self, spark: SparkSession, deduplicated: DataFrame, run_id: str, batch_id: int) -> int:
+        # The first batch, often the largest, has nothing to be compared with; nor has one that is in.
+        first = not spark.sql(f"SHOW PARTITIONS {self.name}").take(1)
+        if first or is_published(spark, self.name, run_id, batch_id):
+            return publish(deduplicated, self.name, run_id, batch_id)
+        # Its keys and its rows are both asked for; the batch is read and reduced once.
+        kept = deduplicated.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            target = scan_table(spark, self.name)
+            return publish(rows_to_insert(kept, kept, target, self.keys), self.name, run_id, batch_id)
+        finally:
+            kept.unpersist()
 
     def _settings(self) -> dict[str, str]:
         # With as many shuffle partitions as buckets, the batch is shuffled
         # once, onto the buckets; the target stays where it is, and the result
         # is written without moving again.
         partitions = self.buckets or self.partitions
-        chosen = {"spark.sql.shuffle.partitions": str(partitions)} if partitions else {}
-        if not is_location(self.table):
-            # Only the batch's own partition may be replaced.
-            chosen["spark.sql.sources.partitionOverwriteMode"] = "dynamic"
-        return chosen
-
-    def _folder(self, run_id: str, batch_id: int) -> str:
-        return f"{self.table}/run_id={run_id}/batch_id={batch_id}"
-
-    def _committed(self, spark: SparkSession, run_id: str, batch_id: int) -> bool:
-        if is_location(self.table):
-            return exists(spark, f"{self._folder(run_id, batch_id)}/{_SUCCESS}")
-        spec = f"run_id='{run_id}', batch_id={batch_id}"
-        found = spark.sql(f"SHOW PARTITIONS {self.table} PARTITION ({spec})")
-        return bool(found.take(1))
-
-    def _others(self, spark: SparkSession, run_id: str, batch_id: int) -> DataFrame:
-        """The target without the partition that is about to be written."""
-        target = scan_table(
-            spark, self.table, self.table_format, with_batch_fields(self.schema)
-        )
-        return target.filter((F.col("run_id") != run_id) | (F.col("batch_id") != batch_id))
-
-    def _write(self, rows: DataFrame, run_id: str, batch_id: int) -> None:
-        if is_location(self.table):
-            rows.write.mode("overwrite").option(_MARK_SUCCESS, "true").parquet(
-                self._folder(run_id, batch_id)
-            )
-            return
-        rows.select(
-            *self.schema.names,
-            F.lit(run_id).alias("run_id"),
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-        ).write.insertInto(self.table, overwrite=True)
+        return {"spark.sql.shuffle.partitions": str(partitions)} if partitions else {}

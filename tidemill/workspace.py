@@ -9,19 +9,24 @@ from pyspark.sql import SparkSession
 _SHARED_FOLDER = "spark.checkpoint.dir"
 #: Run folders handed out, by application.
 _RUNS: dict[str, list[str]] = {}
+#: Names in the catalog of tables in run folders, by application.
+_NAMES: dict[str, set[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``, else a folder of the warehouse."""
+    """The folder all executors see: ``spark.checkpoint.dir``.
+
+    Only where driver and executors are one process a folder of the warehouse does as well; on
+    a cluster the warehouse may be a folder of the driver's machine, so the setting is required.
+    """
     configured = spark.conf.get(_SHARED_FOLDER, None) or spark.sparkContext.getConf().get(
         _SHARED_FOLDER
     )
     if configured:
         return configured.rstrip("/")
-    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
-    if not warehouse:
+    if not f"{spark.sparkContext.master}[".startswith("local["):
         raise RuntimeError(f"set {_SHARED_FOLDER} to a folder that every executor can reach")
-    return f"{warehouse.rstrip('/')}/_runs"
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_runs"
 
 
 def new_run_folder(spark: SparkSession, label: str) -> str:
@@ -55,8 +60,17 @@ def remove(spark: SparkSession, location: str) -> None:
     fs.delete(path, True)
 
 
+def forget_with_run_folders(spark: SparkSession, location: str, name: str) -> None:
+    """Drop a table's name together with the run folder that its location is in, if it is in one."""
+    application = spark.sparkContext.applicationId
+    if any(location.startswith(f"{run}/") for run in _RUNS.get(application, [])):
+        _NAMES.setdefault(application, set()).add(name)
+
+
 def remove_run_folders(spark: SparkSession) -> int:
-    """Delete the run folders and databases of this session's queries, once their results are read."""
+    """Delete the run folders and table names of this session's queries, once their results are read."""
+    for name in _NAMES.pop(spark.sparkContext.applicationId, set()):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     taken = _RUNS.pop(spark.sparkContext.applicationId, [])
     for location in taken:
         remove(spark, location)
@@ -70,6 +84,12 @@ def date_files(spark: SparkSession, location: str, millis: int) -> None:
         fs.setTimes(status.getPath(), millis, -1)
 
 
+def size_of(spark: SparkSession, location: str) -> int:
+    """Bytes of all files under a location."""
+    path, fs = _hadoop_path(spark, location)
+    return fs.getContentSummary(path).getLength()
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Existing locations that match a glob pattern."""
     path, fs = _hadoop_path(spark, pattern)
