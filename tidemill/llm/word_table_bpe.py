@@ -4,10 +4,14 @@ The tokenizer drops white space before it merges, and neither its special tokens
 normalisation reach across a space, tab or line end. So a text's ids are those of its words, in
 order, where a word is what stands between such characters:
 
-1. Tasks split texts into words; a chunk of texts keeps each word once, and positions.
-2. The words of all chunks, made distinct, are encoded once each.
-3. Ids are joined with the vocabulary's id-to-piece table; pieces in order are the decoded word.
+1. Tasks split texts into words. A chunk of texts numbers its distinct words, keeps the positions as
+   numbers, and sends the words, each once and packed, to owners of hash ranges.
+2. An owner has the distinct words of its range, the partitioned table, and encodes each once.
+3. Owners are joined with the vocabulary's id-to-piece table; a word is decoded by its ids' pieces.
 4. Ids and pieces go back to the chunks that asked, and by position to the texts.
+
+A word is sent once for each chunk that has it, however often it occurs there, so a word
+that is everywhere costs its owner one entry for each chunk.
 """
 
 from __future__ import annotations
@@ -18,18 +22,24 @@ import os
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm._dictionary import entries, meet, packed, text_chunks, unpacked
+from tidemill.llm._dictionary import packed, text_chunks, unpacked
 from tidemill.llm._scratch import spool
 from tidemill.llm._text import utf8
 
 #: Words encoded with one call.
 _WORDS = 4096
+#: Text bytes for each owner of a hash range.
+OWNER_BYTES = 32 << 20
+#: Text bytes of a chunk; larger chunks repeat fewer words.
+CHUNK_BYTES = 8 << 20
 
 
 @lru_cache(maxsize=2)
@@ -46,127 +56,165 @@ def tokenizer(path: str):
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
     """The vocabulary as a table (id, piece), added tokens included; its size is the file's."""
-    loaded = tokenizer(path)
-    vocabulary = loaded.get_vocab(with_added_tokens=True)
+    vocabulary = tokenizer(path).get_vocab(with_added_tokens=True)
     return spark.createDataFrame([(i, p) for p, i in vocabulary.items()], "id int, piece string")
 
 
-def _split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for chunk, rows in text_chunks(batches):
-        numbers: defaultdict[bytes, int] = defaultdict()
-        numbers.default_factory = numbers.__len__
-        codes, lengths = [], []
-        for text in utf8(rows.column("text")):
-            words = text.split()
-            codes.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
-            lengths.append(len(words))
-        codes = np.concatenate(codes)
-        yield pa.record_batch(
+def _joiner(path: str) -> str:
+    """What stands between pieces: without a decoder of its own, the library joins them by spaces."""
+    with open(path, encoding="utf-8") as file:
+        if json.load(file).get("decoder") is not None:
+            raise ValueError("the tokenizer has a decoder; only joined pieces are decoded here")
+    return " "
+
+
+def _compressed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True) if data else b""
+
+
+def _expanded(code: bytes) -> bytes:
+    return pa.decompress(code[8:], int.from_bytes(code[:8], "little"), "zstd", asbytes=True) if code else b""
+
+
+_CHUNK = "chunk long, ids array<long>, lengths array<long>, codes binary, letters array<struct<owner: int, body: binary>>"
+_LETTERS = pa.list_(pa.struct([("owner", pa.int32()), ("body", pa.binary())]))
+
+
+def _split(owners: int):
+    """Texts as word numbers; words are numbered by owner, in the order in which they are sent."""
+
+    def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, rows in text_chunks(batches, CHUNK_BYTES):
+            numbers: defaultdict[bytes, int] = defaultdict()
+            numbers.default_factory = numbers.__len__
+            codes, lengths = [], []
+            for text in utf8(rows.column("text")):
+                words = text.split()
+                codes.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+                lengths.append(len(words))
+            words = list(numbers)
+            owner = np.fromiter(map(crc32, words), np.uint32, len(words)) % np.uint32(owners)
+            order = np.argsort(owner, kind="stable")
+            renumbered = np.empty(len(words), np.int32)
+            renumbered[order] = np.arange(len(words), dtype=np.int32)
+            edges = np.searchsorted(owner[order], np.arange(owners + 1)).tolist()
+            sent = [words[i] for i in order.tolist()]
+            letters = [
+                {"owner": o, "body": _compressed(b"\n".join(sent[a:b]))}
+                for o, (a, b) in enumerate(zip(edges, edges[1:], strict=False))
+                if b > a
+            ]
+            yield pa.record_batch(
+                {
+                    "chunk": pa.array([chunk], pa.int64()),
+                    "ids": pa.array([rows.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+                    "lengths": pa.array([lengths], pa.list_(pa.int64())),
+                    "codes": pa.array([packed(renumbered[np.concatenate(codes)])], pa.binary()),
+                    "letters": pa.array([letters], _LETTERS),
+                }
+            )
+
+    return split
+
+
+_ANSWER = "asked_by long, owner int, counts binary, tokens binary, decoded binary"
+
+
+def _answered(path: str, joiner: str) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """An owner's letters and the id-to-piece table: each word's ids and decoded text."""
+
+    def answer(letters: pa.Table, vocabulary: pa.Table) -> pa.Table:
+        if not len(letters):
+            return _no_answers()
+        asked = [_expanded(body).split(b"\n") for body in letters["body"].to_pylist()]
+        distinct = list(dict.fromkeys(chain.from_iterable(asked)))
+        piece = dict(zip(vocabulary["id"].to_pylist(), vocabulary["piece"].to_pylist(), strict=True))
+        loaded = tokenizer(path)
+        table: dict[bytes, tuple[list[int], str]] = {}
+        for start in range(0, len(distinct), _WORDS):
+            part = distinct[start : start + _WORDS]
+            found = loaded.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)
+            for word, ids in zip(part, (f.ids for f in found), strict=True):
+                table[word] = ids, joiner.join([piece[i] for i in ids])
+        out = []
+        for words in asked:
+            entries = [table[w] for w in words]
+            counts = np.fromiter((len(ids) for ids, _ in entries), np.int32, len(entries))
+            flat = np.fromiter(chain.from_iterable(ids for ids, _ in entries), np.int32, int(counts.sum()))
+            spoken = "\n".join([text for _, text in entries]).encode("utf-8")
+            out.append((_compressed(counts.tobytes()), _compressed(flat.tobytes()), _compressed(spoken)))
+        counts, tokens, decoded = zip(*out, strict=True)
+        return pa.table(
             {
-                "chunk": pa.array([chunk], pa.int64()),
-                "ids": pa.array([rows.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-                "lengths": pa.array([lengths], pa.list_(pa.int64())),
-                "codes": pa.array([packed(codes)], pa.binary()),
-                "keys": pa.array([list(numbers)], pa.list_(pa.binary())),
+                "asked_by": letters["chunk"].combine_chunks().cast(pa.int64()),
+                "owner": letters["owner"].combine_chunks().cast(pa.int32()),
+                "counts": pa.array(counts, pa.binary()),
+                "tokens": pa.array(tokens, pa.binary()),
+                "decoded": pa.array(decoded, pa.binary()),
             }
         )
 
+    return answer
 
-_CHUNK = "chunk long, ids array<long>, lengths array<long>, codes binary, keys array<binary>"
 
+def _no_answers() -> pa.Table:
+    fields = [("asked_by", pa.int64()), ("owner", pa.int32())] + [(c, pa.binary()) for c in ("counts", "tokens", "decoded")]
+    return pa.schema(fields).empty_table()
 
-def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """(key, tokens) of a table of words (key binary, UTF-8 without ASCII white space)."""
 
-    def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loaded = tokenizer(path)
-        for batch in batches:
-            for start in range(0, len(batch), _WORDS):
-                part = batch.slice(start, _WORDS)
-                texts = [w.decode("utf-8") for w in part.column("key").to_pylist()]
-                found = loaded.encode_batch(texts, add_special_tokens=False)
-                yield pa.record_batch(
-                    {
-                        "key": part.column("key"),
-                        "tokens": pa.array([f.ids for f in found], pa.list_(pa.int32())),
-                    }
-                )
-
-    return words.select("key").mapInArrow(encode, "key binary, tokens array<int>")
-
-
-def decode_words(encoded: DataFrame, path: str) -> DataFrame:
-    """``encoded`` (key, tokens) with ``piece_list``, the pieces of the tokens in order.
-
-    Every id is looked up by a join with the id-to-piece table, whose size is fixed by the
-    vocabulary and which is therefore broadcast. An unknown id raises an error.
-    """
-    table = F.broadcast(pieces(encoded.sparkSession, path))
-    looked_up = encoded.select("key", F.posexplode("tokens").alias("place", "id")).join(table, "id", "left")
-    piece = F.coalesce("piece", F.raise_error(F.concat(F.lit("no piece for id "), F.col("id").cast("string"))))
-    ordered = looked_up.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("place", "id", piece.alias("piece")))).alias("found"))
-    return ordered.select(
-        "key",
-        F.col("found.id").alias("tokens"),
-        F.col("found.piece").alias("piece_list"),
-    )
+class _Words:
+    """What a chunk's words are, by number."""
 
-
-def _joiner(path: str) -> str:
-    """What stands between pieces: without a decoder of its own, the library joins them by spaces."""
-    with open(path, encoding="utf-8") as file:
-        if json.load(file).get("decoder") is not None:
-            raise ValueError("the tokenizer has a decoder; only joined pieces are decoded here")
-    return " "
+    def __init__(self, answers: pa.Table):
+        answers = answers.sort_by("owner")
+        counts, tokens, spoken = (
+            [_expanded(code) for code in answers[c].to_pylist()] for c in ("counts", "tokens", "decoded")
+        )
+        self.counts = np.frombuffer(b"".join(counts), np.int32).astype(np.int64)
+        self.tokens = np.frombuffer(b"".join(tokens), np.int32)
+        self.firsts = np.cumsum(self.counts) - self.counts
+        self.spoken = list(chain.from_iterable(s.decode("utf-8").split("\n") for s in spoken))
 
 
-def _by_text(finish: Callable) -> Callable:
-    """Turn a chunk and its answers into ids and decoded bytes of each text."""
+def _by_text(finish: Callable, arrow: pa.Schema, joiner: str) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Turn a chunk and its answers into ids and decoded text of each row."""
 
-    def assemble(rows: pa.Table, found: pa.Table) -> pa.Table:
-        ids, lengths = rows["ids"][0].as_py(), np.array(rows["lengths"][0].as_py(), np.int64)
-        codes = unpacked(rows["codes"][0].as_py(), int(lengths.sum()))
-        tokens = found["tokens"].combine_chunks()
-        counts = np.diff(tokens.offsets.to_numpy())
-        flat = tokens.flatten().to_numpy(zero_copy_only=False)
-        firsts = np.cumsum(counts) - counts
-        spoken = found["decoded"].to_pylist()
+    def assemble(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        if len(answers) != rows["n_letters"][0].as_py():
+            raise RuntimeError("a letter has no answer")
+        words = _Words(answers)
+        ids, lengths = rows["ids"][0].as_py(), rows["lengths"][0].as_py()
+        codes = unpacked(rows["codes"][0].as_py(), sum(lengths))
         out, at = [], 0
-        for doc_id, length in zip(ids, lengths.tolist(), strict=True):
+        for doc_id, length in zip(ids, lengths, strict=True):
             own = codes[at : at + length]
             at += length
-            taken = counts[own]
+            taken = words.counts[own]
             ends = np.cumsum(taken)
             total = int(ends[-1]) if length else 0
-            steps = np.arange(total) + np.repeat(firsts[own] - (ends - taken), taken)
-            own = own[taken > 0]
-            decoded = " ".join(map(spoken.__getitem__, own.tolist()))
-            out.append((doc_id, *finish(flat[steps].astype("<u4"), decoded)))
-        return out
+            places = np.arange(total) + np.repeat(words.firsts[own] - (ends - taken), taken)
+            # A word of characters that the tokenizer drops has no ids and no text.
+            decoded = joiner.join(map(words.spoken.__getitem__, own[taken > 0].tolist()))
+            out.append((doc_id, *finish(words.tokens[places], decoded)))
+        columns = zip(*out, strict=True)
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
     return assemble
 
 
 def _encoded(docs: DataFrame, path: str, finish: Callable, schema: str, arrow: pa.Schema) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    chunks = spool(docs.mapInArrow(_split, _CHUNK), "word-chunks")
-    asked = entries(chunks)
-    distinct = asked.select("key").distinct()
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    owners = int(size) // OWNER_BYTES + 1
     joiner = _joiner(path)
-    table = decode_words(encode_words(distinct, path), path)
-    table = table.select("key", "tokens", F.array_join("piece_list", joiner).alias("decoded"))
-    # A word without tokens has no rows among the looked-up ids.
-    nothing = F.array().cast("array<int>")
-    answers = asked.join(spool(table, "words"), "key", "left").select(
-        "chunk", "place", F.coalesce("tokens", nothing).alias("tokens"), F.coalesce("decoded", F.lit("")).alias("decoded")
-    )
-    assemble = _by_text(finish)
-
-    def rows(chunk: pa.Table, found: pa.Table) -> pa.Table:
-        columns = zip(*assemble(chunk, found), strict=True)
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
-
-    return meet(chunks, answers, rows, schema)
+    chunks = spool(docs.mapInArrow(_split(owners), _CHUNK), "word-chunks")
+    letters = chunks.select("chunk", F.explode("letters").alias("l")).select("chunk", "l.owner", "l.body")
+    # The vocabulary's size is fixed, and so is its share of each owner's input.
+    every = F.explode(F.sequence(F.lit(0), F.lit(owners - 1)))
+    vocabulary = pieces(docs.sparkSession, path).select(every.alias("of"), "id", "piece")
+    answers = letters.groupBy("owner").cogroup(vocabulary.groupBy("of")).applyInArrow(_answered(path, joiner), _ANSWER)
+    rows = chunks.select("chunk", "ids", "lengths", "codes", F.size("letters").alias("n_letters"))
+    return rows.groupBy("chunk").cogroup(answers.groupBy("asked_by")).applyInArrow(_by_text(finish, arrow, joiner), schema)
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
@@ -181,7 +229,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """
     arrow = pa.schema({"doc_id": pa.int64(), "tokens": pa.list_(pa.int32()), "decoded": pa.string()})
     schema = "doc_id long, tokens array<int>, decoded string"
-    return _encoded(docs, path, lambda ids, text: (ids.astype(np.int32), text), schema, arrow)
+    return _encoded(docs, path, lambda ids, text: (ids, text), schema, arrow)
 
 
 def encoded_digests(docs: DataFrame, path: str) -> DataFrame:
@@ -192,7 +240,7 @@ def encoded_digests(docs: DataFrame, path: str) -> DataFrame:
 
     def finish(ids: np.ndarray, text: str) -> tuple[int, str, str]:
         spelled = hashlib.sha256(text.encode("utf-8")).hexdigest()
-        return len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), spelled
+        return len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), spelled
 
     arrow = pa.schema({"doc_id": pa.int64(), "n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()})
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
