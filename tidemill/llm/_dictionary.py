@@ -69,10 +69,11 @@ def meet(chunks: DataFrame, answers: DataFrame, finish: Callable, schema: str |
     def one(rows: pa.Table, found: pa.Table) -> pa.Table:
         if not len(rows):
             raise RuntimeError("answers to a chunk that is not there")
-        place = found["place"].to_numpy()
-        if len(place) != len(rows["keys"][0]):
+        if len(found) != rows["n_keys"][0].as_py():
             raise RuntimeError("a dictionary entry has no answer")
-        return finish(rows.drop_columns(["keys"]), found.take(pa.array(np.argsort(place))))
+        order = np.argsort(found["place"].to_numpy())
+        return finish(rows, found.take(pa.array(order)))
 
+    chunks = chunks.withColumn("n_keys", F.size("keys")).drop("keys")
     answers = answers.withColumnRenamed("chunk", "asked_by")
     return chunks.groupBy("chunk").cogroup(answers.groupBy("asked_by")).applyInArrow(one, schema)

@@ -16,6 +16,7 @@ import hashlib
 import os
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -85,33 +86,47 @@ def _calls(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-class Alignment:
-    """The two token sequences of one text, over the same bytes."""
+class Aligned:
+    """Both token sequences of several texts, end to end, over the same bytes.
 
-    def __init__(self, a_ids: list[int], b_ids: list[int], a_ends: np.ndarray, b_ends: np.ndarray):
-        self.a_ids, self.b_ids = a_ids, b_ids
-        cuts = np.union1d(a_ends, b_ends)
-        self._a_of, self._b_of = np.searchsorted(a_ends, cuts), np.searchsorted(b_ends, cuts)
-        both = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        self._a_stops = (np.searchsorted(a_ends, both) + 1).tolist()
-        self._b_stops = (np.searchsorted(b_ends, both) + 1).tolist()
-
-    @property
-    def n_groups(self) -> int:
-        return len(self._a_stops)
-
-    def links(self) -> np.ndarray:
-        """A number for each link, the A id above the B id."""
-        a, b = np.array(self.a_ids, np.int64), np.array(self.b_ids, np.int64)
-        return (a[self._a_of] << _SHIFT) | b[self._b_of]
+    All tokenizers cut where a text ends, so nothing below reaches across texts.
+    """
 
-    def groups(self) -> str:
-        a, b = list(map(str, self.a_ids)), list(map(str, self.b_ids))
-        found, i, j = [], 0, 0
-        for x, y in zip(self._a_stops, self._b_stops, strict=True):
-            found.append(f"{a[i]}|{b[j]}" if x - i == 1 and y - j == 1 else ",".join(a[i:x]) + "|" + ",".join(b[j:y]))
-            i, j = x, y
-        return ";".join(found)
+    def __init__(self, a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray, a_counts: np.ndarray, b_counts: np.ndarray):
+        self.a, self.b = a, b
+        a_ends, b_ends = np.cumsum(a_sizes[a]), np.cumsum(b_sizes[b])
+        n_bytes = int(a_ends[-1]) + 1 if len(a) else 1
+        in_a, in_b = np.zeros(n_bytes, bool), np.zeros(n_bytes, bool)
+        in_a[a_ends] = in_b[b_ends] = True
+        cuts = np.flatnonzero(in_a | in_b)
+        # The token that a cut ends or lies in: as many as end before it.
+        self._a_of = np.cumsum(in_a)[cuts] - in_a[cuts]
+        self._b_of = np.cumsum(in_b)[cuts] - in_b[cuts]
+        both = np.flatnonzero(in_a & in_b)
+        self._a_last, self._b_last = np.searchsorted(a_ends, both), np.searchsorted(b_ends, both)
+        self._a_stops, self._b_stops = np.cumsum(a_counts), np.cumsum(b_counts)
+        # A text starts where its first token does.
+        self._text_of_a = np.repeat(np.arange(len(a_counts)), a_counts)
+        self.n_groups = np.bincount(self._text_of_a[self._a_last], minlength=len(a_counts))
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        """A number for each link, the A id above the B id, and the text it is in."""
+        return (self.a[self._a_of] << _SHIFT) | self.b[self._b_of], self._text_of_a[self._a_of]
+
+    def groups(self, spelled: list[str], a_size: int, b_size: int) -> list[str]:
+        """The groups of each text; ``spelled`` has each id with the mark that follows it."""
+        a_codes, b_codes = self.a.copy(), self.b + 2 * a_size
+        a_codes[self._a_last] += a_size
+        b_codes[self._b_last] += b_size
+        # A group's tokens of A stand before those of B, after all tokens of the groups before.
+        a_group = np.searchsorted(self._a_last, np.arange(len(self.a)))
+        b_group = np.searchsorted(self._b_last, np.arange(len(self.b)))
+        b_before = np.concatenate(([0], self._b_last + 1))
+        codes = np.empty(len(self.a) + len(self.b), np.int64)
+        codes[np.arange(len(self.a)) + b_before[a_group]] = a_codes
+        codes[np.arange(len(self.b)) + (self._a_last + 1)[b_group]] = b_codes
+        stops = (self._a_stops + self._b_stops).tolist()
+        return ["".join(map(spelled.__getitem__, codes[i:j].tolist()))[:-1] for i, j in zip([0, *stops], stops, strict=False)]
 
 
 class Aligner:
@@ -120,23 +135,31 @@ class Aligner:
         self._b, self._b_bytes = byte_fallback(b_path)
         self._a_sizes = np.array([len(s) for s in self._a_bytes], np.int64)
         self._b_sizes = np.array([len(s) for s in self._b_bytes], np.int64)
-
-    def __call__(self, texts: list[str]) -> Iterator[Alignment | None]:
-        """None for an empty text and one whose bytes a tokenizer does not give back."""
+        self.a_size, self.b_size = len(self._a_bytes), len(self._b_bytes)
+        self.spelled = [f"{i}{mark}" for size, marks in ((self.a_size, ",|"), (self.b_size, ",;")) for mark in marks for i in range(size)]
+
+    def __call__(self, bodies: list[bytes]) -> tuple[Aligned, np.ndarray, np.ndarray]:
+        """Texts aligned, and tokens of A and of B in each: none in an empty text and in one whose bytes
+        a tokenizer does not give back."""
+        texts = [b.decode("utf-8") for b in bodies]
+        a_lists: list[list[int]] = []
+        b_lists: list[list[int]] = []
         for start, stop in _calls(texts):
             part = texts[start:stop]
-            a_found = self._a.encode_batch([" " + t for t in part], add_special_tokens=False)
-            b_found = self._b.encode(part, num_threads=1)
-            for text, a, b in zip(part, a_found, b_found, strict=True):
-                yield self._align(text, a.ids, b)
+            found = self._a.encode_batch_fast([" " + t for t in part], add_special_tokens=False)
+            a_lists += (f.ids for f in found)
+            b_lists += self._b.encode(part, num_threads=1)
+        for i, (body, a, b) in enumerate(zip(bodies, a_lists, b_lists, strict=True)):
+            whole = b" " + body if body else None
+            if b"".join(map(self._a_bytes.__getitem__, a)) != whole or b"".join(map(self._b_bytes.__getitem__, b)) != whole:
+                a_lists[i] = b_lists[i] = []
+        (a, a_counts), (b, b_counts) = _flat(a_lists), _flat(b_lists)
+        return Aligned(a, b, self._a_sizes, self._b_sizes, a_counts, b_counts), a_counts, b_counts
+
 
-    def _align(self, text: str, a: list[int], b: list[int]) -> Alignment | None:
-        if not text:
-            return None
-        whole = b" " + text.encode("utf-8")
-        if b"".join(map(self._a_bytes.__getitem__, a)) != whole or b"".join(map(self._b_bytes.__getitem__, b)) != whole:
-            return None
-        return Alignment(a, b, np.cumsum(self._a_sizes[a]), np.cumsum(self._b_sizes[b]))
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(counts.sum())), counts
 
 
 _CHUNK = (
@@ -151,25 +174,19 @@ def _aligned(a_path: str, b_path: str):
         aligner = Aligner(a_path, b_path)
         for chunk, rows in text_chunks(batches):
             bodies = utf8(rows.column("text"))
-            copies = rows.column("copies").to_pylist()
-            shas, sizes, groups, pairs, times = [], [], [], [], []
-            for body, found in zip(bodies, aligner([b.decode("utf-8") for b in bodies]), strict=True):
-                shas.append(hashlib.sha256(body).digest())
-                own, often = np.zeros(0, np.int64), np.zeros(0, np.int64)
-                if found is not None:
-                    links = found.links()
-                    own, often = np.unique(links, return_counts=True)
-                    sizes.append((len(found.a_ids), len(found.b_ids), found.n_groups, len(links)))
-                    groups.append(hashlib.sha256(found.groups().encode()).hexdigest())
-                else:
-                    sizes.append((0, 0, 0, 0))
-                    groups.append("")
-                pairs.append(own)
-                times.append(often)
-            n_pairs = [len(p) for p in pairs]
-            keys, codes = np.unique(np.concatenate(pairs), return_inverse=True)
-            weights = np.bincount(codes, np.repeat(copies, n_pairs), len(keys)).astype(np.int64)
-            n_a, n_b, n_groups, n_links = zip(*sizes, strict=True)
+            copies = rows.column("copies").to_numpy()
+            found, n_a, n_b = aligner(bodies)
+            links, text_of = found.links()
+            keys, codes = np.unique(links, return_inverse=True)
+            n_links = np.bincount(text_of, minlength=len(bodies))
+            # Each pair of a text once, with the times it is linked there.
+            own, times = np.unique(text_of * max(1, len(keys)) + codes, return_counts=True)
+            owner, codes = np.divmod(own, max(1, len(keys)))
+            n_pairs = np.bincount(owner, minlength=len(bodies))
+            weights = np.bincount(codes, copies[owner], len(keys)).astype(np.int64)
+            spelled = found.groups(aligner.spelled, aligner.a_size, aligner.b_size)
+            groups = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in spelled]
+            shas = [hashlib.sha256(body).digest() for body in bodies]
             long = pa.list_(pa.int64())
             yield pa.record_batch(
                 {
@@ -178,12 +195,12 @@ def _aligned(a_path: str, b_path: str):
                     "copies": pa.array([copies], long),
                     "n_a": pa.array([n_a], long),
                     "n_b": pa.array([n_b], long),
-                    "n_groups": pa.array([n_groups], long),
+                    "n_groups": pa.array([found.n_groups], long),
                     "n_links": pa.array([n_links], long),
                     "groups_sha256": pa.array([groups], pa.list_(pa.string())),
                     "n_pairs": pa.array([n_pairs], long),
                     "codes": pa.array([packed(codes)], pa.binary()),
-                    "times": pa.array([packed(np.concatenate(times))], pa.binary()),
+                    "times": pa.array([packed(times)], pa.binary()),
                     "keys": pa.array([keys], long),
                     "weights": pa.array([weights], long),
                 }
