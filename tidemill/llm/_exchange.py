@@ -1,11 +1,10 @@
-"""Questions about hashes between partitions, answered without moving documents.
+"""Questions about hashes between partitions, answered without gathering documents.
 
 Documents are read in chunks: runs of rows of one partition, bounded in text bytes and
 rows. A chunk's number is a function of the partition and of the row order alone, so
 later scans of the same table cut the same chunks. A chunk sends sorted,
 Golomb-Rice-coded hashes to the owners of the hash ranges; answers come back per chunk
-and meet its rows again in a scan that is zipped with them (``with_answers``). Texts
-are not shuffled on the way.
+and meet its rows again (``with_answers``). Only there are texts shuffled, packed by chunk.
 
 The input must give the same rows in the same order whenever it is read: a table,
 projected or filtered. A result of joins or aggregations has to be written to a table
@@ -17,16 +16,17 @@ from __future__ import annotations
 import ctypes
 import gc
 import io
-import pickle
 import struct
 import sys
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.serializers import BatchedSerializer, CPickleSerializer
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Text bytes of a chunk; a longer text is a chunk of its own.
 CHUNK_BYTES = 2 << 20
@@ -80,8 +80,7 @@ def decode_sorted(code: bytes) -> np.ndarray:
 
 
 def give_back() -> None:
-    """Return free memory to the system. Python workers outlive their task, and a task
-    that meets answers has several, so what each keeps would add up."""
+    """Return free memory to the system: Python workers outlive their tasks."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     if sys.platform == "linux":
@@ -190,52 +189,40 @@ def read_bits(hashes: np.ndarray, owners: int, answers: dict[int, bytes]) -> np.
 
 
 def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    compressed = pa.ipc.IpcWriteOptions(compression="zstd")
     for chunk, table in chunks(batches):
         body = io.BytesIO()
-        with pa.ipc.new_stream(body, table.schema) as writer:
+        with pa.ipc.new_stream(body, table.schema, options=compressed) as writer:
             writer.write_table(table)
         yield pa.record_batch({"chunk": pa.array([chunk], pa.int64()), "body": pa.array([body.getvalue()], pa.binary())})
 
 
-def with_answers(docs: DataFrame, answers: DataFrame) -> DataFrame:
-    """Rows (chunk, body, answers): the chunks of ``docs``, each with what was answered to it.
+#: A chunk, its rows, and its answers by part.
+Met = tuple[int, pa.Table, dict[int, bytes]]
 
-    ``answers`` has (chunk, part, answer) with at least one row for every chunk. Only the
-    answers are shuffled; documents are scanned again where they are.
+
+def with_answers(
+    docs: DataFrame, answers: DataFrame, work: Callable[[Iterable[Met]], Iterator[pa.RecordBatch]], schema: str | StructType
+) -> DataFrame:
+    """``work`` on each chunk of ``docs`` together with what was answered to it, as rows of ``schema``.
+
+    ``answers`` has (chunk, part, answer) with at least one row for every chunk. Chunks are packed and
+    shuffled to their answers, so that a task has one Python worker and one chunk at a time.
     """
-    spark = docs.sparkSession
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    nothing = to_arrow_schema(schema).empty_table()
 
-    # These run in Python workers of their own, several for each task. Being local to this
-    # function they travel by value, so those workers import nothing and stay small.
-    def by_chunk(rows):
-        grouped: dict = {}
-        for _, (chunk, part, answer) in rows:
-            grouped.setdefault(chunk, {})[part] = answer
-        for chunk in sorted(grouped):
-            yield chunk, pickle.dumps(grouped[chunk])
-
-    def matched(pair):
-        (chunk, body), (other, answers) = pair
-        if chunk != other:
+    def one(rows: pa.Table, found: pa.Table) -> pa.Table:
+        if len(rows) != 1 or not len(found):
             raise RuntimeError("the input changed between two scans: write it to a table first")
-        return chunk, body, answers
-
-    one = BatchedSerializer(CPickleSerializer(), 1)
-    packed = docs.mapInArrow(_packed, "chunk long, body binary").rdd.map(lambda r: (r[0], bytes(r[1])))
-    replies = answers.rdd.map(lambda r: (r[0] >> 20, (r[0], r[1], bytes(r[2]))))
-    replies = replies.partitionBy(packed.getNumPartitions(), lambda partition: partition)
-    lacking = replies.getNumPartitions() - packed.getNumPartitions()
-    if lacking > 0:
-        packed = spark.sparkContext.union([packed, spark.sparkContext.parallelize([], lacking)])
-    replies = replies.mapPartitions(by_chunk)
-    # One chunk at a time, so that a worker holds one and not a batch of them.
-    zipped = packed._reserialize(one).zip(replies._reserialize(one)).map(matched)
-    return spark.createDataFrame(zipped, "chunk long, body binary, answers binary", verifySchema=False)
-
-
-def opened(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table, dict[int, bytes]]]:
-    """Inside ``mapInArrow`` over ``with_answers``: chunk, its rows, its answers by part."""
-    for batch in batches:
-        for chunk, body, answers in zip(*(batch.column(c).to_pylist() for c in ("chunk", "body", "answers")), strict=True):
-            yield chunk, pa.ipc.open_stream(body).read_all(), pickle.loads(answers)
-    give_back()
+        by_part = dict(zip(found["part"].to_pylist(), found["answer"].to_pylist(), strict=True))
+        table = pa.ipc.open_stream(rows["body"][0].as_buffer()).read_all()
+        batches = [b for b in work([(rows["chunk"][0].as_py(), table, by_part)]) if len(b)]
+        result = pa.Table.from_batches(batches) if batches else nothing
+        del table, batches, by_part
+        give_back()
+        return result
+
+    packed = docs.mapInArrow(_packed, "chunk long, body binary")
+    answers = answers.select(F.col("chunk").alias("asked_by"), "part", "answer")
+    return packed.groupBy("chunk").cogroup(answers.groupBy("asked_by")).applyInArrow(one, schema)

@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm._exchange import (
+    Met,
     chunks,
     letters,
-    opened,
     owners_for,
     pin_splits,
     read_bits,
@@ -62,8 +62,8 @@ _JUDGED = "sha string, ids array<long>, rows array<long>, text binary"
 def _judged(owners: int):
     """A row per chunk and text: its rows, and its bytes only where they may repeat."""
 
-    def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, table, answers in opened(batches):
+    def judge(met: Iterable[Met]) -> Iterator[pa.RecordBatch]:
+        for chunk, table, answers in met:
             texts, digests = _digests(table)
             prints = _fingerprints(digests)
             distinct, inverse, counts = np.unique(prints, return_inverse=True, return_counts=True)
@@ -100,9 +100,8 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     owners = owners_for(docs.count())
     answers = shared_hashes(docs.mapInArrow(_sent(owners), _LETTER))
-    judged = spool(with_answers(docs, answers).mapInArrow(_judged(owners), _JUDGED), "exact")
+    judged = spool(with_answers(docs, answers, _judged(owners), _JUDGED), "exact")
 
-    members = judged.select("sha", F.explode(F.arrays_zip("ids", "rows")).alias("m"), F.col("text").isNotNull().alias("suspect"))
     rank = F.struct(F.col("m.ids").isNull().alias("no_id"), F.col("m.ids").alias("id"), F.col("m.rows").alias("row"))
     best = F.array_min(F.transform(F.arrays_zip("ids", "rows"), lambda m: F.struct(m.ids.isNull().alias("no_id"), m.ids.alias("id"), m.rows.alias("row"))))
     verified = (
@@ -114,9 +113,13 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.min("best").alias("best"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"))
         .select("sha", "best", F.when(F.col("texts") == 1, F.col("n")).otherwise(F.raise_error(F.lit("two texts share a SHA-256 digest")).cast("long")).alias("n"))
     )
-    alone = members.filter("NOT suspect").select(rank.alias("own"), rank.alias("best"), F.lit(1).cast("long").alias("n"), "sha")
-    grouped = members.filter("suspect").select(rank.alias("own"), "sha").join(verified, "sha").select("own", "best", "n", "sha")
-    return alone.unionByName(grouped).select(
+    # A row per chunk and text until here; the rows of the table come out of them at the end.
+    held = judged.select("sha", F.arrays_zip("ids", "rows").alias("members"), F.col("text").isNotNull().alias("suspect"))
+    grouped = held.filter("suspect").join(verified, "sha").select(F.explode("members").alias("m"), "best", "n", "sha")
+    alone = held.filter("NOT suspect").select(F.explode("members").alias("m"), "sha")
+    alone = alone.select("m", rank.alias("best"), F.lit(1).cast("long").alias("n"), "sha")
+    everyone = alone.unionByName(grouped).select(rank.alias("own"), "best", "n", "sha")
+    return everyone.select(
         F.col("own.id").alias("doc_id"),
         F.col("best.id").alias("keep_id"),
         F.col("n").alias("group_size"),
@@ -127,7 +130,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose addresses are in ``rows`` (row long); all columns, no text shuffled."""
+    """The rows of ``docs`` whose addresses are in ``rows`` (row long), with all columns."""
     columns = [f"c{i}" for i in range(len(docs.columns))]
     inner = docs.toDF(*columns)
     at = docs.columns.index("text")
@@ -142,14 +145,14 @@ def keep_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
         kept = np.sort(np.array(table["row"].to_pylist(), np.int64) & 0xFFFF).astype(np.uint16)
         return pa.table({"chunk": table["chunk"].slice(0, 1), "part": pa.array([0], pa.int32()), "answer": pa.array([kept.tobytes()], pa.binary())})
 
-    def chosen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, table, answers in opened(batches):
+    def chosen(met: Iterable[Met]) -> Iterator[pa.RecordBatch]:
+        for _, table, answers in met:
             kept = np.frombuffer(answers.get(0, b""), np.uint16).astype(np.int64)
             yield from table.drop_columns(["text"]).take(pa.array(kept)).to_batches()
 
     reply = "chunk long, part int, answer binary"
     per_chunk = rows.select(F.shiftright("row", 16).alias("chunk"), "row").groupBy("chunk").applyInArrow(answer, reply)
     everyone = docs.select(F.col("text").cast("string")).mapInArrow(present, reply)
-    kept = with_answers(inner, everyone.unionByName(per_chunk)).mapInArrow(chosen, schema)
+    kept = with_answers(inner, everyone.unionByName(per_chunk), chosen, schema)
     return kept.toDF(*docs.columns)
 

@@ -37,7 +37,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm._exchange import chunks, give_back, letters, opened, owners_for, pin_splits, read_bits, row_address, shared_hashes, with_answers
+from tidemill.llm._exchange import HASHES_PER_OWNER, Met, chunks, give_back, letters, pin_splits, read_bits, row_address, shared_hashes, with_answers
 from tidemill.llm._scratch import spool
 from tidemill.llm._text import mix, portions, shingle_hashes, utf8
 
@@ -167,15 +167,17 @@ _SETS = "doc_id long, row long, n long, alike binary, active boolean, key long,
 
 def _described(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """A row per row of ``docs``; the tokens once per chunk and class, where there may be links."""
-    owners = owners_for(docs.count(), 400)
+    # A shingle starts at each word; few words are shorter than four bytes and a blank.
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    owners = int(size) // (5 * HASHES_PER_OWNER) + 1
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, table in chunks(batches):
             owner, sender, code = zip(*letters(chunk, _Chunk(table, words).tokens, owners), strict=True)
             yield pa.record_batch({"owner": pa.array(owner, pa.int32()), "chunk": pa.array(sender, pa.int64()), "code": pa.array(code, pa.binary())})
 
-    def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, table, answers in opened(batches):
+    def describe(met: Iterable[Met]) -> Iterator[pa.RecordBatch]:
+        for chunk, table, answers in met:
             own = _Chunk(table, words)
             kept = own.kept(read_bits(own.tokens, owners, answers), percent)
             keys = [None if t is None else _group_key(t) for t in kept]
@@ -199,10 +201,10 @@ def _described(docs: DataFrame, words: int, percent: int) -> DataFrame:
             )
 
     answers = shared_hashes(docs.mapInArrow(ask, "owner int, chunk long, code binary"))
-    return spool(with_answers(docs, answers).mapInArrow(describe, _SETS), "sets")
+    return spool(with_answers(docs, answers, describe, _SETS), "sets")
 
 
-_CLUSTERS = "alike binary, id long, cluster long, n long, key long, joined boolean, prefix binary"
+_CLUSTERS = "alike binary, id long, cluster long, n long, k long, key long, joined boolean, prefix binary"
 
 
 def _clusters(sets: DataFrame, common: Broadcast, percent: int) -> DataFrame:
@@ -230,11 +232,11 @@ def _clusters(sets: DataFrame, common: Broadcast, percent: int) -> DataFrame:
                     group, first_id, first, first_n = (key, deal), row, tokens, n
                 cluster = first_id if _links(first, first_n, tokens, n, percent) else row
                 joined = 100 * len(tokens) >= percent * (2 * n - len(tokens))
-                out.append((alike, row, cluster, n, key, joined, _prefix(tokens, n, common.value, percent).tobytes()))
+                out.append((alike, row, cluster, n, len(tokens), key, joined, _prefix(tokens, n, common.value, percent).tobytes()))
             if out:
-                kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+                kinds = (pa.binary(), *[pa.int64()] * 5, pa.bool_(), pa.binary())
                 arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.record_batch(arrays, ["alike", "id", "cluster", "n", "key", "joined", "prefix"])
+                yield pa.record_batch(arrays, ["alike", "id", "cluster", "n", "k", "key", "joined", "prefix"])
         give_back()
 
     ordered = rows.repartition("key", "deal").sortWithinPartitions("key", "deal", "alike", "row")
@@ -305,27 +307,29 @@ def _grouped(clusters: DataFrame) -> DataFrame:
     rows = clusters.join(named, "cluster").withColumn("unit", F.when(F.col("mixed"), F.col("key")).otherwise(F.col("cluster")))
     sizes = rows.groupBy("mixed", "unit").agg(F.ceil(F.count(F.lit(1)) / GROUP_SIZE).alias("parts"))
     grp = F.xxhash64("mixed", "unit", F.pmod(F.xxhash64("id"), F.col("parts")))
-    return rows.join(sizes, ["mixed", "unit"]).select("id", "cluster", "n", "prefix", "mixed", grp.alias("grp"))
+    return rows.join(sizes, ["mixed", "unit"]).select("id", "cluster", "n", "k", "prefix", "mixed", grp.alias("grp"))
 
 
 def _open_candidates(grouped: DataFrame, percent: int) -> DataFrame:
     """(grp, id, cluster) for documents and groups with documents of other clusters that share a prefix
-    token with it and have sizes that allow a link.
+    token with it, and whose sizes and numbers of kept tokens allow a link.
 
     Of two documents at a token, one is outside of its most common cluster; that one is the query.
     """
     _, tokens = _at_tokens(grouped)
     rows = _by_token(grouped)
-    queries = _met(rows.select("token", "id", "cluster", "n"), "id", tokens).filter("cluster <> top")
-    queries = queries.select("token", "deal", "id", "cluster", "n")
+    queries = _met(rows.select("token", "id", "cluster", "n", "k"), "id", tokens).filter("cluster <> top")
+    queries = queries.select("token", "deal", "id", "cluster", "n", "k")
     # Two groups that got the same number are one, which is mixed.
     stored = rows.groupBy("token", "grp").agg(
-        F.min("cluster").alias("only"), (F.max("mixed") | (F.min("cluster") != F.max("cluster"))).alias("mixed"), F.min("n").alias("least"), F.max("n").alias("most")
+        F.min("cluster").alias("only"), (F.max("mixed") | (F.min("cluster") != F.max("cluster"))).alias("mixed"), F.min("n").alias("least"), F.max("n").alias("most"), F.max("k").alias("most_kept")
     )
     stored = _each_deal(stored.join(tokens.select("token", "deals"), "token")).drop("deals")
     fits = (F.col("most") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("least") * percent)
+    # Two sets share at most what each has in common with others; a link takes so much of both sizes.
+    may_share = F.least("k", "most_kept") * (100 + percent) >= (F.col("n") + F.col("least")) * percent
     other = F.col("mixed") | (F.col("only") != F.col("cluster"))
-    return queries.join(stored, ["token", "deal"]).filter(fits & other).select("grp", "id", "cluster").distinct()
+    return queries.join(stored, ["token", "deal"]).filter(fits & may_share & other).select("grp", "id", "cluster").distinct()
 
 
 def _verified(groups: DataFrame, queries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -341,7 +345,7 @@ def _verified(groups: DataFrame, queries: DataFrame, sets: DataFrame, percent: i
     rows = stored.unionByName(dealt).join(tokens, "id")
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, members, union = None, [], None
+        group, members, union, least = None, [], None, 0
         for batch in batches:
             found: set[tuple[int, int]] = set()
             columns = (batch[c].to_pylist() for c in ("grp", "deal", "side", "id", "cluster", "n", "tokens"))
@@ -354,7 +358,8 @@ def _verified(groups: DataFrame, queries: DataFrame, sets: DataFrame, percent: i
                     continue
                 if union is None:
                     union = np.unique(np.concatenate([m for *_, m in members]))
-                if _shared(union, mine) < _needed(n, percent):
+                    least = min(size for _, _, size, _ in members)
+                if (100 + percent) * _shared(union, mine) < percent * (n + least):
                     continue  # no member can share enough: the group stays closed
                 met = {cluster}
                 for other, theirs_in, size, theirs in members:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm._exchange import chunks, decode_sorted, give_back, letters, opened, owner_edges, owner_of, pin_splits, read_bits, with_answers
+from tidemill.llm._exchange import Met, chunks, decode_sorted, give_back, letters, owner_edges, owner_of, pin_splits, read_bits, with_answers
 from tidemill.llm._scratch import spool
 from tidemill.llm._text import RangeHash, joined, mix, portions, utf8
 
@@ -540,19 +540,19 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         for chunk, table in chunks(batches):
             yield _letter_batch(_anchor_letters(chunk, _parts(table), owners))
 
-    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, table, answers in opened(batches):
+    def send(met: Iterable[Met]) -> Iterator[pa.RecordBatch]:
+        for chunk, table, answers in met:
             yield _letter_batch(_Run(_parts(table), owners, answers).letters(chunk, owners))
 
-    def send_windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, table, answers in opened(batches):
+    def send_windows(met: Iterable[Met]) -> Iterator[pa.RecordBatch]:
+        for chunk, table, answers in met:
             parts = _parts(table)
             for part, hot in zip(parts, _Run(parts, owners, answers).hot, strict=True):
                 if len(hot[0]):
                     yield _window_batch(chunk, part, *hot)
 
-    def remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, table, answers in opened(batches):
+    def remove(met: Iterable[Met]) -> Iterator[pa.RecordBatch]:
+        for _, table, answers in met:
             ids, row = table["doc_id"], 0
             parts = _parts(table)
             for part, gone in _covered(parts, _Run(parts, owners, answers), answers):
@@ -571,14 +571,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     counted = spool(_shared_anchors(docs.mapInArrow(ask, _LETTER), HOT_ANCHOR), "anchors")
     repeated = counted.drop("hot")
-    sent = with_answers(docs, repeated).mapInArrow(send, _LETTER)
+    sent = with_answers(docs, repeated, send, _LETTER)
     masks = sent.groupBy("owner").applyInArrow(_merge_runs, "chunk long, part int, answer binary")
     answers = repeated.unionByName(masks)
     if counted.agg(F.sum("hot")).head()[0]:
-        windows = spool(with_answers(docs, repeated).mapInArrow(send_windows, _WINDOW), "windows")
+        windows = spool(with_answers(docs, repeated, send_windows, _WINDOW), "windows")
         answers = answers.unionByName(_settled_windows(windows))
-    return with_answers(docs, answers).mapInArrow(
-        remove, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long"
+    return with_answers(
+        docs, answers, remove, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long"
     )
 
 
