@@ -76,27 +76,28 @@ def _expanded(code: bytes) -> bytes:
     return pa.decompress(code[8:], int.from_bytes(code[:8], "little"), "zstd", asbytes=True) if code else b""
 
 
-_CHUNK = "chunk long, ids array<long>, lengths array<long>, codes binary, letters array<struct<owner: int, body: binary>>"
+_CHUNK = "chunk long, ids array<long>, lengths array<long>, codes binary, owners binary, letters array<struct<owner: int, body: binary>>"
 _LETTERS = pa.list_(pa.struct([("owner", pa.int32()), ("body", pa.binary())]))
 
 
 def _split(owners: int):
-    """Texts as word numbers; words are numbered by owner, in the order in which they are sent."""
+    """Texts as word numbers, the most frequent word first; words go to owners in that order."""
 
     def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, rows in text_chunks(batches, CHUNK_BYTES):
             numbers: defaultdict[bytes, int] = defaultdict()
             numbers.default_factory = numbers.__len__
-            codes, lengths = [], []
+            found, lengths = [], []
             for text in utf8(rows.column("text")):
                 words = text.split()
-                codes.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+                found.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
                 lengths.append(len(words))
-            words = list(numbers)
+            codes, words = np.concatenate(found), list(numbers)
+            frequent = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
+            codes = _inverse(frequent)[codes]
+            words = [words[i] for i in frequent.tolist()]
             owner = np.fromiter(map(crc32, words), np.uint32, len(words)) % np.uint32(owners)
             order = np.argsort(owner, kind="stable")
-            renumbered = np.empty(len(words), np.int32)
-            renumbered[order] = np.arange(len(words), dtype=np.int32)
             edges = np.searchsorted(owner[order], np.arange(owners + 1)).tolist()
             sent = [words[i] for i in order.tolist()]
             letters = [
@@ -109,7 +110,8 @@ def _split(owners: int):
                     "chunk": pa.array([chunk], pa.int64()),
                     "ids": pa.array([rows.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                     "lengths": pa.array([lengths], pa.list_(pa.int64())),
-                    "codes": pa.array([packed(renumbered[np.concatenate(codes)])], pa.binary()),
+                    "codes": pa.array([packed(codes)], pa.binary()),
+                    "owners": pa.array([_compressed(owner.astype("<u4").tobytes())], pa.binary()),
                     "letters": pa.array([letters], _LETTERS),
                 }
             )
@@ -117,6 +119,12 @@ def _split(owners: int):
     return split
 
 
+def _inverse(order: np.ndarray) -> np.ndarray:
+    places = np.empty(len(order), np.int32)
+    places[order] = np.arange(len(order), dtype=np.int32)
+    return places
+
+
 _ANSWER = "asked_by long, owner int, counts binary, tokens binary, decoded binary"
 
 
@@ -184,7 +192,8 @@ def _by_text(finish: Callable, arrow: pa.Schema, joiner: str) -> Callable[[pa.Ta
             raise RuntimeError("a letter has no answer")
         words = _Words(answers)
         ids, lengths = rows["ids"][0].as_py(), rows["lengths"][0].as_py()
-        codes = unpacked(rows["codes"][0].as_py(), sum(lengths))
+        owners = np.frombuffer(_expanded(rows["owners"][0].as_py()), "<u4")
+        codes = _inverse(np.argsort(owners, kind="stable"))[unpacked(rows["codes"][0].as_py(), sum(lengths))]
         out, at = [], 0
         for doc_id, length in zip(ids, lengths, strict=True):
             own = codes[at : at + length]
@@ -213,7 +222,7 @@ def _encoded(docs: DataFrame, path: str, finish: Callable, schema: str, arrow: p
     every = F.explode(F.sequence(F.lit(0), F.lit(owners - 1)))
     vocabulary = pieces(docs.sparkSession, path).select(every.alias("of"), "id", "piece")
     answers = letters.groupBy("owner").cogroup(vocabulary.groupBy("of")).applyInArrow(_answered(path, joiner), _ANSWER)
-    rows = chunks.select("chunk", "ids", "lengths", "codes", F.size("letters").alias("n_letters"))
+    rows = chunks.select("chunk", "ids", "lengths", "codes", "owners", F.size("letters").alias("n_letters"))
     return rows.groupBy("chunk").cogroup(answers.groupBy("asked_by")).applyInArrow(_by_text(finish, arrow, joiner), schema)
 
 
