@@ -309,6 +309,23 @@ def test_documents_with_the_same_boilerplate_are_not_paired(documents, tmp_path,
     assert sum(asked) <= 10
 
 
+@pytest.mark.parametrize("count", [100, 400])
+def test_opened_groups_do_not_grow_with_classes_that_share_boilerplate(documents, tmp_path, monkeypatch, count):
+    """Sets of many sizes, each with 80 shingles of a boilerplate: no two can link, and no group is opened."""
+    rnd = random.Random(9)
+    head = " ".join(f"w{i}" for i in range(84))
+    rows = [(i, head + " " + " ".join(f"x{i}_{k}" for k in range(rnd.randint(20, 26)))) for i in range(count)]
+    rows += [(1000 + i, head + " " + " ".join(f"y{i % 3}_{k}" for k in range(22))) for i in range(9)]
+    docs = documents(rows, tmp_path / "docs")
+    opened = []
+    candidates = jaccard_join._open_candidates
+    monkeypatch.setattr(jaccard_join, "_open_candidates", lambda *a: opened.append(found := candidates(*a)) or found)
+    got = {r.doc_id: r.component_id for r in jaccard_components(docs).collect()}
+    assert all(got[i] == i for i in range(count))
+    assert all(got[1000 + i] == 1000 + i % 3 for i in range(9))
+    assert sum(o.count() for o in opened) <= 10
+
+
 def test_groups_of_unlinked_documents_and_hot_tokens(documents, tmp_path, monkeypatch):
     """Near copies of one boilerplate with several clusters, so that tokens and groups are dealt and opened."""
     monkeypatch.setattr(jaccard_join, "HOT_TOKEN", 5)
@@ -387,6 +404,12 @@ def secret_spans(text):
     return spans + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
 
 
+def ordinary(rnd):
+    """Two long words that are no secrets, between different neighbours."""
+    a, b, c = (f"w{rnd.randint(0, 999)}" for _ in range(3))
+    return f"{a} internationalization_of_words {b} counterrevolutionary-movements {c}"
+
+
 def test_secrets_against_plain_patterns(documents, corpus, tmp_path, no_docs):
     rnd = random.Random(6)
 
@@ -397,7 +420,7 @@ def test_secrets_against_plain_patterns(documents, corpus, tmp_path, no_docs):
     texts = [t for _, t in corpus]
     texts += [f"é🎉 Password = '{some(mixed, 20)}' and {some('0123456789abcdef', 30)}" for _ in range(60)]
     texts += [f"AKIA{some(mixed[26:], 16)} token:{some(mixed, 5)} token=token:{some(mixed, 8)} api_key\"=x" for _ in range(20)]
-    texts += ["internationalization_of_words and counterrevolutionary-movements"] * 1500
+    texts += [ordinary(rnd) for _ in range(1500)]
     texts += ["AKIAAKIA" + "A" * 11, "a" * 23, "a" * 24, "secret=" + "x" * 100_000, "f" * 50_000, "token:" + " " * 20_000]
     hidden = some(mixed, 32)
     texts.append(f"look: {hidden} here")
@@ -418,7 +441,7 @@ def test_secrets_of_letters_alone_are_found(documents, tmp_path):
     letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
     some = lambda alphabet, n: "".join(rnd.choice(alphabet) for _ in range(n))
     texts = [f"password={some(letters + '0123456789', 24)}" for _ in range(200)]
-    texts += ["internationalization_of_words and counterrevolutionary-movements"] * 1500
+    texts += [ordinary(rnd) for _ in range(1500)]
     texts += [f"order {some('0123456789', 18)}" for _ in range(300)]
     hidden = [some(letters, 24) for _ in range(20)]
     texts += [f"look: {h} here" for h in hidden]
@@ -427,6 +450,26 @@ def test_secrets_of_letters_alone_are_found(documents, tmp_path):
     assert added == {2000 + i: f"markov:6:{6 + len(h)}" for i, h in enumerate(hidden)}
 
 
+@pytest.mark.parametrize("copies", [1, 2, 10])
+def test_copies_do_not_vouch_for_a_secret(documents, tmp_path, copies):
+    """Exact copies, and near copies in which a neighbour on one side changed."""
+    rnd = random.Random(26)
+    mixed = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    some = lambda n: "".join(rnd.choice(mixed) for _ in range(n))
+    texts = [f"password={some(24)}" for _ in range(300)]
+    texts += [ordinary(rnd) for _ in range(1500)]
+    texts += ["AKIAAKIAAAAAAAAAAAA", "abcabcabcabcabcabcabcabc", "=" * 40, "-_" * 20]
+    hidden = [some(24) for _ in range(40)]
+    for h in hidden:
+        texts += [f"this one: {h} was seen"] * (copies - copies // 3)
+        texts += [f"this one: {h} was heard {i}" for i in range(copies // 3)]
+    docs = documents(list(enumerate(texts)), tmp_path / "docs")
+    added = {r.doc_id for r in find_secrets(docs).filter(F.size("added") > 0).collect()}
+    planted = set(range(1804, len(texts)))
+    assert len(added & planted) >= 0.9 * len(planted)
+    assert not added - planted
+
+
 PII = [
     re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
     re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
@@ -474,13 +517,43 @@ def test_personal_data_against_plain_patterns(documents, tmp_path, no_docs):
     assert find_personal_data(no_docs).collect() == []
 
 
+def test_trees_add_what_no_pattern_matches(documents, tmp_path):
+    """Spelled addresses and phone numbers without a plus come in; failed checks and plain numbers stay out."""
+    rnd = random.Random(12)
+    phone = lambda: f"+{rnd.randint(1, 99)} {rnd.randint(20, 999)} {rnd.randint(1000, 9999)} {rnd.randint(100, 999)}"
+    texts = [f"write to u{i}@host{i}.org or {phone()} today" for i in range(200)]
+    base = len(texts)
+    texts += [f"reach u{i} (at) host{i}.org please" for i in range(40)]
+    texts += [f"my phone ({rnd.randint(200, 999)}) {rnd.randint(100, 999)}-{rnd.randint(1000, 9999)} rings" for _ in range(40)]
+    planted = len(texts)
+    failing = []
+    while len(failing) < 100:
+        digits = "".join(rnd.choice("0123456789") for _ in range(16))
+        if not pii_spans(digits):
+            failing.append(f"number {digits} of the card")
+    texts += failing
+    texts += [f"it weighs {rnd.randint(10**8, 10**9)} parts, not 2024-05-0{i % 9} 1{i % 9} times" for i in range(100)]
+    docs = documents(list(enumerate(texts)), tmp_path / "docs")
+    added = {r.doc_id: r.added for r in find_personal_data(docs).filter(F.size("added") > 0).collect()}
+    found = {i for i in added if base <= i < planted}
+    assert len([i for i in found if i < base + 40]) >= 36 and len([i for i in found if i >= base + 40]) >= 36
+    assert len(found) >= 0.95 * len(added)
+    for i in found:
+        (span,) = added[i]
+        assert re.search(r"\(at\) host|\([0-9]{3}\) [0-9]{3}-", texts[i][span.start : span.end])
+
+
 def test_boosting_separates_and_calibrates():
     zeros = (0,) * 8
     model = boost([((0, 3, *zeros), 100.0, 99.0), ((0, 1, *zeros), 200.0, 2.0), ((1, 3, *zeros), 50.0, 1.0)])
     assert model.raw((0, 3, *zeros)) > 2 > 0 > model.raw((0, 1, *zeros))
     chance = 1 / (1 + np.exp(-model.raw((1, 3, *zeros))))
-    assert chance < model.threshold
-    assert boost([((0,) * 10, 5.0, 5.0)]).threshold == float("inf")
+    assert chance < model.thresholds[1] and model.thresholds[2] == float("inf")
+    sure = 1 / (1 + np.exp(-model.raw((0, 3, *zeros))))
+    assert sure >= model.thresholds[0] >= 0.5
+    only = boost([((0,) * 10, 5.0, 5.0)])
+    assert not only.trees and 1 / (1 + np.exp(-only.bias)) >= only.thresholds[0]
+    assert set(boost([((0,) * 10, 5.0, 0.0)]).thresholds) == {float("inf")}
 
 
 # --- 9: chats --------------------------------------------------------------------------------

@@ -4,9 +4,13 @@ Patterns find e-mail addresses, IP addresses, card and phone numbers, each with
 them, generators with high recall propose spans that may overlap: anything around an
 at-sign or its spellings, any long group of digits, any dotted numbers. Each candidate is described by
 binned format and context features. Labels come from the patterns: a candidate that overlaps a match is
-personal data, another is not; the check of a pattern (Luhn, ranges) is not a feature, so the trees learn
-what such data look like and what stands around them. A candidate whose calibrated
-probability reaches the threshold is added as a span, unless it overlaps a match.
+personal data. One that a pattern could have matched, but did not (a card number that fails its check), is
+not, nor is one that nothing speaks for. What no pattern can match but has a cue or a telling form, an address
+that spells out its at-sign or a phone number without a plus, is without a label and trains nothing.
+Neither the check of a pattern (Luhn, ranges) nor the sign that it asks for is a feature, so the trees learn
+what such data look like otherwise and what stands around them. A candidate is added as a span if its
+probability reaches the threshold of its generator, unless it overlaps a match; thresholds come from candidates
+of a fold of documents that the trees did not see.
 
 DataFrame functions only. Texts are read once; candidates are written to a table. Training needs
 only the counts of label by feature values, whose number is bounded by the bins.
@@ -45,11 +49,13 @@ GENERATORS = {
 CONTEXT = 24
 ROUNDS = 24
 RATE = 0.3
-#: Share of the candidates at or above the threshold that has to be personal data.
+#: Share of the held-out candidates at or above a threshold that has to be personal data.
 PRECISION = 0.97
+#: One document of so many is held out for the thresholds.
+FOLDS = 4
 
 #: feature -> number of bins; the product bounds the table of counts.
-BINS = {"generator": 3, "digits": 6, "length": 5, "separators": 3, "sign": 2, "dots": 4, "before": 4, "after": 4, "cue": 2, "letters": 3}
+BINS = {"generator": 3, "digits": 6, "length": 5, "separators": 3, "dots": 4, "before": 4, "after": 4, "cue": 2, "letters": 3, "date": 2}
 
 
 def _pattern_columns(docs: DataFrame) -> DataFrame:
@@ -125,6 +131,19 @@ def _kind_of(char: Column) -> Column:
     return F.when((char == "") | char.rlike(r"^\s"), 0).when(char.rlike("^[0-9]"), 1).when(char.rlike(r"^\p{L}"), 2).otherwise(3)
 
 
+#: By generator: whether a pattern could match such a text, and whether its form alone speaks for it.
+_MATCHABLE = [
+    lambda text: text.contains("@"),
+    lambda text: text.startswith("+") | (F.char_length(_digits(text)) >= 12),
+    lambda text: text.rlike(r"^[0-9]+(\.[0-9]+){3}"),
+]
+_TELLING = [
+    lambda text: text.rlike(r"(\(at\)|\[at\])\x20?[A-Za-z0-9-]+\.[A-Za-z]"),
+    lambda text: text.rlike(r"^\([0-9]{2,5}\)\x20?[0-9]"),
+    lambda text: F.lit(False),
+]
+
+
 def _described(matches: Column, generator: int) -> Column:
     def describe(m: Column) -> Column:
         text = m["text"]
@@ -132,20 +151,23 @@ def _described(matches: Column, generator: int) -> Column:
         context = F.col("text").substr(F.greatest(start - CONTEXT + 1, F.lit(1)), F.least(start, F.lit(CONTEXT)))
         separators = F.char_length(F.regexp_replace(text, r"[^\x20()-]", ""))
         letters = F.char_length(F.regexp_replace(text, "[^A-Za-z]", ""))
+        cued = context.rlike(r"(?i)mail|phone|tel|call|card|contact|\bip\b|address")
+        label = overlaps(F.col("base"), start, end)
         return F.struct(
             start.alias("start"),
             end.alias("end"),
-            overlaps(F.col("base"), start, end).alias("label"),
+            label.alias("label"),
+            (~label & ~_MATCHABLE[generator](text) & (cued | _TELLING[generator](text))).alias("unsure"),
             F.lit(generator).alias("generator"),
             _bin(F.char_length(_digits(text)), 1, 8, 9, 12, 16).alias("digits"),
             _bin(end - start, 8, 12, 16, 24).alias("length"),
             _bin(separators, 1, 3).alias("separators"),
-            F.when(text.startswith("+"), 1).otherwise(0).alias("sign"),
             _bin(F.char_length(F.regexp_replace(text, r"[^.]", "")), 1, 2, 3).alias("dots"),
             _kind_of(F.col("text").substr(start, F.when(start > 0, 1).otherwise(0))).alias("before"),
             _kind_of(F.col("text").substr(end + 1, F.lit(1))).alias("after"),
-            F.when(context.rlike(r"(?i)mail|phone|tel|call|card|contact|\bip\b|address"), 1).otherwise(0).alias("cue"),
+            F.when(cued, 1).otherwise(0).alias("cue"),
             _bin(letters, 1, 6).alias("letters"),
+            F.when(text.rlike(r"^(?:19|20)[0-9]{2}[-. ][0-9]{1,2}[-. ][0-9]{1,2}"), 1).otherwise(0).alias("date"),
         )
 
     return F.transform(matches.cast(MATCHES), describe)
@@ -191,7 +213,8 @@ def _best(rows: list[tuple[tuple[int, ...], float, float]]) -> tuple[int, int]:
 class Booster:
     trees: tuple[Split, ...]
     bias: float
-    threshold: float
+    #: By generator.
+    thresholds: tuple[float, ...]
 
     def raw(self, row: tuple[int, ...]) -> float:
         return self.bias + sum(t.values[t.leaf(row)] for t in self.trees)
@@ -210,17 +233,26 @@ class Booster:
             total = total + F.when(reaches(t.top), high).otherwise(low)
         return 1 / (1 + F.exp(-total))
 
+    def accepts(self, candidate: Column) -> Column:
+        """Whether the probability reaches the threshold of the candidate's generator."""
+        thresholds = F.array(*(F.lit(float(t)) for t in self.thresholds))
+        return self.probability(candidate) >= F.get(thresholds, candidate["generator"])
+
+
+def boost(rows: list[Row], held_out: list[Row] | None = None, rounds: int = ROUNDS, rate: float = RATE) -> Booster:
+    """Gradient-boosted trees on counted rows, thresholds from held-out ones (without these, from the same).
 
-def boost(rows: list[Row], rounds: int = ROUNDS, rate: float = RATE) -> Booster:
-    """Gradient-boosted trees on counted rows; the threshold is the lowest probability from which on
-    the share of personal data is at least PRECISION. With one sort of label alone nothing reaches it."""
+    A generator's threshold is the lowest probability from which on the share of personal data is at
+    least PRECISION, one half at least. Without personal data nothing reaches it; where there is
+    nothing else, candidates are as likely as one in the number of rows and two is not.
+    """
     total, positive = sum(r[1] for r in rows), sum(r[2] for r in rows)
-    if not positive or positive == total:
-        return Booster((), 0.0, math.inf)
-    bias = math.log(positive / (total - positive))
+    if not positive:
+        return Booster((), 0.0, (math.inf,) * BINS["generator"])
+    bias = math.log((positive + 1) / (total - positive + 1))
     trees: list[Split] = []
     scores = [bias] * len(rows)
-    for _ in range(rounds):
+    for _ in range(rounds if positive < total else 0):
         chances = [1 / (1 + math.exp(-s)) for s in scores]
         state = [(v, y - n * p, n * p * (1 - p)) for (v, n, y), p in zip(rows, chances, strict=True)]
         top = _best(state)
@@ -234,25 +266,36 @@ def boost(rows: list[Row], rounds: int = ROUNDS, rate: float = RATE) -> Booster:
         tree = Split(top, cuts[0], cuts[1], tuple(values))
         trees.append(tree)
         scores = [s + tree.values[tree.leaf(r[0])] for s, r in zip(scores, rows, strict=True)]
-    model = Booster(tuple(trees), bias, 0.0)
-    ranked = sorted(zip(scores, rows, strict=True), key=lambda x: -x[0])
+    model = Booster(tuple(trees), bias, ())
+    judged = [(model.raw(r[0]), r) for r in held_out or rows]
+    generator = list(BINS).index("generator")
+    thresholds = [_threshold([x for x in judged if x[1][0][generator] == g]) for g in range(BINS["generator"])]
+    return Booster(model.trees, model.bias, tuple(thresholds))
+
+
+def _threshold(judged: list[tuple[float, Row]]) -> float:
+    ranked = sorted(judged, key=lambda x: -x[0])
     threshold, seen, right = math.inf, 0.0, 0.0
     for n, (score, row) in enumerate(ranked):
         seen, right = seen + row[1], right + row[2]
         last_of_score = n + 1 == len(ranked) or ranked[n + 1][0] < score
-        if last_of_score and right >= PRECISION * seen:
+        if last_of_score and right and right >= PRECISION * seen:
             threshold = 1 / (1 + math.exp(-score))
-    return Booster(model.trees, model.bias, threshold - 1e-9)
+    return max(0.5, threshold - 1e-9)
 
 
 def _train(found: DataFrame) -> Booster:
+    """Trees from candidates with a label; the unsure ones are in neither part."""
     counted = (
-        found.select(F.explode("candidates").alias("c"))
-        .groupBy(*(F.col(f"c.{name}").alias(name) for name in BINS))
+        found.select((F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0).alias("held_out"), F.explode("candidates").alias("c"))
+        .filter("NOT c.unsure")
+        .groupBy("held_out", *(F.col(f"c.{name}").alias(name) for name in BINS))
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("c.label").cast("int")).alias("positive"))
     )
-    rows = [(tuple(r[: len(BINS)]), float(r["n"]), float(r["positive"])) for r in counted.collect()]  # bounded by BINS
-    return boost(sorted(rows))
+    parts: dict[bool, list[Row]] = {False: [], True: []}
+    for r in counted.collect():  # bounded by BINS
+        parts[r["held_out"]].append((tuple(r[1 : 1 + len(BINS)]), float(r["n"]), float(r["positive"])))
+    return boost(sorted(parts[False]), sorted(parts[True]))
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
@@ -261,12 +304,12 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     ``base`` and ``added`` are arrays of (start, kind, end): code points, end exclusive, kind an index of
     KINDS. Spans of different kinds may overlap in ``base``; added ones overlap nothing. Null counts as empty, and an
     empty text has no spans. Rows are independent; the trees come from all
-    candidates. Without matches, or without other candidates, nothing is added. Other columns are not looked at.
+    candidates. Without matches nothing is added. Copies of a row get the same spans. Other columns are not looked at.
     """
     found = spool(_found(docs), "pii")
     model = _train(found)
     open_ones = F.filter("candidates", lambda c: ~c["label"])
-    likely = F.filter(open_ones, lambda c: model.probability(c) >= F.lit(float(model.threshold)))
+    likely = F.filter(open_ones, model.accepts)
     return found.select("doc_id", "base", leftmost(as_spans(likely, 4)).alias("added"))
 
 

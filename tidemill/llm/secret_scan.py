@@ -4,9 +4,11 @@ Patterns find assigned values, access keys and long hex strings. Beside them, ev
 least 16 token characters is scored by two first-order Markov models over characters, one of random
 strings and one of ordinary identifiers: the mean log-likelihood ratio per
 transition. Both are trained from labelled samples of the corpus: values inside pattern matches are
-random; runs that several documents have, and numbers, are ordinary. The threshold lies above all but a
-thousandth of the ordinary runs and never below equal likelihood. Only one character over and over is
-no random string whatever the models say.
+random; numbers, and runs that stand between different neighbours, are ordinary. Copies of a document, exact or
+near, have a run between the same neighbours, so a secret in them does not pass for ordinary. Both models
+compete with a third, that the run repeats itself: a transition that came before in the run is no
+sign of chance. The threshold lies above all but a thousandth of the ordinary runs and
+never below equal likelihood.
 
 DataFrame functions only. Texts are read once; what was found in them is written to a table, from which
 the models are counted and the runs are scored.
@@ -31,8 +33,16 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
 TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+"
 #: Of ordinary runs, the share that may score above the threshold.
 FALSE_ALARMS = 0.001
-#: The weight of one unseen transition.
+#: The weight of one unseen character.
 PRIOR = 0.5
+#: After each character so many transitions are taken to be as frequent as their second characters are.
+BACKED = 16.0
+#: An ordinary run has so many different texts before it, and so many after it, or more.
+NEIGHBOURS = 3
+#: Code points of a run's surroundings that are compared.
+CONTEXT = 12
+#: How likely a run that repeats itself goes on with a certain transition it has had.
+REPEATED = 0.5
 
 #: Character classes: letters each, digits, and the rest together; upper case apart.
 _ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
@@ -50,10 +60,18 @@ def _found(docs: DataFrame) -> DataFrame:
         F.filter("assign", lambda m: F.char_length(F.regexp_extract(m["text"], ASSIGN, 2)) >= ASSIGNED_CHARS).alias("assign"),
         "access",
         "hex",
-        "token",
+        F.transform("token", _in_context).alias("token"),
     )
 
 
+def _in_context(match: Column) -> Column:
+    """A match with hashes of the code points on either side."""
+    start, end = match["start"], match["end"]
+    before = F.col("text").substr(F.greatest(start - CONTEXT + 1, F.lit(1)), F.least(start, F.lit(CONTEXT)))
+    after = F.col("text").substr(end + 1, F.lit(CONTEXT))
+    return F.struct(start.alias("start"), end.alias("end"), match["text"].alias("text"), F.xxhash64(before).alias("before"), F.xxhash64(after).alias("after"))
+
+
 def _transitions(token: Column) -> Column:
     """Index of each pair of neighbouring characters in the table of transitions."""
     places = F.transform(F.sequence(F.lit(1), F.char_length(token)), lambda i: F.position(token.substr(i, F.lit(1)), F.lit(_ALPHABET)) - 1)
@@ -62,13 +80,18 @@ def _transitions(token: Column) -> Column:
 
 
 def _log_likelihoods(counts: dict[int, int]) -> list[float]:
-    """Log-probability of each transition given its first character, with a prior count."""
+    """Log-probability of each transition given its first character, backed by the frequency of its second."""
     sums = [sum(counts.get(a * _N + b, 0) for b in range(_N)) for a in range(_N)]
-    return [math.log((counts.get(a * _N + b, 0) + PRIOR) / (sums[a] + PRIOR * _N)) for a in range(_N) for b in range(_N)]
+    second = [sum(counts.get(a * _N + b, 0) for a in range(_N)) + PRIOR for b in range(_N)]
+    shares = [n / sum(second) for n in second]
+    return [math.log((counts.get(a * _N + b, 0) + BACKED * shares[b]) / (sums[a] + BACKED)) for a in range(_N) for b in range(_N)]
 
 
 def _labelled(found: DataFrame) -> DataFrame:
-    """(token, random, n): values inside pattern matches; runs outside them that several rows have, and numbers."""
+    """(token, random, n): values inside pattern matches; numbers, and runs between different neighbours, outside them.
+
+    An ordinary run counts once for each of its neighbours on the side that has fewer.
+    """
     base = F.concat(as_spans(F.col("assign"), 0), as_spans(F.col("access"), 1), as_spans(F.col("hex"), 2))
     values = F.concat(
         F.transform("assign", lambda m: F.regexp_extract(m["text"], ASSIGN, 2)), F.transform("access", lambda m: m["text"]), F.transform("hex", lambda m: m["text"])
@@ -76,20 +99,28 @@ def _labelled(found: DataFrame) -> DataFrame:
     outside = F.filter("token", lambda m: ~overlaps(base, m["start"], m["end"]))
     random = found.select(F.explode(values).alias("token"), F.lit(True).alias("random"), F.lit(1).cast("long").alias("n"))
     random = random.withColumn("token", F.regexp_replace("token", r"[^A-Za-z0-9+/_=-]", ""))
-    runs = found.select(F.explode(F.array_distinct(F.transform(outside, lambda m: m["text"]))).alias("token"))
-    ordinary = runs.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | F.col("token").rlike("^[0-9]+$"))
+    runs = found.select(F.explode(outside).alias("m")).select("m.text", "m.before", "m.after")
+    # Each neighbour of a run once, before they are counted.
+    sides = runs.select("text", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("before").alias("near")), F.struct(F.lit(1).alias("side"), F.col("after").alias("near")))).alias("s"))
+    sides = sides.select("text", "s.side", "s.near").distinct().groupBy("text", "side").agg(F.count(F.lit(1)).alias("near"))
+    ordinary = sides.groupBy(F.col("text").alias("token")).agg(F.min("near").alias("n"))
+    ordinary = ordinary.filter((F.col("n") >= NEIGHBOURS) | F.col("token").rlike("^[0-9]+$"))
     return random.unionByName(ordinary.select("token", F.lit(False).alias("random"), "n")).filter(F.char_length("token") >= 2)
 
 
 class SecretModel:
-    """Log-likelihood ratio per transition, and the threshold of its mean."""
+    """Log-likelihood ratio of each transition, the one it has when it repeats, and the threshold of the mean."""
 
-    def __init__(self, ratios: list[float], threshold: float):
-        self.ratios, self.threshold = ratios, threshold
+    def __init__(self, ratios: list[float], repeats: list[float], threshold: float):
+        self.ratios, self.repeats, self.threshold = ratios, repeats, threshold
 
     def score(self, token: Column) -> Column:
-        ratios = F.array(*map(F.lit, self.ratios))
-        total = F.aggregate(_transitions(token), F.lit(0.0), lambda acc, i: acc + F.get(ratios, i.cast("int")))
+        all_of = _transitions(token)
+        repeats = F.array(*map(F.lit, self.repeats))
+        gains = F.array(*(F.lit(a - b) for a, b in zip(self.ratios, self.repeats, strict=True)))
+        # A transition counts by the two models where it comes first, and as a repetition after that.
+        total = F.aggregate(all_of, F.lit(0.0), lambda acc, i: acc + F.get(repeats, i.cast("int")))
+        total = F.aggregate(F.array_distinct(all_of), total, lambda acc, i: acc + F.get(gains, i.cast("int")))
         return total / (F.char_length(token) - 1)
 
 
@@ -104,29 +135,31 @@ def _train(found: DataFrame) -> SecretModel:
     for row in counted.collect():  # at most two for each pair of characters
         counts[row["random"]][row["transition"]] = row["n"]
     if not counts[True] or not counts[False]:
-        return SecretModel([0.0] * (_N * _N), math.inf)  # nothing to learn from: no added spans
-    ratios = [a - b for a, b in zip(_log_likelihoods(counts[True]), _log_likelihoods(counts[False]), strict=True)]
-    model = SecretModel(ratios, 0.0)
+        return SecretModel([0.0] * (_N * _N), [0.0] * (_N * _N), math.inf)  # nothing to learn from: no added spans
+    chance = _log_likelihoods(counts[True])
+    ratios = [a - b for a, b in zip(chance, _log_likelihoods(counts[False]), strict=True)]
+    # Chance hits a certain character as often as any other.
+    repeats = [min(r, -math.log(_N) - math.log(REPEATED)) for r in ratios]
+    model = SecretModel(ratios, repeats, 0.0)
     # Rounded up, so that the exact percentile holds few different scores.
     scores = labelled.filter("NOT random").select((F.ceil(model.score(F.col("token")) * 1000) / 1000).alias("score"), "n")
     high = float(scores.agg(F.percentile("score", 1 - FALSE_ALARMS, F.col("n"))).head()[0])
-    return SecretModel(ratios, max(0.0, high))
+    return SecretModel(ratios, repeats, max(0.0, high))
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
     """doc_id, base and added spans of every row of ``docs`` (doc_id, text).
 
     ``base`` and ``added`` are arrays of (start, kind, end): code points, end exclusive, kind an index of
-    KINDS. Null counts as empty, and an empty text has no spans. Rows are
-    independent; the models come from all of them. Without labelled runs of both sorts nothing is
+    KINDS. Null counts as empty, and an empty text has no spans. Copies of a row get the same spans as it
+    alone would; the models come from all rows. Without labelled runs of both sorts nothing is
     added. Other columns are not looked at.
     """
     found = spool(_found(docs), "secrets")
     model = _train(found)
     base = F.concat(as_spans(F.col("assign"), 0), as_spans(F.col("access"), 1), as_spans(F.col("hex"), 2))
     found = found.select("doc_id", "token", F.array_sort(base).alias("base"))
-    several = lambda text: F.replace(text, F.substring(text, 1, 1), F.lit("")) != ""
-    open_runs = F.filter("token", lambda m: several(m["text"]) & ~overlaps(F.col("base"), m["start"], m["end"]))
+    open_runs = F.filter("token", lambda m: ~overlaps(F.col("base"), m["start"], m["end"]))
     likely = F.filter(open_runs, lambda m: model.score(m["text"]) > F.lit(float(model.threshold)))
     return found.select("doc_id", "base", as_spans(likely, 3).cast(SPANS).alias("added"))
 
