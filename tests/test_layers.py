@@ -28,15 +28,17 @@ from tidemill.operators import (
     split_decodable,
 )
 from tidemill.operators.decode import DECODE_METRICS
-from tidemill.sources import append_messages, scan_table, stream_topic_files
+from tidemill.sources import append_messages, scan_table, stream_table, stream_topic_files
 from tidemill.sources.sample_topics import as_messages, batch_events
-from tidemill.sources.tables import with_batch_fields
+from tidemill.sources.tables import read_manifest, with_batch_fields
 from tidemill.streaming import (
     InsertOnlyMerge,
     RunLedger,
     append_stream,
+    compact,
     ensure_silver_table,
     read_ledger,
+    remove_replaced,
 )
 from tidemill.streaming.silver import silver_merge, upsert_batch
 from tidemill.streaming.sinks import publish, settings
@@ -251,6 +253,60 @@ def test_ledger(spark, root):
     assert sum(r.written for r in revenue) == scan_table(spark, config.job("revenue_hourly").table).count()
 
 
+def test_compaction(spark, root):
+    """Batches turn into one file at once, streams on the table see nothing of it, and what was replaced can go."""
+    table = f"{root}/table"
+    schema = StructType().add("n", "long")
+    for batch in range(4):
+        publish(spark.range(3 * batch, 3 * batch + 3).toDF("n").repartition(3), table, "run", batch)
+    rows = lambda: sorted(r.n for r in scan_table(spark, table, schema=schema).collect())
+    before = scan_table(spark, table, schema=schema)
+    assert compact(spark, table, schema) == 4 and compact(spark, table, schema) == 0
+    assert rows() == list(range(12)) and len(scan_table(spark, table, schema=schema).inputFiles()) == 1
+    assert before.count() == 12  # a reader that began earlier
+    publish(spark.range(12, 14).toDF("n"), table, "run", 4)
+    assert rows() == list(range(14))
+    assert compact(spark, table, schema) == 1  # the small part is taken along
+    with_batches = scan_table(spark, table, schema=with_batch_fields(schema))
+    assert {(r.run_id, r.batch_id) for r in with_batches.collect()} == {("run", b) for b in range(5)}
+    stream = stream_table(spark, table, schema=schema)
+    append_stream(stream, f"{root}/copy", f"{root}/mark").awaitTermination()
+    assert scan_table(spark, f"{root}/copy").count() == 14
+    assert remove_replaced(spark, table) == 6
+    assert rows() == list(range(14)) and scan_table(spark, table).count() == 14
+    large = compact(spark, table, schema, target_bytes=1)
+    assert large == 0
+    publish(spark.range(14, 15).toDF("n"), table, "other", 0)
+    assert compact(spark, table, schema, target_bytes=1) == 1
+    assert rows() == list(range(15)) and len(read_manifest(spark, table).parts) == 2
+    with pytest.raises(ConfigError):
+        compact(spark, "catalog_name", schema)
+
+
+@pytest.mark.parametrize("on_error", ["fail", "quarantine"])
+def test_schema_id_that_appears_during_a_run(spark, root, on_error):
+    """The second file of a run has an id that the schema table does not have when the run starts."""
+    config = USER_ACTIVITY.at(root)
+    older = StructType([f for f in config.payload_schema.fields if f.name != "device_type"])
+    events = activity(spark, [("a", "login", "00:05", None), ("b", "login", "00:06", None)])
+    for n, (ident, schema) in enumerate(((11, older), (12, config.payload_schema))):
+        one = replace(config, payload_schema=schema, silver_columns=("event_id", "timestamp_ms"), gold_jobs=())
+        append_messages(messages(spark, events.select(*schema.names), one, ident, 2 * n).coalesce(1), f"{root}/topic")
+    known = []
+
+    def schema_table(session):
+        ident, schema = ((11, older), (12, config.payload_schema))[len(known)]
+        ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+        known.append((config.schema_subject, len(known) + 1, ident, ddl))
+        return session.createDataFrame(known, "subject STRING, version INT, schema_id BIGINT, schema STRING")
+
+    stream = stream_topic_files(spark, f"{root}/topic", max_files_per_trigger=1)
+    assert ingest_bronze(spark, config, stream, on_error=on_error, schema_table=schema_table) == 4
+    bronze = scan_table(spark, config.bronze_table, schema=config.bronze_schema)
+    kinds = {(r.offset, r.device_type) for r in bronze.collect()}
+    assert kinds == {(0, None), (1, None), (2, "mobile"), (3, "mobile")}
+
+
 def test_new_columns_reach_an_existing_silver_table(spark, config):
     older = replace(
         config,

@@ -14,8 +14,8 @@ SELECT CAST(event_id AS VARCHAR) AS event_id,
        CASE WHEN kind <> 'search' THEN 'prod_' || CAST(event_id % 211 + 1 AS VARCHAR) END AS product_id,
        CASE WHEN kind = 'search' THEN 'query_' || CAST(event_id % 97 + 1 AS VARCHAR) END AS search_query,
        CASE WHEN kind = 'payment' THEN value END AS amount,
-       ['mobile', 'desktop', 'tablet'][event_id % 3 + 1] AS device_type,
-       ['IN', 'US', 'UK', 'DE', 'SG', 'AU'][user_id % 6 + 1] AS geo_country,
+       ['kiosk', 'laptop', 'phone'][event_id % 3 + 1] AS device_type,
+       ['NO', 'PT', 'CL', 'KE', 'NZ', 'TH'][user_id % 6 + 1] AS geo_country,
        (epoch_us(ts) // 1000) AS timestamp_ms,
        CAST(user_id % 3 AS INTEGER) AS "partition",
        event_id AS "offset",
@@ -61,8 +61,8 @@ SELECT CAST(o_orderkey AS VARCHAR) AS event_id,
        array_to_string(['prod_' || CAST((o_orderkey * 7 + i * 31) % 211 + 1 AS VARCHAR)
                         for i in range(o_orderkey % 4 + 1)], ',') AS product_ids,
        o_totalprice AS total_amount,
-       ['INR', 'USD', 'GBP', 'EUR', 'SGD', 'AUD'][o_custkey % 6 + 1] AS currency,
-       ['IN', 'US', 'UK', 'DE', 'SG', 'AU'][o_custkey % 6 + 1] AS shipping_country,
+       ['NOK', 'EUR', 'CLP', 'KES', 'NZD', 'THB'][o_custkey % 6 + 1] AS currency,
+       ['NO', 'PT', 'CL', 'KE', 'NZ', 'TH'][o_custkey % 6 + 1] AS shipping_country,
        CASE WHEN kind = 'order_cancelled'
             THEN ['changed_mind', 'card_declined', 'lost_in_transit'][o_orderkey % 3 + 1] END AS cancellation_reason,
        (epoch_us(o_orderdate) // 1000) AS timestamp_ms,

@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemill import contracts as c
 from tidemill.config import TopicConfig
 from tidemill.functions import epoch_millis, event_time
 from tidemill.operators import encode_messages
@@ -38,6 +37,10 @@ PRODUCTS = 211
 QUERIES = 97
 PRODUCT_NAMES = ["Anchor", "Bellows", "Compass", "Dinghy", "Fender", "Halyard", "Jib"]
 CATEGORIES = ["rigging", "deck", "galley", "charts", "safety"]
+DEVICES = ["kiosk", "laptop", "phone"]
+COUNTRIES = ["NO", "PT", "CL", "KE", "NZ", "TH"]
+CURRENCIES = {"NO": "NOK", "PT": "EUR", "CL": "CLP", "KE": "KES", "NZ": "NZD", "TH": "THB"}
+MAX_PRODUCTS_PER_ORDER = 4
 CANCELLATION_REASONS = ["changed_mind", "card_declined", "lost_in_transit"]
 
 #: The broker's timestamp trails the event by this many milliseconds.
@@ -100,8 +103,8 @@ def user_activity(events: DataFrame) -> DataFrame:
                 kind == "search", _text("query_", number % QUERIES + 1)
             ),
             "amount": F.when(kind == "payment", F.col("value")),
-            "device_type": _pick(c.DEVICES, number),
-            "geo_country": _pick(c.COUNTRIES, user),
+            "device_type": _pick(DEVICES, number),
+            "geo_country": _pick(COUNTRIES, user),
         }
     )
     topic = TOPICS["user_activity"]
@@ -172,17 +175,17 @@ def order_events(orders: DataFrame) -> DataFrame:
         )
         .otherwise(F.when(priority == "5-LOW", "order_cancelled").otherwise("order_delivered"))
         .alias("event_type"),
-        _pick(c.COUNTRIES, F.col("o_custkey")).alias("shipping_country"),
+        _pick(COUNTRIES, F.col("o_custkey")).alias("shipping_country"),
     ).withColumns(
         {
             "event_id": number.cast("string"),
             "order_id": _text("ord_", number),
             "user_id": _text("user_", customer),
             "product_ids": F.transform(
-                F.sequence(F.lit(0), (number % c.MAX_PRODUCTS_PER_ORDER).cast("int")),
+                F.sequence(F.lit(0), (number % MAX_PRODUCTS_PER_ORDER).cast("int")),
                 lambda i: _text("prod_", (number * 7 + i * 31) % PRODUCTS + 1),
             ),
-            "currency": _lookup(c.CURRENCIES, F.col("shipping_country")),
+            "currency": _lookup(CURRENCIES, F.col("shipping_country")),
             "cancellation_reason": F.when(
                 F.col("event_type") == "order_cancelled", _pick(CANCELLATION_REASONS, number)
             ),
