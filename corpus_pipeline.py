@@ -57,7 +57,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("encoding", encoding),
 ]
 
-#: A trained model and components of links are not expressible; tests compare with brute force.
+#: A trained model and components of links are not expressible; ``tests/llm/test_queries.py`` compares
+#: each stage with a plain version of it.
 ORACLE_SQL: str | None = None
 
 
