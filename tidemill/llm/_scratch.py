@@ -2,33 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-
-_FOLDER = "spark.checkpoint.dir"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; where it is unset, a folder of the warehouse.
-
-    Both are shared on a cluster. A folder of one machine is never used.
-    """
-    folder = spark.conf.get(_FOLDER, None) or spark.sparkContext.getConf().get(_FOLDER)
-    if folder:
-        return folder.rstrip("/")
-    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
-    if not warehouse:
-        raise RuntimeError(f"set {_FOLDER} to a folder that every executor can reach")
-    return f"{warehouse.rstrip('/')}/_scratch"
+from tidemill.workspace import new_run_folder
 
 
 def spool(df: DataFrame, label: str) -> DataFrame:
     """Write a result once and read it back: cuts lineage, survives lost executors.
 
-    The table stays until the folder is cleared; names never repeat.
+    Tables go under ``spark.checkpoint.dir``, which has to be set on a cluster. A table stays until
+    ``tidemill.workspace.remove_run_folders``; names never repeat.
     """
     spark = df.sparkSession
-    place = f"{shared_folder(spark)}/llm-{label}-{uuid.uuid4().hex}"
+    place = new_run_folder(spark, f"llm-{label}")
     df.write.parquet(place)
     return spark.read.schema(df.schema).parquet(place)

@@ -14,14 +14,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm._exchange import give_back
+from tidemill.llm._scratch import spool
 from tidemill.llm._text import RangeHash, joined, mix, portions, runs, utf8
 
 #: Labelled documents used for fitting, at most: those with the smallest hashes of doc_id.
 TRAINING_ROWS = 5_000
+#: Text bytes used for fitting, at most.
+TRAINING_BYTES = 64 << 20
 #: A word needs to be in so many of them to get a weight, and to differ between toxic and
 #: other documents by so many standard deviations.
 LEAST_DOCUMENTS = 6
@@ -152,11 +155,13 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> ToxicityModel:
-    """Fit on at most ``rows`` labelled documents outside the held-out fold.
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, size: int = TRAINING_BYTES) -> ToxicityModel:
+    """Fit on at most ``rows`` labelled documents outside the held-out fold, and on ``size`` bytes of text.
 
-    The sample is bounded, so its ids are broadcast and its words are collected; documents
-    are not shuffled. Rows without doc_id or label are not used.
+    The sample is bounded, so its ids are broadcast and its words are collected. Documents are
+    taken in the order of a hash of their doc_id until the bytes are used up; a text is taken whole or not at
+    all. Of several rows with one doc_id one counts, with the smallest text and the larger label. Rows without
+    doc_id or label are not used.
     """
     sample = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -166,8 +171,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Toxi
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chosen = chosen.join(F.broadcast(sample), "doc_id").select("text", "toxic")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    one_each = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
+    one_each = spool(one_each, "training")
+    # At most ``rows`` rows of two numbers.
+    up_to = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    fitting = one_each.select("doc_id", F.octet_length("text").cast("long").alias("bytes")).filter(F.col("bytes") <= size)
+    fitting = fitting.select("doc_id", F.sum("bytes").over(up_to).alias("total")).filter(F.col("total") <= size).select("doc_id")
+    chosen = one_each.join(F.broadcast(fitting), "doc_id").select("text", "toxic")
 
     def described(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
