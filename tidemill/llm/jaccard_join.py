@@ -48,6 +48,8 @@ _BUCKET_BITS = 18
 _SLICES = 64
 #: A group with more documents than this is dealt to several tasks.
 HOT_GROUP = 50_000
+#: Queries of a group that one task takes; further ones are dealt to further tasks.
+QUERIES = 256
 #: Documents in a stored group, on average at most.
 GROUP_SIZE = 64
 #: A prefix token that more documents have is dealt to several tasks.
@@ -336,23 +338,31 @@ def _verified(groups: DataFrame, queries: DataFrame, sets: DataFrame, percent: i
     """Links (center, query) between stored groups (grp, id, cluster) and queries (grp, id, cluster).
 
     A group's members come first and are held, with the union of their tokens; queries stream past.
-    One link of a query with each other cluster in a group is enough, as the members of a cluster are connected.
+    The members of a cluster are connected, and clusters that links have connected before need no further one, so
+    a task finds fewer links of a group than it has clusters there, however many of its documents are alike.
     """
     tokens = sets.filter("tokens IS NOT NULL").select(F.col("row").alias("id"), "n", "tokens")
-    counted = queries.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / HOT_GROUP).alias("deals"))
+    counted = queries.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("deals"))
     dealt = queries.join(counted, "grp").select("grp", F.pmod(F.xxhash64("id"), F.col("deals")).alias("deal"), F.lit(1).alias("side"), "id", "cluster")
     stored = groups.join(counted, "grp").select("grp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)).alias("deal"), F.lit(0).alias("side"), "id", "cluster")
     rows = stored.unionByName(dealt).join(tokens, "id")
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, members, union, least = None, [], None, 0
+        forest: dict[int, int] = {}
+
+        def root(cluster: int) -> int:
+            while (above := forest.get(cluster, cluster)) != cluster:
+                forest[cluster] = cluster = forest.get(above, above)
+            return cluster
+
         for batch in batches:
             found: set[tuple[int, int]] = set()
             columns = (batch[c].to_pylist() for c in ("grp", "deal", "side", "id", "cluster", "n", "tokens"))
             for grp, deal, side, own, cluster, n, raw in zip(*columns, strict=True):
                 mine = np.frombuffer(raw, np.uint64)
                 if (grp, deal) != group:
-                    group, members, union = (grp, deal), [], None
+                    group, members, union, forest = (grp, deal), [], None, {}
                 if not side:
                     members.append((own, cluster, n, mine))
                     continue
@@ -361,11 +371,10 @@ def _verified(groups: DataFrame, queries: DataFrame, sets: DataFrame, percent: i
                     least = min(size for _, _, size, _ in members)
                 if (100 + percent) * _shared(union, mine) < percent * (n + least):
                     continue  # no member can share enough: the group stays closed
-                met = {cluster}
                 for other, theirs_in, size, theirs in members:
-                    if theirs_in not in met and _links(theirs, size, mine, n, percent):
+                    if root(theirs_in) != root(cluster) and _links(theirs, size, mine, n, percent):
                         found.add((other, own))
-                        met.add(theirs_in)
+                        forest[root(theirs_in)] = root(cluster)
             yield _pairs_batch(found)
         give_back()
 
