@@ -15,7 +15,8 @@ their sets' intersection is at least ``percent`` of their union; components are
 3. Documents are partitioned into groups by two min-hashes. The first of a group is compared with all
    others; those that link with it are one cluster.
 4. Clusters that share a prefix token are compared by their first members, each with the cluster
-   that has most of the token's documents. That joins what belongs together in time linear in the documents.
+   that has most of the token's documents. That joins what belongs together in time linear in the documents; as
+   joined clusters have other first members and other tokens in common, it is done a few times.
 5. What is still apart but shares a prefix token is searched exactly. Documents are stored
    in groups of bounded size, those of one cluster or of one pair of min-hashes together, each with the
    union of its members' tokens (the row of the token-group matrix). Prefix tokens are joined with
@@ -48,6 +49,8 @@ _BUCKET_BITS = 18
 _SLICES = 64
 #: A group with more documents than this is dealt to several tasks.
 HOT_GROUP = 50_000
+#: Rounds of step 4, at most; a round without a link is the last.
+NEAREST_ROUNDS = 4
 #: Queries of a group that one task takes; further ones are dealt to further tasks.
 QUERIES = 256
 #: Documents in a stored group, on average at most.
@@ -427,11 +430,15 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WOR
     common = spark.sparkContext.broadcast(_commonness(sets))
     clusters = _clusters(sets, common, percent)
 
-    near = spool(_nearest_clusters(clusters), "near")
-    # The first member of a cluster has its number.
-    centers = near.select(F.col("center").alias("grp"), F.col("center").alias("id"), F.col("center").alias("cluster")).distinct()
-    others = near.select(F.col("center").alias("grp"), F.col("query").alias("id"), F.col("query").alias("cluster"))
-    clusters = spool(_relabelled(clusters, _verified(centers, others, sets, percent)), "clusters")
+    for _ in range(NEAREST_ROUNDS):
+        near = spool(_nearest_clusters(clusters), "near")
+        # The first member of a cluster has its number.
+        centers = near.select(F.col("center").alias("grp"), F.col("center").alias("id"), F.col("center").alias("cluster")).distinct()
+        others = near.select(F.col("center").alias("grp"), F.col("query").alias("id"), F.col("query").alias("cluster"))
+        links = spool(_verified(centers, others, sets, percent), "near-links")
+        if links.isEmpty():
+            break
+        clusters = spool(_relabelled(clusters, links), "clusters")
 
     grouped = spool(_grouped(clusters), "groups")
     queries = spool(_open_candidates(grouped, percent), "candidates")
