@@ -21,6 +21,8 @@ from pyspark.sql.types import StructType
 
 #: Text bytes of a chunk; a longer text is a chunk of its own.
 CHUNK_BYTES = 4 << 20
+#: Of messages between chunks and tables, which go to disk more than once.
+COMPRESSION = 9
 
 
 def text_chunks(batches: Iterable[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, pa.RecordBatch]]:
@@ -44,10 +46,14 @@ def text_chunks(batches: Iterable[pa.RecordBatch], limit: int = CHUNK_BYTES) ->
             number += 1
 
 
+def compressed(data: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=COMPRESSION).compress(data, asbytes=True)
+
+
 def packed(values: np.ndarray) -> bytes:
     """32-bit values, compressed by place: the high bytes of small numbers are all alike."""
     places = np.ascontiguousarray(values, "<i4").view(np.uint8).reshape(-1, 4).T
-    return pa.compress(np.ascontiguousarray(places).tobytes(), "zstd", asbytes=True)
+    return compressed(np.ascontiguousarray(places).tobytes())
 
 
 def unpacked(code: bytes, count: int) -> np.ndarray:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm._dictionary import packed, text_chunks, unpacked
+from tidemill.llm._dictionary import compressed, packed, text_chunks, unpacked
 from tidemill.llm._scratch import spool
 from tidemill.llm._text import utf8
 
@@ -39,7 +39,7 @@ _WORDS = 4096
 #: Text bytes for each owner of a hash range.
 OWNER_BYTES = 32 << 20
 #: Text bytes of a chunk; larger chunks repeat fewer words.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 16 << 20
 
 
 @lru_cache(maxsize=2)
@@ -69,7 +69,7 @@ def _joiner(path: str) -> str:
 
 
 def _compressed(data: bytes) -> bytes:
-    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True) if data else b""
+    return len(data).to_bytes(8, "little") + compressed(data) if data else b""
 
 
 def _expanded(code: bytes) -> bytes:
