@@ -12,6 +12,10 @@ order, where a word is what stands between such characters:
 
 A word is sent once for each chunk that has it, however often it occurs there, so a word
 that is everywhere costs its owner one entry for each chunk.
+
+Texts are scanned twice, once for the words and once for the positions, which is less than
+keeping the positions of all words on disk until the answers come. The input must give the same rows in
+the same order both times: a table, projected or filtered. A chunk that changed between the scans raises an error.
 """
 
 from __future__ import annotations
@@ -30,8 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm._dictionary import compressed, packed, text_chunks, unpacked
-from tidemill.llm._scratch import spool
+from tidemill.llm._dictionary import compressed, packed, unpacked
+from tidemill.llm._exchange import chunks, pin_splits
 from tidemill.llm._text import utf8
 
 #: Words encoded with one call.
@@ -76,43 +80,64 @@ def _expanded(code: bytes) -> bytes:
     return pa.decompress(code[8:], int.from_bytes(code[:8], "little"), "zstd", asbytes=True) if code else b""
 
 
-_CHUNK = "chunk long, ids array<long>, lengths array<long>, codes binary, owners binary, letters array<struct<owner: int, body: binary>>"
-_LETTERS = pa.list_(pa.struct([("owner", pa.int32()), ("body", pa.binary())]))
+def _numbered(texts: list[bytes], owners: int) -> tuple[np.ndarray, list[int], list[bytes], np.ndarray]:
+    """Texts as word numbers, the most frequent word first; words for each text, words, their owners."""
+    numbers: defaultdict[bytes, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
+    found, lengths = [], []
+    for text in texts:
+        words = text.split()
+        found.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+        lengths.append(len(words))
+    codes, words = np.concatenate(found), list(numbers)
+    frequent = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
+    words = [words[i] for i in frequent.tolist()]
+    owner = np.fromiter(map(crc32, words), np.uint32, len(words)) % np.uint32(owners)
+    return _inverse(frequent)[codes], lengths, words, owner
+
 
+def _check(words: list[bytes]) -> int:
+    """Equal if both scans saw the same words of a chunk in the same order."""
+    return crc32(b"\n".join(words))
 
-def _split(owners: int):
-    """Texts as word numbers, the most frequent word first; words go to owners in that order."""
+
+def _letters(owners: int):
+    """Each chunk's distinct words, packed by owner."""
 
     def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, rows in text_chunks(batches, CHUNK_BYTES):
-            numbers: defaultdict[bytes, int] = defaultdict()
-            numbers.default_factory = numbers.__len__
-            found, lengths = [], []
-            for text in utf8(rows.column("text")):
-                words = text.split()
-                found.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
-                lengths.append(len(words))
-            codes, words = np.concatenate(found), list(numbers)
-            frequent = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
-            codes = _inverse(frequent)[codes]
-            words = [words[i] for i in frequent.tolist()]
-            owner = np.fromiter(map(crc32, words), np.uint32, len(words)) % np.uint32(owners)
+        for chunk, rows in chunks(batches, CHUNK_BYTES):
+            _, _, words, owner = _numbered(utf8(rows.column("text")), owners)
             order = np.argsort(owner, kind="stable")
             edges = np.searchsorted(owner[order], np.arange(owners + 1)).tolist()
             sent = [words[i] for i in order.tolist()]
-            letters = [
-                {"owner": o, "body": _compressed(b"\n".join(sent[a:b]))}
-                for o, (a, b) in enumerate(zip(edges, edges[1:], strict=False))
-                if b > a
-            ]
+            parts = [(o, a, b) for o, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a]
+            yield pa.record_batch(
+                {
+                    "chunk": pa.array([chunk] * len(parts), pa.int64()),
+                    "check": pa.array([_check(words)] * len(parts), pa.int64()),
+                    "owner": pa.array([o for o, _, _ in parts], pa.int32()),
+                    "body": pa.array([_compressed(b"\n".join(sent[a:b])) for _, a, b in parts], pa.binary()),
+                }
+            )
+
+    return split
+
+
+def _positions(owners: int):
+    """Each chunk's texts as numbers of its distinct words."""
+
+    def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, rows in chunks(batches, CHUNK_BYTES):
+            codes, lengths, words, owner = _numbered(utf8(rows.column("text")), owners)
             yield pa.record_batch(
                 {
                     "chunk": pa.array([chunk], pa.int64()),
+                    "check": pa.array([_check(words)], pa.int64()),
+                    "n_letters": pa.array([len(np.unique(owner))], pa.int32()),
                     "ids": pa.array([rows.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                     "lengths": pa.array([lengths], pa.list_(pa.int64())),
                     "codes": pa.array([packed(codes)], pa.binary()),
                     "owners": pa.array([_compressed(owner.astype("<u4").tobytes())], pa.binary()),
-                    "letters": pa.array([letters], _LETTERS),
                 }
             )
 
@@ -125,7 +150,7 @@ def _inverse(order: np.ndarray) -> np.ndarray:
     return places
 
 
-_ANSWER = "asked_by long, owner int, counts binary, tokens binary, decoded binary"
+_ANSWER = "asked_by long, check long, owner int, counts binary, tokens binary, decoded binary"
 
 
 def _answered(path: str, joiner: str) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -155,6 +180,7 @@ def _answered(path: str, joiner: str) -> Callable[[pa.Table, pa.Table], pa.Table
         return pa.table(
             {
                 "asked_by": letters["chunk"].combine_chunks().cast(pa.int64()),
+                "check": letters["check"].combine_chunks().cast(pa.int64()),
                 "owner": letters["owner"].combine_chunks().cast(pa.int32()),
                 "counts": pa.array(counts, pa.binary()),
                 "tokens": pa.array(tokens, pa.binary()),
@@ -166,7 +192,7 @@ def _answered(path: str, joiner: str) -> Callable[[pa.Table, pa.Table], pa.Table
 
 
 def _no_answers() -> pa.Table:
-    fields = [("asked_by", pa.int64()), ("owner", pa.int32())] + [(c, pa.binary()) for c in ("counts", "tokens", "decoded")]
+    fields = [("asked_by", pa.int64()), ("check", pa.int64()), ("owner", pa.int32())] + [(c, pa.binary()) for c in ("counts", "tokens", "decoded")]
     return pa.schema(fields).empty_table()
 
 
@@ -188,8 +214,9 @@ def _by_text(finish: Callable, arrow: pa.Schema, joiner: str) -> Callable[[pa.Ta
     """Turn a chunk and its answers into ids and decoded text of each row."""
 
     def assemble(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        if len(answers) != rows["n_letters"][0].as_py():
-            raise RuntimeError("a letter has no answer")
+        checks = {*rows["check"].to_pylist(), *answers["check"].to_pylist()}
+        if len(rows) != 1 or len(answers) != rows["n_letters"][0].as_py() or len(checks) != 1:
+            raise RuntimeError("the input changed between two scans: write it to a table first")
         words = _Words(answers)
         ids, lengths = rows["ids"][0].as_py(), rows["lengths"][0].as_py()
         owners = np.frombuffer(_expanded(rows["owners"][0].as_py()), "<u4")
@@ -216,13 +243,16 @@ def _encoded(docs: DataFrame, path: str, finish: Callable, schema: str, arrow: p
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     owners = int(size) // OWNER_BYTES + 1
     joiner = _joiner(path)
-    chunks = spool(docs.mapInArrow(_split(owners), _CHUNK), "word-chunks")
-    letters = chunks.select("chunk", F.explode("letters").alias("l")).select("chunk", "l.owner", "l.body")
+    pin_splits(docs)
+    letters = docs.mapInArrow(_letters(owners), "chunk long, check long, owner int, body binary")
     # The vocabulary's size is fixed, and so is its share of each owner's input.
     every = F.explode(F.sequence(F.lit(0), F.lit(owners - 1)))
     vocabulary = pieces(docs.sparkSession, path).select(every.alias("of"), "id", "piece")
     answers = letters.groupBy("owner").cogroup(vocabulary.groupBy("of")).applyInArrow(_answered(path, joiner), _ANSWER)
-    rows = chunks.select("chunk", "ids", "lengths", "codes", "owners", F.size("letters").alias("n_letters"))
+    rows = docs.mapInArrow(
+        _positions(owners),
+        "chunk long, check long, n_letters int, ids array<long>, lengths array<long>, codes binary, owners binary",
+    )
     return rows.groupBy("chunk").cogroup(answers.groupBy("asked_by")).applyInArrow(_by_text(finish, arrow, joiner), schema)
 
 
