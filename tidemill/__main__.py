@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 
 from tidemill.config import TopicConfig
 from tidemill.plans.pipeline import LAYERS, run_layer, run_pipeline
+from tidemill.plans.steps import StepLog
 from tidemill.sources import jaas_config, read_topic_stream, stream_topic_files
 from tidemill.streaming.bronze import ON_ERROR
 from tidemill.topics import TOPICS, topics_at, topics_in_catalog
@@ -39,6 +40,8 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--max-files", type=int, help="files per micro-batch")
     options.add_argument("--max-offsets", type=int, help="Kafka offsets per micro-batch")
     options.add_argument("--min-partitions", type=int, help="tasks a Kafka range is split over")
+    options.add_argument("--run", help="name of a run of 'all'; the same name goes on where it failed")
+    options.add_argument("--retries", type=int, default=1, help="of a failed step, with --run")
     options.add_argument("--on-error", default="fail", choices=ON_ERROR)
     return options
 
@@ -81,8 +84,11 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         return chosen
 
     if options.layer == "all":
+        steps = None
+        if options.run:
+            steps = StepLog(spark, f"{options.root}/_steps", options.run, options.retries)
         result = run_pipeline(
-            spark, topics, source, options.concurrent, options.max_files, decoding
+            spark, topics, source, options.concurrent, options.max_files, decoding, steps=steps
         )
     elif options.layer == "bronze":
         chosen = decoding(topics[options.topic])

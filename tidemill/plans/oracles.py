@@ -342,6 +342,7 @@ def oracle_statements() -> dict[str, str]:
     found["silver_batch_counts"] = _BATCH_COUNTS
     found["silver_tombstones"] = _TOMBSTONES
     found["pipeline_end_to_end"] = _pipeline_counts()
+    found["pipeline_resumed"] = _pipeline_counts()
     found["quality_invariants"] = _quality(filled=False)
     found["quality_violations"] = _quality(filled=True)
     return found

@@ -11,6 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.config import TopicConfig
+from tidemill.plans.steps import Counts, StepLog
 from tidemill.streaming import clean_silver, ingest_bronze, run_all_gold_jobs
 
 LAYERS = ("bronze", "silver", "gold")
@@ -49,6 +50,7 @@ def run_pipeline(
     bronze_options: Callable[[TopicConfig], Mapping] | None = None,
     gold_options: Mapping | None = None,
     report_counts: bool = True,
+    steps: StepLog | None = None,
 ) -> dict[str, int | None]:
     """Run all layers of all topics; row counts by ``layer.table``.
 
@@ -59,19 +61,33 @@ def run_pipeline(
     gives the arguments of :func:`ingest_bronze` for a topic: schema, codec, schemas by id,
     what to do with messages that do not decode; ``gold_options`` those of
     :func:`run_all_gold_jobs`. Without ``report_counts`` no table is counted.
+
+    With ``steps`` a failed layer of a topic is tried again, and a run of the same name goes on at
+    the layer that failed instead of starting over.
     """
     limit = {"max_files_per_trigger": max_files_per_trigger, "report_counts": report_counts}
 
+    def step(layer: str, name: str, action: Callable[[], Counts]) -> Counts:
+        return steps.do(f"{layer}.{name}", action) if steps else action()
+
     def chain(name: str) -> dict[str, int | None]:
         decoding = dict(bronze_options(topics[name])) if bronze_options else {}
         decoding["report_counts"] = report_counts
         jobs = {**limit, "concurrent": concurrent, **(gold_options or {})}
-        counts = {
-            f"bronze.{name}": run_layer(spark, "bronze", name, topics, source, **decoding),
-            f"silver.{name}": run_layer(spark, "silver", name, topics, **limit),
-        }
-        gold = run_layer(spark, "gold", name, topics, **jobs)
-        return counts | {f"gold.{job}": rows for job, rows in gold.items()}
+
+        def bronze() -> Counts:
+            return {f"bronze.{name}": run_layer(spark, "bronze", name, topics, source, **decoding)}
+
+        def silver() -> Counts:
+            return {f"silver.{name}": run_layer(spark, "silver", name, topics, **limit)}
+
+        def gold() -> Counts:
+            counts = run_layer(spark, "gold", name, topics, **jobs)
+            return {f"gold.{job}": rows for job, rows in counts.items()}
+
+        layers = zip(LAYERS, (bronze, silver, gold), strict=True)
+        ended = [step(layer, name, action) for layer, action in layers]
+        return {table: rows for counts in ended for table, rows in counts.items()}
 
     if not concurrent:
         results = [chain(name) for name in topics]

@@ -10,6 +10,7 @@ added differs from run to run.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from dataclasses import replace
 from functools import partial, reduce
 
@@ -21,6 +22,7 @@ from tidemill.config import GoldJob, TopicConfig
 from tidemill.functions import utc_wall_clock
 from tidemill.operators import RULES, frame_header, rule_violations, windowed_aggregate
 from tidemill.plans.pipeline import run_pipeline, with_fresh_checkpoints
+from tidemill.plans.steps import StepLog
 from tidemill.sources import append_messages, scan_table, stream_table, stream_topic_files
 from tidemill.sources.sample_topics import (
     as_messages,
@@ -539,6 +541,28 @@ def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(sorted(counts.items()), "table_name STRING, row_count BIGINT")
 
 
+def pipeline_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same chain where the last topic cannot be read for three attempts: two runs of one name.
+
+    The first run ends with the failure of its retry. The second goes on at the failed step, whose
+    retry succeeds; the tables are those of a run without failures.
+    """
+    folder = new_run_folder(spark, "tidemill-resumed")
+    topics = {name: _sized(topic.at(folder)) for name, topic in TOPICS.items()}
+    failures = iter(range(3))
+
+    def source(config: TopicConfig) -> DataFrame:
+        if config.name == list(TOPICS)[-1] and next(failures, None) is not None:
+            raise ConnectionError("the topic cannot be read")
+        events = _delivered(spark, sf_dir, config.name)
+        return as_messages(delivered_twice(events), config.name)
+
+    with suppress(ConnectionError):
+        run_pipeline(spark, topics, source, steps=StepLog(spark, f"{folder}/steps", "daily"))
+    counts = run_pipeline(spark, topics, source, steps=StepLog(spark, f"{folder}/steps", "daily"))
+    return spark.createDataFrame(sorted(counts.items()), "table_name STRING, row_count BIGINT")
+
+
 def quality_invariants(spark: SparkSession, sf_dir: str, filled: bool = False) -> DataFrame:
     """Rows checked and rows violating each nullability rule.
 
@@ -587,6 +611,7 @@ def registered_queries() -> dict[str, Query]:
     found["silver_recovered"] = silver_recovered
     found["silver_tombstones"] = silver_tombstones
     found["pipeline_end_to_end"] = pipeline_end_to_end
+    found["pipeline_resumed"] = pipeline_resumed
     found["quality_invariants"] = quality_invariants
     found["quality_violations"] = partial(quality_invariants, filled=True)
     return found
