@@ -580,3 +580,36 @@ def test_conversations_of_a_table(spark):
     assert got[2].n_turns == 1 and got[2].loss_sha256 == digest(b"").hexdigest()
     assert got[3].loss_sha256 == digest("".join(f"turn {i} " for i in range(3000)).encode()).hexdigest()
     assert read_back(format_turns(turns.limit(0))).collect() == []
+
+
+def test_toxicity_training_sends_the_driver_only_kept_words(spark, monkeypatch):
+    rnd = random.Random(3)
+    plain = [f"w{i}" for i in range(400)]
+    rows = [(i, ". ".join(" ".join(rnd.choice(plain) for _ in range(8)) for _ in range(4)) + (" vile." if i % 4 == 0 else ".")) for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(800)], "doc_id long, toxic int")
+    received = []
+    DataFrame = type(docs)
+    local_iterator = DataFrame.toLocalIterator
+
+    def counted(self, *args, **kwargs):
+        for row in local_iterator(self, *args, **kwargs):
+            received.append(len(row[1]) // 4)
+            yield row
+
+    monkeypatch.setattr(DataFrame, "toLocalIterator", counted)
+    model = toxicity.train(docs, table)
+    learned = sorted(r for r in rows if zlib_crc(r[0]) % 4 != 2)
+    found = toxicity.sentences([t.encode() for _, t in learned])
+    labels = np.array([int(i % 4 == 0) for i, _ in learned], np.uint8)
+    words = toxicity._frequent(found, labels.astype(float))
+    assert 0 < len(words) and sum(received) == int(np.isin(found.words, words).sum()) < len(found.words)
+    alone = toxicity.fit(found, labels)
+    assert set(model.words.tolist()) == set(alone.words.tolist()) and model.words.tolist()
+    assert np.allclose(np.sort(model.weights), np.sort(alone.weights), atol=1e-6)
+
+
+def zlib_crc(doc_id: int) -> int:
+    import zlib
+
+    return zlib.crc32(str(doc_id).encode())

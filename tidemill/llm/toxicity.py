@@ -115,6 +115,18 @@ def fit(found: Sentences, labels: np.ndarray, steps: int = STEPS, ridge: float =
     if not n:
         return ToxicityModel(np.zeros(0, np.uint32), np.zeros(0), -8.0, 0.5)
     labels = labels.astype(float)
+    words = _frequent(found, labels)
+    if len(words):
+        at = np.minimum(np.searchsorted(words, found.words), len(words) - 1)
+        known = words[at] == found.words
+        feature, sentence = at[known], found.sentence[known]
+    else:
+        feature = sentence = np.zeros(0, np.int64)
+    return _descend(n, found.owner, words, feature, sentence, labels, steps, ridge, lasso)
+
+
+def _frequent(found: Sentences, labels: np.ndarray) -> np.ndarray:
+    """Ascending words in at least LEAST_DOCUMENTS documents that set toxic ones apart."""
     seen = found.words.astype(np.uint64)
     seen <<= np.uint64(32)
     if len(seen):
@@ -124,21 +136,20 @@ def fit(found: Sentences, labels: np.ndarray, steps: int = STEPS, ridge: float =
     toxic = np.bincount(index, labels[(seen & np.uint64(0xFFFFFFFF)).astype(np.int64)], len(words))
     share = labels.mean()
     deviation = np.abs(toxic - counts * share) / np.sqrt(np.maximum(counts * share * (1 - share), 1e-9))
-    del seen, index
-    words = words[(counts >= LEAST_DOCUMENTS) & (deviation >= LEAST_DEVIATIONS)]
-    if len(words):
-        at = np.minimum(np.searchsorted(words, found.words), len(words) - 1)
-        known = words[at] == found.words
-        feature, sentence = at[known], found.sentence[known]
-    else:
-        feature = sentence = np.zeros(0, np.int64)
+    return words[(counts >= LEAST_DOCUMENTS) & (deviation >= LEAST_DEVIATIONS)]
+
+
+def _descend(
+    n: int, owner: np.ndarray, words: np.ndarray, feature: np.ndarray, sentence: np.ndarray, labels: np.ndarray, steps: int, ridge: float, lasso: float
+) -> ToxicityModel:
+    """Gradient steps over the sentences (``owner``: their documents) and their known words (``feature``: index in ``words``)."""
     weights, extra = np.zeros(len(words)), np.array([-6.0, -4.0])  # bias; log of the leak's rate
     states = [(np.zeros(len(words)), np.zeros(len(words))), (np.zeros(2), np.zeros(2))]
     for step in range(1, steps + 1):
-        logits = extra[0] + np.bincount(sentence, weights[feature], len(found.owner))
-        rate = np.exp(extra[1]) + np.bincount(found.owner, np.logaddexp(0, logits), n)
+        logits = extra[0] + np.bincount(sentence, weights[feature], len(owner))
+        rate = np.exp(extra[1]) + np.bincount(owner, np.logaddexp(0, logits), n)
         pull = 1 - labels / np.maximum(-np.expm1(-rate), 1e-9)
-        by_sentence = pull[found.owner] / (1 + np.exp(-logits))
+        by_sentence = pull[owner] / (1 + np.exp(-logits))
         slope = np.bincount(feature, by_sentence[sentence], len(words)) / n + 2 * ridge * weights
         own = np.array([by_sentence.sum(), pull.sum() * np.exp(extra[1])]) / n
         speed = 0.1 if step < steps * 0.7 else 0.03
@@ -158,7 +169,8 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, size: int = TRAINING_BYTES) -> ToxicityModel:
     """Fit on at most ``rows`` labelled documents outside the held-out fold, and on ``size`` bytes of text.
 
-    The sample is bounded, so its ids are broadcast and its words are collected. Documents are
+    The sample is bounded, so its ids are broadcast; Spark counts the documents of each word, and only
+    the words fit keeps are collected with their sentences. Documents are
     taken in the order of a hash of their doc_id until the bytes are used up; a text is taken whole or not at
     all. Of several rows with one doc_id one counts, with the smallest text and the larger label. Rows without
     doc_id or label are not used.
@@ -180,29 +192,59 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, size: i
     fitting = fitting.select("doc_id", F.sum("bytes").over(up_to).alias("total")).filter(F.col("total") <= size).select("doc_id")
     chosen = one_each.join(F.broadcast(fitting), "doc_id").select("text", "toxic")
 
+    documents, toxic_total = chosen.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not documents:
+        return fit(Sentences(0, *([np.zeros(0, np.int64)] * 5)), np.zeros(0, np.uint8))
+
+    def in_documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, toxic = utf8(batch["text"]), np.asarray(batch["toxic"].to_numpy(zero_copy_only=False), np.int64)
+            for a, b in portions(texts):
+                found = sentences(texts[a:b])
+                seen = np.unique((found.words.astype(np.uint64) << np.uint64(32)) | found.owner[found.sentence].astype(np.uint64))
+                owner = (seen & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                yield pa.record_batch([pa.array((seen >> np.uint64(32)).astype(np.int64)), pa.array(toxic[a:b][owner])], ["word", "toxic"])
+        give_back()
+
+    # The words of fit's filter, found by Spark: a word's documents and toxic ones among them, as fit counts them.
+    share = toxic_total / documents
+    expected = F.col("documents") * F.lit(share)
+    deviation = F.abs(F.col("toxic") - expected) / F.sqrt(F.greatest(expected * F.lit(1 - share), F.lit(1e-9)))
+    counted = chosen.mapInArrow(in_documents, "word long, toxic long").groupBy("word").agg(F.count(F.lit(1)).alias("documents"), F.sum("toxic").alias("toxic"))
+    frequent = counted.filter((F.col("documents") >= LEAST_DOCUMENTS) & (deviation >= LEAST_DEVIATIONS)).select("word")
+    words = np.sort(np.array([r.word for r in frequent.collect()], np.int64)).astype(np.uint32)
+    known_words = chosen.sparkSession.sparkContext.broadcast(words)
+
     def described(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, toxic = utf8(batch["text"]), batch["toxic"].to_pylist()
             for a, b in portions(texts):
                 found = sentences(texts[a:b])
-                parts = (found.owner, found.words, found.sentence)
-                packed = [p.astype(t).tobytes() for p, t in zip(parts, ("<u4", "<u4", "<u4"), strict=True)]
-                yield pa.record_batch([pa.array([x], pa.binary()) for x in (*packed, bytes(toxic[a:b]))], ["owner", "words", "sentence", "toxic"])
+                words = known_words.value
+                if len(words):
+                    at = np.minimum(np.searchsorted(words, found.words), len(words) - 1)
+                    known = words[at] == found.words
+                    feature, sentence = at[known], found.sentence[known]
+                else:
+                    feature = sentence = np.zeros(0, np.int64)
+                parts = (found.owner, feature, sentence)
+                packed = [p.astype("<u4").tobytes() for p in parts]
+                yield pa.record_batch([pa.array([x], pa.binary()) for x in (*packed, bytes(toxic[a:b]))], ["owner", "feature", "sentence", "toxic"])
         give_back()
 
-    parts = chosen.mapInArrow(described, "owner binary, words binary, sentence binary, toxic binary").repartition(16)
-    owner, words, sentence, toxic = ([np.zeros(0, t)] for t in (np.uint32, np.uint32, np.uint32, np.uint8))
+    # Only sentences and their words that fit keeps reach the driver.
+    parts = chosen.mapInArrow(described, "owner binary, feature binary, sentence binary, toxic binary").repartition(16)
+    owner, feature, sentence, toxic = ([np.zeros(0, t)] for t in (np.uint32, np.uint32, np.uint32, np.uint8))
     documents = count = 0
     for part in parts.toLocalIterator(prefetchPartitions=False):
         read = [np.frombuffer(part[i], "<u4") for i in range(3)]
         owner.append(read[0] + np.uint32(documents))
-        words.append(read[1].copy())
+        feature.append(read[1].copy())
         sentence.append(read[2] + np.uint32(count))
         toxic.append(np.frombuffer(part[3], np.uint8).copy())
         documents, count = documents + len(part[3]), count + len(read[0])
-    none = np.zeros(0, np.int64)
-    found = Sentences(documents, np.concatenate(owner), none, none, np.concatenate(words), np.concatenate(sentence))
-    return fit(found, np.concatenate(toxic))
+    labels = np.concatenate(toxic).astype(float)
+    return _descend(documents, np.concatenate(owner), words, np.concatenate(feature), np.concatenate(sentence), labels, STEPS, 1e-4, 1e-3)
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel, sentence_threshold: float = 0.3) -> DataFrame:
